@@ -334,13 +334,15 @@ def _sides(spark, sf_dir):
 @query
 def histogram_given_edges(spark, sf_dir):
     before, after = _sides(spark, sf_dir)
-    return rounded(drift.binned_counts(after, drift.equal_width_edges(before, MEASURED, 5)), ["lo", "hi", "frac"])
+    edges = drift.equal_width_edges(before, MEASURED, 5)
+    return rounded(drift.binned_counts(after, edges, MEASURED), ["lo", "hi", "frac"])
 
 
 @query
 def drift_report(spark, sf_dir):
     before, after = _sides(spark, sf_dir)
-    return rounded(drift.drift_report(after, drift.baseline_stats(before, MEASURED)), ["psi", "ks"])
+    baseline = drift.baseline_stats(before, MEASURED)
+    return rounded(drift.drift_report(after, baseline, columns=MEASURED), ["psi", "ks"])
 
 
 @query
@@ -348,7 +350,8 @@ def drift_report_shifted(spark, sf_dir):
     """The same report where one column really moved."""
     before, after = _sides(spark, sf_dir)
     moved = after.withColumn("components_pm10", F.col("components_pm10") / 3)
-    return rounded(drift.drift_report(moved, drift.baseline_stats(before, MEASURED)), ["psi", "ks"])
+    baseline = drift.baseline_stats(before, MEASURED)
+    return rounded(drift.drift_report(moved, baseline, columns=MEASURED), ["psi", "ks"])
 
 
 # --- Metrics ---------------------------------------------------------------

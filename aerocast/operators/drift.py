@@ -52,13 +52,15 @@ def bin_of(value: Column, edges: Column) -> Column:
     return F.least(F.size(F.filter(edges, lambda e: e <= value)), F.size(edges) - 1)
 
 
-def binned_counts(df: DataFrame, edges: DataFrame) -> DataFrame:
+def binned_counts(df: DataFrame, edges: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(feature, bin, lo, hi, n, frac) on given edges, empty bins included.
 
     Values outside the edges are dropped, and fractions are of the values inside. ``edges``
-    has one row per column of the schema, so it is broadcast.
+    has one row per column of the schema, so it is broadcast. ``columns`` names its features
+    where they are known; otherwise they are looked up.
     """
-    columns = [r["feature"] for r in edges.select("feature").collect()]
+    if columns is None:
+        columns = [r["feature"] for r in edges.select("feature").collect()]
     missing = missing_columns(df, columns)
     if missing:
         raise ContractError(f"histogram columns missing: {missing}")
@@ -82,25 +84,27 @@ def binned_counts(df: DataFrame, edges: DataFrame) -> DataFrame:
 
 def equal_width_histogram(df: DataFrame, columns: list[str], bins: int = 5) -> DataFrame:
     """Histogram with n equal bins between minimum and maximum, per column."""
-    return binned_counts(df, equal_width_edges(df, numeric_columns(df, columns), bins))
+    columns = numeric_columns(df, columns)
+    return binned_counts(df, equal_width_edges(df, columns, bins), columns)
 
 
 def baseline_stats(df: DataFrame, columns: list[str], bins: int = 5) -> DataFrame:
     """(feature, bins, ref): edges and bin fractions of every numeric, non-empty column."""
-    edges = equal_width_edges(df, numeric_columns(df, columns), bins)
-    fractions = binned_counts(df, edges).groupBy("feature").agg(
+    columns = numeric_columns(df, columns)
+    edges = equal_width_edges(df, columns, bins)
+    fractions = binned_counts(df, edges, columns).groupBy("feature").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("bin", "frac"))), lambda s: s["frac"]).alias("ref")
     )
     return edges.join(fractions, "feature").select("feature", "bins", "ref")
 
 
-def drift_scores(df: DataFrame, baseline: DataFrame) -> DataFrame:
+def drift_scores(df: DataFrame, baseline: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(feature, psi, ks) of a frame against a baseline table.
 
     PSI is the population stability index with a small constant inside the logarithm. KS is
     the largest distance of the cumulative bin fractions; it is 0 if no value is in range.
     """
-    now = binned_counts(df, baseline.select("feature", "bins"))
+    now = binned_counts(df, baseline.select("feature", "bins"), columns)
     then = baseline.select("feature", F.posexplode("ref").alias("_i", "ref")).select(
         "feature", (F.col("_i") + 1).alias("bin"), "ref"
     )
@@ -118,10 +122,16 @@ def drift_scores(df: DataFrame, baseline: DataFrame) -> DataFrame:
     )
 
 
-def drift_report(df: DataFrame, baseline: DataFrame, psi_limit: float = PSI_LIMIT, ks_limit: float = KS_LIMIT) -> DataFrame:
+def drift_report(
+    df: DataFrame,
+    baseline: DataFrame,
+    psi_limit: float = PSI_LIMIT,
+    ks_limit: float = KS_LIMIT,
+    columns: list[str] | None = None,
+) -> DataFrame:
     """Scores with a verdict per feature."""
     moved = (F.col("psi") > psi_limit) | (F.col("ks") > ks_limit)
-    return drift_scores(df, baseline).withColumn("drifted", moved)
+    return drift_scores(df, baseline, columns).withColumn("drifted", moved)
 
 
 def check_drift(df: DataFrame, baseline: DataFrame, psi_limit: float = PSI_LIMIT, ks_limit: float = KS_LIMIT) -> None:

@@ -9,7 +9,7 @@ only worked out inside single buckets.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS_PER_OCTAVE = 4096
@@ -41,19 +41,19 @@ def value_totals(df: DataFrame, keys: list[str], columns: list[str]) -> DataFram
 
 def bucket_offsets(bucketed: DataFrame, keys: list[str], amounts: list[str]) -> DataFrame:
     """Per (keys, _bucket): amount before the bucket, inside it, and in the whole group."""
-    per_bucket = bucketed.groupBy(*keys, "_bucket").agg(*[F.sum(a).alias(f"_in_{a}") for a in amounts])
+    per_bucket = bucketed.groupBy(*keys, "_bucket").agg(*[F.expr(f"sum({a}) AS _in_{a}") for a in amounts])
     # One row per bucket, not per value, so this window stays small even for a hot group.
-    group = Window.partitionBy(*keys)
-    before = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    out = per_bucket
-    for a in amounts:
-        out = out.withColumn(f"_before_{a}", F.coalesce(F.sum(f"_in_{a}").over(before), F.lit(0)))
-        out = out.withColumn(f"_total_{a}", F.sum(f"_in_{a}").over(group))
-    return out
+    group = f"PARTITION BY {', '.join(keys)}" if keys else ""
+    before = f"({group} ORDER BY _bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return per_bucket.selectExpr(
+        "*",
+        *[f"coalesce(sum(_in_{a}) OVER {before}, 0) AS _before_{a}" for a in amounts],
+        *[f"sum(_in_{a}) OVER ({group}) AS _total_{a}" for a in amounts],
+    )
 
 
 def running_totals(
-    df: DataFrame, keys: list[str], value: str, amounts: list[str], bucket: Column | None = None, keep: Column | None = None
+    df: DataFrame, keys: list[str], value: str, amounts: list[str], bucket: Column | None = None, keep: str | None = None
 ) -> DataFrame:
     """Add ``{amount}_below`` (amount at smaller values of the group) and ``{amount}_total``.
 
@@ -66,41 +66,42 @@ def running_totals(
     if keep is not None:
         offsets = offsets.filter(keep)
     placed = bucketed.join(offsets.hint("shuffle_hash"), [*keys, "_bucket"])
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    added = {}
-    for a in amounts:
-        added[f"{a}_below"] = F.col(f"_before_{a}") + F.coalesce(F.sum(a).over(inside), F.lit(0))
-        added[f"{a}_total"] = F.col(f"_total_{a}")
-    return placed.select(*df.columns, *[c.alias(n) for n, c in added.items()])
-
-
-def _any(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out | c
-    return out
+    by = ", ".join([*keys, "_bucket"])
+    inside = f"(PARTITION BY {by} ORDER BY `{value}` ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return placed.selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        *[f"_before_{a} + coalesce(sum({a}) OVER {inside}, 0) AS {a}_below" for a in amounts],
+        *[f"_total_{a} AS {a}_total" for a in amounts],
+    )
 
 
 def percentiles_of(
     totals: DataFrame, keys: list[str], probs: dict[str, float], value: str = "value", bucket: Column | None = None
 ) -> DataFrame:
     """Exact, linearly interpolated percentiles of counted values (keys, value, n)."""
-    position = {name: F.lit(p) * (F.col("_total_n") - 1) for name, p in probs.items()}
-    wanted = [F.floor(r) for r in position.values()] + [F.ceil(r) for r in position.values()]
-    keep = _any([(F.col("_before_n") <= i) & (i < F.col("_before_n") + F.col("_in_n")) for i in wanted])
+
+    def ranks(p: float, n: str) -> dict[str, str]:
+        return {"lo": f"floor({p}D * ({n} - 1))", "hi": f"ceil({p}D * ({n} - 1))"}
+
+    wanted = [r for p in probs.values() for r in ranks(p, "_total_n").values()]
+    keep = " OR ".join(f"(_before_n <= {r} AND {r} < _before_n + _in_n)" for r in wanted)
     placed = running_totals(totals, keys, value, ["n"], bucket, keep)
 
-    aggs, result = [], {}
-    for name, p in probs.items():
-        rank = F.lit(p) * (F.col("n_total") - 1)
-        for side, index in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
-            here = (F.col("n_below") <= index) & (index < F.col("n_below") + F.col("n"))
-            aggs.append(F.max(F.when(here, F.col(value))).alias(f"_{side}_{name}"))
-        share = F.lit(p) * (F.col("_n") - 1)
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        result[name] = lo + (hi - lo) * (share - F.floor(share))
-    found = placed.groupBy(*keys).agg(F.max("n_total").alias("_n"), *aggs)
-    return found.select(*keys, *[c.alias(n) for n, c in result.items()])
+    found = placed.groupBy(*keys).agg(
+        F.expr("max(n_total) AS _n"),
+        *[
+            F.expr(f"max(CASE WHEN n_below <= {r} AND {r} < n_below + n THEN `{value}` END) AS _{side}_{name}")
+            for name, p in probs.items()
+            for side, r in ranks(p, "n_total").items()
+        ],
+    )
+    return found.selectExpr(
+        *keys,
+        *[
+            f"_lo_{name} + (_hi_{name} - _lo_{name}) * ({p}D * (_n - 1) - floor({p}D * (_n - 1))) AS {name}"
+            for name, p in probs.items()
+        ],
+    )
 
 
 def percentiles(df: DataFrame, columns: list[str], probs: dict[str, float], keys: list[str] | None = None) -> DataFrame:

@@ -11,8 +11,6 @@ which is ordered per city, and what each block needs from its neighbours is join
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,34 +59,44 @@ def choose_block(df: DataFrame, max_rows: int = MAX_BLOCK_ROWS) -> str:
     return BLOCK_WIDTHS[-1]
 
 
-def _block_window() -> Window:
-    return Window.partitionBy("city", "_block").orderBy("datetime")
+# Window clauses. Expressions below are SQL text: one parse per column instead of many calls.
+IN_BLOCK = "(PARTITION BY city, _block ORDER BY datetime)"
+IN_CITY = "(PARTITION BY city ORDER BY datetime)"
 
 
-def _city_window() -> Window:
-    return Window.partitionBy("city").orderBy("datetime")
+def _case(arms: list[tuple[str, str]], default: str = "NULL") -> str:
+    return "CASE " + " ".join(f"WHEN {when} THEN {then}" for when, then in arms) + f" ELSE {default} END"
 
 
-def _rows_after(window, limit: int) -> Column:
+def _rows_after(limit: int) -> str:
     """How many rows of the block follow, counted up to ``limit``."""
-    follows = [F.lead("datetime", k).over(window).isNotNull().cast("int") for k in range(1, limit + 1)]
-    return reduce(lambda a, b: a + b, follows, F.lit(0))
+    follows = [f"CAST(lead(datetime, {k}) OVER {IN_BLOCK} IS NOT NULL AS INT)" for k in range(1, limit + 1)]
+    return " + ".join(follows) or "0"
 
 
-def _back(window, column: str, k: int) -> Column:
+def _back(column: str, k: int) -> str:
     """Value k rows back: inside the block, or from the carried rows before the block."""
-    out = F.when(F.col("_pos") > k, F.lag(column, k).over(window))
-    for pos in range(1, k + 1):
-        out = out.when(F.col("_pos") == pos, F.col(f"_prev_{column}_{k - pos + 1}"))
-    return out
+    carried = [(f"_pos = {pos}", f"`_prev_{column}_{k - pos + 1}`") for pos in range(1, k + 1)]
+    return _case(carried, f"lag(`{column}`, {k}) OVER {IN_BLOCK}")
 
 
-def _ahead(window, column: str, k: int) -> Column:
+def _ahead(column: str, k: int) -> str:
     """Value k rows ahead: inside the block, or from the carried rows after the block."""
-    out = F.when(F.col("_after") >= k, F.lead(column, k).over(window))
-    for after in range(k):
-        out = out.when(F.col("_after") == after, F.col(f"_next_{column}_{k - after}"))
-    return out
+    carried = [(f"_after = {after}", f"`_next_{column}_{k - after}`") for after in range(k)]
+    return _case(carried, f"lead(`{column}`, {k}) OVER {IN_BLOCK}")
+
+
+def _named(parts: dict[str, str]) -> list[str]:
+    return [f"{expression} AS `{name}`" for name, expression in parts.items()]
+
+
+def _with_block(df: DataFrame, block: str) -> DataFrame:
+    return df.withColumn("_block", block_id(F.col("datetime"), block))
+
+
+def _gather(carried: DataFrame, names) -> DataFrame:
+    """One context row per (city, block) from columns that are set on one row each."""
+    return carried.groupBy("city", "_block").agg(*[F.expr(f"max(`{n}`) AS `{n}`") for n in names])
 
 
 def _join_context(rows: DataFrame, context: DataFrame, how: str) -> DataFrame:
@@ -104,34 +112,39 @@ def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], block: str = B
     (city, datetime) must be unique and not null.
     """
     require_columns(df, ["city", "datetime"] + [c for c, _ in shifts.values()])
-    back = {c: max(k for s, k in shifts.values() if s == c) for c, k0 in shifts.values() if k0 > 0}
-    ahead = {c: max(-k for s, k in shifts.values() if s == c) for c, k0 in shifts.values() if k0 < 0}
-    reach_back, reach_ahead = max(back.values(), default=0), max(ahead.values(), default=0)
-
-    w, city = _block_window(), _city_window()
-    rows = df.withColumn("_block", block_id(F.col("datetime"), block))
-
-    marked = rows.select(
+    back, ahead = {}, {}
+    for c, k in shifts.values():
+        reach = back if k > 0 else ahead
+        reach[c] = max(reach.get(c, 0), abs(k))
+    far_back, far_ahead = max(back.values(), default=0), max(ahead.values(), default=0)
+
+    rows = _with_block(df, block)
+    marked = rows.selectExpr(
         "city",
         "_block",
         "datetime",
-        *sorted(set(back) | set(ahead)),
-        F.row_number().over(w).alias("_pos"),
-        _rows_after(w, max(reach_back, 1)).alias("_after"),
+        *[f"`{c}`" for c in sorted({*back, *ahead})],
+        f"row_number() OVER {IN_BLOCK} AS _pos",
+        f"{_rows_after(max(far_back, 1))} AS _after",
     )
-    border = marked.filter((F.col("_pos") <= max(reach_ahead, 1)) | (F.col("_after") < max(reach_back, 1)))
+    border = marked.filter(f"_pos <= {max(far_ahead, 1)} OR _after < {max(far_back, 1)}")
     # Neighbouring border rows are neighbours in the series on both sides of every border.
-    carried = {f"_prev_{c}_{k}": (F.col("_pos") == 1, F.lag(c, k)) for c, n in back.items() for k in range(1, n + 1)}
-    carried |= {f"_next_{c}_{k}": (F.col("_after") == 0, F.lead(c, k)) for c, n in ahead.items() for k in range(1, n + 1)}
-    seen = border.select("city", "_block", *[F.when(at, v.over(city)).alias(n) for n, (at, v) in carried.items()])
-    context = seen.groupBy("city", "_block").agg(*[F.max(n).alias(n) for n in carried])
-
-    placed = rows.withColumns({"_pos": F.row_number().over(w), "_after": _rows_after(w, reach_ahead)})
-    joined = _join_context(placed, context, "left")
-    added = {
-        name: (_back(w, c, k) if k > 0 else _ahead(w, c, -k)).alias(name) for name, (c, k) in shifts.items()
+    carried = {
+        f"_prev_{c}_{k}": f"CASE WHEN _pos = 1 THEN lag(`{c}`, {k}) OVER {IN_CITY} END"
+        for c, n in back.items()
+        for k in range(1, n + 1)
+    }
+    carried |= {
+        f"_next_{c}_{k}": f"CASE WHEN _after = 0 THEN lead(`{c}`, {k}) OVER {IN_CITY} END"
+        for c, n in ahead.items()
+        for k in range(1, n + 1)
     }
-    return joined.select(*df.columns, *added.values())
+    context = _gather(border.selectExpr("city", "_block", *_named(carried)), carried)
+
+    placed = rows.selectExpr("*", f"row_number() OVER {IN_BLOCK} AS _pos", f"{_rows_after(far_ahead)} AS _after")
+    added = {name: _back(c, k) if k > 0 else _ahead(c, -k) for name, (c, k) in shifts.items()}
+    kept = [f"`{c}`" for c in df.columns]
+    return _join_context(placed, context, "left").selectExpr(*kept, *_named(added))
 
 
 def add_calendar(df: DataFrame) -> DataFrame:
@@ -152,26 +165,28 @@ def _lag_spec(columns) -> dict[str, tuple[str, int]]:
 
 def add_lags(df: DataFrame, columns=tuple(LAGGED), block: str = BLOCK) -> DataFrame:
     """Lags 1..3 of the given columns that exist; rows at the start keep nulls."""
-    return row_shifts(df, _lag_spec([c for c in columns if c in df.columns]), block)
+    spec = _lag_spec([c for c in columns if c in df.columns])
+    return row_shifts(df, spec, block) if spec else df
 
 
-def _mean_of(parts: list[Column]) -> Column:
+def _mean_of(parts: list[str]) -> str:
     """Mean of the non-null parts, oldest first; null if there are none."""
-    total = reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(0.0)) for p in parts])
-    count = reduce(lambda a, b: a + b, [p.isNotNull().cast("int") for p in parts])
-    return F.when(count > 0, total / count)
+    total = " + ".join(f"coalesce({p}, 0D)" for p in parts)
+    count = " + ".join(f"CAST({p} IS NOT NULL AS INT)" for p in parts)
+    return f"CASE WHEN {count} > 0 THEN ({total}) / ({count}) END"
 
 
 def add_rolling(df: DataFrame, columns=tuple(ROLLED), window: int = ROLL_ROWS, block: str = BLOCK) -> DataFrame:
     """Mean of the last ``window`` rows including the current one, over at least one value."""
     columns = [c for c in columns if c in df.columns]
-    spec = {f"_r_{c}_{k}": (c, k) for c in columns for k in range(1, window)}
-    shifted = row_shifts(df, spec, block)
+    if not columns:
+        return df
+    shifted = row_shifts(df, {f"_r_{c}_{k}": (c, k) for c in columns for k in range(1, window)}, block)
     means = {
-        f"{c}_roll{window}_mean": _mean_of([F.col(f"_r_{c}_{k}") for k in range(window - 1, 0, -1)] + [F.col(c)])
+        f"{c}_roll{window}_mean": _mean_of([f"`_r_{c}_{k}`" for k in range(window - 1, 0, -1)] + [f"`{c}`"])
         for c in columns
     }
-    return shifted.withColumns(means).drop(*spec)
+    return shifted.selectExpr(*[f"`{c}`" for c in df.columns], *_named(means))
 
 
 def forecast_features(df: DataFrame, horizon: int = HORIZON, block: str = BLOCK) -> DataFrame:
@@ -181,74 +196,74 @@ def forecast_features(df: DataFrame, horizon: int = HORIZON, block: str = BLOCK)
     lags and means then count the remaining rows only. Rows with a missing engineered value
     are dropped at the end.
     """
+    require_columns(df, ["city", "datetime", "main_aqi"])
     lagged = [c for c in LAGGED if c in df.columns]
     rolled = [c for c in ROLLED if c in df.columns]
-    require_columns(df, ["city", "datetime", "main_aqi"])
-    w, city = _block_window(), _city_window()
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    sofar = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-    rows = df.withColumn("_block", block_id(F.col("datetime"), block))
-    ahead = {"_after": _rows_after(w, horizon), TARGET: F.lead("main_aqi", horizon).over(w)}
+    rows = _with_block(df, block)
+    ahead = [f"{_rows_after(horizon)} AS _after", f"lead(main_aqi, {horizon}) OVER {IN_BLOCK} AS {TARGET}"]
 
     # Border table: the first and last rows of a block, and the last rows whose target is
     # known inside the block. After the per-city pass every row here has its target.
-    marked = (
-        rows.select("city", "_block", "datetime", *lagged)
-        .withColumns({"_pos": F.row_number().over(w), **ahead})
-        .withColumn("_sure", ((F.col("_after") >= horizon) & F.col(TARGET).isNotNull()).cast("int"))
-        .withColumn("_sure_after", F.sum("_sure").over(whole) - F.sum("_sure").over(sofar))
+    whole = IN_BLOCK.replace(")", " ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)")
+    upto = IN_BLOCK.replace(")", " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    sure = f"CAST(_after >= {horizon} AND {TARGET} IS NOT NULL AS INT)"
+    border = (
+        rows.selectExpr("city", "_block", "datetime", *lagged, f"row_number() OVER {IN_BLOCK} AS _pos", *ahead)
+        .selectExpr("*", f"{sure} AS _sure", f"sum({sure}) OVER {whole} - sum({sure}) OVER {upto} AS _sure_after")
+        .filter(f"_pos <= {horizon} OR _after < {horizon} OR (_sure = 1 AND _sure_after < {LAG_STEPS})")
     )
-    border = marked.filter(
-        (F.col("_pos") <= horizon)
-        | (F.col("_after") < horizon)
-        | ((F.col("_sure") == 1) & (F.col("_sure_after") < LAG_STEPS))
+    resolved = f"CASE WHEN _after < {horizon} THEN lead(main_aqi, {horizon}) OVER {IN_CITY} ELSE {TARGET} END"
+    known = border.selectExpr("city", "_block", "datetime", *lagged, "_after", f"{resolved} AS {TARGET}").filter(
+        F.col(TARGET).isNotNull()
     )
-    known = border.withColumn(
-        TARGET, F.when(F.col("_after") < horizon, F.lead("main_aqi", horizon).over(city)).otherwise(F.col(TARGET))
-    ).filter(F.col(TARGET).isNotNull())
-    first_left = F.lag("_block").over(city).eqNullSafe(F.col("_block"))
-    tails = {f"_tail_{a}": F.when(F.col("_after") == a, F.col(TARGET)) for a in range(horizon)}
-    prevs = {
-        f"_prev_{c}_{k}": F.when(~first_left, F.lag(c, k).over(city)) for c in lagged for k in range(1, LAG_STEPS + 1)
+    opens = f"NOT (lag(_block) OVER {IN_CITY} <=> _block)"
+    carried = {f"_tail_{a}": f"CASE WHEN _after = {a} THEN {TARGET} END" for a in range(horizon)}
+    carried |= {
+        f"_prev_{c}_{k}": f"CASE WHEN {opens} THEN lag({c}, {k}) OVER {IN_CITY} END"
+        for c in lagged
+        for k in range(1, LAG_STEPS + 1)
     }
-    context = (
-        known.select("city", "_block", *[v.alias(n) for n, v in {**tails, **prevs}.items()])
-        .groupBy("city", "_block")
-        .agg(*[F.max(n).alias(n) for n in {**tails, **prevs}])
-    )
+    context = _gather(known.selectExpr("city", "_block", *_named(carried)), carried)
 
-    target = F.when(F.col("_after") >= horizon, F.col(TARGET))
-    for a in range(horizon):
-        target = target.when(F.col("_after") == a, F.col(f"_tail_{a}"))
+    columns = [f"`{c}`" for c in df.columns]
+    prevs = [n for n in carried if n.startswith("_prev_")]
+    target = _case([(f"_after = {a}", f"_tail_{a}") for a in range(horizon)], TARGET)
     kept = (
-        _join_context(rows.withColumns(ahead), context, "inner")
-        .withColumn(TARGET, target)
+        _join_context(rows.selectExpr("*", *ahead), context, "inner")
+        .selectExpr(*columns, "_block", *prevs, f"{target} AS {TARGET}")
         .filter(F.col(TARGET).isNotNull())
-        .withColumn("_pos", F.row_number().over(w))
+        .selectExpr("*", f"row_number() OVER {IN_BLOCK} AS _pos")
     )
-    lags = {f"{c}_lag_{k}": _back(w, c, k) for c in lagged for k in range(1, LAG_STEPS + 1)}
+    lags = {f"{c}_lag_{k}": _back(c, k) for c in lagged for k in range(1, LAG_STEPS + 1)}
     means = {
-        f"{c}_roll{ROLL_ROWS}_mean": _mean_of([F.col(f"{c}_lag_{k}") for k in range(ROLL_ROWS - 1, 0, -1)] + [F.col(c)])
+        f"{c}_roll{ROLL_ROWS}_mean": _mean_of([f"{c}_lag_{k}" for k in range(ROLL_ROWS - 1, 0, -1)] + [c])
         for c in rolled
     }
-    built = kept.withColumns(lags).withColumns(means)
-    built = built.withColumns({HAZARD: hazard_flag(F.col(TARGET)), **calendar_columns(F.col("datetime"))})
-    engineered = [c for c in ENGINEERED if c in built.columns]
-    order = df.columns + [TARGET, HAZARD, *calendar_columns(F.col("datetime")), *engineered]
-    return built.dropna(subset=engineered).select(*order)
+    lagging = kept.selectExpr(*columns, TARGET, *_named(lags))
+    derived = [
+        hazard_flag(F.col(TARGET)).alias(HAZARD),
+        *[c.alias(n) for n, c in calendar_columns(F.col("datetime")).items()],
+    ]
+    built = lagging.select(*df.columns, TARGET, *derived, *lags, *[F.expr(e) for e in _named(means)])
+    return built.dropna(subset=[*lags, *means])
 
 
 def build_features(df: DataFrame, block: str = BLOCK) -> DataFrame:
     """Calendar, lag and rolling features for a frame that already carries its targets."""
     require_columns(df, ["datetime", "city", TARGET, HAZARD])
-    built = add_rolling(add_lags(add_calendar(df), block=block), block=block)
-    return built.dropna(subset=[c for c in ENGINEERED if c in built.columns])
+    spec = _lag_spec([c for c in LAGGED if c in df.columns])
+    shifted = row_shifts(add_calendar(df), spec, block) if spec else add_calendar(df)
+    rolled = [c for c in ROLLED if c in df.columns]
+    means = {
+        f"{c}_roll{ROLL_ROWS}_mean": _mean_of([f"{c}_lag_{k}" for k in range(ROLL_ROWS - 1, 0, -1)] + [c])
+        for c in rolled
+    }
+    return shifted.selectExpr("*", *_named(means)).dropna(subset=[*spec, *means])
 
 
 def plain_features(df: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """The same features with whole-city windows: fewer steps, for many short series only."""
-    w = _city_window()
+    w = Window.partitionBy("city").orderBy("datetime")
     spec = {f"{c}_lag_{k}": F.lag(c, k).over(w) for c in LAGGED for k in range(1, LAG_STEPS + 1)}
     roll = w.rowsBetween(1 - ROLL_ROWS, Window.currentRow)
     means = {f"{c}_roll{ROLL_ROWS}_mean": F.avg(c).over(roll) for c in ROLLED}

@@ -10,7 +10,7 @@ from aerocast.models.training import DEPTH, TREES, score, train_all, train_class
 from aerocast.operators.checks import check_features, check_predictions, check_raw
 from aerocast.operators.profile import split_periods
 from aerocast.operators.sampling import first_rows, sample_rows
-from aerocast.operators.series import BLOCK, forecast_features
+from aerocast.operators.series import choose_block, forecast_features
 from aerocast.operators.splits import mark_split, train_val
 from aerocast.plans.evaluate import check_feature_list, evaluate
 from aerocast.session import materialise
@@ -18,9 +18,12 @@ from aerocast.sources.files import land_first, load_features, load_readings, wri
 from aerocast.sources.records import log_run, save_baseline, write_record
 
 
-def build_offline_features(spark: SparkSession, source: str, out: str, horizon: int = HORIZON, block: str = BLOCK) -> str:
-    """Readings to a stored feature table."""
-    return write_by_city_month(forecast_features(load_readings(spark, [source]), horizon, block), out)
+def build_offline_features(
+    spark: SparkSession, source: str, out: str, horizon: int = HORIZON, block: str | None = None
+) -> str:
+    """Readings to a stored feature table. Without a block width, the density decides it."""
+    rows = load_readings(spark, [source])
+    return write_by_city_month(forecast_features(rows, horizon, block or choose_block(rows)), out)
 
 
 def feature_table(spark: SparkSession, path: str) -> DataFrame:
@@ -59,7 +62,8 @@ def train_from_table(spark: SparkSession, features: str, root: str, cutoff: str
 def evaluate_on_test(spark: SparkSession, source: str, root: str, horizon: int = HORIZON) -> dict:
     """Score a hold-out set with the production models and their stored feature list."""
     models, metadata = load_production(spark, root)
-    df = forecast_features(load_readings(spark, [source]), horizon)
+    rows = load_readings(spark, [source])
+    df = forecast_features(rows, horizon, choose_block(rows))
     check_feature_list(df, metadata["feature_columns"])
     return evaluate(materialise(score(df, models), "holdout"))
 
@@ -71,7 +75,7 @@ def training_run(
     cutoff: str = TRAIN_CUTOFF,
     trees: int = TREES,
     depth: int = DEPTH,
-    block: str = BLOCK,
+    block: str | None = None,
     notes: str = "automated training run",
 ) -> dict:
     """The whole run: land, features, checks, baseline, three models, evaluation, promotion, log.
@@ -81,7 +85,7 @@ def training_run(
     """
     landed = land_first(spark, candidates, f"{work}/ingested")
     # The feature table is read by every later step; it is written once.
-    built = write_by_city_month(forecast_features(load_readings(spark, [landed]), block=block), f"{work}/features")
+    built = build_offline_features(spark, landed, f"{work}/features", block=block)
     df = feature_table(spark, built)
     check_raw(df)
     train, val = train_val(df, cutoff)

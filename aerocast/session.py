@@ -12,7 +12,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Call-site capture makes building large plans in Python several times slower.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
