@@ -162,20 +162,33 @@ def train_all(df: DataFrame, trees: int = TREES, depth: int = DEPTH) -> dict[str
     }
 
 
+# What each model adds: its own output columns as published columns.
+def _published(role: str) -> dict:
+    chance = vector_to_array(F.col("hazard_probability"))
+    return {
+        "regressor": {"aqi_3h": F.col("aqi_3h")},
+        "classifier": {
+            "hazard_class": F.col("hazard_class").cast("int"),
+            "hazard_prob": F.try_element_at(chance, F.lit(2)),
+        },
+        "recommender": {"severity_model": F.col("severity_model").cast("int")},
+    }[role]
+
+
 def score(df: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
     """Add what the given models predict: aqi_3h, hazard_class and hazard_prob, severity_model.
 
-    A model column is added in one projection over the input; helper columns are dropped.
+    Models trained together share their input stages (stage ids survive storage), so the
+    inputs are prepared once for all of them.
     """
-    out, keep = df, list(df.columns)
-    if "regressor" in models:
-        out, keep = models["regressor"].transform(out).select(*keep, "aqi_3h"), [*keep, "aqi_3h"]
-    if "classifier" in models:
-        chance = vector_to_array(F.col("hazard_probability"))
-        done = models["classifier"].transform(out)
-        hazard = [F.col("hazard_class").cast("int").alias("hazard_class"), F.try_element_at(chance, F.lit(2)).alias("hazard_prob")]
-        out, keep = done.select(*keep, *hazard), [*keep, "hazard_class", "hazard_prob"]
-    if "recommender" in models:
-        done = models["recommender"].transform(out)
-        out = done.select(*keep, F.col("severity_model").cast("int").alias("severity_model"))
-    return out
+    keep, added, out, ready = list(df.columns), {}, df, None
+    for role, model in models.items():
+        inputs, head = model.stages[:-1], model.stages[-1]
+        if ready != [s.uid for s in inputs]:
+            out = PipelineModel(stages=inputs).transform(out.select(*keep, *added))
+            ready = [s.uid for s in inputs]
+        published = _published(role)
+        done = head.transform(out)
+        out = done.select(*out.columns, *[c.alias(n) for n, c in published.items()])
+        added |= published
+    return out.select(*keep, *added)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerocast.contract import SEED, require_columns
-from aerocast.operators.ordered import running_totals
+from aerocast.operators.ordered import bucket_offsets
 
 
 def sample_key(seed: int = SEED) -> Column:
@@ -33,7 +33,11 @@ def balanced_sample(df: DataFrame, label: str, seed: int = SEED) -> DataFrame:
     label that holds most rows is not ordered in one task.
     """
     require_columns(df, ["city", "datetime", label])
-    smallest = df.groupBy(label).agg(F.count("*").alias("n")).agg(F.min("n")).scalar()
-    keyed = df.withColumns({"_key": sample_key(seed), "_one": F.lit(1)})
-    ranked = running_totals(keyed, [label], "_key", ["_one"], bucket=F.substring("_key", 1, 4))
-    return ranked.filter(F.col("_one_below") < smallest).select(*df.columns)
+    keyed = df.filter(F.col(label).isNotNull()).withColumns({"_key": sample_key(seed), "_one": F.lit(1)})
+    keyed = keyed.withColumn("_bucket", F.substring("_key", 1, 4))
+    # At most 65536 buckets per label, so the smallest total is found on a small table.
+    offsets = bucket_offsets(keyed, [label], ["_one"]).selectExpr("*", "min(_total__one) OVER () AS _smallest")
+    taken = offsets.filter("_before__one < _smallest").hint("shuffle_hash")
+    rank = f"row_number() OVER (PARTITION BY `{label}`, _bucket ORDER BY _key) AS _rank"
+    ranked = keyed.join(taken, [label, "_bucket"]).selectExpr("*", rank)
+    return ranked.filter("_before__one + _rank <= _smallest").select(*df.columns)
