@@ -615,15 +615,14 @@ def csv_roundtrip(spark, sf_dir):
 
 @query
 def layout_roundtrip(spark, sf_dir):
-    """Readings written by city and month, one city read back through the layout."""
-    path = files.write_by_city_month(readings(spark, sf_dir), scratch_path(spark, "layout"))
-    kept = spark.read.parquet(path).filter(F.col("city_part") == "error")
-    return kept.drop("city_part", "month_part")
+    """Readings written by month and range, one city read back through the layout."""
+    path = files.write_by_month(readings(spark, sf_dir), scratch_path(spark, "layout"))
+    return spark.read.parquet(path).filter(F.col("city") == "error").drop("month_part")
 
 
 @query
 def city_files(spark, sf_dir):
-    """Two city files with different headers, stacked and tagged."""
+    """Two cities stored with different headers, stacked and tagged."""
     base, root = readings(spark, sf_dir), scratch_path(spark, "city-files")
     paths = {}
     for city, kind, dotted in (("lahore", "error", False), ("quetta", "view", True)):
@@ -631,16 +630,10 @@ def city_files(spark, sf_dir):
         part = part.withColumn("datetime", F.date_format("datetime", "dd/MM/yyyy HH:mm" if dotted else "yyyy-MM-dd HH:mm:ss"))
         if dotted:
             part = part.toDF(*[c.replace("components_", "components.") for c in part.columns])
-        written = files.write_csv(part.repartition(1), f"{root}/{city}")
-        paths[city] = _only_file(spark, written)
+        paths[city] = files.write_csv(part, f"{root}/{city}")
     return files.unify_training(spark, paths, CUTOFF).select("city", "datetime", *MEASURED)
 
 
-def _only_file(spark, folder: str) -> str:
-    """Path of the one part file of a written folder."""
-    return spark.read.text(folder).select("_metadata.file_path").first()[0]
-
-
 @query
 def json_stats_roundtrip(spark, sf_dir):
     """The stored drift baseline, read back and opened into bins."""

@@ -75,24 +75,25 @@ def running_totals(
     )
 
 
-def percentiles_of(
-    totals: DataFrame, keys: list[str], probs: dict[str, float], value: str = "value", bucket: Column | None = None
-) -> DataFrame:
-    """Exact, linearly interpolated percentiles of counted values (keys, value, n)."""
+def _ranks(p: float, n: str) -> dict[str, str]:
+    """The two 0-based ranks between which a percentile lies."""
+    return {"lo": f"floor({p}D * ({n} - 1))", "hi": f"ceil({p}D * ({n} - 1))"}
 
-    def ranks(p: float, n: str) -> dict[str, str]:
-        return {"lo": f"floor({p}D * ({n} - 1))", "hi": f"ceil({p}D * ({n} - 1))"}
 
-    wanted = [r for p in probs.values() for r in ranks(p, "_total_n").values()]
-    keep = " OR ".join(f"(_before_n <= {r} AND {r} < _before_n + _in_n)" for r in wanted)
-    placed = running_totals(totals, keys, value, ["n"], bucket, keep)
+def _holds_rank(probs: dict[str, float]) -> str:
+    """Condition for a bucket that holds a rank of any of the percentiles."""
+    wanted = [r for p in probs.values() for r in _ranks(p, "_total_n").values()]
+    return " OR ".join(f"(_before_n <= {r} AND {r} < _before_n + _in_n)" for r in wanted)
 
+
+def _read_percentiles(placed: DataFrame, keys: list[str], probs: dict[str, float], value: str) -> DataFrame:
+    """Percentiles from counted values with the number of rows below them."""
     found = placed.groupBy(*keys).agg(
         F.expr("max(n_total) AS _n"),
         *[
             F.expr(f"max(CASE WHEN n_below <= {r} AND {r} < n_below + n THEN `{value}` END) AS _{side}_{name}")
             for name, p in probs.items()
-            for side, r in ranks(p, "n_total").items()
+            for side, r in _ranks(p, "n_total").items()
         ],
     )
     return found.selectExpr(
@@ -104,19 +105,39 @@ def percentiles_of(
     )
 
 
+def percentiles_of(
+    totals: DataFrame, keys: list[str], probs: dict[str, float], value: str = "value", bucket: Column | None = None
+) -> DataFrame:
+    """Exact, linearly interpolated percentiles of counted values (keys, value, n)."""
+    placed = running_totals(totals, keys, value, ["n"], bucket, _holds_rank(probs))
+    return _read_percentiles(placed, keys, probs, value)
+
+
 def percentiles(df: DataFrame, columns: list[str], probs: dict[str, float], keys: list[str] | None = None) -> DataFrame:
     """Exact percentiles of several columns, one row per (keys, feature)."""
-    keys = keys or []
-    return percentiles_of(value_totals(df, keys, columns), [*keys, "feature"], probs)
+    if keys:
+        return percentiles_of(value_totals(df, keys, columns), [*keys, "feature"], probs)
+    # Over whole columns only a few buckets are of interest. Buckets are counted first, and a
+    # second pass shuffles the values of those buckets alone. The list of wanted buckets has
+    # at most two rows per column and percentile, so it is broadcast.
+    tall = long_form(df, [], columns).withColumn("_bucket", order_bucket(F.col("value")))
+    offsets = bucket_offsets(tall.withColumn("n", F.lit(1)), ["feature"], ["n"]).filter(_holds_rank(probs))
+    near = tall.join(F.broadcast(offsets), ["feature", "_bucket"])
+    carried = ["_before_n", "_total_n"]
+    counted = near.groupBy("feature", "_bucket", "value", *carried).agg(F.count("*").alias("n"))
+    inside = "(PARTITION BY feature, _bucket ORDER BY value ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    placed = counted.selectExpr(
+        "feature", "value", "n", f"_before_n + coalesce(sum(n) OVER {inside}, 0) AS n_below", "_total_n AS n_total"
+    )
+    return _read_percentiles(placed, ["feature"], probs, "value")
 
 
 def time_percentile(df: DataFrame, prob: float) -> DataFrame:
     """One row ``cutoff_us``: percentile of ``datetime`` in epoch microseconds."""
-    day = F.datediff(F.col("datetime").cast("date"), F.lit("1970-01-01").cast("date"))
-    counted = df.groupBy("datetime").agg(F.count("*").alias("n")).withColumn("_day", day)
+    counted = df.groupBy("datetime").agg(F.count("*").alias("n"))
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("datetime"))
-    counted = counted.select(micros.cast("double").alias("value"), "n", "_day")
-    return percentiles_of(counted, [], {"cutoff_us": prob}, bucket=F.col("_day"))
+    timed = counted.select(micros.cast("double").alias("value"), "n", F.floor(micros / 3_600_000_000).alias("_hour"))
+    return percentiles_of(timed, [], {"cutoff_us": prob}, bucket=F.col("_hour"))
 
 
 def area_under_curve(scored: DataFrame, label: str, score: str, keys: list[str] | None = None) -> DataFrame:

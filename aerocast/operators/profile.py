@@ -11,6 +11,7 @@ from aerocast.operators.ordered import percentiles, percentiles_of, value_totals
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 WHISKER = 1.5
+SALTS = 32
 
 
 def wide_to_rows(one_row: DataFrame, columns: list[str], parts: list[str], name: str = "column") -> DataFrame:
@@ -81,9 +82,12 @@ def box_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     box = percentiles_of(counted, keys, QUARTILES)
     reach = WHISKER * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
-    # The join runs on counted values, and the box side is one row per (city, column).
+    # The join runs on counted values. They are salted, so that a city with many values is
+    # spread over several tasks; the box side is one row per (city, column) and repeated.
+    salted = counted.withColumn("_salt", F.pmod(F.hash("value"), F.lit(SALTS)))
+    boxes = box.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     spread = (
-        counted.join(box, keys)
+        salted.join(boxes, [*keys, "_salt"])
         .groupBy(*keys)
         .agg(
             *[F.max(q).alias(q) for q in QUARTILES],
@@ -124,17 +128,21 @@ def missing_stamps(df: DataFrame) -> DataFrame:
 def missing_hours(df: DataFrame) -> DataFrame:
     """Number of missing hourly stamps per city, zero included.
 
-    Counts by arithmetic instead of building the grid: stamps the span should hold minus the
-    distinct ones on the grid that it does hold.
+    Counts by arithmetic instead of building the grid. Stamps are grouped by their offset
+    within the hour; only those with the offset of the first reading lie on the grid.
     """
-    span = df.groupBy("city").agg(F.min("datetime").alias("_a"), F.max("datetime").alias("_b"))
-    seen = df.select("city", "datetime").distinct().join(span, "city")
-    off_grid = F.timestamp_diff("MICROSECOND", F.col("_a"), F.col("datetime")) % F.lit(3_600_000_000)
-    expected = F.timestamp_diff("HOUR", F.col("_a"), F.col("_b")) + 1
-    held = F.count_if(off_grid == 0)
-    return seen.groupBy("city", "_a", "_b").agg(held.alias("_held")).select(
-        "city", (expected - F.col("_held")).alias("missing_hours")
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("datetime"))
+    by_offset = (
+        df.select("city", "datetime")
+        .distinct()
+        .groupBy("city", F.pmod(micros, F.lit(3_600_000_000)).alias("_offset"))
+        .agg(F.count("*").alias("n"), F.min("datetime").alias("_a"), F.max("datetime").alias("_b"))
     )
+    per_city = by_offset.groupBy("city").agg(
+        F.min_by("n", "_a").alias("_held"), F.min("_a").alias("_a"), F.max("_b").alias("_b")
+    )
+    expected = F.timestamp_diff("HOUR", F.col("_a"), F.col("_b")) + 1
+    return per_city.select("city", (expected - F.col("_held")).alias("missing_hours"))
 
 
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:

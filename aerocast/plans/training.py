@@ -14,7 +14,7 @@ from aerocast.operators.series import choose_block, forecast_features
 from aerocast.operators.splits import mark_split, train_val
 from aerocast.plans.evaluate import check_feature_list, evaluate
 from aerocast.session import materialise
-from aerocast.sources.files import land_first, load_features, load_readings, write_by_city_month, write_csv
+from aerocast.sources.files import land_first, load_features, load_readings, write_by_month, write_csv
 from aerocast.sources.records import log_run, save_baseline, write_record
 
 
@@ -22,13 +22,15 @@ def build_offline_features(
     spark: SparkSession, source: str, out: str, horizon: int = HORIZON, block: str | None = None
 ) -> str:
     """Readings to a stored feature table. Without a block width, the density decides it."""
-    rows = load_readings(spark, [source])
-    return write_by_city_month(forecast_features(rows, horizon, block or choose_block(rows)), out)
+    # Density and border rows are read separately from the wide rows, so the unique readings
+    # are stored once instead of being deduplicated for each.
+    rows = materialise(load_readings(spark, [source]), "readings")
+    return write_by_month(forecast_features(rows, horizon, block or choose_block(rows)), out)
 
 
 def feature_table(spark: SparkSession, path: str) -> DataFrame:
     """A stored feature table without its layout columns."""
-    return load_features(spark, path).drop("city_part", "month_part")
+    return load_features(spark, path).drop("month_part")
 
 
 def train_and_report(df: DataFrame, cutoff: str = TRAIN_CUTOFF, trees: int = TREES, depth: int = DEPTH) -> dict:
@@ -62,7 +64,7 @@ def train_from_table(spark: SparkSession, features: str, root: str, cutoff: str
 def evaluate_on_test(spark: SparkSession, source: str, root: str, horizon: int = HORIZON) -> dict:
     """Score a hold-out set with the production models and their stored feature list."""
     models, metadata = load_production(spark, root)
-    rows = load_readings(spark, [source])
+    rows = materialise(load_readings(spark, [source]), "readings")
     df = forecast_features(rows, horizon, choose_block(rows))
     check_feature_list(df, metadata["feature_columns"])
     return evaluate(materialise(score(df, models), "holdout"))

@@ -53,31 +53,43 @@ def column_names(spark: SparkSession, path: str) -> list[str]:
     return spark.read.parquet(path).schema.names
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The file itself, or the data files directly inside a folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    files = [str(f.getPath().toString()) for f in found if f.isFile()]
+    return [f for f in files if not f.rsplit("/", 1)[-1].startswith(("_", "."))]
+
+
 def read_city_files(spark: SparkSession, files: dict[str, str]) -> DataFrame:
-    """Stack one CSV per city and tag every row with its city.
+    """Stack the CSV data of several cities and tag every row with its city.
 
-    ``files`` maps a city to its path. Files with the same header are read by one scan and
-    tagged by file name; other headers make further scans, and columns a file lacks are null.
+    ``files`` maps a city to its file or folder. Cities with the same header are read by one
+    scan and tagged by file name; other headers make further scans, and columns a city lacks
+    are null.
     """
     headers: dict[tuple, dict[str, str]] = {}
+    paths: dict[str, str] = {}
     for city, path in files.items():
-        if not path_exists(spark, path):
+        parts = data_files(spark, path) if path_exists(spark, path) else []
+        if not parts:
             raise FileNotFoundError(f"expected data for {city} at {path}")
-        header = tuple(read_text_table(spark, path).columns)
-        headers.setdefault(header, {})[path.rsplit("/", 1)[-1]] = city
-    by_name = {path.rsplit("/", 1)[-1]: path for path in files.values()}
-    if len(by_name) != len(files):
-        raise ContractError("city files must have distinct names")
+        header = tuple(read_text_table(spark, parts[0]).columns)
+        for part in parts:
+            name = part.rsplit("/", 1)[-1]
+            if name in paths:
+                raise ContractError(f"city files must have distinct names: {name}")
+            paths[name] = part
+            headers.setdefault(header, {})[name] = city
 
     out = None
     for header, group in headers.items():
         schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
         scan = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-        raw = scan.csv([by_name[n] for n in group])
-        tag = F.create_map(*[F.lit(x) for n, c in group.items() for x in (n, c)])
-        tagged = raw.withColumn("city", tag[F.col("_metadata.file_name")])
-        part = standard_headers(tagged)
-        require_columns(part, ["datetime"], f"files of {sorted(group.values())}")
+        raw = scan.csv([paths[name] for name in group])
+        tag = F.create_map(*[F.lit(x) for pair in group.items() for x in pair])
+        part = standard_headers(raw.withColumn("city", tag[F.col("_metadata.file_name")]))
+        require_columns(part, ["datetime"], f"files of {sorted(set(group.values()))}")
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
@@ -123,16 +135,17 @@ def land_first(spark: SparkSession, candidates: list[str], path: str) -> str:
     return land(read_any(spark, first_existing(spark, candidates)), path)
 
 
-def write_by_city_month(df: DataFrame, path: str) -> str:
-    """Parquet laid out by city and month, for pruning on both.
+def write_by_month(df: DataFrame, path: str) -> str:
+    """Parquet in one folder per month, ordered by city and time inside.
 
-    Rows are spread by (city, month) and by a hash of the time, so that one large city-month
-    is written by several tasks and small ones do not scatter over many files.
+    Rows are spread by ranges of (month, city, time): tasks are even however uneven the
+    cities are, a file holds few cities, so a city filter skips most row groups, and the
+    number of folders does not grow with the number of cities.
     """
-    month = F.date_format("datetime", "yyyy-MM")
-    laid = df.withColumns({"city_part": F.col("city"), "month_part": month})
-    hint = laid.hint("rebalance", F.col("city_part"), F.col("month_part"))
-    hint.write.mode("overwrite").partitionBy("city_part", "month_part").parquet(path)
+    laid = df.withColumn("month_part", F.date_format("datetime", "yyyy-MM"))
+    order = ["month_part", "city", "datetime"]
+    ranged = laid.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.write.mode("overwrite").partitionBy("month_part").parquet(path)
     return path
 
 

@@ -25,7 +25,7 @@ def utc_now() -> str:
 
 def save_baseline(df: DataFrame, columns: list[str], path: str, bins: int = 5) -> str:
     """Store edges and bin fractions per column as JSON lines, one per column."""
-    baseline_stats(df, columns, bins).coalesce(1).write.mode("overwrite").json(path)
+    baseline_stats(df, columns, bins).repartition(1).write.mode("overwrite").json(path)
     return path
 
 

@@ -58,12 +58,19 @@ def test_first_existing_source(spark, city_files, tmp_path):
     assert spark.read.parquet(landed).count() == 4
 
 
-def test_layout_prunes_by_city(spark, tmp_path):
-    path = files.write_by_city_month(synthetic_readings(spark, 300), f"{tmp_path}/laid")
-    part = spark.read.parquet(path).filter("city_part = 'Lahore' AND month_part = '2024-01'")
+def test_layout_prunes_by_month_and_city(spark, tmp_path):
+    path = files.write_by_month(synthetic_readings(spark, 300), f"{tmp_path}/laid")
+    part = spark.read.parquet(path).filter("city = 'Lahore' AND month_part = '2024-01'")
     assert part.count() == 100
     plan = part._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(city_part" in plan
+    assert "PartitionFilters: [isnotnull(month_part" in plan and "EqualTo(city,Lahore)" in plan
+
+
+def test_city_folders(spark, tmp_path):
+    rows = synthetic_readings(spark, 60)
+    paths = {c: files.write_csv(rows.filter(F.col("city") == c).drop("city").repartition(3), f"{tmp_path}/{c}") for c in ("Lahore", "Karachi")}
+    got = files.unify_training(spark, paths)
+    assert {r["city"]: r["count"] for r in got.groupBy("city").count().collect()} == {"Lahore": 20, "Karachi": 20}
 
 
 def test_feature_csv(spark, tmp_path):
