@@ -66,15 +66,14 @@ def severity_accuracy(df: DataFrame, y: str, bucket: Column) -> DataFrame:
 
 def label_counts(df: DataFrame, label: str) -> DataFrame:
     """Rows per class and the size of the smallest class."""
-    counted = df.groupBy(label).agg(F.count("*").alias("n"))
-    return counted.withColumn("smallest", counted.agg(F.min("n")).scalar())
+    # The window runs over one row per class.
+    return df.groupBy(label).agg(F.count("*").alias("n")).selectExpr("*", "min(n) OVER () AS smallest")
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weights n / (k * n_class), one row per class."""
     counted = df.groupBy(label).agg(F.count("*").alias("n"))
-    rows, classes = counted.agg(F.sum("n")).scalar(), counted.agg(F.count("*")).scalar()
-    return counted.withColumn("weight", rows / (classes * F.col("n")))
+    return counted.selectExpr("*", "sum(n) OVER () / (count(*) OVER () * n) AS weight")
 
 
 def scoring_counters(log: DataFrame) -> DataFrame:

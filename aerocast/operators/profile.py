@@ -30,12 +30,9 @@ def value_shares(df: DataFrame, column: str, keys: list[str] | None = None) -> D
     """Share of each value, overall or within each key."""
     keys = keys or []
     counted = df.groupBy(*keys, column).agg(F.count("*").alias("n"))
-    totals = counted.groupBy(*keys).agg(F.sum("n").alias("_all"))
     # Totals over the already counted values, never over raw rows.
-    if keys:
-        joined = counted.join(totals, keys)
-    else:
-        joined = counted.withColumn("_all", totals.select("_all").scalar())
+    totals = counted.groupBy(*keys).agg(F.sum("n").alias("_all"))
+    joined = counted.join(totals, keys) if keys else counted.withColumn("_all", totals.scalar())
     return joined.select(*keys, column, "n", (F.col("n") / F.col("_all")).alias("share"))
 
 

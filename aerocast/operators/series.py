@@ -91,7 +91,9 @@ def _named(parts: dict[str, str]) -> list[str]:
 
 
 def _with_block(df: DataFrame, block: str) -> DataFrame:
-    return df.withColumn("_block", block_id(F.col("datetime"), block))
+    # The null filter is stated here, not left to be inferred from the join on one side only:
+    # with equal plans below, both readers of the rows share one shuffle.
+    return df.withColumn("_block", block_id(F.col("datetime"), block)).filter("city IS NOT NULL AND _block IS NOT NULL")
 
 
 def _gather(carried: DataFrame, names) -> DataFrame:
@@ -109,7 +111,7 @@ def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], block: str = B
     """Add columns taken from other rows of the same city, in time order.
 
     ``shifts`` maps a new name to (column, rows); rows > 0 looks back, rows < 0 looks ahead.
-    (city, datetime) must be unique and not null.
+    (city, datetime) must be unique; rows without either are dropped.
     """
     require_columns(df, ["city", "datetime"] + [c for c, _ in shifts.values()])
     back, ahead = {}, {}
@@ -123,7 +125,7 @@ def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], block: str = B
         "city",
         "_block",
         "datetime",
-        *[f"`{c}`" for c in sorted({*back, *ahead})],
+        *[f"`{c}`" for c in df.columns if c in back or c in ahead],
         f"row_number() OVER {IN_BLOCK} AS _pos",
         f"{_rows_after(max(far_back, 1))} AS _after",
     )
