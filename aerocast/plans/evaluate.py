@@ -7,31 +7,38 @@ from pyspark.sql import functions as F
 
 from aerocast.contract import HAZARD, TARGET, ContractError, missing_columns
 from aerocast.functions.labels import severity_bucket
-from aerocast.operators.metrics import classification_aggregates, regression_aggregates, severity_accuracy
+from aerocast.operators.metrics import classification_aggregates, regression_aggregates
 from aerocast.operators.ordered import area_under_curve
 
 
 def evaluate(scored: DataFrame) -> dict[str, dict]:
     """Metrics of the models present in a scored frame.
 
-    ``scored`` is read twice (one aggregation and the rank sums), so pass a stored table when
-    scoring is expensive. Only the metric values come to the driver.
+    ``scored`` is read twice (one aggregation for all metrics, one for the rank sums), so pass
+    a stored table when scoring is expensive. Only the metric values come to the driver.
     """
-    has, out = set(scored.columns), {}
+    has, aggs = set(scored.columns), []
     if "aqi_3h" in has:
-        out["regression"] = scored.agg(*regression_aggregates(F.col(TARGET), F.col("aqi_3h"))).first().asDict()
+        aggs += regression_aggregates(F.col(TARGET), F.col("aqi_3h"))
+    if "hazard_class" in has:
+        aggs += classification_aggregates(F.col(HAZARD), F.col("hazard_class"))
+    if "severity_model" in has:
+        same = severity_bucket(F.col(TARGET)) == F.col("severity_model")
+        aggs.append(F.avg(same.cast("double")).alias("severity_accuracy"))
+    found = scored.agg(*aggs).first().asDict()
+
+    out = {}
+    if "aqi_3h" in has:
+        out["regression"] = {m: found[m] for m in ("mse", "rmse", "mae", "r2")}
     if "hazard_class" in has:
-        row = scored.agg(*classification_aggregates(F.col(HAZARD), F.col("hazard_class"))).first()
-        area = area_under_curve(scored, HAZARD, "hazard_prob").first()
         out["classification"] = {
-            "accuracy": row["accuracy"],
-            "f1": row["f1"],
-            "confusion_matrix": [[row["tn"], row["fp"]], [row["fn"], row["tp"]]],
-            "roc_auc": area["roc_auc"],
+            "accuracy": found["accuracy"],
+            "f1": found["f1"],
+            "confusion_matrix": [[found["tn"], found["fp"]], [found["fn"], found["tp"]]],
+            "roc_auc": area_under_curve(scored, HAZARD, "hazard_prob").first()["roc_auc"],
         }
     if "severity_model" in has:
-        done = severity_accuracy(scored, TARGET, F.col("severity_model")).first()
-        out["recommender"] = {"accuracy": done["severity_accuracy"]}
+        out["recommender"] = {"accuracy": found["severity_accuracy"]}
     return out
 
 
