@@ -27,13 +27,27 @@ def save_models(spark: SparkSession, models: dict[str, PipelineModel], root: str
     return paths
 
 
+def copy_tree(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a stored model, replacing what is there."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    src, dst = fs.Path(source), fs.Path(target)
+    there = dst.getFileSystem(conf)
+    if there.exists(dst):
+        there.delete(dst, True)
+    there.mkdirs(dst.getParent())
+    fs.FileUtil.copy(src.getFileSystem(conf), src, there, dst, False, True, conf)
+
+
 def promote(spark: SparkSession, paths: dict[str, str], root: str, metrics: dict, run_id: str | None = None) -> dict[str, str]:
     """Copy trained models to the production folder and record where they came from."""
-    models = {role: PipelineModel.load(paths[role]) for role in ROLES if role in paths}
-    run = run_id or utc_now()
+    run, base = run_id or utc_now(), f"{root}/production"
+    produced = {role: f"{base}/{role}" for role in ROLES if role in paths}
+    for role, target in produced.items():
+        copy_tree(spark, paths[role], target)
     source = read_record(spark, paths["metadata"]) if "metadata" in paths else {}
     record = {**source, "source_models": paths, "metrics": metrics, "training_run_id": run, "created_at": utc_now()}
-    return {**save_models(spark, models, f"{root}/production", record), "training_run_id": run}
+    return {**produced, "metadata": write_record(spark, record, f"{base}/metadata"), "training_run_id": run}
 
 
 def load_model(spark: SparkSession, root: str, role: str) -> PipelineModel:

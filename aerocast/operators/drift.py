@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerocast.contract import KS_LIMIT, PSI_EPSILON, PSI_LIMIT, ContractError, missing_columns
@@ -52,33 +52,38 @@ def bin_of(value: Column, edges: Column) -> Column:
     return F.least(F.size(F.filter(edges, lambda e: e <= value)), F.size(edges) - 1)
 
 
-def binned_counts(df: DataFrame, edges: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(feature, bin, lo, hi, n, frac) on given edges, empty bins included.
+def bin_counts(df: DataFrame, edges: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """``edges`` plus ``counts``: rows per bin as an array, one row per feature.
 
-    Values outside the edges are dropped, and fractions are of the values inside. ``edges``
-    has one row per column of the schema, so it is broadcast. ``columns`` names its features
-    where they are known; otherwise they are looked up.
+    Values outside the edges are dropped. ``edges`` has one row per column of the schema, so
+    it is broadcast. ``columns`` names its features where they are known; otherwise they are
+    looked up.
     """
     if columns is None:
         columns = [r["feature"] for r in edges.select("feature").collect()]
     missing = missing_columns(df, columns)
     if missing:
         raise ContractError(f"histogram columns missing: {missing}")
-    edge = F.broadcast(edges.select("feature", "bins"))
-    tall = long_form(df, [], columns).join(edge, "feature")
+    tall = long_form(df, [], columns).join(F.broadcast(edges.select("feature", "bins")), "feature")
     inside = tall.filter(F.col("value").between(F.element_at("bins", 1), F.element_at("bins", -1)))
     counted = inside.groupBy("feature", bin_of(F.col("value"), F.col("bins")).alias("bin")).agg(F.count("*").alias("n"))
-    grid = edges.select("feature", "bins", F.explode(F.sequence(F.lit(1), F.size("bins") - 1)).alias("bin"))
-    full = grid.join(counted, ["feature", "bin"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    # One row per bin from here on.
-    total = F.greatest(F.sum("n").over(Window.partitionBy("feature")), F.lit(1))
-    return full.select(
-        "feature",
-        "bin",
-        F.element_at("bins", F.col("bin")).alias("lo"),
-        F.element_at("bins", F.col("bin") + 1).alias("hi"),
-        "n",
-        (F.col("n") / total).alias("frac"),
+    # At most one entry per bin from here on.
+    found = counted.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_n"))
+    filled = "transform(sequence(1, size(bins) - 1), i -> coalesce(try_element_at(_n, i), 0L)) AS counts"
+    return edges.join(F.broadcast(found), "feature", "left").selectExpr(*[f"`{c}`" for c in edges.columns], filled)
+
+
+# Fractions of the values inside the edges; a feature without any has fractions of 0.
+_TOTAL = "greatest(aggregate(counts, 0L, (a, n) -> a + n), 1L)"
+_FRACTIONS = f"transform(counts, n -> n / {_TOTAL})"
+
+
+def binned_counts(df: DataFrame, edges: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """(feature, bin, lo, hi, n, frac) on given edges, empty bins included."""
+    per_feature = bin_counts(df, edges, columns).selectExpr("feature", "bins", "counts", f"{_FRACTIONS} AS fracs")
+    bins = per_feature.selectExpr("feature", "bins", "fracs", "posexplode(counts) AS (i, n)")
+    return bins.selectExpr(
+        "feature", "i + 1 AS bin", "get(bins, i) AS lo", "get(bins, i + 1) AS hi", "n", "get(fracs, i) AS frac"
     )
 
 
@@ -91,11 +96,8 @@ def equal_width_histogram(df: DataFrame, columns: list[str], bins: int = 5) -> D
 def baseline_stats(df: DataFrame, columns: list[str], bins: int = 5) -> DataFrame:
     """(feature, bins, ref): edges and bin fractions of every numeric, non-empty column."""
     columns = numeric_columns(df, columns)
-    edges = equal_width_edges(df, columns, bins)
-    fractions = binned_counts(df, edges, columns).groupBy("feature").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("bin", "frac"))), lambda s: s["frac"]).alias("ref")
-    )
-    return edges.join(fractions, "feature").select("feature", "bins", "ref")
+    counted = bin_counts(df, equal_width_edges(df, columns, bins), columns)
+    return counted.selectExpr("feature", "bins", f"{_FRACTIONS} AS ref")
 
 
 def drift_scores(df: DataFrame, baseline: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -104,20 +106,19 @@ def drift_scores(df: DataFrame, baseline: DataFrame, columns: list[str] | None =
     PSI is the population stability index with a small constant inside the logarithm. KS is
     the largest distance of the cumulative bin fractions; it is 0 if no value is in range.
     """
-    now = binned_counts(df, baseline.select("feature", "bins"), columns)
-    then = baseline.select("feature", F.posexplode("ref").alias("_i", "ref")).select(
-        "feature", (F.col("_i") + 1).alias("bin"), "ref"
-    )
-    both = now.join(then, ["feature", "bin"])
-    r, c = F.col("ref"), F.col("frac")
-    upto = Window.partitionBy("feature").orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    gap = F.abs(F.sum("ref").over(upto) - F.sum("frac").over(upto))
+    e = f"{PSI_EPSILON}D"
+    terms = f"zip_with(ref, cur, (r, c) -> (r - c) * ln((r + {e}) / (c + {e})))"
+    gaps = "zip_with(ref, cur, (r, c) -> r - c)"
+    walk = "named_struct('at', s.at + d, 'far', greatest(s.far, abs(s.at + d)))"
     return (
-        both.withColumn("_gap", gap)
-        .groupBy("feature")
-        .agg(
-            F.sum((r - c) * F.ln((r + PSI_EPSILON) / (c + PSI_EPSILON))).alias("psi"),
-            F.when(F.sum("n") > 0, F.max("_gap")).otherwise(F.lit(0.0)).alias("ks"),
+        bin_counts(df, baseline, columns)
+        .selectExpr("feature", "ref", "counts", f"{_FRACTIONS} AS cur")
+        .selectExpr(
+            "feature",
+            f"aggregate({terms}, 0D, (a, t) -> a + t) AS psi",
+            f"""CASE WHEN exists(counts, n -> n > 0)
+                THEN aggregate({gaps}, named_struct('at', 0D, 'far', 0D), (s, d) -> {walk}, s -> s.far)
+                ELSE 0D END AS ks""",
         )
     )
 
