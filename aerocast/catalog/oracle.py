@@ -89,7 +89,7 @@ put(
 )
 put("calendar_features", READINGS, f"SELECT *, {CALENDAR} FROM readings")
 WHOLE = f"SELECT * REPLACE ({ROUND_MEANS}) FROM features"
-for _name in ("forecast_feature_table", "forecast_features_blocked", "features_from_targets"):
+for _name in ("forecast_features", "forecast_features_blocked", "features_from_targets"):
     put(_name, FEATURES, WHOLE)
 put("forecast_features_dropouts", f"{DROPOUTS}, {features_of('dropouts')}", WHOLE)
 
@@ -122,6 +122,7 @@ FROM events WHERE event_type <> 'view'"""
 ORACLE["coerced_numbers"] = """SELECT event_id, CASE WHEN event_type <> 'view' THEN value END AS value,
   CAST(user_id AS DOUBLE) AS user_id FROM events"""
 put("standardised_headers", RAW, "SELECT * FROM raw")
+put("aligned_columns", RAW, "SELECT datetime, components_pm10, main_aqi, city FROM raw")
 
 # --- Joins and sets ----------------------------------------------------------------
 
@@ -416,21 +417,23 @@ def trend(predicted: str, current: str) -> str:
   ELSE {text(labels.TREND_BETTER)} END"""
 
 
-put(
-    "level_labels",
-    DROPOUTS,
-    f"""SELECT city, datetime, CAST(main_aqi >= 4 AS INTEGER) AS hazard_flag,
-  {hazard('main_aqi', labels.HAZARD_TEXT)} AS hazard_text, {hazard('main_aqi', labels.HAZARD_CLASS_TEXT)} AS hazard_class_text,
-  {bucket('main_aqi')} AS severity_bucket, {severity_or_unknown('main_aqi')} AS severity_label,
-  {case(bucket('main_aqi'), BUCKETS, "'Unknown'")} AS bucket_label, {category('main_aqi')} AS aqi_category FROM dropouts""",
-)
+LABELLED = {
+    "hazard_label": f"""CAST(main_aqi >= 4 AS INTEGER) AS hazard, {hazard('main_aqi', labels.HAZARD_TEXT)} AS by_level,
+  {hazard('main_aqi', labels.HAZARD_CLASS_TEXT)} AS by_class""",
+    "severity_bucket": f"""{bucket('main_aqi')} AS severity_bucket,
+  {case(bucket('main_aqi'), BUCKETS, "'Unknown'")} AS bucket_label""",
+    "severity_label": f"{severity_or_unknown('main_aqi')} AS severity_label",
+    "aqi_category": f"{category('main_aqi')} AS aqi_category",
+}
+for _name, _columns in LABELLED.items():
+    put(_name, DROPOUTS, f"SELECT city, datetime, {_columns} FROM dropouts")
 put(
     "half_level_labels",
     f"{READINGS}, halves AS (SELECT *, floor(main_aqi * 2) / 2e0 AS level FROM readings)",
     f"""SELECT city, datetime, level, {bucket('level')} AS severity_bucket, {severity('level')} AS severity_label,
   {category('level')} AS aqi_category FROM halves""",
 )
-put("trend_notes", FEATURES, f"SELECT city, datetime, {trend('main_aqi_t_plus_h', 'main_aqi')} AS trend_note FROM features")
+put("trend_note", FEATURES, f"SELECT city, datetime, {trend('main_aqi_t_plus_h', 'main_aqi')} AS trend_note FROM features")
 
 
 def advise(predicted: str, severity_text: str, current: str | None) -> str:

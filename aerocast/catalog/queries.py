@@ -37,6 +37,7 @@ from aerocast.models.training import (
 from aerocast.operators import checks, drift, metrics, profile, sampling, splits
 from aerocast.operators.ordered import area_under_curve, percentiles
 from aerocast.operators.readings import (
+    align_columns,
     before_cutoff,
     city_name,
     join_observations,
@@ -56,8 +57,8 @@ from aerocast.operators.series import (
     add_lags,
     add_rolling,
     build_features,
-    forecast_features,
 )
+from aerocast.operators.series import forecast_features as build_forecast_features
 from aerocast.plans.evaluate import evaluate, persistence_forecast
 from aerocast.plans.quality import balanced_model_report, integrity_profile
 from aerocast.session import materialise, scratch_path
@@ -120,18 +121,18 @@ def calendar_features(spark, sf_dir):
 
 
 @query
-def forecast_feature_table(spark, sf_dir):
+def forecast_features(spark, sf_dir):
     return rounded(features(spark, sf_dir), ROLLED_OUT)
 
 
 @query
 def forecast_features_blocked(spark, sf_dir):
-    return rounded(forecast_features(readings(spark, sf_dir), block="1d"), ROLLED_OUT)
+    return rounded(build_forecast_features(readings(spark, sf_dir), block="1d"), ROLLED_OUT)
 
 
 @query
 def forecast_features_dropouts(spark, sf_dir):
-    return rounded(forecast_features(dropout_readings(spark, sf_dir), block="1d"), ROLLED_OUT)
+    return rounded(build_forecast_features(dropout_readings(spark, sf_dir), block="1d"), ROLLED_OUT)
 
 
 @query
@@ -201,6 +202,12 @@ def standardised_headers(spark, sf_dir):
     return standard_headers(dotted)
 
 
+@query
+def aligned_columns(spark, sf_dir):
+    """Readings brought to the columns of the feature contract's raw part: extras dropped, order fixed."""
+    return align_columns(raw_readings(spark, sf_dir), ["datetime", "components_pm10", "main_aqi"], "readings")
+
+
 # --- Joins and sets --------------------------------------------------------
 
 
@@ -415,21 +422,36 @@ def scoring_counters(spark, sf_dir):
 # --- Labels and advice -----------------------------------------------------
 
 
+def _labelled(spark, sf_dir, **rules: Column) -> DataFrame:
+    """Label rules on every reading, missing levels included."""
+    return dropout_readings(spark, sf_dir).select("city", "datetime", *[c.alias(n) for n, c in rules.items()])
+
+
+LEVEL = "main_aqi"
+
+
 @query
-def level_labels(spark, sf_dir):
-    """Every scalar label rule on every reading, missing levels included."""
-    level = F.col("main_aqi")
-    return dropout_readings(spark, sf_dir).select(
-        "city",
-        "datetime",
-        lab.hazard_flag(level).alias("hazard_flag"),
-        lab.hazard_text(level).alias("hazard_text"),
-        lab.hazard_class_text(lab.hazard_flag(level)).alias("hazard_class_text"),
-        lab.severity_bucket(level).alias("severity_bucket"),
-        lab.severity_label(level).alias("severity_label"),
-        lab.bucket_label(lab.severity_bucket(level)).alias("bucket_label"),
-        lab.aqi_category(level).alias("aqi_category"),
-    )
+def hazard_label(spark, sf_dir):
+    """The 0/1 label and both spellings: by level and by class."""
+    flag = lab.hazard_flag(F.col(LEVEL))
+    words = lab.hazard_text(F.col(LEVEL))
+    return _labelled(spark, sf_dir, hazard=flag, by_level=words, by_class=lab.hazard_class_text(flag))
+
+
+@query
+def severity_bucket(spark, sf_dir):
+    bucket = lab.severity_bucket(F.col(LEVEL))
+    return _labelled(spark, sf_dir, severity_bucket=bucket, bucket_label=lab.bucket_label(bucket))
+
+
+@query
+def severity_label(spark, sf_dir):
+    return _labelled(spark, sf_dir, severity_label=lab.severity_label(F.col(LEVEL)))
+
+
+@query
+def aqi_category(spark, sf_dir):
+    return _labelled(spark, sf_dir, aqi_category=lab.aqi_category(F.col(LEVEL)))
 
 
 @query
@@ -447,7 +469,7 @@ def half_level_labels(spark, sf_dir):
 
 
 @query
-def trend_notes(spark, sf_dir):
+def trend_note(spark, sf_dir):
     return features(spark, sf_dir).select(
         "city", "datetime", lab.trend_note(F.col(TARGET), F.col("main_aqi")).alias("trend_note")
     )
