@@ -19,7 +19,7 @@ from aerocast.sources.records import log_run, save_baseline, write_record
 
 
 def build_offline_features(
-    spark: SparkSession, source: str, out: str, horizon: int = HORIZON, block: str | None = None
+    spark: SparkSession, source: str, out: str, horizon: int = HORIZON, block: str | DataFrame | None = None
 ) -> str:
     """Readings to a stored feature table. Without a block width, the density decides it."""
     # Density and border rows are read separately from the wide rows, so the unique readings
@@ -77,7 +77,7 @@ def training_run(
     cutoff: str = TRAIN_CUTOFF,
     trees: int = TREES,
     depth: int = DEPTH,
-    block: str | None = None,
+    block: str | DataFrame | None = None,
     notes: str = "automated training run",
 ) -> dict:
     """The whole run: land, features, checks, baseline, three models, evaluation, promotion, log.

@@ -143,13 +143,26 @@ def test_required_columns(spark):
         series.build_features(spark.createDataFrame([("a",)], "city string"))
 
 
-def test_block_width_follows_density(spark):
-    hourly = to_spark(spark, random_series(10)[["city", "datetime"]])
-    assert series.choose_block(hourly) == "30d"
-    per_second = spark.range(4000).selectExpr(
-        "'a' AS city", "timestampadd(SECOND, CAST(id AS INT), TIMESTAMP_NTZ '2024-01-01 00:00:00') AS datetime"
-    )
-    assert series.choose_block(per_second, 1000) == "1m"
-    dense = per_second.selectExpr("*", "CAST(second(datetime) AS DOUBLE) AS main_aqi")
-    got = series.add_future_target(dense, block="1m")
-    assert got.count() == 3997 and got.filter("main_aqi_t_plus_h <> (main_aqi + 3) % 60").isEmpty()
+def test_default_blocks_for_hourly_series(spark):
+    assert series.choose_block(to_spark(spark, random_series(10)[["city", "datetime"]])) == "30d"
+
+
+def test_dense_cells_are_split_and_others_stay_whole(spark):
+    """A city with bursts of one row per second beside hourly cities."""
+    burst = pd.DataFrame({"datetime": pd.Timestamp("2024-01-01 23:30") + pd.to_timedelta(np.arange(4000), unit="s")})
+    quiet = pd.DataFrame({"datetime": pd.Timestamp("2024-02-20") + pd.to_timedelta(np.arange(50), unit="h")})
+    dense = pd.concat([burst, quiet]).assign(city="dense")
+    rng = np.random.default_rng(0)
+    for c in ("main_aqi", "components_pm2_5", "components_pm10"):
+        dense[c] = np.where(rng.random(len(dense)) < 0.1, np.nan, np.round(rng.uniform(1, 5, len(dense)), 2))
+    data = pd.concat([random_series(11), dense], ignore_index=True)
+    frame = to_spark(spark, data)
+    blocks = series.choose_block(frame, 1000)
+    assert [(r["city"], r["seconds"]) for r in blocks.collect()] == [("dense", 60)]
+    assert_same(series.forecast_features(frame, block=blocks), expected_features(data))
+    assert_same(series.add_future_target(frame, block=blocks), expected_targets(data))
+    rows = series._with_block(frame, blocks).groupBy("city", "_block").count()
+    assert rows.agg({"count": "max"}).first()[0] <= 1000
+    assert rows.filter("city = 'dense'").count() > 60
+    finest = series.choose_block(frame, 10)
+    assert_same(series.forecast_features(frame, block=finest), expected_features(data))
