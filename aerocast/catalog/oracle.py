@@ -89,7 +89,8 @@ put(
 )
 put("calendar_features", READINGS, f"SELECT *, {CALENDAR} FROM readings")
 WHOLE = f"SELECT * REPLACE ({ROUND_MEANS}) FROM features"
-for _name in ("forecast_features", "forecast_features_blocked", "features_from_targets"):
+SAME_FEATURES = ("forecast_features", "forecast_features_short_cities", "forecast_features_blocked", "features_from_targets")
+for _name in SAME_FEATURES:
     put(_name, FEATURES, WHOLE)
 put("forecast_features_dropouts", f"{DROPOUTS}, {features_of('dropouts')}", WHOLE)
 

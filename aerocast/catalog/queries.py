@@ -52,6 +52,7 @@ from aerocast.operators.readings import (
 )
 from aerocast.operators.scoring import cold_start_features, prediction_records
 from aerocast.operators.series import (
+    WHOLE,
     add_calendar,
     add_future_target,
     add_lags,
@@ -125,6 +126,12 @@ def forecast_features(spark, sf_dir):
     return rounded(features(spark, sf_dir), ROLLED_OUT)
 
 
+@query
+def forecast_features_short_cities(spark, sf_dir):
+    """Whole-city windows: readings are one per hour, so the calendar bounds a city's rows."""
+    return rounded(build_forecast_features(readings(spark, sf_dir), block=WHOLE), ROLLED_OUT)
+
+
 @query
 def forecast_features_blocked(spark, sf_dir):
     return rounded(build_forecast_features(readings(spark, sf_dir), block="1d"), ROLLED_OUT)

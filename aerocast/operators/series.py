@@ -12,11 +12,10 @@ which is ordered per city, and what each block needs from its neighbours is join
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerocast.contract import (
-    ENGINEERED,
     HAZARD,
     HORIZON,
     LAG_STEPS,
@@ -31,6 +30,8 @@ from aerocast.functions.labels import hazard_flag
 from aerocast.session import materialise
 
 BLOCK = "30d"
+# No blocks: one window per city. For cities that are known to be short.
+WHOLE = "city"
 MAX_BLOCK_ROWS = 1_000_000
 # Seconds per width, from coarse to fine.
 WIDTHS = {"30d": 2_592_000, "1d": 86_400, "1h": 3_600, "1m": 60, "1s": 1}
@@ -47,10 +48,10 @@ def block_id(ts: Column, width: str = BLOCK) -> Column:
 
 
 def choose_block(df: DataFrame, max_rows: int = MAX_BLOCK_ROWS) -> str | DataFrame:
-    """Blocks for series that may be denser than one row per hour.
+    """The cheapest blocks that keep every window within ``max_rows`` distinct times.
 
-    The default width if every (city, 30 days) stays within ``max_rows`` distinct times. Else
-    a table (city, cell, seconds) of the cells that do not, each with the widest finer width
+    Whole cities if the longest one is short enough; else the default width if every (city,
+    30 days) is; else a table (city, cell, seconds) of the cells that do not, each with the widest finer width
     that does; the other cells keep the default. Both can be passed as ``block``.
 
     Each try is a map-side-combined pass over two columns, and only the first one covers all
@@ -60,6 +61,9 @@ def choose_block(df: DataFrame, max_rows: int = MAX_BLOCK_ROWS) -> str | DataFra
     at = F.col("datetime")
     rows = df.select("city", "datetime", block_id(at).alias("cell"))
     times = F.approx_count_distinct("datetime").alias("n")
+    longest = df.groupBy("city").agg(times).agg(F.max("n")).first()[0] or 0
+    if longest <= max_rows:
+        return WHOLE
     full = rows.groupBy("city", "cell").agg(times).filter(F.col("n") > max_rows)
     dense = materialise(full.select("city", "cell"), "dense-cells")
     if dense.isEmpty():
@@ -150,6 +154,10 @@ def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], block: str | D
     (city, datetime) must be unique; rows without either are dropped.
     """
     require_columns(df, ["city", "datetime"] + [c for c, _ in shifts.values()])
+    kept = [f"`{c}`" for c in df.columns]
+    if isinstance(block, str) and block == WHOLE:
+        moved = {n: f"{'lag' if k > 0 else 'lead'}(`{c}`, {abs(k)}) OVER {IN_CITY}" for n, (c, k) in shifts.items()}
+        return df.filter("city IS NOT NULL AND datetime IS NOT NULL").selectExpr(*kept, *_named(moved))
     back, ahead = {}, {}
     for c, k in shifts.values():
         reach = back if k > 0 else ahead
@@ -181,7 +189,6 @@ def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], block: str | D
 
     placed = rows.selectExpr("*", f"row_number() OVER {IN_BLOCK} AS _pos", f"{_rows_after(far_ahead)} AS _after")
     added = {name: _back(c, k) if k > 0 else _ahead(c, -k) for name, (c, k) in shifts.items()}
-    kept = [f"`{c}`" for c in df.columns]
     return _join_context(placed, context, "left").selectExpr(*kept, *_named(added))
 
 
@@ -236,6 +243,8 @@ def forecast_features(df: DataFrame, horizon: int = HORIZON, block: str | DataFr
     """
     require_columns(df, ["city", "datetime", "main_aqi"])
     lagged = [c for c in LAGGED if c in df.columns]
+    if isinstance(block, str) and block == WHOLE:
+        return build_features(add_future_target(df, horizon, block), block)
     rolled = [c for c in ROLLED if c in df.columns]
     rows = _with_block(df, block)
     ahead = [f"{_rows_after(horizon)} AS _after", f"lead(main_aqi, {horizon}) OVER {IN_BLOCK} AS {TARGET}"]
@@ -297,14 +306,3 @@ def build_features(df: DataFrame, block: str | DataFrame = BLOCK) -> DataFrame:
         for c in rolled
     }
     return shifted.selectExpr("*", *_named(means)).dropna(subset=[*spec, *means])
-
-
-def plain_features(df: DataFrame, horizon: int = HORIZON) -> DataFrame:
-    """The same features with whole-city windows: fewer steps, for many short series only."""
-    w = Window.partitionBy("city").orderBy("datetime")
-    spec = {f"{c}_lag_{k}": F.lag(c, k).over(w) for c in LAGGED for k in range(1, LAG_STEPS + 1)}
-    roll = w.rowsBetween(1 - ROLL_ROWS, Window.currentRow)
-    means = {f"{c}_roll{ROLL_ROWS}_mean": F.avg(c).over(roll) for c in ROLLED}
-    kept = df.withColumn(TARGET, F.lead("main_aqi", horizon).over(w)).filter(F.col(TARGET).isNotNull())
-    built = kept.withColumn(HAZARD, hazard_flag(F.col(TARGET))).withColumns(calendar_columns(F.col("datetime")))
-    return built.withColumns({**spec, **means}).dropna(subset=ENGINEERED)

@@ -60,7 +60,7 @@ def assert_same(got, expected: pd.DataFrame):
     pd.testing.assert_frame_equal(left, right, check_dtype=False, rtol=1e-9)
 
 
-@pytest.mark.parametrize("block", ["30d", "1d", "1h"])
+@pytest.mark.parametrize("block", ["city", "30d", "1d", "1h"])
 @pytest.mark.parametrize("seed", [1, 2])
 def test_features_match_pandas(spark, block, seed):
     data = random_series(seed)
@@ -86,14 +86,7 @@ def test_target_then_features_equals_one_pass(spark):
     assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
 
 
-def test_plain_windows_agree(spark):
-    data = to_spark(spark, random_series(5))
-    one = series.forecast_features(data, block="1d").drop(*[c for c in ENGINEERED if "roll" in c])
-    two = series.plain_features(data).select(one.columns)
-    assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
-
-
-@pytest.mark.parametrize("block", ["30d", "1d", "1h"])
+@pytest.mark.parametrize("block", ["city", "30d", "1d", "1h"])
 def test_single_operators(spark, block):
     data = random_series(6)
     frame, ordered = to_spark(spark, data), data.sort_values(["city", "datetime"])
@@ -143,8 +136,10 @@ def test_required_columns(spark):
         series.build_features(spark.createDataFrame([("a",)], "city string"))
 
 
-def test_default_blocks_for_hourly_series(spark):
-    assert series.choose_block(to_spark(spark, random_series(10)[["city", "datetime"]])) == "30d"
+def test_short_cities_need_no_blocks(spark):
+    hourly = to_spark(spark, random_series(10)[["city", "datetime"]])
+    assert series.choose_block(hourly) == "city"
+    assert series.choose_block(hourly, 400) == "30d"
 
 
 def test_dense_cells_are_split_and_others_stay_whole(spark):
