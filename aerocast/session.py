@@ -27,19 +27,24 @@ def build_session(app: str = "aerocast", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root folder for cut lineage, stream state and working tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a session without that setting
-    (a local test run) gets a temporary folder, and keeps it for its lifetime.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session without that
+    setting (a test run) gets a temporary folder, one per application.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="aerocast-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
+    if named:
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    if context.applicationId not in _LOCAL_DIRS:
+        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="aerocast-")
+    return _LOCAL_DIRS[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
