@@ -46,6 +46,25 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One 64-bit hash per non-empty span of the buffer, from prefix sums of a polynomial."""
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    powers, inverses = _power_tables(max(len(data), CHUNK_BYTES))
+    values = _BYTE_VALUES[data]
+    values *= powers[: len(data)]
+    totals = np.cumsum(values)
+    sums = totals[ends - 1] - totals[starts] + values[starts]
+    return mix(sums * inverses[starts] + (ends - starts).astype(np.uint64))
+
+
+def hash_items(items: list[bytes]) -> np.ndarray:
+    """One 64-bit hash per non-empty byte string."""
+    ends = np.cumsum([len(x) for x in items], dtype=np.int64)
+    starts = np.concatenate(([0], ends[:-1])) if len(ends) else ends
+    return hash_spans(np.frombuffer(b"".join(items), np.uint8), starts, ends)
+
+
 @dataclass
 class Words:
     """Word boundaries in a joined buffer; ``first`` has the first word of each text, then the total."""
@@ -62,14 +81,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """One 64-bit hash per word; equal bytes give equal hashes in any process."""
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        powers, inverses = _power_tables(max(len(self.data), CHUNK_BYTES))
-        values = _BYTE_VALUES[self.data]
-        values *= powers[: len(self.data)]
-        totals = np.cumsum(values)
-        sums = totals[self.ends - 1] - totals[self.starts] + values[self.starts]
-        return mix(sums * inverses[self.starts] + (self.ends - self.starts).astype(np.uint64))
+        return hash_spans(self.data, self.starts, self.ends)
 
 
 def split_words(texts: list[bytes | None], separators: np.ndarray = SPACE, lower: bool = False) -> Words:
