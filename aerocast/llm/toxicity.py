@@ -1,7 +1,8 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A text is the set of its lower-case terms, split at white space and ASCII punctuation and hashed
-to 64 bits. The machine adds a bias, a weight per term and, for every pair of terms in a text, the
+A text is the set of its lower-case words, split at white space and ASCII punctuation, and of their
+beginnings of four and five bytes, which stand for inflected forms; all are hashed to 64 bits. The
+machine adds a bias, a weight per term and, for every pair of terms in a text, the
 inner product of their factors, so that terms can be toxic together that are not so alone.
 """
 
@@ -15,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerocast.llm.words import PUNCTUATION, SPACE, chunks, split_words
+from aerocast.llm.words import PUNCTUATION, SPACE, Words, chunks, hash_spans, mix, split_words
 
 #: Most labelled rows of each class that the fit reads: those with the smallest hashes of their id.
 SAMPLE_PER_CLASS = 4000
@@ -27,6 +28,7 @@ FACTORS = 8
 EPOCHS = 60
 FOLDS = 5
 SEPARATORS = SPACE | PUNCTUATION
+BEGINNINGS = (4, 5)
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -34,13 +36,20 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
+def term_hashes(words: Words) -> Iterator[np.ndarray]:
+    """Arrays of one term hash per word: the word itself, then its beginnings, salted by their length."""
+    yield words.hashes()
+    for n in BEGINNINGS:
+        yield mix(hash_spans(words.data, words.starts, np.minimum(words.starts + n, words.ends)) + np.uint64(n))
+
+
 def term_sets(texts: list[bytes | None]) -> list[np.ndarray]:
     """Sorted distinct term hashes of each text."""
     out = []
     for part in chunks(texts):
         words = split_words(texts[part], SEPARATORS, lower=True)
-        hashes = words.hashes()
-        out += [np.unique(hashes[a:b]) for a, b in zip(words.first[:-1], words.first[1:])]
+        kinds = list(term_hashes(words))
+        out += [np.unique(np.concatenate([h[a:b] for h in kinds])) for a, b in zip(words.first[:-1], words.first[1:])]
     return out
 
 
@@ -72,12 +81,13 @@ class Machine:
         for part in chunks(texts):
             words = split_words(texts[part], SEPARATORS, lower=True)
             n = part.stop - part.start
-            hashes = words.hashes()
-            at = np.minimum(np.searchsorted(self.terms, hashes), max(0, len(self.terms) - 1))
-            hit = np.flatnonzero(self.terms[at] == hashes) if len(self.terms) else np.zeros(0, np.int64)
-            owner = np.searchsorted(words.first, hit, side="right") - 1
-            pairs = np.unique(owner * len(self.terms) + at[hit]) if len(hit) else hit
-            text, term = (pairs // len(self.terms), pairs % len(self.terms)) if len(pairs) else (pairs, pairs)
+            found = [np.zeros(0, np.int64)]
+            for hashes in term_hashes(words) if len(self.terms) else ():
+                at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
+                hit = np.flatnonzero(self.terms[at] == hashes)
+                owner = np.searchsorted(words.first, hit, side="right") - 1
+                found.append(owner * len(self.terms) + at[hit])
+            text, term = np.divmod(np.unique(np.concatenate(found)), max(1, len(self.terms)))
             out[part] = 1 / (1 + np.exp(-np.clip(self._margins(text, term, n), -50, 50)))
         return out
 
