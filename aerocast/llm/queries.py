@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from aerocast.llm.blocksearch import search
 from aerocast.llm.bpe import decode_documents, encode_documents
 from aerocast.llm.covertree import near_duplicates
+from aerocast.llm.importance import fit_ratios, resample
 from aerocast.llm.kdshard import shard_documents
+from aerocast.llm.logbilinear import score_documents, train_language_model
 from aerocast.llm.packing import pack_documents
 from aerocast.llm.toxicity import is_held_out, score_toxicity, train_toxicity
 
@@ -48,6 +50,11 @@ def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op7_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score_documents(docs, *train_language_model(docs))
+
+
 def op8_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -56,13 +63,20 @@ def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return resample(docs, fit_ratios(docs, labels))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_two_tier_bpe": op2_two_tier_bpe,
     "op3_toxicity_machine": op3_toxicity_machine,
     "op4_kd_shards": op4_kd_shards,
+    "op7_log_bilinear": op7_log_bilinear,
     "op8_block_search": op8_block_search,
     "op9_cover_tree": op9_cover_tree,
+    "op10_importance_resampling": op10_importance_resampling,
 }
 
 _USABLE = """SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
