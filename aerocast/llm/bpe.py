@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from aerocast.llm.words import chunks, hash_items, mix
 
 #: Pre-tokens whose ids a worker remembers; beyond it the memory is emptied, results stay the same.
-MEMORY = 500_000
+MEMORY = 300_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -79,14 +79,27 @@ class PerfectHash:
         return self.key_at[slots].tolist()
 
 
-class Codec:
-    """Encoder and decoder of one vocabulary given as lines of base64 bytes and rank."""
+def read_ranks(ranks: bytes) -> dict[bytes, int]:
+    """A vocabulary given as lines of base64 bytes and rank."""
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
+
+
+@lru_cache(maxsize=2)
+def token_bytes(ranks: bytes) -> list[bytes]:
+    """The bytes of every id; ids that the vocabulary leaves out have none."""
+    table = read_ranks(ranks)
+    tokens = [b""] * (max(table.values()) + 1)
+    for token, rank in table.items():
+        tokens[rank] = token
+    return tokens
+
+
+class Encoder:
+    """Encoder of one vocabulary."""
 
     def __init__(self, ranks: bytes, pattern: str):
-        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
-        self.tokens = [b""] * (max(table.values()) + 1)
-        for token, rank in table.items():
-            self.tokens[rank] = token
+        table = read_ranks(ranks)
+        self.tokens = token_bytes(ranks)
         keys = list(table)
         self.ids = [table[k] for k in keys]
         self.whole = PerfectHash(keys)
@@ -152,13 +165,10 @@ class Codec:
         known = self.memory.__getitem__
         return [np.frombuffer(b"".join(map(known, p)), np.int32) for p in pieces]
 
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
-
 
 @lru_cache(maxsize=2)
-def codec(ranks: bytes, pattern: str) -> Codec:
-    return Codec(ranks, pattern)
+def encoder(ranks: bytes, pattern: str) -> Encoder:
+    return Encoder(ranks, pattern)
 
 
 def _vocabulary(df: DataFrame, ranks_path: str):
@@ -176,7 +186,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
     ranks = _vocabulary(docs, ranks_path)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec(ranks.value, pattern)
+        coder = encoder(ranks.value, pattern)
         for batch in batches:
             texts = [(t or b"").decode("utf-8", "replace") for t in batch.column(1).cast(pa.binary()).to_pylist()]
             for part in chunks(texts):
@@ -187,17 +197,20 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
     return source.mapInArrow(encode, "doc_id long, ids array<int>")
 
 
-def decode_documents(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Add ``decoded``, the bytes of ``ids``, to ``doc_id, ids``."""
+def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """Add ``decoded``, the bytes of ``ids``, to ``doc_id, ids``; null ids give no bytes."""
     ranks = _vocabulary(encoded, ranks_path)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = codec(ranks.value, pattern)
+        known = token_bytes(ranks.value).__getitem__
         for batch in batches:
             for begin in range(0, batch.num_rows, 1000):
                 part = batch.slice(begin, 1000)
-                decoded = [coder.decode(ids or []) for ids in part.column(1).to_pylist()]
-                columns = [part.column(0), part.column(1), pa.array(decoded, pa.binary())]
+                lists = part.column(1)
+                pieces = list(map(known, lists.flatten().to_numpy().tolist()))
+                ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy()).tolist()
+                decoded = [b"".join(pieces[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
+                columns = [part.column(0), lists, pa.array(decoded, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id long, ids array<int>, decoded binary")
