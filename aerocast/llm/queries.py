@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerocast.llm import bagminhash
 from aerocast.llm.blocksearch import search
 from aerocast.llm.bpe import decode_documents, encode_documents
 from aerocast.llm.covertree import near_duplicates
@@ -30,7 +31,7 @@ def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_two_tier_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = encode_documents(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    both = decode_documents(encoded, ranks, public_tokenizers.PATTERN)
+    both = decode_documents(encoded, ranks)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -50,6 +51,10 @@ def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op5_bag_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op7_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return score_documents(docs, *train_language_model(docs))
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_two_tier_bpe": op2_two_tier_bpe,
     "op3_toxicity_machine": op3_toxicity_machine,
     "op4_kd_shards": op4_kd_shards,
+    "op5_bag_min_hash": op5_bag_min_hash,
     "op7_log_bilinear": op7_log_bilinear,
     "op8_block_search": op8_block_search,
     "op9_cover_tree": op9_cover_tree,
