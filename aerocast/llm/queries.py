@@ -16,6 +16,7 @@ from aerocast.llm.importance import fit_ratios, resample
 from aerocast.llm.kdshard import shard_documents
 from aerocast.llm.logbilinear import score_documents, train_language_model
 from aerocast.llm.packing import pack_documents
+from aerocast.llm.substrings import remove_repeats
 from aerocast.llm.toxicity import is_held_out, score_toxicity, train_toxicity
 
 
@@ -55,6 +56,11 @@ def op5_bag_min_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_seed_and_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op7_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return score_documents(docs, *train_language_model(docs))
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity_machine": op3_toxicity_machine,
     "op4_kd_shards": op4_kd_shards,
     "op5_bag_min_hash": op5_bag_min_hash,
+    "op6_seed_and_extend": op6_seed_and_extend,
     "op7_log_bilinear": op7_log_bilinear,
     "op8_block_search": op8_block_search,
     "op9_cover_tree": op9_cover_tree,

@@ -33,7 +33,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers 0..n-1 of the base and of its inverse modulo 2^64."""
     global _powers
     if len(_powers[0]) < n:
@@ -50,7 +50,7 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     """One 64-bit hash per non-empty span of the buffer, from prefix sums of a polynomial."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    powers, inverses = _power_tables(max(len(data), CHUNK_BYTES))
+    powers, inverses = power_tables(max(len(data), CHUNK_BYTES))
     values = _BYTE_VALUES[data]
     values *= powers[: len(data)]
     totals = np.cumsum(values)
