@@ -24,7 +24,10 @@ from aerocast.session import materialise
 BLOCK = 2048
 #: Distances this close to a bound are decided by the cosine itself.
 SLACK = 1e-7
+#: Ranges with at most this product of sizes are compared member by member.
 SMALL = 4096
+#: Rows of a block of centre distances.
+ROWS = 512
 
 
 class CoverTree:
@@ -109,18 +112,23 @@ class Links:
                 self._exact(a, b, a, b)
                 continue
             stack.extend(kids.tolist())
-            i, j = np.triu_indices(len(kids), 1)
-            self._walk(self._open(kids[i], kids[j]))
-
-    def _open(self, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int]]:
-        """The node pairs that the bound does not rule out."""
-        kept = []
-        for begin in range(0, len(x), 1 << 16):
-            p, q = x[begin : begin + (1 << 16)], y[begin : begin + (1 << 16)]
-            dots = np.einsum("ij,ij->i", self.left.unit[self.left.centre[p]], self.right.unit[self.right.centre[q]])
-            gap = np.sqrt(np.maximum(0, 2 - 2 * dots))
-            near = gap - self.left.radius[p] - self.right.radius[q] <= self.reach + SLACK
-            kept += zip(p[near].tolist(), q[near].tolist())
+            self._walk(self._open(kids, kids, above=True))
+
+    def _open(self, xs: np.ndarray, ys: np.ndarray, above: bool = False) -> list[tuple[int, int]]:
+        """The pairs of a node of ``xs`` and one of ``ys`` that the bound does not rule out.
+
+        ``above`` asks for pairs of two different entries of one list, each once.
+        """
+        left, right, kept = self.left, self.right, []
+        others, reach = right.unit[right.centre[ys]].T, right.radius[ys] + self.reach + SLACK
+        for begin in range(0, len(xs), ROWS):
+            part = xs[begin : begin + ROWS]
+            squared = 2 - 2 * (left.unit[left.centre[part]] @ others)
+            near = squared <= (left.radius[part][:, None] + reach) ** 2
+            if above:
+                near &= np.arange(len(ys)) > np.arange(begin, begin + len(part))[:, None]
+            i, j = np.nonzero(near)
+            kept += zip(part[i].tolist(), ys[j].tolist())
         return kept
 
     def _walk_pair(self, x: int, y: int) -> None:
@@ -140,7 +148,7 @@ class Links:
                 # Open both nodes; one without children stands for itself.
                 xs = left.children[x] if len(left.children[x]) else np.array([x])
                 ys = right.children[y] if len(right.children[y]) else np.array([y])
-                stack.extend(self._open(np.repeat(xs, len(ys)), np.tile(ys, len(xs))))
+                stack.extend(self._open(xs, ys))
 
     def _accept(self, a: int, b: int, c: int, d: int) -> None:
         s = self.shift
