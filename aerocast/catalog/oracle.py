@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from aerocast.catalog.views import BASELINE_UNTIL, CUTOFF, DROPOUT_BELOW, MEASURED, STATIONS
+from aerocast import contract
 from aerocast.contract import CITIES, LAGGED, ROLLED
 from aerocast.functions import advice, labels
 
@@ -89,8 +90,7 @@ put(
 )
 put("calendar_features", READINGS, f"SELECT *, {CALENDAR} FROM readings")
 WHOLE = f"SELECT * REPLACE ({ROUND_MEANS}) FROM features"
-SAME_FEATURES = ("forecast_features", "forecast_features_short_cities", "forecast_features_blocked", "features_from_targets")
-for _name in SAME_FEATURES:
+for _name in ("forecast_features", "features_from_targets"):
     put(_name, FEATURES, WHOLE)
 put("forecast_features_dropouts", f"{DROPOUTS}, {features_of('dropouts')}", WHOLE)
 
@@ -149,12 +149,20 @@ put(
 put(
     "latest_observation_join",
     READINGS,
-    """SELECT p.*, w.weather_at, w.components_pm10 FROM
- (SELECT city, max(datetime) AS observed_at, arg_max(main_aqi, datetime) AS main_aqi,
-         arg_max(components_pm2_5, datetime) AS components_pm2_5
-  FROM readings WHERE components_pm2_5 >= 5 GROUP BY city) p
- JOIN (SELECT city, max(datetime) AS weather_at, arg_max(components_pm10, datetime) AS components_pm10
-       FROM readings GROUP BY city) w USING (city)""",
+    """SELECT city, max(datetime) AS observed_at, arg_max(main_aqi, datetime) AS main_aqi,
+  arg_max(components_pm2_5, datetime) AS components_pm2_5, max(datetime) + INTERVAL 30 MINUTE AS weather_at,
+  arg_max(components_pm10, datetime) AS components_pm10 FROM readings GROUP BY city""",
+)
+SERVED = f"""{STATION}, served AS (
+  SELECT upper(left(trim(city), 1)) || lower(substr(trim(city), 2)) AS city, max(datetime) AS observed_at_local,
+         arg_max(main_aqi, datetime) AS main_aqi, arg_max(components_pm2_5, datetime) AS components_pm2_5,
+         arg_max(components_pm10, datetime) AS components_pm10
+  FROM stations WHERE lower(trim(city)) IN ({CITY_NAMES}) GROUP BY city)"""
+put(
+    "served_observations",
+    SERVED,
+    """SELECT *, components_pm10 AS precipitation, observed_at_local - INTERVAL 1 HOUR AS datetime,
+  CAST(hour(observed_at_local - INTERVAL 1 HOUR) AS INTEGER) AS hour, main_aqi AS main_aqi_lag_3 FROM served""",
 )
 put(
     "union_of_sources",
@@ -224,13 +232,13 @@ GROUP BY city, q1, median, q3"""
 put("box_stats", READINGS, "\nUNION ALL ".join(f"({boxes(c)})" for c in ("components_pm2_5", "components_pm10")))
 put(
     "daily_mean_filled",
-    f"""{READINGS}, means AS (
-  SELECT city, CAST(datetime AS DATE) AS day, round(avg(main_aqi), 6) AS main_aqi_mean,
-         round(avg(components_pm2_5), 6) AS components_pm2_5_mean
-  FROM readings WHERE components_pm2_5 > 60 GROUP BY ALL),
-days AS (SELECT city, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
-  FROM means GROUP BY city)""",
-    "SELECT days.city, days.day, main_aqi_mean, components_pm2_5_mean FROM days LEFT JOIN means USING (city, day)",
+    """means AS (
+  SELECT event_type || ':' || user_id AS series, CAST(ts AS DATE) AS day,
+         round(avg(least(5.0e0, 1.0e0 + value / 25.0e0)), 6) AS main_aqi_mean, round(avg(value), 6) AS components_pm2_5_mean
+  FROM events GROUP BY ALL),
+days AS (SELECT series, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
+  FROM means GROUP BY series)""",
+    "SELECT days.series, days.day, main_aqi_mean, components_pm2_5_mean FROM days LEFT JOIN means USING (series, day)",
 )
 GRID = f"""{READINGS}, grid AS (
   SELECT city, unnest(generate_series(min(datetime), max(datetime), INTERVAL 1 HOUR)) AS datetime
@@ -571,12 +579,29 @@ put(
 # --- Files and records ---------------------------------------------------------------------------------
 
 put("csv_roundtrip", READINGS, "SELECT * FROM readings")
-put("layout_roundtrip", READINGS, "SELECT * FROM readings WHERE city = 'error'")
+put("layout_roundtrip", READINGS, "SELECT * FROM readings")
+NAMED = case("city", {kind: text(name.capitalize()) for kind, (name, _, _) in zip(sorted(STATIONS), CITIES)})
 put(
     "city_files",
     READINGS,
-    f"""SELECT CASE city WHEN 'error' THEN 'Lahore' ELSE 'Quetta' END AS city, datetime, main_aqi, components_pm2_5,
-  components_pm10 FROM readings WHERE city IN ('error', 'view') AND datetime <= TIMESTAMP '{CUTOFF}'""",
+    f"""SELECT {NAMED} AS city, datetime, main_aqi, components_pm2_5, components_pm10
+FROM readings WHERE datetime <= TIMESTAMP '{CUTOFF}'""",
+)
+put(
+    "load_readings_first_row",
+    DROPOUTS,
+    "SELECT upper(left(city, 1)) || substr(city, 2) AS city, datetime, main_aqi, components_pm2_5, components_pm10 FROM dropouts",
+)
+PERIODS = f"""SELECT split, strftime(min(datetime), '%Y-%m-%d %H:%M:%S') AS "start", strftime(max(datetime), '%Y-%m-%d %H:%M:%S') AS "end",
+  count(*) AS n FROM (SELECT *, {SPLIT} FROM features) GROUP BY split"""
+put("stored_metadata", FEATURES, PERIODS)
+put(
+    "contract_inputs",
+    FEATURES,
+    "\nUNION ALL ".join(
+        f"SELECT {i} AS place, {text(c)} AS feature, {'count(*)' if c in MODEL_INPUTS else '0 * count(*)'} AS n_rows FROM features"
+        for i, c in enumerate(contract.FEATURES)
+    ),
 )
 put(
     "latest_run",
@@ -589,7 +614,87 @@ put(
   'persistence' AS notes FROM forecast""",
 )
 
+# --- Models --------------------------------------------------------------------------------------------
+# Predictions are not SQL; keys, counts and the rules that every prediction must obey are.
+
+VAL = f"{FORECAST}, val AS (SELECT * FROM forecast WHERE datetime > TIMESTAMP '{CUTOFF}')"
+FILLED = f"""{DROPOUTS}, middle AS (
+  SELECT quantile_cont(main_aqi, 0.5) AS a, quantile_cont(components_pm2_5, 0.5) AS b FROM dropouts),
+filled AS (SELECT city, datetime, coalesce(main_aqi, a) AS a, coalesce(components_pm2_5, b) AS b FROM dropouts, middle),
+spread AS (SELECT avg(a) AS ma, stddev_pop(a) AS sa, avg(b) AS mb, stddev_pop(b) AS sb FROM filled)"""
+ONE_HOT = ", ".join(f"CAST(city = {text(kind)} AS INTEGER) AS is_{kind}" for kind in sorted(STATIONS))
+put(
+    "prepared_inputs",
+    FILLED,
+    f"""SELECT city, datetime, round((a - ma) / sa, 6) AS level_scaled, round((b - mb) / sb, 6) AS fine_dust_scaled, {ONE_HOT}
+FROM filled, spread""",
+)
+put("rf_forecast", VAL, "SELECT city, datetime, main_aqi_t_plus_h, true AS within_training_range FROM val")
+put(
+    "rf_hazard",
+    VAL,
+    "SELECT city, datetime, hazard_t_plus_h, true AS is_probability, true AS class_follows_probability FROM val",
+)
+put("tree_severity", VAL, "SELECT city, datetime, main_aqi_t_plus_h, true AS is_trained_bucket FROM val")
+put(
+    "current_level_baseline",
+    READINGS,
+    """SELECT count(*) AS n, true AS rmse_is_root_of_mse, true AS mae_is_below_rmse, true AS beats_the_mean FROM readings
+WHERE epoch_us(datetime) > (SELECT quantile_cont(epoch_us(datetime), 0.8) FROM readings)""",
+)
+
+
+def totals(safe: str, hazardous: str, more: dict[str, float]) -> str:
+    """Rows (metric, value) of a confusion matrix whose sides have these many rows."""
+    rows = {"safe": safe, "hazardous": hazardous, "rows": f"{safe} + {hazardous}"}
+    rows |= {"accuracy_from_counts": "0e0", "auc_is_a_share": "1e0"} | {k: f"{v}e0" for k, v in more.items()}
+    return "\nUNION ALL ".join(f"SELECT {text(k)} AS metric, CAST({v} AS DOUBLE) AS value" for k, v in rows.items())
+
+
+SIDES = {label: f"(SELECT count(*) FROM {{}} WHERE hazard_t_plus_h = {label})" for label in (0, 1)}
+put("holdout_eval", VAL, totals(SIDES[0].format("val"), SIDES[1].format("val"), {"mse_recomputed": 1}))
+RAREST = "(SELECT min(n) FROM (SELECT count(*) AS n FROM features GROUP BY hazard_t_plus_h))"
+put("balanced_suite", FEATURES, totals(RAREST, RAREST, {}))
+put(
+    "batch_scoring",
+    VAL,
+    """SELECT city, datetime, main_aqi AS current_aqi, datetime + INTERVAL 3 HOUR AS predicted_for_local,
+  true AS label_follows_level, true AS bucket_follows_model, true AS advice_on_forecast, 'stored/tree' AS recommender_model FROM val""",
+)
+put(
+    "csv_scoring",
+    VAL,
+    """SELECT upper(left(city, 1)) || substr(city, 2) AS city, count(*) AS n, round(sum(main_aqi), 6) AS current_aqi,
+  CAST(0 AS BIGINT) AS without_origin, CAST(0 AS BIGINT) AS wrong_labels FROM val GROUP BY city""",
+)
+put(
+    "model_registry",
+    FEATURES,
+    f"""SELECT step, role, step <> 'trained' AS from_production
+FROM (VALUES ('trained'), ('promoted'), ('newer')) s(step), (VALUES ('regressor'), ('classifier'), ('recommender')) r(role)
+WHERE step <> 'newer' OR role <> 'recommender'
+UNION ALL SELECT 'periods', split, count(*) > 0 FROM (SELECT *, {SPLIT} FROM features) GROUP BY split""",
+)
+put(
+    "served_records",
+    SERVED,
+    "\nUNION ALL ".join(
+        f"""SELECT {text(source)} AS source, city, {hazard('main_aqi', labels.HAZARD_TEXT)} AS hazard_label,
+  observed_at_local + INTERVAL 3 HOUR AS predicted_for_local, {bucket_text} AS severity_bucket, {origin} AS recommender_model FROM served"""
+        for source, bucket_text, origin in (
+            ("rule", severity("main_aqi"), "CAST(NULL AS VARCHAR)"),
+            ("model", text(labels.SEVERITY_BY_BUCKET[0]), "'stored/tree'"),
+        )
+    ),
+)
+
 # --- Streams -------------------------------------------------------------------------------------------
 
-put("stream_dedup", RAW, "SELECT DISTINCT city, datetime FROM raw")
+put("stream_dedup", READINGS, "SELECT * FROM readings")
+put(
+    "stream_scoring",
+    READINGS,
+    """SELECT city, datetime, main_aqi AS current_aqi, true AS is_probability, true AS label_follows_level,
+  'stored/tree' AS recommender_model FROM readings""",
+)
 ORACLE["stream_counters"] = f"SELECT event_type AS city, {COUNTERS} FROM events GROUP BY event_type"

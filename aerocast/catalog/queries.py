@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerocast.catalog.views import (
     BASELINE_UNTIL,
     CUTOFF,
+    DROPOUT_BELOW,
     MEASURED,
+    STATIONS,
     dropout_readings,
     events,
     features,
@@ -20,12 +23,13 @@ from aerocast.catalog.views import (
     readings,
     station_readings,
 )
-from aerocast.contract import ENGINEERED, FEATURES, HAZARD, TARGET
+from aerocast.contract import CITIES, ENGINEERED, FEATURES, HAZARD, TARGET, feature_columns
 from aerocast.functions import calendar as cal
 from aerocast.functions import labels as lab
 from aerocast.functions.advice import advice_record
-from aerocast.models.registry import load_models, save_models
+from aerocast.models.registry import load_models, model_paths, promote, save_models, save_production
 from aerocast.models.training import (
+    fit_preprocessor,
     impute_values,
     score,
     train_all,
@@ -52,7 +56,6 @@ from aerocast.operators.readings import (
 )
 from aerocast.operators.scoring import cold_start_features, prediction_records
 from aerocast.operators.series import (
-    WHOLE,
     add_calendar,
     add_future_target,
     add_lags,
@@ -60,8 +63,10 @@ from aerocast.operators.series import (
     build_features,
 )
 from aerocast.operators.series import forecast_features as build_forecast_features
-from aerocast.plans.evaluate import evaluate, persistence_forecast
+from aerocast.plans.evaluate import evaluate
 from aerocast.plans.quality import balanced_model_report, integrity_profile
+from aerocast.plans.serve import score_csv, served_rows
+from aerocast.plans.training import periods
 from aerocast.session import materialise, scratch_path
 from aerocast.sources import files, payloads, records
 from aerocast.streaming import jobs
@@ -86,6 +91,11 @@ def rounded(df: DataFrame, columns) -> DataFrame:
     return df.withColumns({c: r6(c) for c in columns})
 
 
+def epoch_seconds(ts: Column) -> Column:
+    """Seconds since 1970 of a zone-free time, whatever the zone of the session."""
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), ts)
+
+
 ROLLED_OUT = [c for c in ENGINEERED if c.endswith("_mean")]
 
 # --- Series ---------------------------------------------------------------
@@ -126,17 +136,6 @@ def forecast_features(spark, sf_dir):
     return rounded(features(spark, sf_dir), ROLLED_OUT)
 
 
-@query
-def forecast_features_short_cities(spark, sf_dir):
-    """Whole-city windows: readings are one per hour, so the calendar bounds a city's rows."""
-    return rounded(build_forecast_features(readings(spark, sf_dir), block=WHOLE), ROLLED_OUT)
-
-
-@query
-def forecast_features_blocked(spark, sf_dir):
-    return rounded(build_forecast_features(readings(spark, sf_dir), block="1d"), ROLLED_OUT)
-
-
 @query
 def forecast_features_dropouts(spark, sf_dir):
     return rounded(build_forecast_features(dropout_readings(spark, sf_dir), block="1d"), ROLLED_OUT)
@@ -236,9 +235,43 @@ def unsupported_city_rows(spark, sf_dir):
 
 @query
 def latest_observation_join(spark, sf_dir):
+    """Pollutants as recorded, weather recorded half an hour later."""
     base = readings(spark, sf_dir)
-    pollutants = base.select("city", "datetime", "main_aqi", "components_pm2_5").filter("components_pm2_5 >= 5")
-    return join_observations(pollutants, base.select("city", "datetime", "components_pm10"))
+    weather = base.select("city", F.expr("datetime + INTERVAL 30 MINUTES").alias("datetime"), "components_pm10")
+    return join_observations(base.select("city", "datetime", "main_aqi", "components_pm2_5"), weather)
+
+
+@query
+def served_observations(spark, sf_dir):
+    """Model inputs of the newest pollutants and weather of each supported station, from all observations."""
+    base = station_readings(spark, sf_dir)
+    pollutants = base.select("city", F.col("datetime").alias("observed_at_local"), *MEASURED)
+    weather = base.select("city", F.expr("datetime - INTERVAL 1 HOUR").alias("datetime"), F.col("components_pm10").alias("precipitation"))
+    rows = served_rows(pollutants, weather)
+    return rows.select("city", "datetime", "observed_at_local", *MEASURED, "precipitation", "hour", "main_aqi_lag_3")
+
+
+@query
+def served_records(spark, sf_dir):
+    """Prediction records of the served rows, the level as its own forecast: once by rule, once by a stored model's bucket."""
+    base = station_readings(spark, sf_dir)
+    pollutants = base.select("city", F.col("datetime").alias("observed_at_local"), *MEASURED)
+    rows = served_rows(pollutants, base.select("city", "datetime", F.col("components_pm10").alias("precipitation")))
+    by_rule = rows.withColumn("aqi_3h", F.col("main_aqi"))
+    by_model = by_rule.withColumn("severity_model", F.lit(0))
+    out = None
+    for source, frame in (("rule", by_rule), ("model", by_model)):
+        record = prediction_records(frame, "stored/tree", observed="observed_at_local")
+        flat = record.select(
+            F.lit(source).alias("source"),
+            "city",
+            "prediction.hazard_label",
+            "realtime.predicted_for_local",
+            "recommendations.severity_bucket",
+            "recommendations.based_on.recommender_model",
+        )
+        out = flat if out is None else out.unionByName(flat)
+    return out
 
 
 @query
@@ -305,7 +338,10 @@ def box_stats(spark, sf_dir):
 
 @query
 def daily_mean_filled(spark, sf_dir):
-    out = profile.daily_mean(readings(spark, sf_dir).filter("components_pm2_5 > 60"), ["main_aqi", "components_pm2_5"])
+    """One series per user and kind of event: most have days without readings."""
+    series = F.concat_ws(":", F.col("event_type"), F.col("user_id").cast("string")).alias("series")
+    rows = events(spark, sf_dir).select(series, *reading_columns())
+    out = profile.daily_mean(rows, ["main_aqi", "components_pm2_5"], "series")
     return rounded(out, ["main_aqi_mean", "components_pm2_5_mean"])
 
 
@@ -517,7 +553,7 @@ def recommendations_from_bucket(spark, sf_dir):
 @query
 def observation_times(spark, sf_dir):
     """Epoch seconds to UTC and station time, forecast time, display text."""
-    seconds = F.unix_timestamp(F.col("ts").cast("timestamp"))
+    seconds = epoch_seconds(F.col("ts"))
     local = cal.epoch_to_local(seconds)
     return events(spark, sf_dir).select(
         "event_id",
@@ -563,7 +599,7 @@ def prediction_checks(spark, sf_dir):
 
 @query
 def integrity_findings(spark, sf_dir):
-    return integrity_profile(features(spark, sf_dir))
+    return integrity_profile(materialise(features(spark, sf_dir), "features"))
 
 
 # --- Samples ---------------------------------------------------------------
@@ -593,7 +629,7 @@ def json_payload_fields(spark, sf_dir):
     entry = F.struct(
         F.struct(F.least(F.lit(5.0), 1 + F.col("value") / 25).alias("aqi")).alias("main"),
         F.struct(F.col("value").alias("pm2_5"), (F.col("value") * 2).alias("co")).alias("components"),
-        F.unix_timestamp(F.col("ts").cast("timestamp")).alias("dt"),
+        epoch_seconds(F.col("ts")).alias("dt"),
     )
     landed = events(spark, sf_dir).select("event_id", F.to_json(F.struct(F.array(entry).alias("list"))).alias("payload"))
     return payloads.pollutant_fields(landed).select(
@@ -644,17 +680,18 @@ def csv_roundtrip(spark, sf_dir):
 
 @query
 def layout_roundtrip(spark, sf_dir):
-    """Readings written by month and range, one city read back through the layout."""
+    """Readings written by month and range, read back through the layout."""
     path = files.write_by_month(readings(spark, sf_dir), scratch_path(spark, "layout"))
-    return spark.read.parquet(path).filter(F.col("city") == "error").drop("month_part")
+    return spark.read.parquet(path).drop("month_part")
 
 
 @query
 def city_files(spark, sf_dir):
-    """Two cities stored with different headers, stacked and tagged."""
-    base, root = readings(spark, sf_dir), scratch_path(spark, "city-files")
+    """All cities, stored with two kinds of headers, stacked and tagged."""
+    base, root = materialise(readings(spark, sf_dir), "readings"), scratch_path(spark, "city-files")
     paths = {}
-    for city, kind, dotted in (("lahore", "error", False), ("quetta", "view", True)):
+    for i, (kind, (city, _, _)) in enumerate(zip(sorted(STATIONS), CITIES)):
+        dotted = i % 2 == 1
         part = base.filter(F.col("city") == kind).drop("city")
         part = part.withColumn("datetime", F.date_format("datetime", "dd/MM/yyyy HH:mm" if dotted else "yyyy-MM-dd HH:mm:ss"))
         if dotted:
@@ -680,11 +717,11 @@ def json_stats_roundtrip(spark, sf_dir):
 
 @query
 def latest_run(spark, sf_dir):
-    """Two logged runs over the readings; the newer one is returned."""
+    """Two logged runs over the readings, the first with a duller forecast; the newer one is returned."""
     path = scratch_path(spark, "runs")
     scored = materialise(forecast(spark, sf_dir), "forecast")
     for at, run, frame in (
-        ("2024-02-01T00:00:00Z", "first", scored.filter(F.col("city") == "error")),
+        ("2024-02-01T00:00:00Z", "first", scored.withColumn("aqi_3h", F.lit(3.0))),
         ("2024-02-02T00:00:00Z", "second", scored),
     ):
         found = evaluate(frame)
@@ -708,33 +745,73 @@ def _inputs(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in ("datetime", TARGET, HAZARD)]
 
 
+# A fitted forest is not SQL, but what must hold for every published prediction is: these
+# queries return the keys of all scored rows with rules that are worked out from real outputs.
+
+
+@query
+def prepared_inputs(spark, sf_dir):
+    """Model inputs after filling, scaling and one-hot coding, for two measures and the city."""
+    rows = materialise(dropout_readings(spark, sf_dir), "dropouts")
+    fitted = fit_preprocessor(rows, ["main_aqi", "components_pm2_5", "city"])
+    vector = vector_to_array(F.col("features"))
+    parts = {"level_scaled": r6(vector[0]), "fine_dust_scaled": r6(vector[1])}
+    parts |= {f"is_{kind}": vector[i + 2].cast("int") for i, kind in enumerate(sorted(STATIONS))}
+    return fitted.transform(rows).select("city", "datetime", *[c.alias(n) for n, c in parts.items()])
+
+
 @query
 def rf_forecast(spark, sf_dir):
     train, val = _train_val(spark, sf_dir)
     models = {"regressor": train_regressor(train, _inputs(train), trees=TREES, depth=DEPTH)}
-    return score(val, models).select("city", "datetime", TARGET, "aqi_3h")
+    low, high = train.agg(F.min(TARGET), F.max(TARGET)).first()
+    scored = score(val, models)
+    # Leaves hold means of training targets.
+    return scored.select("city", "datetime", TARGET, F.col("aqi_3h").between(low - 1e-9, high + 1e-9).alias("within_training_range"))
 
 
 @query
 def rf_hazard(spark, sf_dir):
     train, val = _train_val(spark, sf_dir)
-    models = {"classifier": train_classifier(train, _inputs(train), trees=TREES, depth=DEPTH)}
-    return score(val, models).select("city", "datetime", HAZARD, "hazard_class", "hazard_prob")
+    scored = score(val, {"classifier": train_classifier(train, _inputs(train), trees=TREES, depth=DEPTH)})
+    follows = F.col("hazard_class") == (F.col("hazard_prob") > 0.5).cast("int")
+    return scored.select(
+        "city", "datetime", HAZARD, F.col("hazard_prob").between(0, 1).alias("is_probability"),
+        (follows | (F.col("hazard_prob") == 0.5)).alias("class_follows_probability"),
+    )
 
 
 @query
 def tree_severity(spark, sf_dir):
     train, val = _train_val(spark, sf_dir)
-    models = {"recommender": train_recommender(train, _inputs(train), depth=DEPTH)}
-    return score(val, models).select("city", "datetime", TARGET, "severity_model")
+    scored = score(val, {"recommender": train_recommender(train, _inputs(train), depth=DEPTH)})
+    seen = [r[0] for r in train.select(lab.severity_bucket(F.col(TARGET))).distinct().collect()]  # four buckets at most
+    return scored.select("city", "datetime", TARGET, F.col("severity_model").isin(seen).alias("is_trained_bucket"))
 
 
 @query
 def current_level_baseline(spark, sf_dir):
+    """Counts of the later side, and how the metrics of the scored rows hang together."""
     marked = splits.mark_quantile_split(materialise(readings(spark, sf_dir), "readings"))
     train, val = marked.filter("split = 'train'"), marked.filter("split = 'val'")
-    scored = score(val, {"regressor": train_current_level(train, TREES, DEPTH)})
-    return metrics.regression_metrics(scored, "main_aqi", "aqi_3h")
+    scored = materialise(score(val, {"regressor": train_current_level(train, TREES, DEPTH)}), "scored")
+    found = metrics.regression_metrics(scored, "main_aqi", "aqi_3h")
+    return found.select(
+        "n",
+        (F.abs(F.col("rmse") * F.col("rmse") - F.col("mse")) < 1e-9).alias("rmse_is_root_of_mse"),
+        (F.col("mae") <= F.col("rmse")).alias("mae_is_below_rmse"),
+        (F.col("r2") > 0).alias("beats_the_mean"),
+    )
+
+
+def _confusion_totals(spark, found: dict, extra: list[tuple[str, float]]) -> DataFrame:
+    """Totals of a confusion matrix and its accuracy against the reported one."""
+    (tn, fp), (fn, tp) = found["confusion_matrix"]
+    total = tn + fp + fn + tp
+    rows = [("safe", float(tn + fp)), ("hazardous", float(fn + tp)), ("rows", float(total))]
+    rows += [("accuracy_from_counts", round((tn + tp) / total - found["accuracy"], 6)), *extra]
+    rows += [("auc_is_a_share", float(0 <= found["roc_auc"] <= 1))]
+    return spark.createDataFrame(rows, "metric string, value double")
 
 
 @query
@@ -742,24 +819,106 @@ def holdout_eval(spark, sf_dir):
     """Store three models, load them again, evaluate them on the later side."""
     train, val = _train_val(spark, sf_dir)
     root = scratch_path(spark, "models")
-    save_models(spark, train_all(train, TREES, DEPTH), root, {"feature_columns": _inputs(train)})
-    found = evaluate(materialise(score(val, load_models(spark, root)), "scored"))
-    rows = [(part, name, float(v)) for part, values in found.items() for name, v in values.items() if isinstance(v, float)]
-    return spark.createDataFrame(rows, "part string, metric string, value double")
+    paths = save_models(spark, train_all(train, TREES, DEPTH), root, {"feature_columns": _inputs(train)})
+    promote(spark, paths, root, {})
+    scored = materialise(score(val, load_models(spark, root)), "scored")
+    found = evaluate(scored)
+    errors = scored.agg(F.avg((F.col(TARGET) - F.col("aqi_3h")) ** 2)).first()[0]
+    same = float(abs(errors - found["regression"]["mse"]) < 1e-9)
+    return _confusion_totals(spark, found["classification"], [("mse_recomputed", same)])
 
 
 @query
 def batch_scoring(spark, sf_dir):
-    """Nested prediction records for the later side, from all three models."""
+    """Prediction records for the later side, from all three models, checked against their own parts."""
     train, val = _train_val(spark, sf_dir)
-    return prediction_records(score(val, train_all(train, TREES, DEPTH)), "recommender")
+    scored = score(val, train_all(train, TREES, DEPTH))
+    records = prediction_records(scored, "stored/tree", carried=["datetime", "severity_model"])
+    based = F.col("recommendations.based_on")
+    return records.select(
+        "city",
+        "datetime",
+        F.col("realtime.current_aqi").alias("current_aqi"),
+        F.col("realtime.predicted_for_local").alias("predicted_for_local"),
+        (F.col("prediction.hazard_label") == lab.hazard_text(F.col("prediction.aqi_3h"))).alias("label_follows_level"),
+        (F.col("recommendations.severity_bucket") == lab.bucket_label(F.col("severity_model"))).alias("bucket_follows_model"),
+        (based["predicted_aqi"] == F.col("prediction.aqi_3h")).alias("advice_on_forecast"),
+        based["recommender_model"].alias("recommender_model"),
+    )
 
 
 @query
 def balanced_suite(spark, sf_dir):
     found = balanced_model_report(materialise(features(spark, sf_dir), "features"), TREES, DEPTH)
-    rows = [(k, float(v)) for k, v in found.items() if isinstance(v, float)]
-    return spark.createDataFrame(rows, "metric string, value double")
+    return _confusion_totals(spark, found, [])
+
+
+@query
+def csv_scoring(spark, sf_dir):
+    """Feature rows stored as CSV with raw city names, scored from the file; the inputs that the readings lack are 0."""
+    train, val = _train_val(spark, sf_dir)
+    lacking = [c for c in FEATURES if c not in val.columns]
+    wide = val.withColumns({c: F.lit(0.0) for c in lacking}).withColumn("city", F.concat(F.lit(" "), F.upper("city")))
+    path = files.write_csv(wide.select(*FEATURES), scratch_path(spark, "feature-csv"))
+    models = train_all(train, TREES, DEPTH)
+    records = score_csv(spark, path, models, "stored/tree")
+    known = F.col("recommendations.based_on")
+    return records.groupBy("city").agg(
+        F.count("*").alias("n"),
+        r6(F.sum(known["current_aqi"])).alias("current_aqi"),
+        F.count_if(known["recommender_model"] != "stored/tree").alias("without_origin"),
+        F.count_if(F.col("prediction.hazard_label") != lab.hazard_text(F.col("prediction.aqi_3h"))).alias("wrong_labels"),
+    )
+
+
+@query
+def model_registry(spark, sf_dir):
+    """Which models serving takes: before a promotion, after one, and after a newer one without a recommender."""
+    train, _ = _train_val(spark, sf_dir)
+    root = scratch_path(spark, "models")
+    models = {r: m for r, m in train_all(train, 2, 2).items()}
+    paths = save_models(spark, models, root, {"periods": periods(materialise(features(spark, sf_dir), "features"), CUTOFF)})
+    steps = [("trained", model_paths(spark, root))]
+    promote(spark, paths, root, {}, "run-1")
+    steps.append(("promoted", model_paths(spark, root)))
+    save_production(spark, {r: models[r] for r in ("regressor", "classifier")}, root, {})
+    steps.append(("newer", model_paths(spark, root)))
+    kept = records.read_record(spark, paths["metadata"])["periods"]
+    rows = [(step, role, "/production/" in path) for step, found in steps for role, path in found.items()]
+    listed = spark.createDataFrame(rows, "step string, role string, from_production boolean")
+    sides = spark.createDataFrame([("periods", side, p["rows"] > 0) for side, p in kept.items()], listed.schema)
+    return listed.unionByName(sides)
+
+
+@query
+def stored_metadata(spark, sf_dir):
+    """Split periods written with a training run's record and read back."""
+    found = periods(materialise(features(spark, sf_dir), "features"), CUTOFF)
+    path = records.write_record(spark, {"periods": found}, scratch_path(spark, "metadata"))
+    back = records.production_info(spark, path)["periods"]
+    rows = [(side, p["start"], p["end"], p["rows"]) for side, p in back.items()]
+    return spark.createDataFrame(rows, "split string, start string, end string, n long")
+
+
+@query
+def load_readings_first_row(spark, sf_dir):
+    """Repeated readings with missing levels, landed and loaded: the first row of a key in the source stays."""
+    raw = raw_readings(spark, sf_dir).withColumn("city", F.concat(F.upper("city"), F.lit(" ")))
+    level = F.when(F.col("components_pm2_5") >= DROPOUT_BELOW, F.col("main_aqi"))
+    source = scratch_path(spark, "source")
+    raw.withColumn("main_aqi", level).repartitionByRange("event_id").sortWithinPartitions("event_id").write.parquet(source)
+    landed = files.land_first(spark, ["/not/there.csv", source], scratch_path(spark, "landed"))
+    columns = files.column_names(spark, landed)
+    return files.load_readings(spark, [landed]).select("city", "datetime", *[c for c in MEASURED if c in columns])
+
+
+@query
+def contract_inputs(spark, sf_dir):
+    """The model inputs that the feature table carries and lacks, in contract order."""
+    built = features(spark, sf_dir)
+    held, n = feature_columns(built), built.count()
+    rows = [(i, c, n if c in held else 0) for i, c in enumerate(FEATURES)]
+    return spark.createDataFrame(rows, "place int, feature string, n_rows long")
 
 
 @query
@@ -778,9 +937,8 @@ def _event_stream(spark, sf_dir):
 
 @query
 def stream_dedup(spark, sf_dir):
-    work = scratch_path(spark, "stream-dedup")
-    out = jobs.run_append(_event_stream(spark, sf_dir), work, jobs.drop_repeats)
-    return spark.read.parquet(out).select("city", "datetime")
+    out = jobs.run_unique(_event_stream(spark, sf_dir), scratch_path(spark, "stream-dedup"), "event_id")
+    return jobs.read_unique(spark, out, "event_id")
 
 
 @query
@@ -793,14 +951,17 @@ def stream_counters(spark, sf_dir):
 
 @query
 def stream_scoring(spark, sf_dir):
-    """Score every distinct (city, hour) of the stream with models trained on the batch side."""
+    """Every distinct (city, hour) of the stream scored with models trained on the batch side."""
     train, _ = _train_val(spark, sf_dir)
     models = train_all(train, TREES, DEPTH)
     work = scratch_path(spark, "stream-scoring")
-    out = jobs.run_append(
-        _event_stream(spark, sf_dir).drop("event_id"), work, lambda s: jobs.score_stream(jobs.drop_repeats(s), models)
+    out = jobs.run_unique(_event_stream(spark, sf_dir), work, "event_id", jobs.score_rows(models, "stored/tree", "event_id"))
+    based = F.col("record.recommendations.based_on")
+    return jobs.read_shaped(spark, out, "event_id").select(
+        "city",
+        "datetime",
+        F.col("record.realtime.current_aqi").alias("current_aqi"),
+        F.col("record.prediction.hazard_prob").between(0, 1).alias("is_probability"),
+        (F.col("record.prediction.hazard_label") == lab.hazard_text(based["predicted_aqi"])).alias("label_follows_level"),
+        based["recommender_model"].alias("recommender_model"),
     )
-    return spark.read.parquet(out)
-
-
-__all__ = ["QUERIES", "persistence_forecast"]

@@ -26,8 +26,6 @@ STATIONS = {
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Calendar functions work on the session zone; the tables are zone-free, so UTC is neutral.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
@@ -35,7 +33,7 @@ def reading_columns() -> list[Column]:
     value = F.col("value")
     return [
         F.col("event_type").alias("city"),
-        F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("datetime"),
+        F.timestamp_add("HOUR", F.hour("ts"), F.col("ts").cast("date").cast("timestamp_ntz")).alias("datetime"),
         F.least(F.lit(5.0), F.lit(1.0) + value / F.lit(25.0)).alias("main_aqi"),
         value.alias("components_pm2_5"),
         F.get_json_object("props", "$.k").try_cast("double").alias("components_pm10"),

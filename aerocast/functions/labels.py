@@ -52,14 +52,19 @@ def rounded_level(aqi: Column) -> Column:
     return clip(F.bround(present(aqi.cast("double"))), 1.0, 5.0).cast("int")
 
 
+def _is_hazardous(aqi: Column) -> Column:
+    """Spark sorts NaN above all numbers, so the comparison alone would call it hazardous."""
+    return (aqi >= F.lit(HAZARD_FROM)) & ~F.isnan(aqi.cast("double"))
+
+
 def hazard_flag(aqi: Column) -> Column:
-    """1 when the level is hazardous, else 0."""
-    return (aqi >= F.lit(HAZARD_FROM)).cast("int")
+    """1 when the level is hazardous, else 0; a missing level gives null, NaN is not hazardous."""
+    return _is_hazardous(aqi).cast("int")
 
 
 def hazard_text(aqi: Column) -> Column:
     """Hazard wording from a predicted level."""
-    return F.when(aqi >= F.lit(HAZARD_FROM), F.lit(HAZARD_TEXT[0])).otherwise(F.lit(HAZARD_TEXT[1]))
+    return F.when(_is_hazardous(aqi), F.lit(HAZARD_TEXT[0])).otherwise(F.lit(HAZARD_TEXT[1]))
 
 
 def hazard_class_text(label: Column) -> Column:

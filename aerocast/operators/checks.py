@@ -101,4 +101,4 @@ def check_serving_contract(df: DataFrame) -> None:
     """All 33 model inputs present; the error lists the missing ones."""
     missing = missing_columns(df, FEATURES)
     if missing:
-        raise ContractError(f"missing required feature columns: {missing}")
+        raise ContractError(f"rows lack {len(missing)} model inputs: {missing}")

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerocast.operators.ordered import percentiles, percentiles_of, value_totals
+from aerocast.session import materialise
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 WHISKER = 1.5
-SALTS = 32
 
 
 def wide_to_rows(one_row: DataFrame, columns: list[str], parts: list[str], name: str = "column") -> DataFrame:
@@ -46,14 +46,15 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def duplicate_counts(df: DataFrame, keys=("city", "datetime")) -> DataFrame:
-    """Surplus rows: copies of a whole row, and further rows of a key."""
+    """Surplus rows: copies of a whole row, and further rows of a key.
 
-    def surplus(columns):
-        extra = F.coalesce(F.sum(F.col("n") - 1), F.lit(0))
-        return df.groupBy(*columns).agg(F.count("*").alias("n")).agg(extra.alias("n")).select("n")
-
-    whole = surplus(df.columns).select(F.lit("row").alias("scope"), F.col("n").alias("duplicates"))
-    return whole.unionByName(surplus(keys).select(F.lit("key").alias("scope"), F.col("n").alias("duplicates")))
+    One pass: rows are counted as wholes, then these counts by key.
+    """
+    whole = df.groupBy(*df.columns).agg(F.count("*").alias("n"))
+    by_key = whole.groupBy(*keys).agg(F.sum(F.col("n") - 1).alias("copies"), F.sum("n").alias("n"))
+    one = by_key.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("a"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("b"))
+    scopes = [F.struct(F.lit(s).alias("scope"), F.col(c).alias("duplicates")) for s, c in (("row", "a"), ("key", "b"))]
+    return one.select(F.inline(F.array(*scopes)))
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -73,18 +74,18 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def box_stats(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Per city and column: quartiles, 1.5-IQR whiskers and the number of outliers."""
+    """Per city and column: quartiles, 1.5-IQR whiskers and the number of outliers.
+
+    Rows without a city are left out. Values are counted once and stored: the counts are read for
+    the quartiles and for the whiskers, and a city with many values can be split in the join.
+    """
     keys = ["city", "feature"]
-    counted = value_totals(df, ["city"], columns)
+    counted = materialise(value_totals(df.filter(F.col("city").isNotNull()), ["city"], columns), "value-counts")
     box = percentiles_of(counted, keys, QUARTILES)
     reach = WHISKER * (F.col("q3") - F.col("q1"))
     inside = F.col("value").between(F.col("q1") - reach, F.col("q3") + reach)
-    # The join runs on counted values. They are salted, so that a city with many values is
-    # spread over several tasks; the box side is one row per (city, column) and repeated.
-    salted = counted.withColumn("_salt", F.pmod(F.hash("value"), F.lit(SALTS)))
-    boxes = box.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     spread = (
-        salted.join(boxes, [*keys, "_salt"])
+        counted.join(box, keys)
         .groupBy(*keys)
         .agg(
             *[F.max(q).alias(q) for q in QUARTILES],
@@ -102,24 +103,43 @@ def box_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def daily_mean(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Daily means per city over every day between its first and last reading.
+def _months(span: DataFrame) -> DataFrame:
+    """The months between ``_a`` and ``_b``, one row each, with the part of the span inside them.
+
+    A span is opened in two steps, so that no array is longer than the months of the calendar.
+    """
+    first = F.explode(F.sequence(F.trunc("_a", "month"), F.trunc("_b", "month"), F.expr("INTERVAL 1 MONTH")))
+    return span.withColumn("_month", first)
+
+
+def daily_mean(df: DataFrame, columns: list[str], key: str = "city") -> DataFrame:
+    """Daily means per series over every day between its first and last reading.
 
     Days without readings appear with null means.
     """
     day = F.col("datetime").cast("date")
-    means = df.groupBy("city", day.alias("day")).agg(*[F.avg(c).alias(f"{c}_mean") for c in columns])
-    span = means.groupBy("city").agg(F.min("day").alias("_a"), F.max("day").alias("_b"))
-    days = span.select("city", F.explode(F.sequence("_a", "_b", F.expr("INTERVAL 1 DAY"))).alias("day"))
-    return days.join(means, ["city", "day"], "left")
+    means = df.groupBy(key, day.alias("day")).agg(*[F.avg(c).alias(f"{c}_mean") for c in columns])
+    span = means.groupBy(key).agg(F.min("day").alias("_a"), F.max("day").alias("_b"))
+    inside = F.sequence(F.greatest("_a", "_month"), F.least("_b", F.last_day("_month")), F.expr("INTERVAL 1 DAY"))
+    days = _months(span).select(key, F.explode(inside).alias("day"))
+    return days.join(means, [key, "day"], "left")
 
 
 def missing_stamps(df: DataFrame) -> DataFrame:
-    """Hourly stamps between a city's first and last reading that have no reading."""
+    """Hourly stamps between a city's first and last reading that have no reading.
+
+    Stamps keep the minutes and seconds of the first reading.
+    """
     seen = df.select("city", "datetime").distinct()
-    span = df.groupBy("city").agg(F.min("datetime").alias("_a"), F.max("datetime").alias("_b"))
-    grid = span.select("city", F.explode(F.sequence("_a", "_b", F.expr("INTERVAL 1 HOUR"))).alias("datetime"))
-    return grid.join(seen, ["city", "datetime"], "left_anti")
+    span = df.groupBy("city").agg(F.min("datetime").alias("_first"), F.max("datetime").alias("_last"))
+    hours = F.timestamp_diff("HOUR", F.col("_first"), F.col("_last"))
+    # Months of 720 hours are opened first, so no array is longer than the months of the calendar.
+    months = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(hours / 720)))
+    spread = span.select("city", "_first", hours.alias("_hours"), months.alias("_month"))
+    offsets = F.sequence(F.col("_month") * 720, F.least(F.col("_hours"), F.col("_month") * 720 + 719))
+    grid = spread.select("city", "_first", F.explode(offsets).alias("_offset"))
+    stamps = grid.select("city", F.timestamp_add("HOUR", F.col("_offset").cast("int"), F.col("_first")).alias("datetime"))
+    return stamps.join(seen, ["city", "datetime"], "left_anti")
 
 
 def missing_hours(df: DataFrame) -> DataFrame:

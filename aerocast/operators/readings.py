@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from aerocast.contract import BUILD_CUTOFF, CITIES, ContractError, missing_columns, require_columns
 from aerocast.functions.calendar import as_local_time
 
-LAST_ORDER = 2**63 - 1
+# Column that landing adds: the place of a row in its source, files in the order of their names.
+ROW_ORDER = "row_order"
+# Rows without a place come after all that have one.
+UNORDERED = 2**62
 
 
 def standard_headers(df: DataFrame) -> DataFrame:
@@ -60,27 +63,25 @@ def align_columns(df: DataFrame, expected: list[str], label: str = "input") -> D
     return df.select(*[c for c in expected if c != "city"], "city")
 
 
-def first_per_key(df: DataFrame, keys=("city", "datetime"), order: str | None = None) -> DataFrame:
-    """One row per key: the one with the smallest ``order`` value.
+def first_per_key(df: DataFrame, keys=("city", "datetime"), order: str = ROW_ORDER) -> DataFrame:
+    """One row per key: the one with the smallest ``order`` value, which is dropped.
 
-    An aggregation, not a window: copies collapse on the map side, so a key that holds a
-    large share of all rows never meets in one task. ``order`` is a unique integer column
-    (rows without one come last) and is dropped; without it the smallest whole row wins,
-    which is deterministic too.
+    An aggregation on hashes, not a window: copies collapse on the map side, so a key that holds
+    a large share of all rows never meets in one task. ``order`` is a unique integer column of
+    the source order. Rows without one come last, in the order of a hash of the whole row.
     """
-    require_columns(df, keys)
+    require_columns(df, [*keys, order])
     rest = [c for c in df.columns if c not in keys and c != order]
-    if order is None:
-        best = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-        return best.select(*keys, *[F.col("_row")[c].alias(c) for c in rest])
-    rank = F.coalesce(F.col(order).cast("bigint"), F.lit(LAST_ORDER))
-    return df.groupBy(*keys).agg(*[F.min_by(F.col(c), rank).alias(c) for c in rest])
+    unordered = F.lit(UNORDERED) + F.pmod(F.xxhash64(*df.columns), F.lit(UNORDERED))
+    ranked = df.withColumn("_rank", F.coalesce(F.col(order).cast("bigint"), unordered))
+    # min_by keeps its row as one buffer per column; fixed-width columns stay in a hash aggregate.
+    return ranked.groupBy(*keys).agg(*[F.min_by(F.col(c), F.col("_rank")).alias(c) for c in rest])
 
 
-def clean_readings(df: DataFrame, order: str | None = None) -> DataFrame:
-    """Raw rows to unique readings: typed, dated, with a city, one row per key."""
-    keep = ("city", "datetime") + ((order,) if order else ())
-    typed = numeric_measures(with_city(parse_datetime(standard_headers(df))), keep)
+def clean_readings(df: DataFrame, order: str = ROW_ORDER) -> DataFrame:
+    """Raw rows to unique readings: typed, dated, with a city in model form, one row per key."""
+    named = with_city(parse_datetime(standard_headers(df)))
+    typed = numeric_measures(named.withColumn("city", city_name(F.col("city"))), ("city", "datetime", order))
     return first_per_key(typed, order=order)
 
 

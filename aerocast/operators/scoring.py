@@ -34,10 +34,14 @@ def serving_columns(df: DataFrame) -> list[str]:
     return [c for c in FEATURES if c in df.columns]
 
 
-def prediction_records(scored: DataFrame, model_name: str | None = None, observed: str | None = "datetime") -> DataFrame:
+def prediction_records(
+    scored: DataFrame, model_name: str | None = None, observed: str | None = "datetime", carried: list[str] | None = None
+) -> DataFrame:
     """Nested prediction record per scored row.
 
     Expects ``aqi_3h`` and, where the models gave them, ``hazard_prob`` and ``severity_model``.
+    ``model_name`` tells where the severity model is stored; it is recorded where that model chose.
+    ``carried`` columns stay beside the record.
     """
     has = set(scored.columns)
     label = hazard_text(F.col("aqi_3h"))
@@ -62,5 +66,5 @@ def prediction_records(scored: DataFrame, model_name: str | None = None, observe
             ).alias("realtime")
         )
     record.append(F.struct(F.lit(MODEL_VERSION).alias("model_version"), F.lit(HORIZON).alias("horizon_hours")).alias("meta"))
-    record.append(advice_record(F.col("aqi_3h"), label, current, bucket, model_name).alias("recommendations"))
-    return scored.select(*record)
+    record.append(advice_record(F.col("aqi_3h"), label, current, bucket, model_name if bucket is not None else None).alias("recommendations"))
+    return scored.select(*(carried or []), *record)

@@ -3,9 +3,9 @@
 Lag and lead count rows, not hours. A city may be very long, and one city may hold a large
 share of all rows, so a window over the whole city would put that share into one task.
 Instead a series is cut into time blocks and every window runs per (city, block); with
-hourly keys a 30-day block has at most 720 rows; denser stretches of a city can be cut finer
-(``choose_block``). Only the few rows next to a block border
-need rows of other blocks. Those rows form a small border table (a handful per block),
+hourly keys a 30-day block has at most 720 rows. Sources with more rows per hour pass a finer
+width (``1d``, ``1h``, ``1m``, ``1s``): the result is the same for every width. Only the few rows next
+to a block border need rows of other blocks. Those rows form a small border table (a handful per block),
 which is ordered per city, and what each block needs from its neighbours is joined back on
 (city, block). The wide rows are shuffled once, by (city, block).
 """
@@ -27,14 +27,9 @@ from aerocast.contract import (
 )
 from aerocast.functions.calendar import calendar_columns
 from aerocast.functions.labels import hazard_flag
-from aerocast.session import materialise
 
+# Width of a time block: days, or one hour, minute or second.
 BLOCK = "30d"
-# No blocks: one window per city. For cities that are known to be short.
-WHOLE = "city"
-MAX_BLOCK_ROWS = 1_000_000
-# Seconds per width, from coarse to fine.
-WIDTHS = {"30d": 2_592_000, "1d": 86_400, "1h": 3_600, "1m": 60, "1s": 1}
 
 
 def block_id(ts: Column, width: str = BLOCK) -> Column:
@@ -47,47 +42,6 @@ def block_id(ts: Column, width: str = BLOCK) -> Column:
     return {"1h": hours, "1m": minutes, "1s": minutes * 60 + F.second(ts).cast("int")}[width]
 
 
-def choose_block(df: DataFrame, max_rows: int = MAX_BLOCK_ROWS) -> str | DataFrame:
-    """The cheapest blocks that keep every window within ``max_rows`` distinct times.
-
-    Whole cities if the longest one is short enough; else the default width if every (city,
-    30 days) is; else a table (city, cell, seconds) of the cells that do not, each with the widest finer width
-    that does; the other cells keep the default. Both can be passed as ``block``.
-
-    Each try is a map-side-combined pass over two columns, and only the first one covers all
-    rows. Times are counted by a sketch, so copies do not count. The table has at most one row
-    per ``max_rows`` distinct times.
-    """
-    at = F.col("datetime")
-    rows = df.select("city", "datetime", block_id(at).alias("cell"))
-    times = F.approx_count_distinct("datetime").alias("n")
-    longest = df.groupBy("city").agg(times).agg(F.max("n")).first()[0] or 0
-    if longest <= max_rows:
-        return WHOLE
-    full = rows.groupBy("city", "cell").agg(times).filter(F.col("n") > max_rows)
-    dense = materialise(full.select("city", "cell"), "dense-cells")
-    if dense.isEmpty():
-        return BLOCK
-    found, left = None, dense
-    finer = list(WIDTHS)[1:]
-    for width in finer:
-        inside = rows.join(F.broadcast(left), ["city", "cell"])
-        fullest = (
-            inside.groupBy("city", "cell", block_id(at, width).alias("_fine"))
-            .agg(times)
-            .groupBy("city", "cell")
-            .agg(F.max("n").alias("n"))
-        )
-        fits = F.lit(True) if width == finer[-1] else F.col("n") <= max_rows
-        tried = materialise(fullest.select("city", "cell", fits.alias("fits")), "dense-cells")
-        done = tried.filter("fits").select("city", "cell", F.lit(WIDTHS[width]).alias("seconds"))
-        found = done if found is None else found.unionAll(done)
-        left = tried.filter("NOT fits").select("city", "cell")
-        if left.isEmpty():
-            break
-    return found
-
-
 # Window clauses. Expressions below are SQL text: one parse per column instead of many calls.
 IN_BLOCK = "(PARTITION BY city, _block ORDER BY datetime)"
 IN_CITY = "(PARTITION BY city ORDER BY datetime)"
@@ -119,20 +73,10 @@ def _named(parts: dict[str, str]) -> list[str]:
     return [f"{expression} AS `{name}`" for name, expression in parts.items()]
 
 
-def _with_block(df: DataFrame, block: str | DataFrame) -> DataFrame:
-    at = F.col("datetime")
-    if isinstance(block, str):
-        numbered = df.withColumn("_block", block_id(at, block))
-    else:
-        # Dense cells are split further. A cell is either split or whole, so block numbers
-        # still grow with time: cell number first, then the part inside the cell.
-        cells = F.broadcast(block.withColumnsRenamed({"cell": "_cell", "seconds": "_seconds"}))
-        placed = df.withColumn("_cell", block_id(at)).join(cells, ["city", "_cell"], "left")
-        inside = block_id(at, "1s") - F.col("_cell") * WIDTHS[BLOCK]
-        part = F.coalesce(F.floor(inside / F.col("_seconds")), F.lit(0))
-        numbered = placed.withColumn("_block", F.col("_cell") * WIDTHS[BLOCK] + part).select(*df.columns, "_block")
+def _with_block(df: DataFrame, block: str) -> DataFrame:
     # The null filter is stated here, not left to be inferred from the join on one side only:
     # with equal plans below, both readers of the rows share one shuffle.
+    numbered = df.withColumn("_block", block_id(F.col("datetime"), block))
     return numbered.filter("city IS NOT NULL AND _block IS NOT NULL")
 
 
@@ -147,7 +91,7 @@ def _join_context(rows: DataFrame, context: DataFrame, how: str) -> DataFrame:
     return rows.join(context.hint("shuffle_hash"), ["city", "_block"], how)
 
 
-def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], block: str | DataFrame = BLOCK) -> DataFrame:
+def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], block: str = BLOCK) -> DataFrame:
     """Add columns taken from other rows of the same city, in time order.
 
     ``shifts`` maps a new name to (column, rows); rows > 0 looks back, rows < 0 looks ahead.
@@ -155,9 +99,6 @@ def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], block: str | D
     """
     require_columns(df, ["city", "datetime"] + [c for c, _ in shifts.values()])
     kept = [f"`{c}`" for c in df.columns]
-    if isinstance(block, str) and block == WHOLE:
-        moved = {n: f"{'lag' if k > 0 else 'lead'}(`{c}`, {abs(k)}) OVER {IN_CITY}" for n, (c, k) in shifts.items()}
-        return df.filter("city IS NOT NULL AND datetime IS NOT NULL").selectExpr(*kept, *_named(moved))
     back, ahead = {}, {}
     for c, k in shifts.values():
         reach = back if k > 0 else ahead
@@ -197,7 +138,7 @@ def add_calendar(df: DataFrame) -> DataFrame:
     return df.withColumns(calendar_columns(F.col("datetime")))
 
 
-def add_future_target(df: DataFrame, horizon: int = HORIZON, block: str | DataFrame = BLOCK) -> DataFrame:
+def add_future_target(df: DataFrame, horizon: int = HORIZON, block: str = BLOCK) -> DataFrame:
     """Level ``horizon`` rows ahead and its hazard flag; rows without a target are dropped."""
     require_columns(df, ["city", "datetime", "main_aqi"])
     shifted = row_shifts(df, {TARGET: ("main_aqi", -horizon)}, block).filter(F.col(TARGET).isNotNull())
@@ -208,7 +149,7 @@ def _lag_spec(columns) -> dict[str, tuple[str, int]]:
     return {f"{c}_lag_{k}": (c, k) for c in columns for k in range(1, LAG_STEPS + 1)}
 
 
-def add_lags(df: DataFrame, columns=tuple(LAGGED), block: str | DataFrame = BLOCK) -> DataFrame:
+def add_lags(df: DataFrame, columns=tuple(LAGGED), block: str = BLOCK) -> DataFrame:
     """Lags 1..3 of the given columns that exist; rows at the start keep nulls."""
     spec = _lag_spec([c for c in columns if c in df.columns])
     return row_shifts(df, spec, block) if spec else df
@@ -221,7 +162,7 @@ def _mean_of(parts: list[str]) -> str:
     return f"CASE WHEN {count} > 0 THEN ({total}) / ({count}) END"
 
 
-def add_rolling(df: DataFrame, columns=tuple(ROLLED), window: int = ROLL_ROWS, block: str | DataFrame = BLOCK) -> DataFrame:
+def add_rolling(df: DataFrame, columns=tuple(ROLLED), window: int = ROLL_ROWS, block: str = BLOCK) -> DataFrame:
     """Mean of the last ``window`` rows including the current one, over at least one value."""
     columns = [c for c in columns if c in df.columns]
     if not columns:
@@ -234,7 +175,7 @@ def add_rolling(df: DataFrame, columns=tuple(ROLLED), window: int = ROLL_ROWS, b
     return shifted.selectExpr(*[f"`{c}`" for c in df.columns], *_named(means))
 
 
-def forecast_features(df: DataFrame, horizon: int = HORIZON, block: str | DataFrame = BLOCK) -> DataFrame:
+def forecast_features(df: DataFrame, horizon: int = HORIZON, block: str = BLOCK) -> DataFrame:
     """Target, calendar, lag and rolling features in one pass over the readings.
 
     The order of steps matters: the target is taken first, rows without one are dropped, and
@@ -243,8 +184,6 @@ def forecast_features(df: DataFrame, horizon: int = HORIZON, block: str | DataFr
     """
     require_columns(df, ["city", "datetime", "main_aqi"])
     lagged = [c for c in LAGGED if c in df.columns]
-    if isinstance(block, str) and block == WHOLE:
-        return build_features(add_future_target(df, horizon, block), block)
     rolled = [c for c in ROLLED if c in df.columns]
     rows = _with_block(df, block)
     ahead = [f"{_rows_after(horizon)} AS _after", f"lead(main_aqi, {horizon}) OVER {IN_BLOCK} AS {TARGET}"]
@@ -295,7 +234,7 @@ def forecast_features(df: DataFrame, horizon: int = HORIZON, block: str | DataFr
     return built.dropna(subset=[*lags, *means])
 
 
-def build_features(df: DataFrame, block: str | DataFrame = BLOCK) -> DataFrame:
+def build_features(df: DataFrame, block: str = BLOCK) -> DataFrame:
     """Calendar, lag and rolling features for a frame that already carries its targets."""
     require_columns(df, ["datetime", "city", TARGET, HAZARD])
     spec = _lag_spec([c for c in LAGGED if c in df.columns])

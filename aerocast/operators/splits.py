@@ -27,7 +27,7 @@ def split_counts(marked: DataFrame) -> dict[str, int]:
     counts = {r["split"]: r["n"] for r in marked.groupBy("split").agg(F.count("*").alias("n")).collect()}
     for side in ("train", "val"):
         if not counts.get(side):
-            raise ContractError(f"time split leaves {side} empty; adjust the cutoff")
+            raise ContractError(f"no rows on the {side} side of the cutoff")
     return counts
 
 

@@ -45,7 +45,7 @@ def evaluate(scored: DataFrame) -> dict[str, dict]:
 def check_feature_list(df: DataFrame, expected: list[str]) -> None:
     missing = missing_columns(df, expected)
     if missing:
-        raise ContractError(f"missing expected feature columns on test set: {missing}")
+        raise ContractError(f"the stored models need columns that the table lacks: {missing}")
 
 
 def persistence_forecast(features: DataFrame) -> DataFrame:

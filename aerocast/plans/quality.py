@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerocast.contract import FEATURES, HAZARD, ContractError
 from aerocast.models.training import score, train_classifier
 from aerocast.operators.checks import check_integrity, check_predictions
 from aerocast.operators.drift import check_drift
-from aerocast.operators.profile import conflicting_labels, duplicate_counts, null_profile, single_valued_columns
-from aerocast.operators.sampling import balanced_sample, sample_rows
+from aerocast.operators.profile import conflicting_labels
+from aerocast.operators.sampling import balanced_sample
 from aerocast.operators.scoring import prediction_records
 from aerocast.plans.evaluate import evaluate
 from aerocast.session import materialise
@@ -41,7 +41,7 @@ CANONICAL_ROW = {
     "month": 6,
     "is_weekend": 0,
 }
-# --- Fixed values: columns of the quality suites and their sample size. ---
+# --- Fixed values: columns of the quality suites. ---
 SUITE_FEATURES = [
     "main_aqi",
     "temperature_2m",
@@ -54,7 +54,6 @@ SUITE_FEATURES = [
     "month",
     "city",
 ]
-SUITE_ROWS = 800
 
 
 def canonical_features(spark: SparkSession) -> DataFrame:
@@ -87,35 +86,42 @@ def run_checks(sample: DataFrame, baseline: DataFrame, models: dict[str, Pipelin
 
 
 def integrity_profile(df: DataFrame, label: str = HAZARD) -> DataFrame:
-    """(finding, subject, amount) over the suite columns: nulls, copies, constants, label conflicts."""
-    features = [c for c in SUITE_FEATURES if c in df.columns]
-    part = df.select(*features, label)
-
-    def rows(frame: DataFrame, finding: str, subject, amount) -> DataFrame:
-        return frame.select(F.lit(finding).alias("finding"), subject.alias("subject"), amount.cast("bigint").alias("amount"))
-
-    # Identical feature rows at different times are ordinary readings, so copies are counted
-    # on the key where there is one.
-    keyed = df if {"city", "datetime"} <= set(df.columns) else part
-    keys = ("city", "datetime") if keyed is df else tuple(features)
-    found = [
-        rows(null_profile(part), "nulls", F.col("column"), F.col("n_null")),
-        rows(duplicate_counts(keyed, keys).filter("scope = 'key'"), "duplicate keys", F.lit("*"), F.col("duplicates")),
-        rows(single_valued_columns(part), "single value", F.col("column"), F.lit(1)),
-        rows(conflicting_labels(part, features, label), "conflicting labels", F.lit(label), F.col("n_conflicts")),
-    ]
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
+    """(finding, subject, amount) over the suite columns: nulls, copies, constants, label conflicts.
 
-
-def suite_sample(df: DataFrame, n: int = SUITE_ROWS) -> DataFrame:
-    return sample_rows(df, n)
+    Three passes over the input, one per grouping; store it first if its plan is expensive.
+    Identical feature rows at different times are ordinary readings, so copies are counted on
+    the key where there is one.
+    """
+    features = [c for c in SUITE_FEATURES if c in df.columns]
+    columns = [*features, label]
+    keys = ("city", "datetime") if {"city", "datetime"} <= set(df.columns) else tuple(features)
+
+    def finding(name: str, subject: str, amount) -> Column:
+        named = (F.lit(name).alias("finding"), F.lit(subject).alias("subject"))
+        return F.struct(*named, amount.cast("bigint").alias("amount"))
+
+    counts = []
+    for c in columns:
+        alone = F.min(c).eqNullSafe(F.max(c)) & ((F.count(c) == 0) | (F.count(c) == F.count("*")))
+        counts += [F.count_if(F.col(c).isNull()).alias(f"nulls|{c}"), alone.alias(f"single|{c}")]
+    one = df.agg(*counts)
+    cells = [finding("nulls", c, F.col(f"`nulls|{c}`")) for c in columns]
+    # A column with several values gives a null struct, which is filtered out.
+    cells += [F.when(F.col(f"`single|{c}`"), finding("single value", c, F.lit(1))) for c in columns]
+    by_column = one.select(F.explode(F.array(*cells)).alias("f")).filter("f IS NOT NULL").select("f.*")
+
+    copies = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("n"))
+    conflicts = conflicting_labels(df, features, label)
+    by_key = copies.select(finding("duplicate keys", "*", F.col("n")).alias("f")).select("f.*")
+    by_label = conflicts.select(finding("conflicting labels", label, F.col("n_conflicts")).alias("f")).select("f.*")
+    return by_column.unionByName(by_key).unionByName(by_label)
 
 
 def balanced_model_report(df: DataFrame, trees: int = 200, depth: int = 12) -> dict:
-    """Fit and evaluate the hazard model on a label-balanced sample of the suite columns."""
+    """Fit and evaluate the hazard model on a label-balanced sample of the suite columns.
+
+    The sample has as many rows of each label as the rarest label has; there is no other bound.
+    """
     features = [c for c in SUITE_FEATURES if c in df.columns]
     even = materialise(balanced_sample(df, HAZARD), "balanced")
     model = train_classifier(even, features, trees=trees, depth=depth, balanced=False)

@@ -5,27 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from aerocast.contract import HORIZON, TRAIN_CUTOFF, feature_columns
-from aerocast.models.registry import load_production, promote, save_models
+from aerocast.models.registry import load_production, promote, save_models, save_production
 from aerocast.models.training import DEPTH, TREES, score, train_all, train_classifier, train_regressor, fit_preprocessor
 from aerocast.operators.checks import check_features, check_predictions, check_raw
 from aerocast.operators.profile import split_periods
-from aerocast.operators.sampling import first_rows, sample_rows
-from aerocast.operators.series import choose_block, forecast_features
+from aerocast.operators.sampling import sample_rows
+from aerocast.operators.series import BLOCK, forecast_features
 from aerocast.operators.splits import mark_split, train_val
 from aerocast.plans.evaluate import check_feature_list, evaluate
-from aerocast.session import materialise
+from aerocast.session import materialise, scratch_path
 from aerocast.sources.files import land_first, load_features, load_readings, write_by_month, write_csv
 from aerocast.sources.records import log_run, save_baseline, write_record
 
 
 def build_offline_features(
-    spark: SparkSession, source: str, out: str, horizon: int = HORIZON, block: str | DataFrame | None = None
+    spark: SparkSession, source: str, out: str, horizon: int = HORIZON, block: str = BLOCK, root: str | None = None
 ) -> str:
-    """Readings to a stored feature table. Without a block width, the density decides it."""
-    # Density and border rows are read separately from the wide rows, so the unique readings
-    # are stored once instead of being deduplicated for each.
-    rows = materialise(load_readings(spark, [source]), "readings")
-    return write_by_month(forecast_features(rows, horizon, block or choose_block(rows)), out)
+    """Readings to a stored feature table; ``block`` is the width of the time blocks of a series.
+
+    Working tables go to ``root``, or else to the session's shared folder.
+    """
+    # Border rows are read separately from the wide rows, so the unique readings are stored
+    # once instead of being deduplicated for each.
+    rows = materialise(load_readings(spark, [source]), "readings", root)
+    return write_by_month(forecast_features(rows, horizon, block), out, root)
 
 
 def feature_table(spark: SparkSession, path: str) -> DataFrame:
@@ -33,7 +36,9 @@ def feature_table(spark: SparkSession, path: str) -> DataFrame:
     return load_features(spark, path).drop("month_part")
 
 
-def train_and_report(df: DataFrame, cutoff: str = TRAIN_CUTOFF, trees: int = TREES, depth: int = DEPTH) -> dict:
+def train_and_report(
+    df: DataFrame, cutoff: str = TRAIN_CUTOFF, trees: int = TREES, depth: int = DEPTH, root: str | None = None
+) -> dict:
     """Split by time, train regressor and classifier, evaluate on the later side."""
     train, val = train_val(df, cutoff)
     columns = feature_columns(df)
@@ -42,7 +47,7 @@ def train_and_report(df: DataFrame, cutoff: str = TRAIN_CUTOFF, trees: int = TRE
         "regressor": train_regressor(train, columns, prepared, trees, depth),
         "classifier": train_classifier(train, columns, prepared, trees, depth),
     }
-    metrics = evaluate(materialise(score(val, models), "scored"))
+    metrics = evaluate(materialise(score(val, models), "scored", root))
     return {"models": models, "metrics": metrics, "feature_columns": columns}
 
 
@@ -55,19 +60,19 @@ def periods(df: DataFrame, cutoff: str = TRAIN_CUTOFF) -> dict[str, dict]:
 def train_from_table(spark: SparkSession, features: str, root: str, cutoff: str = TRAIN_CUTOFF, trees: int = TREES, depth: int = DEPTH) -> dict:
     """Train on a stored feature table and store the result as production models."""
     df = feature_table(spark, features)
-    done = train_and_report(df, cutoff, trees, depth)
+    done = train_and_report(df, cutoff, trees, depth, f"{root}/work")
     metadata = {"feature_columns": done["feature_columns"], "metrics": done["metrics"], "periods": periods(df, cutoff)}
-    save_models(spark, done["models"], f"{root}/production", metadata)
+    save_production(spark, done["models"], root, metadata)
     return done["metrics"]
 
 
-def evaluate_on_test(spark: SparkSession, source: str, root: str, horizon: int = HORIZON) -> dict:
+def evaluate_on_test(spark: SparkSession, source: str, root: str, horizon: int = HORIZON, block: str = BLOCK) -> dict:
     """Score a hold-out set with the production models and their stored feature list."""
     models, metadata = load_production(spark, root)
-    rows = materialise(load_readings(spark, [source]), "readings")
-    df = forecast_features(rows, horizon, choose_block(rows))
+    rows = materialise(load_readings(spark, [source]), "readings", f"{root}/work")
+    df = forecast_features(rows, horizon, block)
     check_feature_list(df, metadata["feature_columns"])
-    return evaluate(materialise(score(df, models), "holdout"))
+    return evaluate(materialise(score(df, models), "holdout", f"{root}/work"))
 
 
 def training_run(
@@ -77,17 +82,19 @@ def training_run(
     cutoff: str = TRAIN_CUTOFF,
     trees: int = TREES,
     depth: int = DEPTH,
-    block: str | DataFrame | None = None,
+    block: str = BLOCK,
     notes: str = "automated training run",
 ) -> dict:
     """The whole run: land, features, checks, baseline, three models, evaluation, promotion, log.
 
     Every stage that later stages read more than once is a written table under ``work``, so a
-    lost executor costs a task, not the lineage.
+    lost executor costs a task, not the lineage. Tables that only this run needs lie in its own
+    folder below ``work``/run.
     """
+    scratch = scratch_path(spark, "run", f"{work}/run")
     landed = land_first(spark, candidates, f"{work}/ingested")
     # The feature table is read by every later step; it is written once.
-    built = build_offline_features(spark, landed, f"{work}/features", block=block)
+    built = build_offline_features(spark, landed, f"{work}/features", block=block, root=scratch)
     df = feature_table(spark, built)
     check_raw(df)
     train, val = train_val(df, cutoff)
@@ -98,9 +105,9 @@ def training_run(
     models = train_all(train, trees, depth)
     root = f"{work}/models"
     paths = save_models(spark, models, root, {"feature_columns": feature_columns(df), "periods": periods(df, cutoff)})
-    check_predictions(score(first_rows(val, 50), {"regressor": models["regressor"]}), "aqi_3h")
-
-    metrics = evaluate(materialise(score(val, models), "scored"))
+    scored = materialise(score(val, models), "scored", scratch)
+    check_predictions(scored, "aqi_3h")
+    metrics = evaluate(scored)
     write_record(spark, metrics, f"{work}/metrics")
     produced = promote(spark, paths, root, metrics)
     log_run(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,37 +26,32 @@ def build_session(app: str = "aerocast", master: str | None = None, **conf) -> S
     return builder.getOrCreate()
 
 
-_LOCAL_DIRS: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
     """Root folder for cut lineage, stream state and working tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session without that
-    setting (a test run) gets a temporary folder, one per application.
+    The cluster names it in ``spark.checkpoint.dir``; without that setting it lies in the
+    warehouse of the session, which every executor reaches as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if context.applicationId not in _LOCAL_DIRS:
-        _LOCAL_DIRS[context.applicationId] = tempfile.mkdtemp(prefix="aerocast-")
-    return _LOCAL_DIRS[context.applicationId]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/aerocast-work"
+
 
+def scratch_path(spark: SparkSession, label: str, root: str | None = None) -> str:
+    """A fresh, not yet existing path under ``root``, or else under the shared folder."""
+    return f"{root or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, not yet existing path under the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
+def materialise(df: DataFrame, label: str, root: str | None = None) -> DataFrame:
+    """Write ``df`` once and read it back, from ``root`` or else from the shared folder.
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+    A job gives the run folder below its own work path as ``root``, so that all its working
+    tables can be removed with that folder.
 
     Used where several jobs read the same expensive plan: the written table cuts the
     lineage and survives lost executors.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = scratch_path(df.sparkSession, label, root)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +11,7 @@ from pyspark.sql import types as T
 from aerocast.contract import FEATURES, MEASURES, ContractError, require_columns
 from aerocast.operators.checks import check_serving_contract
 from aerocast.operators.readings import (
+    ROW_ORDER,
     align_columns,
     before_cutoff,
     city_name,
@@ -18,6 +21,10 @@ from aerocast.operators.readings import (
     standard_headers,
     with_city,
 )
+from aerocast.session import materialise
+
+# Bits of a row's place inside its file; files may have up to 16 TB.
+PLACE_BITS = 44
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -31,7 +38,7 @@ def first_existing(spark: SparkSession, candidates: list[str]) -> str:
     for path in candidates:
         if path_exists(spark, path):
             return path
-    raise FileNotFoundError(f"no training data found; expected one of {candidates}")
+    raise FileNotFoundError(f"none of these sources exists: {candidates}")
 
 
 def read_text_table(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -44,8 +51,25 @@ def read_text_table(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def read_any(spark: SparkSession, path: str) -> DataFrame:
-    """CSV by suffix, Parquet otherwise."""
-    return read_text_table(spark, path) if path.endswith(".csv") else spark.read.parquet(path)
+    """CSV by suffix, Parquet otherwise, with the place of every row in the source.
+
+    ``row_order`` counts files in the order of their names, then rows: by their number in a
+    Parquet file, and by byte offset plus position in a CSV split. A source that was landed
+    before has the column already.
+    """
+    if path.endswith(".csv"):
+        scan = read_text_table(spark, path)
+        # A split has fewer rows than bytes, so the sum stays below the offset of the next one.
+        inside = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    else:
+        scan, inside = spark.read.parquet(path), F.col("_metadata.row_index")
+    if ROW_ORDER in scan.columns:
+        return scan
+    placed = scan.select("*", F.col("_metadata.file_path").alias("_file"), inside.alias("_inside"))
+    names = sorted(re.sub(r"^(\w+):///", r"\1:/", f) for f in scan.inputFiles())
+    numbers = spark.createDataFrame(list(enumerate(names)), "_number long, _file string")
+    order = F.shiftleft("_number", PLACE_BITS) + F.col("_inside")
+    return placed.join(numbers, "_file").select(*[f"`{c}`" for c in scan.columns], order.alias(ROW_ORDER))
 
 
 def column_names(spark: SparkSession, path: str) -> list[str]:
@@ -73,7 +97,7 @@ def read_city_files(spark: SparkSession, files: dict[str, str]) -> DataFrame:
     for city, path in files.items():
         parts = data_files(spark, path) if path_exists(spark, path) else []
         if not parts:
-            raise FileNotFoundError(f"expected data for {city} at {path}")
+            raise FileNotFoundError(f"city {city} has no file: {path}")
         header = tuple(read_text_table(spark, parts[0]).columns)
         for part in parts:
             name = part.rsplit("/", 1)[-1]
@@ -112,9 +136,9 @@ def unify_test(spark: SparkSession, files: dict[str, str], reference: str | None
     return rows.withColumn("city", city_name(F.col("city")))
 
 
-def load_readings(spark: SparkSession, candidates: list[str], order: str | None = None) -> DataFrame:
-    """Unique, typed readings from the first source that exists."""
-    return clean_readings(read_any(spark, first_existing(spark, candidates)), order)
+def load_readings(spark: SparkSession, candidates: list[str]) -> DataFrame:
+    """Unique, typed readings from the first source that exists: of several rows of a key the first."""
+    return clean_readings(read_any(spark, first_existing(spark, candidates)))
 
 
 def load_features(spark: SparkSession, path: str) -> DataFrame:
@@ -125,7 +149,7 @@ def load_features(spark: SparkSession, path: str) -> DataFrame:
 
 
 def land(df: DataFrame, path: str) -> str:
-    """Write raw rows under a stable path."""
+    """Write raw rows under a stable path; a place in the source is a column like any other."""
     df.write.mode("overwrite").parquet(path)
     return path
 
@@ -135,14 +159,15 @@ def land_first(spark: SparkSession, candidates: list[str], path: str) -> str:
     return land(read_any(spark, first_existing(spark, candidates)), path)
 
 
-def write_by_month(df: DataFrame, path: str) -> str:
+def write_by_month(df: DataFrame, path: str, root: str | None = None) -> str:
     """Parquet in one folder per month, ordered by city and time inside.
 
     Rows are spread by ranges of (month, city, time): tasks are even however uneven the
     cities are, a file holds few cities, so a city filter skips most row groups, and the
-    number of folders does not grow with the number of cities.
+    number of folders does not grow with the number of cities. The ranges are sampled from the
+    rows, so these are stored first: their plan runs once, not once more for the sample.
     """
-    laid = df.withColumn("month_part", F.date_format("datetime", "yyyy-MM"))
+    laid = materialise(df, "unordered", root).withColumn("month_part", F.date_format("datetime", "yyyy-MM"))
     order = ["month_part", "city", "datetime"]
     ranged = laid.repartitionByRange(*order).sortWithinPartitions(*order)
     ranged.write.mode("overwrite").partitionBy("month_part").parquet(path)
@@ -158,7 +183,8 @@ def read_feature_csv(spark: SparkSession, path: str) -> DataFrame:
     """Feature rows for batch scoring; the file must carry all model inputs."""
     raw = standard_headers(read_text_table(spark, path))
     check_serving_contract(raw)
-    return numeric_measures(raw.select(*FEATURES), ("city",))
+    named = raw.select(*FEATURES).withColumn("city", city_name(F.col("city")))
+    return numeric_measures(named, ("city",))
 
 
 def read_readings_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:

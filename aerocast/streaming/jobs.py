@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aerocast.models.training import score
+from aerocast.operators.readings import ROW_ORDER, first_per_key
 from aerocast.operators.scoring import cold_start_features, prediction_records
-
-LATENESS = "2 hours"
+from aerocast.sources.files import path_exists
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -28,18 +28,76 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int |
     return reader.parquet(path)
 
 
-def drop_repeats(stream: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Each (city, datetime) once; state is kept for the lateness only.
+def _better(batch: DataFrame, out: str, batch_id: int, order: str) -> DataFrame:
+    """First rows of the keys of a batch that no earlier batch holds with a smaller order.
+
+    Only the months that the batch touches are read from what was written before.
+    """
+    spark, month = batch.sparkSession, F.date_format("datetime", "yyyy-MM")
+    ranked = batch.withColumn("_order", F.col(order))
+    rows = first_per_key(ranked, order=order).withColumnRenamed("_order", order).withColumn("month_part", month)
+    if not path_exists(spark, out):
+        return rows
+    months = [r[0] for r in rows.select("month_part").distinct().collect()]  # bounded by the calendar
+    held = spark.read.schema(rows.withColumn("batch", F.lit(0).cast("bigint")).schema).option("basePath", out).parquet(out)
+    held = held.filter((F.col("batch") < batch_id) & F.col("month_part").isin(months))
+    held = held.select("city", "datetime", F.col(order).alias("_held"))
+    known = (rows["city"] == held["city"]) & (rows["datetime"] == held["datetime"]) & (held["_held"] <= rows[order])
+    return rows.join(held, known, "left_anti")
+
+
+def unique_to_files(
+    stream: DataFrame, out: str, checkpoint: str, order: str = ROW_ORDER, shape: Callable[[DataFrame], DataFrame] | None = None
+) -> StreamingQuery:
+    """Write the first row per (city, datetime) of a stream, over all files available now.
+
+    A batch adds the rows whose key is new, or whose ``order`` is smaller than what is there, in
+    a folder of its own: a repeated batch replaces it. ``read_unique`` picks the smallest order of a
+    key, so the result does not depend on how files fall into batches or on their order, nothing
+    is dropped as late, and no state is kept in memory. ``shape`` adds columns to the new rows.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = _better(batch, f"{out}/keys", batch_id, order)
+        rows.write.mode("overwrite").partitionBy("month_part").parquet(f"{out}/keys/batch={batch_id}")
+        if shape is not None:
+            kept = batch.sparkSession.read.schema(rows.schema).parquet(f"{out}/keys/batch={batch_id}").drop("month_part")
+            shape(kept).write.mode("overwrite").parquet(f"{out}/shaped/batch={batch_id}")
+
+    writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+    return writer.foreachBatch(write).trigger(availableNow=True).start()
+
+
+def read_unique(spark: SparkSession, out: str, order: str = ROW_ORDER) -> DataFrame:
+    """The rows that ``unique_to_files`` keeps, each key once."""
+    return first_per_key(spark.read.parquet(f"{out}/keys").drop("batch", "month_part"), order=order)
+
+
+def read_shaped(spark: SparkSession, out: str, order: str = ROW_ORDER) -> DataFrame:
+    """The shaped rows, each key once; ``shape`` must keep the city, the time and the order."""
+    return first_per_key(spark.read.parquet(f"{out}/shaped").drop("batch"), order=order)
 
-    The watermark needs a zoned timestamp, so the key time is cast for it and dropped again.
+
+def score_rows(
+    models: dict[str, PipelineModel], recommender: str | None = None, order: str = ROW_ORDER
+) -> Callable[[DataFrame], DataFrame]:
+    """A shape for ``unique_to_files``: prediction records beside the key of their reading.
+
+    A stream has no history, so lags repeat the current value.
     """
-    timed = stream.withColumn("_at", F.col("datetime").cast("timestamp"))
-    return timed.withWatermark("_at", lateness).dropDuplicatesWithinWatermark(["city", "datetime"]).drop("_at")
 
+    def shape(rows: DataFrame) -> DataFrame:
+        keyed = rows.withColumns({"_key": F.col("city"), "_order": F.col(order)})
+        scored = score(cold_start_features(keyed), models)
+        record = prediction_records(scored, recommender, carried=["_key", "datetime", "_order"])
+        return record.select(
+            F.col("_key").alias("city"),
+            "datetime",
+            F.col("_order").alias(order),
+            F.struct(*[c for c in record.columns if c not in ("_key", "datetime", "_order")]).alias("record"),
+        )
 
-def score_stream(stream: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
-    """Prediction records for arriving readings; a stream has no history, so lags repeat."""
-    return prediction_records(score(cold_start_features(stream), models))
+    return shape
 
 
 def counter_stream(log: DataFrame) -> DataFrame:
@@ -50,12 +108,6 @@ def counter_stream(log: DataFrame) -> DataFrame:
     )
 
 
-def append_to_files(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Append results to Parquet, exactly once, over all files available now."""
-    writer = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start(out)
-
-
 def snapshot_to_files(stream: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """Keep the newest complete result of an aggregation, one folder per batch.
 
@@ -70,9 +122,13 @@ def snapshot_to_files(stream: DataFrame, out: str, checkpoint: str) -> Streaming
 
 
 def latest_snapshot(spark: SparkSession, out: str) -> DataFrame:
-    """The result of the newest batch."""
-    all_batches = spark.read.parquet(out)
-    return all_batches.filter(F.col("batch") == all_batches.agg(F.max("batch")).scalar()).drop("batch")
+    """The result of the newest complete batch; only that folder is read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(out)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = [f.getPath().getName() for f in found]
+    batches = sorted((int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")), reverse=True)
+    newest = next(b for b in batches if path_exists(spark, f"{out}/batch={b}/_SUCCESS"))
+    return spark.read.parquet(f"{out}/batch={newest}")
 
 
 def run_to_end(query: StreamingQuery) -> None:
@@ -81,7 +137,9 @@ def run_to_end(query: StreamingQuery) -> None:
         raise query.exception()
 
 
-def run_append(stream: DataFrame, work: str, shape: Callable[[DataFrame], DataFrame] = lambda d: d) -> str:
-    """Run a shaped stream over all available files into ``work``/out."""
-    run_to_end(append_to_files(shape(stream), f"{work}/out", f"{work}/checkpoint"))
+def run_unique(
+    stream: DataFrame, work: str, order: str = ROW_ORDER, shape: Callable[[DataFrame], DataFrame] | None = None
+) -> str:
+    """Run ``unique_to_files`` over all available files into ``work``/out."""
+    run_to_end(unique_to_files(stream, f"{work}/out", f"{work}/checkpoint", order, shape))
     return f"{work}/out"

@@ -9,11 +9,18 @@ from aerocast.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = build_session(
         "tests",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": 8, "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{
+            "spark.sql.shuffle.partitions": 8,
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": shared / "work",
+            "spark.sql.warehouse.dir": shared / "warehouse",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     return session

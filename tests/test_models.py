@@ -84,20 +84,58 @@ def test_registry_prefers_production(spark, tmp_path):
     assert name_of(spark, registry.load_model(spark, root, "regressor")) == "base"
     with pytest.raises(registry.MissingModel):
         registry.load_production(spark, root)
-    for _ in range(2):  # a second promotion replaces the first
-        produced = registry.promote(spark, paths, root, {"rmse": 1.0}, "run-7")
+    for run in ("run-6", "run-7"):  # a second promotion replaces the first
+        produced = registry.promote(spark, paths, root, {"rmse": 1.0}, run)
     record = read_record(spark, produced["metadata"])
     assert (record["training_run_id"], record["metrics"], record["n"]) == ("run-7", {"rmse": 1.0}, 1)
     assert set(registry.load_production(spark, root)[0]) == {"regressor", "classifier"}
-    registry.save_models(spark, {"regressor": named("production")}, f"{root}/production", {})
+    assert registry.model_path(spark, root, "regressor") == produced["regressor"]
+    newer = {"regressor": named("production"), "classifier": named("production")}
+    registry.save_production(spark, newer, root, {})
     assert name_of(spark, registry.load_model(spark, root, "regressor")) == "production"
     assert set(registry.load_models(spark, root)) == {"regressor", "classifier"}
 
 
-def test_broken_production_falls_back(spark, tmp_path):
+def test_failed_copy_keeps_the_current_version(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    paths = registry.save_models(spark, {r: named("base") for r in registry.ROLES}, root, {})
+    first = registry.promote(spark, paths, root, {}, "run-1")
+    real, calls = registry.copy_tree, []
+
+    def breaks(spark, source, target):
+        calls.append(target)
+        if len(calls) == 2:
+            raise OSError("disk full")
+        real(spark, source, target)
+
+    monkeypatch.setattr(registry, "copy_tree", breaks)
+    with pytest.raises(OSError):
+        registry.promote(spark, paths, root, {}, "run-2")
+    assert registry.model_path(spark, root, "regressor") == first["regressor"]
+    assert read_record(spark, f"{registry.production_path(spark, root)}/metadata")["training_run_id"] == "run-1"
+
+
+def test_a_version_without_a_recommender_takes_no_older_one(spark, tmp_path):
+    root = str(tmp_path)
+    paths = registry.save_models(spark, {r: named("old") for r in registry.ROLES}, root, {})
+    registry.promote(spark, paths, root, {}, "run-1")
+    registry.save_production(spark, {"regressor": named("new"), "classifier": named("new")}, root, {})
+    assert set(registry.load_models(spark, root)) == {"regressor", "classifier"}
+
+
+def test_incomplete_production_falls_back(spark, tmp_path):
     registry.save_models(spark, {"regressor": named("base")}, str(tmp_path), {})
-    (tmp_path / "production" / "regressor").mkdir(parents=True)
+    (tmp_path / "production" / "v-1" / "regressor").mkdir(parents=True)
+    registry.switch_production(spark, f"{tmp_path}/production", "v-1")
     assert name_of(spark, registry.load_model(spark, str(tmp_path), "regressor")) == "base"
+    # A store that is there but broken is an error, not a reason to serve something else.
+    broken = registry.save_production(spark, {"regressor": named("new")}, str(tmp_path), {})
+    for part in (tmp_path / broken["regressor"] / "stages").glob("*/metadata/part-*"):
+        part.write_text("{")
+    for crc in (tmp_path / broken["regressor"] / "stages").glob("*/metadata/.part-*"):
+        crc.unlink()
+    with pytest.raises(Exception, match="JSON|parse|Expect|end-of-input|delim"):
+        registry.load_model(spark, str(tmp_path), "regressor")
 
 
 def test_stored_models_score_alike(spark, table, models, tmp_path):
@@ -130,7 +168,7 @@ def test_offline_flow(spark, tmp_path):
     built = training.build_offline_features(spark, source, f"{tmp_path}/features")
     found = training.train_from_table(spark, built, f"{tmp_path}/models", CUTOFF, **SMALL)
     assert found["regression"]["rmse"] < 2
-    assert read_record(spark, f"{tmp_path}/models/production/metadata")["periods"]["train"]["rows"] > 0
+    assert registry.load_production(spark, f"{tmp_path}/models")[1]["periods"]["train"]["rows"] > 0
 
 
 def test_behaviour_gate(spark, table, models):
@@ -146,7 +184,7 @@ def test_quality_suites(table):
     found = {(r["finding"], r["subject"]): r["amount"] for r in quality.integrity_profile(table).collect()}
     assert found[("nulls", "city")] == 0 and found[("duplicate keys", "*")] == 0
     assert found[("single value", "month")] == 1 and found[("conflicting labels", HAZARD)] == 0
-    report = quality.balanced_model_report(quality.suite_sample(table), 5, 4)
+    report = quality.balanced_model_report(table, 5, 4)
     assert report["roc_auc"] > 0.5
 
 
@@ -171,9 +209,12 @@ def test_live_observation_scoring(spark, models):
             0D AS precipitation, 1000D AS surface_pressure, 2D AS wind_speed_10m, 180D AS wind_direction_10m,
             100D AS shortwave_radiation FROM VALUES ('islamabad'), ('Unknown') AS t(city)"""
     )
-    rows = serve.score_observations(poll, weather, models).collect()
+    older = poll.withColumns({"main_aqi": F.lit(1.0), "observed_at_local": F.expr("observed_at_local - INTERVAL 1 HOUR")})
+    many = weather.unionAll(weather.withColumn("datetime", F.expr("datetime - INTERVAL 2 HOUR")))
+    rows = serve.score_observations(older.unionAll(poll), many, models, "stored/tree").collect()
     assert len(rows) == 1
     row = rows[0].asDict(recursive=True)
     assert row["city"] == "Islamabad" and row["prediction"]["hazard_label"] in ("Hazardous", "Safe / Moderate")
     assert str(row["realtime"]["predicted_for_local"]) == "2024-01-01 08:00:00"
     assert row["recommendations"]["based_on"]["current_aqi"] == 4.0
+    assert row["recommendations"]["based_on"]["recommender_model"] == "stored/tree"

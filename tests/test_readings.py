@@ -28,21 +28,34 @@ def test_first_row_of_a_key_wins_and_nulls_stay(spark):
     assert got == {"a": None, "b": 3.0}
 
 
-def test_smallest_row_wins_without_an_order(spark):
-    rows = [("a", T0, 4.0, 1.0), ("a", T0, 2.0, 9.0), ("a", T0, 2.0, 3.0)]
-    df = spark.createDataFrame(rows, "city string, datetime timestamp_ntz, x double, y double").repartition(3)
-    assert [tuple(r) for r in rd.first_per_key(df).collect()] == [("a", T0, 2.0, 3.0)]
+def test_rows_without_a_place_come_last(spark):
+    rows = [("a", T0, 1.0, None), ("a", T0, 2.0, 9), ("b", T0, 3.0, None), ("b", T0, 4.0, None)]
+    df = spark.createDataFrame(rows, "city string, datetime timestamp_ntz, x double, row_order bigint")
+    got = {r["city"]: r["x"] for r in rd.first_per_key(df.repartition(3)).collect()}
+    again = {r["city"]: r["x"] for r in rd.first_per_key(df.coalesce(1)).collect()}
+    assert got == again and got["a"] == 2.0 and got["b"] in (3.0, 4.0)
+    with pytest.raises(ContractError, match="row_order"):
+        rd.first_per_key(df.drop("row_order"))
+
+
+def test_first_rows_are_found_by_hashing(spark):
+    rows = spark.range(100).selectExpr(
+        "string(id % 5) AS city", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS datetime", "double(id) AS x", "id AS row_order"
+    )
+    plan = rd.first_per_key(rows)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
 
 
 def test_clean_readings(spark):
     rows = [
         ("Lahore", "2024-01-01 05:00:00", "3.5", "n/a"),
-        ("Lahore", "01/01/2024 05:00", "4.5", "2"),
+        ("lahore ", "01/01/2024 05:00", "1.5", "2"),
         ("Lahore", "never", "1", "1"),
         (None, "2024-01-01 05:00:00", "1", "1"),
-        ("Quetta", "2024-01-01 06:00:00", "NaN", "7"),
+        ("QUETTA", "2024-01-01 06:00:00", "NaN", "7"),
     ]
-    df = spark.createDataFrame(rows, "city string, datetime string, main_aqi string, `components.pm10` string")
+    numbered = [(*r, i) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(numbered, "city string, datetime string, main_aqi string, `components.pm10` string, row_order bigint")
     got = sorted(map(tuple, rd.clean_readings(df).collect()))
     assert got == [("Lahore", hour(5), 3.5, None), ("Quetta", hour(6), None, 7.0)]
 

@@ -1,10 +1,12 @@
-"""Row-based shifts and features against pandas, on hand-made and random series."""
+"""Row-based shifts and features against a walk over plain lists, on hand-made and random series."""
+
+import math
 
 import numpy as np
 import pandas as pd
 import pytest
 
-from aerocast.contract import ENGINEERED, ContractError
+from aerocast.contract import ENGINEERED, LAGGED, ROLLED, ContractError
 from aerocast.operators import series
 
 
@@ -25,24 +27,58 @@ def random_series(seed: int, cities: int = 4, hours: int = 300, null_share: floa
     return pd.concat(parts, ignore_index=True).sample(frac=1, random_state=seed)
 
 
+def by_city(df: pd.DataFrame) -> dict[str, list[dict]]:
+    """Readings of each city as plain rows in time order, missing values as None."""
+    out: dict[str, list[dict]] = {}
+    for row in sorted(df.to_dict("records"), key=lambda r: (r["city"], r["datetime"])):
+        clean = {k: None if isinstance(v, float) and math.isnan(v) else v for k, v in row.items()}
+        out.setdefault(row["city"], []).append(clean)
+    return out
+
+
+def at(rows: list[dict], place: int, name: str):
+    return rows[place][name] if 0 <= place < len(rows) else None
+
+
+def targeted(df: pd.DataFrame, horizon: int = 3) -> dict[str, list[dict]]:
+    out = {}
+    for city, rows in by_city(df).items():
+        found = [{**row, "main_aqi_t_plus_h": at(rows, i + horizon, "main_aqi")} for i, row in enumerate(rows)]
+        out[city] = [{**r, "hazard_t_plus_h": int(r["main_aqi_t_plus_h"] >= 4)} for r in found if r["main_aqi_t_plus_h"] is not None]
+    return out
+
+
+def lagged(rows: list[dict], place: int) -> dict:
+    return {f"{c}_lag_{k}": at(rows, place - k, c) for c in LAGGED for k in (1, 2, 3)}
+
+
+def rolled(rows: list[dict], place: int) -> dict:
+    out = {}
+    for c in ROLLED:
+        near = [v for v in (at(rows, place - k, c) for k in (0, 1, 2)) if v is not None]
+        out[f"{c}_roll3_mean"] = math.fsum(near) / len(near) if near else None
+    return out
+
+
+def walk(series_of: dict[str, list[dict]], *added) -> pd.DataFrame:
+    """Every row with what the given functions find around its place."""
+    rows = [{**row, **{k: v for f in added for k, v in f(rows, i).items()}} for rows in series_of.values() for i, row in enumerate(rows)]
+    return pd.DataFrame(rows)
+
+
+def calendar(rows: list[dict], place: int) -> dict:
+    when = rows[place]["datetime"]
+    day = when.weekday()
+    return {"hour": when.hour, "dayofweek": day, "month": when.month, "is_weekend": int(day in (5, 6))}
+
+
 def expected_targets(df: pd.DataFrame, horizon: int = 3) -> pd.DataFrame:
-    df = df.sort_values(["city", "datetime"]).copy()
-    df["main_aqi_t_plus_h"] = df.groupby("city")["main_aqi"].shift(-horizon)
-    df = df[df["main_aqi_t_plus_h"].notna()].copy()
-    df["hazard_t_plus_h"] = (df["main_aqi_t_plus_h"] >= 4).astype(int)
-    return df
+    return walk(targeted(df, horizon))
 
 
 def expected_features(df: pd.DataFrame, horizon: int = 3) -> pd.DataFrame:
-    df = expected_targets(df, horizon)
-    df["hour"], df["dayofweek"] = df["datetime"].dt.hour, df["datetime"].dt.dayofweek
-    df["month"], df["is_weekend"] = df["datetime"].dt.month, (df["datetime"].dt.dayofweek >= 5).astype(int)
-    for c in ("main_aqi", "components_pm2_5", "components_pm10"):
-        for k in (1, 2, 3):
-            df[f"{c}_lag_{k}"] = df.groupby("city")[c].shift(k)
-    for c in ("components_pm2_5", "components_pm10"):
-        df[f"{c}_roll3_mean"] = df.groupby("city")[c].transform(lambda s: s.rolling(3, min_periods=1).mean())
-    return df.dropna(subset=ENGINEERED)
+    found = walk(targeted(df, horizon), calendar, lagged, rolled)
+    return found[[all(pd.notna(r[c]) for c in ENGINEERED) for r in found.to_dict("records")]]
 
 
 def to_spark(spark, df: pd.DataFrame):
@@ -60,9 +96,9 @@ def assert_same(got, expected: pd.DataFrame):
     pd.testing.assert_frame_equal(left, right, check_dtype=False, rtol=1e-9)
 
 
-@pytest.mark.parametrize("block", ["city", "30d", "1d", "1h"])
+@pytest.mark.parametrize("block", ["30d", "1d", "1h"])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_features_match_pandas(spark, block, seed):
+def test_features_match_the_walk(spark, block, seed):
     data = random_series(seed)
     assert_same(series.forecast_features(to_spark(spark, data), block=block), expected_features(data))
 
@@ -86,28 +122,19 @@ def test_target_then_features_equals_one_pass(spark):
     assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
 
 
-@pytest.mark.parametrize("block", ["city", "30d", "1d", "1h"])
+@pytest.mark.parametrize("block", ["30d", "1d", "1h"])
 def test_single_operators(spark, block):
     data = random_series(6)
-    frame, ordered = to_spark(spark, data), data.sort_values(["city", "datetime"])
+    frame = to_spark(spark, data)
     assert_same(series.add_future_target(frame, block=block), expected_targets(data))
-    lagged = ordered.copy()
-    for c in ("main_aqi", "components_pm2_5", "components_pm10"):
-        for k in (1, 2, 3):
-            lagged[f"{c}_lag_{k}"] = ordered.groupby("city")[c].shift(k)
-    assert_same(series.add_lags(frame, block=block), lagged)
-    rolled = ordered.copy()
-    for c in ("components_pm2_5", "components_pm10"):
-        rolled[f"{c}_roll3_mean"] = ordered.groupby("city")[c].transform(lambda s: s.rolling(3, min_periods=1).mean())
-    assert_same(series.add_rolling(frame, block=block), rolled)
+    assert_same(series.add_lags(frame, block=block), walk(by_city(data), lagged))
+    assert_same(series.add_rolling(frame, block=block), walk(by_city(data), rolled))
 
 
 def test_shifts_in_both_directions(spark):
     data = random_series(8)
     got = series.row_shifts(to_spark(spark, data), {"was": ("main_aqi", 2), "will": ("components_pm10", -4)}, "1d")
-    want = data.sort_values(["city", "datetime"]).copy()
-    want["was"] = want.groupby("city")["main_aqi"].shift(2)
-    want["will"] = want.groupby("city")["components_pm10"].shift(-4)
+    want = walk(by_city(data), lambda rows, i: {"was": at(rows, i - 2, "main_aqi"), "will": at(rows, i + 4, "components_pm10")})
     assert_same(got, want)
 
 
@@ -136,14 +163,8 @@ def test_required_columns(spark):
         series.build_features(spark.createDataFrame([("a",)], "city string"))
 
 
-def test_short_cities_need_no_blocks(spark):
-    hourly = to_spark(spark, random_series(10)[["city", "datetime"]])
-    assert series.choose_block(hourly) == "city"
-    assert series.choose_block(hourly, 400) == "30d"
-
-
-def test_dense_cells_are_split_and_others_stay_whole(spark):
-    """A city with bursts of one row per second beside hourly cities."""
+def test_dense_series_in_fine_blocks(spark):
+    """A city with bursts of one row per second beside hourly cities: any width gives one result."""
     burst = pd.DataFrame({"datetime": pd.Timestamp("2024-01-01 23:30") + pd.to_timedelta(np.arange(4000), unit="s")})
     quiet = pd.DataFrame({"datetime": pd.Timestamp("2024-02-20") + pd.to_timedelta(np.arange(50), unit="h")})
     dense = pd.concat([burst, quiet]).assign(city="dense")
@@ -152,12 +173,8 @@ def test_dense_cells_are_split_and_others_stay_whole(spark):
         dense[c] = np.where(rng.random(len(dense)) < 0.1, np.nan, np.round(rng.uniform(1, 5, len(dense)), 2))
     data = pd.concat([random_series(11), dense], ignore_index=True)
     frame = to_spark(spark, data)
-    blocks = series.choose_block(frame, 1000)
-    assert [(r["city"], r["seconds"]) for r in blocks.collect()] == [("dense", 60)]
-    assert_same(series.forecast_features(frame, block=blocks), expected_features(data))
-    assert_same(series.add_future_target(frame, block=blocks), expected_targets(data))
-    rows = series._with_block(frame, blocks).groupBy("city", "_block").count()
-    assert rows.agg({"count": "max"}).first()[0] <= 1000
-    assert rows.filter("city = 'dense'").count() > 60
-    finest = series.choose_block(frame, 10)
-    assert_same(series.forecast_features(frame, block=finest), expected_features(data))
+    for width in ("1m", "1s"):
+        assert_same(series.forecast_features(frame, block=width), expected_features(data))
+    assert_same(series.add_future_target(frame, block="1m"), expected_targets(data))
+    rows = series._with_block(frame, "1m").groupBy("city", "_block").count()
+    assert rows.agg({"count": "max"}).first()[0] <= 60

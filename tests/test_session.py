@@ -1,39 +1,28 @@
 """Where working tables go."""
 
-import pytest
-
 from aerocast import session
 
 
-class Conf:
-    def __init__(self, value):
-        self.value = value
-
-    def get(self, key, default=None):
-        assert key == "spark.checkpoint.dir"
-        return self.value or default
-
-
 class Fake:
-    """Stands in for a session with another master and setting."""
+    """Stands in for a session with other settings."""
 
-    def __init__(self, master, folder):
-        self.conf = Conf(folder)
-        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})()
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = settings
 
-
-def test_named_folder_wins():
-    assert session.shared_dir(Fake("yarn", "/shared/work/")) == "/shared/work"
-    assert session.scratch_path(Fake("yarn", "/shared/work/"), "x").startswith("/shared/work/x-")
+    def get(self, key, *default):
+        return self.settings.get(key, *default) if default else self.settings[key]
 
 
-def test_local_fallback_is_kept():
-    assert session.shared_dir(Fake("local[2]", None)) == session.shared_dir(Fake("local[2]", None))
+def test_named_folder_wins():
+    named = Fake(**{"spark.checkpoint.dir": "/shared/work/", "spark.sql.warehouse.dir": "/tables"})
+    assert session.shared_dir(named) == "/shared/work"
+    assert session.scratch_path(named, "x").startswith("/shared/work/x-")
+    assert session.scratch_path(named, "x", "/own/run").startswith("/own/run/x-")
 
 
-def test_cluster_without_setting_is_an_error():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_dir(Fake("spark://host:7077", None))
+def test_warehouse_without_a_named_folder():
+    assert session.shared_dir(Fake(**{"spark.sql.warehouse.dir": "file:/tables/"})) == "file:/tables/aerocast-work"
 
 
 def test_materialise_keeps_schema_and_rows(spark):

@@ -55,7 +55,24 @@ def test_first_existing_source(spark, city_files, tmp_path):
     with pytest.raises(FileNotFoundError):
         files.first_existing(spark, ["/nowhere/full.parquet"])
     landed = files.land_first(spark, ["/nowhere/full.parquet", sample], f"{tmp_path}/landed")
-    assert spark.read.parquet(landed).count() == 4
+    stored = spark.read.parquet(landed)
+    assert stored.count() == 4
+    assert [r["main_aqi"] for r in stored.orderBy("row_order").collect()] == ["3", "4", "1", "2"]
+
+
+def test_first_row_of_the_source_wins(spark, tmp_path):
+    """Repeats in several Parquet files, with missing values first."""
+    rows = [(" lahore", "2024-01-01 00:00:00", None, 7.0), ("Lahore", "2024-01-01 00:00:00", 2.0, None), ("Lahore", "2024-01-01 01:00:00", 3.0, 1.0)]
+    path = f"{tmp_path}/source"
+    for part in (rows, list(reversed(rows))):
+        frame = spark.createDataFrame(part, "city string, datetime string, main_aqi double, components_pm10 double")
+        frame.coalesce(1).write.mode("append").parquet(path)
+    first = sorted(spark.read.parquet(path).inputFiles())[0]
+    want = [r for r in spark.read.parquet(first).collect() if r["datetime"].endswith("00:00:00") and r["datetime"][11] == "0"][0]
+    for source in (path, files.land_first(spark, [path], f"{tmp_path}/landed")):
+        got = files.load_readings(spark, [source]).orderBy("datetime").collect()
+        assert [r["city"] for r in got] == ["Lahore", "Lahore"]
+        assert (got[0]["main_aqi"], got[0]["components_pm10"]) == (want["main_aqi"], want["components_pm10"])
 
 
 def test_layout_prunes_by_month_and_city(spark, tmp_path):
@@ -74,8 +91,9 @@ def test_city_folders(spark, tmp_path):
 
 
 def test_feature_csv(spark, tmp_path):
-    path = files.write_csv(canonical_features(spark), f"{tmp_path}/features")
+    path = files.write_csv(canonical_features(spark).withColumn("city", F.lit("islamabad ")), f"{tmp_path}/features")
     got = files.read_feature_csv(spark, path)
+    assert got.first()["city"] == "Islamabad"
     assert got.columns == FEATURES and got.first()["components_pm10_lag_2"] == 30.0
     files.write_csv(canonical_features(spark).drop("hour"), f"{tmp_path}/short")
     with pytest.raises(ContractError, match="hour"):
@@ -133,7 +151,7 @@ def test_synthetic_readings(spark):
     one = synthetic_readings(spark, 600)
     assert one.columns == ["city", "datetime", *MEASURES] and one.count() == 600
     assert one.exceptAll(synthetic_readings(spark, 600)).isEmpty()
-    assert one.filter("main_aqi NOT BETWEEN 1 AND 5 OR components_pm10 NOT BETWEEN 0 AND 120").isEmpty()
+    assert one.filter("main_aqi NOT BETWEEN 1 AND 5 OR components_pm10 NOT BETWEEN 0 AND 120 OR precipitation < 0").isEmpty()
     assert one.select("city", "datetime").distinct().count() == 600
     early = one.filter(F.col("datetime") < "2024-01-03").agg(F.avg("main_aqi")).first()[0]
     late = one.filter(F.col("datetime") > "2024-01-07").agg(F.avg("main_aqi")).first()[0]

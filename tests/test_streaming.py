@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aerocast.models.training import score, train_all
+from aerocast.operators.readings import first_per_key
 from aerocast.operators.scoring import cold_start_features, prediction_records
 from aerocast.operators.series import forecast_features
 from aerocast.sources.synthetic import synthetic_readings
@@ -12,16 +13,42 @@ from aerocast.streaming import jobs
 
 @pytest.fixture
 def landed(spark, tmp_path):
-    rows = synthetic_readings(spark, 90)
+    rows = synthetic_readings(spark, 90).withColumn("row_order", F.xxhash64("city", "datetime"))
     rows.unionAll(rows.limit(20)).repartition(4).write.parquet(f"{tmp_path}/landed")
     return f"{tmp_path}/landed", rows
 
 
-def test_repeats_are_dropped(spark, landed, tmp_path):
-    path, rows = landed
-    stream = jobs.file_stream(spark, path, rows.schema)
-    out = spark.read.parquet(jobs.run_append(stream, f"{tmp_path}/dedup", jobs.drop_repeats))
-    assert out.columns == rows.columns and out.count() == 90 and out.exceptAll(rows).isEmpty()
+@pytest.fixture
+def files_of_one_key_each(spark, tmp_path):
+    """Three days, a file per day, with repeats of the day before; smaller orders come from other files too."""
+    import os
+
+    rows = synthetic_readings(spark, 90).withColumn("row_order", F.xxhash64("city", "datetime").bitwiseAND(F.lit(2**40)))
+    worse = rows.withColumns({"main_aqi": F.lit(-1.0), "row_order": F.col("row_order") + 1})
+    better = rows.withColumns({"main_aqi": F.lit(9.0), "row_order": F.col("row_order") - 1}).filter("city = 'Lahore'")
+    path, names = f"{tmp_path}/days", []
+    os.makedirs(path)
+    for i, frame in enumerate((worse, rows.filter("city <> 'Karachi'"), better.unionAll(rows))):
+        frame.coalesce(1).write.parquet(f"{tmp_path}/part{i}")
+        made = next(f for f in os.listdir(f"{tmp_path}/part{i}") if f.endswith(".parquet"))
+        os.rename(f"{tmp_path}/part{i}/{made}", f"{path}/{i}.parquet")
+        names.append(f"{path}/{i}.parquet")
+    return path, names
+
+
+@pytest.mark.parametrize("newest_first", [False, True])
+def test_unique_rows_do_not_depend_on_batches(spark, files_of_one_key_each, tmp_path, newest_first):
+    import os
+
+    path, names = files_of_one_key_each
+    for age, name in enumerate(reversed(names) if newest_first else names):
+        os.utime(name, (1_700_000_000 + age, 1_700_000_000 + age))
+    whole = spark.read.parquet(path)
+    want = first_per_key(whole)
+    for per_batch in (1, 3):
+        out = jobs.run_unique(jobs.file_stream(spark, path, whole.schema, per_batch), f"{tmp_path}/w{per_batch}{newest_first}")
+        got = jobs.read_unique(spark, out).select(want.columns)
+        assert got.count() == 90 and got.exceptAll(want).isEmpty()
 
 
 def test_restart_adds_only_new_files(spark, landed, tmp_path):
@@ -31,16 +58,16 @@ def test_restart_adds_only_new_files(spark, landed, tmp_path):
         if expected == 120:
             later = rows.withColumn("datetime", F.col("datetime") + F.expr("INTERVAL 10 DAYS"))
             later.filter("city = 'Lahore'").write.mode("append").parquet(path)
-        out = jobs.run_append(jobs.file_stream(spark, path, rows.schema), work, jobs.drop_repeats)
-        assert spark.read.parquet(out).count() == expected
+        out = jobs.run_unique(jobs.file_stream(spark, path, rows.schema), work)
+        assert jobs.read_unique(spark, out).count() == expected
 
 
 def test_counters(spark, landed, tmp_path):
     path, rows = landed
-    log = jobs.file_stream(spark, path, rows.schema, 1).select("city", (F.col("components_co") > 0.5).alias("ok"))
+    log = jobs.file_stream(spark, path, rows.schema, 1).select("city", (F.col("components_co") > 420).alias("ok"))
     jobs.run_to_end(jobs.snapshot_to_files(jobs.counter_stream(log), f"{tmp_path}/out", f"{tmp_path}/ck"))
     got = jobs.latest_snapshot(spark, f"{tmp_path}/out")
-    batch = jobs.counter_stream(spark.read.parquet(path).select("city", (F.col("components_co") > 0.5).alias("ok")))
+    batch = jobs.counter_stream(spark.read.parquet(path).select("city", (F.col("components_co") > 420).alias("ok")))
     assert got.select(batch.columns).exceptAll(batch).isEmpty() and got.count() == 3
 
 
@@ -49,7 +76,9 @@ def test_stream_scores_like_batch(spark, landed, tmp_path):
     path, rows = landed
     models = train_all(forecast_features(synthetic_readings(spark, 300)), 3, 3)
     stream = jobs.file_stream(spark, path, rows.schema)
-    out = spark.read.parquet(jobs.run_append(stream, f"{tmp_path}/scored", lambda s: jobs.score_stream(jobs.drop_repeats(s), models)))
+    out = jobs.run_unique(stream, f"{tmp_path}/scored", shape=jobs.score_rows(models, "stored/tree"))
+    got = jobs.read_shaped(spark, out)
     batch = prediction_records(score(cold_start_features(rows), models))
-    assert out.count() == 90
-    assert out.select("city", "prediction.*").exceptAll(batch.select("city", "prediction.*")).isEmpty()
+    assert got.count() == 90
+    assert got.select("record.city", "record.prediction.*").exceptAll(batch.select("city", "prediction.*")).isEmpty()
+    assert got.select("record.recommendations.based_on.recommender_model").distinct().first()[0] == "stored/tree"
