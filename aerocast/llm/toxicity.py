@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerocast.llm.words import PUNCTUATION, SPACE, Words, chunks, hash_spans, mix, split_words
+from aerocast.session import materialise
 
 #: Most labelled rows of each class that the fit reads: those with the smallest hashes of their id.
 SAMPLE_PER_CLASS = 4000
@@ -99,41 +100,16 @@ class Machine:
         return margin
 
 
-def choose_terms(sets: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Sorted hashes of the terms that tell the classes apart."""
-    if not sets:
-        return np.zeros(0, np.uint64)
-    every = np.concatenate(sets)
-    mark = np.repeat(labels, [len(s) for s in sets])
-    terms, index = np.unique(every, return_inverse=True)
-    one = np.bincount(index, mark, len(terms))
-    both = np.bincount(index, minlength=len(terms)).astype(float)
-    n, n_one = len(sets), labels.sum()
-    expected = both * n_one / n
-    spread = both * (n_one / n) * (1 - n_one / n) * (1 - both / n)
-    chi = np.where(spread > 0, (one - expected) ** 2 / np.maximum(spread, 1e-12), 0)
-    good = (chi >= LEAST_CHI_SQUARE) & (both >= LEAST_TEXTS)
-    best = np.argsort(-chi * good, kind="stable")[: min(MOST_TERMS, int(good.sum()))]
-    return np.sort(terms[best])
-
-
-def fit_machine(sets: list[np.ndarray], labels: np.ndarray, share_of_ones: float) -> Machine:
-    """Logistic loss by AdaGrad over the term sets of a sample; texts with equal sets count once.
+def fit_machine(terms: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, share_of_ones: float) -> Machine:
+    """Logistic loss by AdaGrad over texts given as places in ``terms``.
 
     ``share_of_ones`` is that of all labelled rows; it corrects the bias for the sample's own share.
-    With one class or no rows the machine gives that share, or 0, to every text.
+    With one class or no rows the machine gives that share, or almost 0, to every text.
     """
-    first = {}
-    for terms, label in zip(sets, labels):
-        key = terms.tobytes()
-        first[key] = (terms, max(label, first[key][1]) if key in first else label)
-    sets, labels = [t for t, _ in first.values()], np.array([y for _, y in first.values()], float)
-    none = np.zeros(0)
+    none, labels = np.zeros(0), np.asarray(labels, float)
     if not len(labels) or labels.min() == labels.max():
         share = min(max(share_of_ones, 1e-6), 1 - 1e-6)
         return Machine(none.astype(np.uint64), none, np.zeros((0, FACTORS)), float(np.log(share / (1 - share))))
-    terms = choose_terms(sets, labels)
-    rows = [np.searchsorted(terms, s[np.isin(s, terms)]) for s in sets]
     rng = np.random.default_rng(11)
     weights, factors = np.zeros(len(terms)), rng.normal(0, 0.01, (len(terms), FACTORS))
     share = labels.mean()
@@ -167,23 +143,60 @@ def fit_machine(sets: list[np.ndarray], labels: np.ndarray, share_of_ones: float
     return Machine(terms, weights, factors, bias)
 
 
+def choose_terms(sets: DataFrame) -> np.ndarray:
+    """Sorted hashes of the terms that tell the classes of ``terms, label`` apart; at most MOST_TERMS rows are collected."""
+    total = sets.agg(F.count("*").alias("n"), F.sum("label").alias("ones")).first()
+    if not total["n"] or total["ones"] in (0, total["n"]):
+        return np.zeros(0, np.uint64)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(t, np.int64) for t in batch.column(0).to_pylist()]
+            labels = np.repeat(batch.column(1).to_numpy(), [len(t) for t in found])
+            terms, index = np.unique(np.concatenate(found), return_inverse=True)
+            ones, both = (np.bincount(index, w, len(terms)).astype(np.int64) for w in (labels, None))
+            yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(ones), pa.array(both)], names=["term", "ones", "n"])
+
+    counted = sets.select("terms", "label").mapInArrow(count, "term long, ones long, n long")
+    counted = counted.groupBy("term").agg(F.sum("ones").alias("ones"), F.sum("n").alias("n"))
+    share = total["ones"] / total["n"]
+    spread = F.col("n") * F.lit(share * (1 - share)) * (1 - F.col("n") / F.lit(total["n"]))
+    chi = F.when(spread > 0, (F.col("ones") - F.col("n") * F.lit(share)) ** 2 / spread)
+    told = counted.filter(F.col("n") >= LEAST_TEXTS).withColumn("chi", chi).filter(F.col("chi") >= LEAST_CHI_SQUARE)
+    best = told.orderBy(F.col("chi").desc(), "term").limit(MOST_TERMS).select("term").collect()
+    return np.sort(np.array([r["term"] for r in best], np.int64).view(np.uint64))
+
+
 def train_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Machine:
-    """Fit on at most ``per_class`` labelled texts of each class, whole texts, held-out rows excluded."""
+    """Fit on at most ``per_class`` labelled texts of each class, whole texts, held-out rows excluded.
+
+    Term sets stay on the executors; the driver gets the chosen terms and, for every text of the
+    sample, the places of those it has. Texts with equal term sets count once, as 1 if any is.
+    """
     eligible = labels.filter(F.col("toxic").isin(0, 1) & ~is_held_out(F.col("doc_id")))
     share = eligible.agg(F.avg("toxic")).first()[0] or 0.0
     sample = F.broadcast(labelled_sample(labels, "toxic", per_class))  # two times per_class ids at most
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = term_sets(batch.column(1).cast(pa.binary()).to_pylist())
-            rows = [s.tobytes() for s in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["label", "terms"])
+            found = [t.tobytes() for t in term_sets(batch.column(1).cast(pa.binary()).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["label", "terms"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chosen = texts.join(sample, "doc_id").dropDuplicates(["doc_id"]).select("label", "text")
-    rows = chosen.mapInArrow(sets, "label int, terms binary").collect()
-    rows.sort(key=lambda r: (r["label"], bytes(r["terms"])))
-    return fit_machine([np.frombuffer(r["terms"], np.uint64) for r in rows], np.array([r["label"] for r in rows]), share)
+    distinct = chosen.mapInArrow(sets, "label int, terms binary").groupBy("terms").agg(F.max("label").alias("label"))
+    distinct = materialise(distinct, "term-sets")
+    terms = choose_terms(distinct)
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(t, np.uint64) for t in batch.column(0).to_pylist()]
+            rows = [np.searchsorted(terms, t[np.isin(t, terms)]).astype(np.int32).tobytes() for t in found]
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), batch.column(1)], names=["places", "label"])
+
+    rows = distinct.select("terms", "label").mapInArrow(places, "places binary, label int").collect()
+    rows.sort(key=lambda r: (r["label"], bytes(r["places"])))
+    return fit_machine(terms, [np.frombuffer(r["places"], np.int32) for r in rows], [r["label"] for r in rows], share)
 
 
 def score_toxicity(docs: DataFrame, machine: Machine) -> DataFrame:
