@@ -225,6 +225,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.93, block: int = BLOCK
     def meet(table: pa.Table) -> pa.Table:
         order = np.argsort(table.column("block").to_numpy())
         trees = [pickle.loads(table.column("tree")[int(i)].as_py()) for i in order]
+        if len(trees) == 1 and table.column("low")[0] != table.column("high")[0]:
+            return pa.table([pa.array([], pa.int64())] * 3, names=["id", "root", "links"])  # the other block is empty
         ids, roots, counts = Links(trees[0], trees[1] if len(trees) > 1 else None, cosine).rows()
         return pa.table([pa.array(c, pa.int64()) for c in (ids, roots, counts)], names=["id", "root", "links"])
 
