@@ -2,8 +2,9 @@
 
 A text is a bag of hashed n-grams: its words, and runs of one to three word forms, where a form
 tells letters, case, digits, symbols and repetition of the word before. Two generative models
-give each n-gram a probability, one from texts labelled good and one from all texts; the
-importance weight of a text is the product of the ratios. Adding Gumbel noise to the log weights
+give each n-gram a probability, one from texts labelled good and one from all texts. As the four
+kinds of n-grams overlap, the log weight of a text is the mean over the kinds of the summed log
+ratios. Adding Gumbel noise to the log weights
 and keeping the k largest draws k documents without replacement in proportion to the weights. Unless it is
 given, k is the sum of the weights, each counted with 1 at most: the number of documents that the
 target model explains at least as well as the raw one.
@@ -23,9 +24,14 @@ from aerocast.llm.words import PUNCTUATION, SPACE, chunks, mix, split_words
 from aerocast.session import materialise
 
 BUCKETS = 1 << 14
+#: Words, and runs of one, two and three forms.
+KINDS = 4
 #: Most texts labelled good that the target model reads: those with the smallest hashes of their id.
 TARGET_TEXTS = 20_000
 SMOOTHING = 0.5
+#: Strength of the raw model as the prior of the target model, in n-grams per bucket: few target
+#: texts leave the ratios near one instead of making them extreme.
+PRIOR = 4.0
 SEED = 20240917
 _BYTES = np.arange(256)
 _UPPER = (_BYTES >= 65) & (_BYTES <= 90)
@@ -68,7 +74,7 @@ class Ratios:
         out = np.zeros(len(texts))
         for part in chunks(texts):
             buckets, owner = ngrams(texts[part])
-            out[part] = np.bincount(owner, self.logs[buckets], part.stop - part.start)
+            out[part] = np.bincount(owner, self.logs[buckets], part.stop - part.start) / KINDS
         return out
 
     def keys(self, log_weights: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -109,8 +115,9 @@ def fit_ratios(docs: DataFrame, labels: DataFrame, target_texts: int = TARGET_TE
         raw[row["bucket"]], target[row["bucket"]] = row["raw"], row["target"]
     if not target.any():
         return Ratios(np.zeros(BUCKETS))
-    shares = [np.log((c + SMOOTHING) / (c.sum() + SMOOTHING * BUCKETS)) for c in (target, raw)]
-    return Ratios(shares[0] - shares[1])
+    share = (raw + SMOOTHING) / (raw.sum() + SMOOTHING * BUCKETS)
+    prior = PRIOR * BUCKETS
+    return Ratios(np.log((target + prior * share) / (target.sum() + prior)) - np.log(share))
 
 
 def _keyed(docs: DataFrame, ratios: Ratios) -> DataFrame:
