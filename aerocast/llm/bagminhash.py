@@ -7,10 +7,10 @@ register with the probability of their weighted Jaccard similarity. A process is
 until it is later than the latest register, so a text costs little more than its length.
 
 Registers are grouped into bands; texts that share a band are candidates. Texts with equal
-multisets are one class from the start. In a bucket, classes are first compared with its smallest
-and its largest class; what is linked is one component. Then classes of one bucket that still lie
-in different components are compared with each other, so that no link between components is
-missed, and a large group never gives all its pairs. Every link is verified on the whole texts.
+multisets are one class from the start. Classes that are connected through shared bands form a
+cluster, found without listing pairs. Inside a cluster whole texts are compared exactly: a large
+cluster is cut into blocks, each pair of blocks is one task, and a task gives the overlaps of all
+its texts as matrix products and returns only which of them belong together.
 """
 
 from __future__ import annotations
@@ -23,14 +23,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerocast.llm.components import connected_components
-from aerocast.llm.words import Words, chunks, mix, shingle_hashes, split_words
+from aerocast.llm.words import Words, chunks, free_name, mix, shingle_hashes, split_words
 from aerocast.session import materialise
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 36
 ROWS = 6
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Texts of one side of a comparison, and columns of one matrix product.
+BLOCK = 256
+COLUMNS = 4096
+_STEP = 0x9E3779B97F4A7C15
 _A, _B, _C = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
 
 
@@ -53,6 +56,10 @@ def shingles_of(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarr
     return found[order], texts[order]
 
 
+def _times(a: int, b: int) -> np.uint64:
+    return np.uint64(a * b % 2**64)
+
+
 def _weighted(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (hash, text) with their counts."""
     keys = hashes ^ mix(owner.astype(np.uint64) + _C)
@@ -66,7 +73,7 @@ def bag_min_hash(hashes: np.ndarray, owner: np.ndarray, weights: np.ndarray, n:
     power = 1
     while len(weights) and weights.max() > power:
         heavy = np.flatnonzero(weights > power)
-        seeds.append(mix(hashes[heavy] + _B * np.uint64(power)))
+        seeds.append(mix(hashes[heavy] + _times(int(_B), power)))
         texts.append(owner[heavy])
         low.append(np.full(len(heavy), float(power)))
         width.append(np.full(len(heavy), float(power)))
@@ -74,10 +81,10 @@ def bag_min_hash(hashes: np.ndarray, owner: np.ndarray, weights: np.ndarray, n:
         power *= 2
     seeds, texts, low, width, limit = (np.concatenate(x) for x in (seeds, texts, low, width, limit))
     times, ids = np.full(n * registers, np.inf), np.zeros(n * registers, np.uint64)
-    now, count = np.zeros(len(seeds)), np.uint64(0)
+    now, count = np.zeros(len(seeds)), 0
     while len(seeds):
-        count += np.uint64(1)
-        points = mix(seeds + count * _STEP)
+        count += 1
+        points = mix(seeds + _times(_STEP, count))
         now = now - np.log(((points >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53) / width
         draws = mix(points ^ _C)
         register = ((draws >> np.uint64(32)) * np.uint64(registers) >> np.uint64(32)).astype(np.int64)
@@ -132,39 +139,92 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
     return source.mapInArrow(sign, "doc_id long, k1 long, k2 long, size long, bands array<long>")
 
 
-def similarities(left: list[bytes | None], right: list[bytes | None]) -> np.ndarray:
-    """Exact weighted Jaccard similarity of the shingle multisets of text pairs; 0 without words."""
-    n = len(left)
-    hashes, owner = shingles_of(split_words([*left, *right]))
-    pair, side = owner % n, owner // n
-    keys = hashes ^ mix(pair.astype(np.uint64) + _C)
-    _, first, index = np.unique(keys, return_index=True, return_inverse=True)
-    a = np.bincount(index, side == 0, len(first))
-    b = np.bincount(index, side == 1, len(first))
-    both = np.bincount(pair[first], np.minimum(a, b), n)
-    either = np.bincount(pair[first], np.maximum(a, b), n)
-    return both / np.maximum(either, 1)
-
-
-def verified(docs: DataFrame, pairs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs ``a, b`` of ids whose whole texts reach the similarity."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = materialise(texts.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-    with_b = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    both = with_b.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = (batch.column(i).cast(pa.binary()).to_pylist() for i in (2, 3))
-            for part in chunks([(x or b"") + (y or b"") for x, y in zip(left, right)]):
-                linked = similarities(left[part], right[part]) >= similarity
-                yield batch.slice(part.start, part.stop - part.start).select(["a", "b"]).filter(pa.array(linked))
-
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
-
-
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def _occurrences(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(feature, text, size of the text): the j-th occurrence of a shingle is a feature of its own."""
+    hashes, owner = shingles_of(split_words(texts))
+    keys = hashes ^ mix(owner.astype(np.uint64) + _C)
+    order = np.argsort(keys, kind="stable")
+    new = np.concatenate(([True], keys[order][1:] != keys[order][:-1])) if len(order) else np.zeros(0, bool)
+    begins = np.flatnonzero(new)
+    number = np.arange(len(order)) - np.repeat(begins, np.diff(np.append(begins, len(order))))
+    features = mix(hashes[order] + mix(number.astype(np.uint64) + _A))
+    return features, owner[order], np.bincount(owner, minlength=len(texts))
+
+
+def overlaps(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the smaller weights for all pairs of texts, by matrix products, and the sizes of the multisets."""
+    features, owner, sizes = _occurrences(texts)
+    _, index, counts = np.unique(features, return_inverse=True, return_counts=True)
+    shared = counts[index] > 1
+    _, column = np.unique(index[shared], return_inverse=True)
+    row = owner[shared]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((len(texts), len(texts)), np.float32)
+    for begin in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, (begin, begin + COLUMNS))
+        part = np.zeros((len(texts), COLUMNS), np.float32)
+        part[row[a:b], column[a:b] - begin] = 1
+        common += part @ part.T
+    return common.astype(np.float64), sizes
+
+
+def linked(texts: list[bytes | None], similarity: float) -> np.ndarray:
+    """Which pairs of texts reach the weighted Jaccard similarity of their shingle multisets."""
+    common, sizes = overlaps(texts)
+    either = sizes[:, None] + sizes[None, :] - common
+    return (common / np.maximum(either, 1) >= similarity) & (common > 0)
+
+
+def _together(links: np.ndarray) -> np.ndarray:
+    """Smallest index that each index is connected with."""
+    least = np.arange(len(links))
+    while True:
+        near = np.where(links, least[None, :], len(links)).min(1, initial=len(links))
+        now = np.minimum(least, near)
+        now = now[now]
+        if (now == least).all():
+            return least
+        least = now
+
+
+def compare_clusters(clusters: DataFrame, docs: DataFrame, similarity: float, block: int = BLOCK) -> DataFrame:
+    """Links ``a, b`` that connect what belongs together, from clusters ``node, cluster``.
+
+    Small clusters are compared several in one task, large ones in pairs of blocks.
+    """
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    # Stored, so that the rows of a large cluster can be split in the join.
+    sized = clusters.join(materialise(sizes, "cluster-sizes"), "cluster")
+    bins = max(1, clusters.count() // block)
+    alone = F.col("blocks") == 1
+    place = F.when(alone, F.lit(0)).otherwise(F.pmod(F.xxhash64("node"), F.col("blocks"))).cast("int")
+    task = F.when(alone, F.pmod(F.xxhash64("cluster"), F.lit(bins))).otherwise(F.col("cluster"))
+    dealt = sized.select("node", "cluster", "blocks", place.alias("block"), task.alias("task"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
+    # The ids grow with the data: texts meet them by a shuffle at every size.
+    wanted = materialise(texts.join(dealt.hint("merge"), "node").dropDuplicates(["node"]), "texts")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    met = wanted.select("*", other).select(
+        "node", "cluster", "text", "block", "task", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+        (F.col("blocks") > 1).alias("large"),
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        nodes, cluster = table.column("node").to_numpy(), table.column("cluster").to_numpy()
+        order = np.argsort(nodes, kind="stable")
+        texts = table.column("text").cast(pa.binary()).to_pylist()
+        links = linked([texts[i] for i in order], similarity)
+        links &= cluster[order][:, None] == cluster[order][None, :]
+        least = _together(links)
+        found = np.flatnonzero(least != np.arange(len(least)))
+        a, b = nodes[order][least[found]], nodes[order][found]
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return met.groupBy("large", "task", "low", "high").applyInArrow(compare, "a long, b long")
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
     """``doc_id, class_id, kept`` for every row: the smallest id of the group, and whether it is the row's own.
 
     Texts without words are no duplicates of anything; texts of less than five words are compared
@@ -176,29 +236,13 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     classes = materialise(usable.groupBy("k1", "k2", "size").agg(F.min("doc_id").alias("node")), "classes")
     nodes = usable.join(classes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
     buckets = nodes.select(F.col("doc_id").alias("node"), F.explode("bands").alias("bucket"))
-    ends = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    firsts = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
     # Stored, so that the rows of a much shared bucket can be split in the join.
-    ends = materialise(ends.filter(F.col("low") < F.col("high")), "buckets")
-    members = materialise(buckets.join(ends, "bucket"), "members")
-    stars = members.select(F.col("low").alias("a"), F.col("node").alias("b"))
-    stars = stars.unionByName(members.select(F.col("node").alias("a"), F.col("high").alias("b")))
-    stars = materialise(stars.filter(F.col("a") < F.col("b")).distinct(), "pairs")
-    links = materialise(verified(docs, stars, similarity), "links")
-    groups = materialise(connected_components(links, "a", "b"), "groups")
-
-    # Classes that share a bucket but not yet a component.
-    placed = members.select("bucket", "node").join(groups, "node", "left")
-    placed = placed.select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    mixed = materialise(mixed.filter(F.col("x") < F.col("y")).select("bucket"), "mixed")
-    open_members = materialise(placed.join(mixed, "bucket", "left_semi"), "open")
-    other = open_members.select("bucket", F.col("node").alias("b"), F.col("component").alias("_other"))
-    cross = open_members.withColumnRenamed("node", "a").join(other, "bucket")
-    cross = cross.filter((F.col("a") < F.col("b")) & (F.col("component") != F.col("_other"))).select("a", "b").distinct()
-    cross = materialise(cross.join(stars, ["a", "b"], "left_anti"), "pairs")
-    more = materialise(verified(docs, cross, similarity), "links")
-    if not more.isEmpty():
-        groups = connected_components(links.unionByName(more), "a", "b")
+    firsts = materialise(firsts.filter(F.col("low") < F.col("high")).select("bucket", "low"), "buckets")
+    stars = buckets.join(firsts, "bucket").filter(F.col("low") < F.col("node")).select("low", "node").distinct()
+    clusters = connected_components(stars, "low", "node").withColumnRenamed("component", "cluster")
+    links = compare_clusters(materialise(clusters, "clusters"), docs, similarity, block)
+    groups = connected_components(materialise(links, "links"), "a", "b")
 
     known = classes.join(groups, "node", "left")
     known = known.select("k1", "k2", "size", F.coalesce("component", "node").alias("_class"))
@@ -213,5 +257,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One document of each group, the one with the smallest id, with all its columns."""
     found = materialise(near_duplicates(docs, **options), "duplicates")
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")
+    own = free_name("_gone", docs.columns)
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias(own)).distinct()
+    # The ids grow with the data: texts meet them by a shuffle at every size.
+    return docs.join(gone.hint("merge"), F.col("doc_id").cast("long") == F.col(own), "left_anti")

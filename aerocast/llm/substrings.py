@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerocast.llm.words import Words, chunks, mix, power_tables, shingle_hashes, split_words
+from aerocast.llm.words import Words, chunks, free_name, mix, power_tables, shingle_hashes, split_words
 from aerocast.session import materialise
 
 LENGTH = 20
@@ -258,6 +258,8 @@ def replace_texts(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Da
             columns[at] = pa.array(out, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    spans = repeated_spans(docs, length, seed).select(F.col("doc_id").alias("_id"), "spans")
-    joined = docs.join(spans, docs["doc_id"].cast("long") == spans["_id"], "left")
-    return joined.select(*[docs[c] for c in names], "spans").mapInArrow(cut, docs.schema)
+    own_id, own_spans = free_name("_repeats_of", names), free_name("_repeats", names)
+    found = repeated_spans(docs, length, seed)
+    spans = found.select(F.col("doc_id").alias(own_id), F.col("spans").alias(own_spans))
+    joined = docs.join(spans, F.col("doc_id").cast("long") == F.col(own_id), "left")
+    return joined.select(*[f"`{c}`" for c in names], own_spans).mapInArrow(cut, docs.schema)

@@ -9,6 +9,8 @@ import numpy as np
 
 #: Text bytes that one pass over arrays takes at once; a longer single text is taken alone.
 CHUNK_BYTES = 4 << 20
+#: Most texts of such a pass.
+CHUNK_TEXTS = 4096
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -100,11 +102,11 @@ def split_words(texts: list[bytes | None], separators: np.ndarray = SPACE, lower
 
 
 def chunks(texts: list[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[slice]:
-    """Slices of whole texts of about ``limit`` bytes."""
+    """Slices of whole texts of about ``limit`` bytes, CHUNK_TEXTS at most."""
     begin = size = 0
     for i, text in enumerate(texts):
         n = len(text or b"")
-        if i > begin and size + n > limit:
+        if i > begin and (size + n > limit or i - begin == CHUNK_TEXTS):
             yield slice(begin, i)
             begin, size = i, 0
         size += n
@@ -119,3 +121,10 @@ def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     for j in range(size):
         out = mix(out + hashes[j : j + n] * np.uint64(2 * j + 3))
     return out
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """The name, with as many underscores before it as it takes to be new."""
+    while name.lower() in {t.lower() for t in taken}:
+        name = f"_{name}"
+    return name
