@@ -194,22 +194,32 @@ class Model:
 def _vocabulary(counts: DataFrame, own_classes: int, groups: int, known_tokens: int) -> Model:
     """Classes and the counts that every worker gets; all of bounded size."""
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    order = [F.col("n").desc(), F.col("token")]
-    top = counts.orderBy(*order).limit(known_tokens).toPandas().sort_values(["n", "token"], ascending=[False, True])
-    hashes, n = top["token"].to_numpy(np.int64).view(np.uint64), top["n"].to_numpy(np.int64)
-    codes = top["code"].to_numpy(np.int64)
+    # The counts from which on a token is known: a histogram over 64 steps per doubling, then one filter.
+    steps = counts.groupBy(F.floor(F.log2("n") * 64).alias("step")).agg(F.count("*").alias("tokens"), F.min("n").alias("least"))
+    least, held = None, 0
+    for row in sorted(steps.collect(), key=lambda r: -r["step"]):
+        held += row["tokens"]
+        if held > known_tokens:
+            break
+        least = row["least"]
+    frequent = counts.filter(F.col("n") >= least) if least else counts.limit(0)
+    top = frequent.toArrow()
+    tokens, n, codes = (top.column(c).to_numpy() for c in ("token", "n", "code"))
+    order = np.lexsort((tokens, -n))
+    hashes, n, codes = tokens[order].view(np.uint64), n[order], codes[order]
     by_hash = np.argsort(hashes)
     own = np.sort(hashes[:own_classes])
     # Groups hold what is left of their codes: at most 65,537 rows, one per pair of bytes.
-    by_code = counts.groupBy("code").agg(F.sum("n").alias("n"), F.count("*").alias("v")).toPandas()
-    left = {int(r.code): [int(r.n), int(r.v)] for r in by_code.itertuples()}
+    by_code = counts.groupBy("code").agg(F.sum("n").alias("n"), F.count("*").alias("v")).toArrow()
+    left = {c: [a, b] for c, a, b in zip(*(by_code.column(x).to_pylist() for x in ("code", "n", "v")))}
     for code, count in zip(codes[:own_classes].tolist(), n[:own_classes].tolist()):
         left[code][0] -= count
         left[code][1] -= 1
     largest = sorted(left, key=lambda c: (-left[c][0], c))[:groups]
     group_codes = np.array(sorted(largest), np.int64)
-    others = [sum(x) for x in zip([0, 0], *(v for c, v in left.items() if c not in set(largest)))]
-    sizes = np.array([left[int(c)] for c in group_codes] + [others], np.int64).reshape(-1, 2)
+    in_groups = [left.pop(int(c)) for c in group_codes]
+    others = [sum(x) for x in zip([0, 0], *left.values())]
+    sizes = np.array([*in_groups, others], np.int64).reshape(-1, 2)
     own_counts = dict(zip(hashes[:own_classes].tolist(), n[:own_classes].tolist()))
     class_counts = np.concatenate((np.array([own_counts[int(h)] for h in own], float), sizes[:, 0].astype(float)))
     share = (class_counts + 1) / (class_counts + 1).sum()
@@ -246,7 +256,7 @@ def _training_round(texts: DataFrame, model: Model, round_number: int) -> list[n
             yield pa.RecordBatch.from_arrays(columns, names=["place", "value"])
 
     sums = texts.select("text").mapInArrow(train, "place long, value double").groupBy("place").agg(F.sum("value").alias("value"))
-    rows = sums.toPandas().sort_values("place")["value"].to_numpy()
+    rows = sums.toArrow().sort_by("place").column("value").to_numpy()
     if not len(rows):
         return model.parameters
     flat, shapes, out = rows[:-1] / rows[-1], [p.shape for p in model.parameters], []
