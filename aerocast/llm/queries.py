@@ -97,7 +97,40 @@ WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
   AND len(list_filter(embedding, lambda x: x <> 0)) > 0"""
 
+_WORDS = r"""words AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents)"""
+
+_REACH = """reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)"""
+
 ORACLE: dict[str, str] = {
+    "op5_bag_min_hash": f"""WITH RECURSIVE {_WORDS},
+shingles AS (
+  SELECT doc_id, s, count(*) AS n FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) < 5 THEN [w] ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END) AS s
+    FROM words WHERE len(w) > 0) GROUP BY ALL),
+sizes AS (SELECT doc_id, sum(n) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, sum(least(a.n, b.n)) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY ALL),
+near AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE common.n / (x.n + y.n - common.n) >= 0.8),
+links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+{_REACH}
+SELECT d.doc_id, least(d.doc_id, coalesce(b, d.doc_id)) AS class_id, d.doc_id = least(d.doc_id, coalesce(b, d.doc_id)) AS kept
+FROM documents d LEFT JOIN least ON a = d.doc_id""",
+    "op6_seed_and_extend": f"""WITH {_WORDS},
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS key
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM words)),
+later AS (SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+places AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM places ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT words.doc_id, len(w) AS n_words, len(w) - coalesce(kept.n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)""",
     "op8_block_search": f"""WITH usable AS ({_USABLE}),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v) AS score
@@ -110,8 +143,7 @@ links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
   ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
   WHERE list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= 0.93),
-reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
-least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+{_REACH},
 counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(counts.n, 0) AS n_links, least(e.vec_id, coalesce(least.b, e.vec_id)) AS component_id,
   e.vec_id = least(e.vec_id, coalesce(least.b, e.vec_id)) AS kept
