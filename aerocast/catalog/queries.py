@@ -23,7 +23,7 @@ from aerocast.catalog.views import (
     readings,
     station_readings,
 )
-from aerocast.contract import CITIES, ENGINEERED, FEATURES, HAZARD, TARGET, feature_columns
+from aerocast.contract import CITIES, ENGINEERED, FEATURES, HAZARD, TARGET, ContractError, feature_columns
 from aerocast.functions import calendar as cal
 from aerocast.functions import labels as lab
 from aerocast.functions.advice import advice_record
@@ -64,9 +64,9 @@ from aerocast.operators.series import (
 )
 from aerocast.operators.series import forecast_features as build_forecast_features
 from aerocast.plans.evaluate import evaluate
-from aerocast.plans.quality import balanced_model_report, integrity_profile
+from aerocast.plans.quality import balanced_model_report, integrity_profile, run_checks
 from aerocast.plans.serve import score_csv, served_rows
-from aerocast.plans.training import periods
+from aerocast.plans.training import evaluate_on_test, periods, training_run
 from aerocast.session import materialise, scratch_path
 from aerocast.sources import files, payloads, records
 from aerocast.streaming import jobs
@@ -912,6 +912,54 @@ def load_readings_first_row(spark, sf_dir):
     return files.load_readings(spark, [landed]).select("city", "datetime", *[c for c in MEASURED if c in columns])
 
 
+@query
+def training_run_log(spark, sf_dir):
+    """The whole training run over the stored readings: what it stored and logged, then the hold-out evaluation."""
+    work, source = scratch_path(spark, "training"), scratch_path(spark, "source")
+    readings(spark, sf_dir).write.parquet(source)
+    done = training_run(spark, ["/not/there.parquet", source], work, CUTOFF, TREES, DEPTH)
+    logged = records.latest_run(records.run_log(spark, f"{work}/runs")).first()
+    table = spark.read.parquet(f"{work}/features")
+    (tn, fp), (fn, tp) = done["metrics"]["classification"]["confusion_matrix"]
+    tested = evaluate_on_test(spark, source, f"{work}/models")
+    baseline = records.load_baseline(spark, f"{work}/baseline")
+    rows = [
+        ("feature rows", table.count()),
+        ("validated rows", tn + fp + fn + tp),
+        ("validated hazards", fn + tp),
+        ("tested rows", sum(map(sum, tested["classification"]["confusion_matrix"]))),
+        ("baseline features", baseline.count()),
+        ("sampled rows", files.read_text_table(spark, f"{work}/current_sample").count()),
+        ("logged metrics agree", int(logged["reg_rmse"] == done["metrics"]["regression"]["rmse"])),
+        ("models in production", sum("/production/" in p for p in model_paths(spark, f"{work}/models").values())),
+    ]
+    return spark.createDataFrame(rows, "what string, n long")
+
+
+@query
+def quality_gates(spark, sf_dir):
+    """Which gates let the later side pass: as it is, with a level out of range, and with one column moved."""
+    table = materialise(features(spark, sf_dir), "features")
+    train, val = splits.train_val(table, CUTOFF)
+    baseline = materialise(drift.baseline_stats(table, MEASURED), "baseline")
+    models = train_all(train, 2, 2)
+    cases = {
+        "as it is": val,
+        "level out of range": val.withColumn("main_aqi", F.col("main_aqi") + 5),
+        "moved column": val.withColumn("components_pm10", F.col("components_pm10") * 0 + 1e6),
+    }
+    rows = []
+    for name, sample in cases.items():
+        try:
+            run_checks(sample.select("city", "datetime", *MEASURED, HAZARD), baseline)
+            rows.append((name, True))
+        except ContractError:
+            rows.append((name, False))
+    scored = materialise(score(val, models), "scored")
+    rows.append(("predictions", checks.prediction_report(scored, "aqi_3h").filter("violations > 0").isEmpty()))
+    return spark.createDataFrame(rows, "sample string, passed boolean")
+
+
 @query
 def contract_inputs(spark, sf_dir):
     """The model inputs that the feature table carries and lacks, in contract order."""
