@@ -80,6 +80,11 @@ def _with_block(df: DataFrame, block: str) -> DataFrame:
     return numbered.filter("city IS NOT NULL AND _block IS NOT NULL")
 
 
+def _in_order(df: DataFrame, wanted) -> list[str]:
+    """Wanted columns in the order of the frame: readers of the same columns then share a shuffle."""
+    return [f"`{c}`" for c in df.columns if c in set(wanted)]
+
+
 def _gather(carried: DataFrame, names) -> DataFrame:
     """One context row per (city, block) from columns that are set on one row each."""
     return carried.groupBy("city", "_block").agg(*[F.expr(f"max(`{n}`) AS `{n}`") for n in names])
@@ -107,10 +112,7 @@ def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], block: str = B
 
     rows = _with_block(df, block)
     marked = rows.selectExpr(
-        "city",
-        "_block",
-        "datetime",
-        *[f"`{c}`" for c in df.columns if c in back or c in ahead],
+        *_in_order(rows, ["city", "_block", "datetime", *back, *ahead]),
         f"row_number() OVER {IN_BLOCK} AS _pos",
         f"{_rows_after(max(far_back, 1))} AS _after",
     )
@@ -194,7 +196,7 @@ def forecast_features(df: DataFrame, horizon: int = HORIZON, block: str = BLOCK)
     upto = IN_BLOCK.replace(")", " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
     sure = f"CAST(_after >= {horizon} AND {TARGET} IS NOT NULL AS INT)"
     border = (
-        rows.selectExpr("city", "_block", "datetime", *lagged, f"row_number() OVER {IN_BLOCK} AS _pos", *ahead)
+        rows.selectExpr(*_in_order(rows, ["city", "_block", "datetime", *lagged]), f"row_number() OVER {IN_BLOCK} AS _pos", *ahead)
         .selectExpr("*", f"{sure} AS _sure", f"sum({sure}) OVER {whole} - sum({sure}) OVER {upto} AS _sure_after")
         .filter(f"_pos <= {horizon} OR _after < {horizon} OR (_sure = 1 AND _sure_after < {LAG_STEPS})")
     )
