@@ -76,7 +76,7 @@ def op9_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    return resample(docs, fit_ratios(docs, labels))
+    return resample(docs, fit_ratios(docs, labels)).withColumnRenamed("selected", "kept")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

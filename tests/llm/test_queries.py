@@ -87,4 +87,4 @@ def test_language_model(spark, texts):
 def test_quality(spark, texts):
     out = run(spark, "op10_importance_resampling")
     labels = pd.read_parquet(f"{SF}/labels.parquet").merge(out, on="doc_id")
-    assert set(out.doc_id) == set(texts) and labels[labels.quality == 1].selected.mean() > 0.95
+    assert set(out.doc_id) == set(texts) and labels[labels.quality == 1].kept.mean() > 0.95
