@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aerocast.session import materialise
+
 BUCKETS_PER_OCTAVE = 4096
 _EXPONENT_SPAN = 1100.0
 
@@ -40,7 +42,11 @@ def value_totals(df: DataFrame, keys: list[str], columns: list[str]) -> DataFram
 
 
 def bucket_offsets(bucketed: DataFrame, keys: list[str], amounts: list[str]) -> DataFrame:
-    """Per (keys, _bucket): amount before the bucket, inside it, and in the whole group."""
+    """Per (keys, _bucket): amount before the bucket, inside it, and in the whole group.
+
+    Without keys the totals are put in order in one task: at most one row per bucket, which is
+    bounded by the buckets of the doubles (or hours) that occur, not by the rows.
+    """
     per_bucket = bucketed.groupBy(*keys, "_bucket").agg(*[F.expr(f"sum({a}) AS _in_{a}") for a in amounts])
     # One row per bucket, not per value, so this window stays small even for a hot group.
     group = f"PARTITION BY {', '.join(keys)}" if keys else ""
@@ -141,14 +147,17 @@ def time_percentile(df: DataFrame, prob: float) -> DataFrame:
 
 
 def area_under_curve(scored: DataFrame, label: str, score: str, keys: list[str] | None = None) -> DataFrame:
-    """ROC-AUC by exact rank sums, ties counted half; null if only one class is present."""
+    """ROC-AUC by exact rank sums, ties counted half; null if only one class is present.
+
+    Scores are counted once and stored, as the rank sums read the counts twice.
+    """
     keys = keys or []
     counted = (
         scored.filter(F.col(label).isNotNull() & F.col(score).isNotNull())
         .groupBy(*keys, F.col(score).cast("double").alias("_score"))
         .agg(F.sum((F.col(label) == 1).cast("long")).alias("pos"), F.sum((F.col(label) != 1).cast("long")).alias("neg"))
     )
-    placed = running_totals(counted, keys, "_score", ["pos", "neg"])
+    placed = running_totals(materialise(counted, "score-counts"), keys, "_score", ["pos", "neg"])
     wins = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0))
     pairs = F.max("pos_total").cast("double") * F.max("neg_total").cast("double")
     return placed.groupBy(*keys).agg(F.when(pairs > 0, wins / pairs).alias("roc_auc"))
