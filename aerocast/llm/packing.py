@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aerocast.llm.bpe import encoder
 from aerocast.llm.numbering import number_rows
 from aerocast.llm.words import chunks
 from aerocast.session import materialise
@@ -52,6 +53,15 @@ def _encoding(ranks: bytes, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
+def _token_ids(encoding, ranks: bytes, pattern: str, text: bytes) -> np.ndarray:
+    decoded = text.decode("utf-8", "replace")
+    try:
+        return encoding.encode_to_numpy(decoded, disallowed_special=())
+    except ValueError:
+        # The library's splitter gives up on runs of about a million blanks.
+        return encoder(ranks, pattern).encode([decoded])[0]
+
+
 def cut_documents(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
     """Tokenise ``doc_id, text`` and cut every document, with the end id, into class lengths.
 
@@ -70,8 +80,7 @@ def cut_documents(docs: DataFrame, ranks_path: str, pattern: str, capacity: int
             for part in chunks(texts):
                 rows, ids_out = [], []
                 for doc_id, text in zip(batch.column(0)[part.start : part.stop].to_pylist(), texts[part]):
-                    ids = encoding.encode_to_numpy((text or b"").decode("utf-8", "replace"), disallowed_special=())
-                    ids = np.append(ids, END_ID).astype("<u4")
+                    ids = np.append(_token_ids(encoding, ranks.value, pattern, text or b""), END_ID).astype("<u4")
                     start, view = 0, memoryview(ids.tobytes())
                     for n in [capacity] * (len(ids) // capacity) + list(plans[len(ids) % capacity]):
                         rows.append((doc_id, start, n, zlib.crc32(view[4 * start : 4 * (start + n)]), len(ids)))

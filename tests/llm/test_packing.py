@@ -37,6 +37,16 @@ def test_ids_are_those_of_the_tokenizer(packed):
             assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
 
 
+def test_very_long_blanks(spark):
+    text = "a" + " " * 1_200_000 + "b"
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [0], "<u4")
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    rows = packing.cut_documents(df, RANKS, public_tokenizers.PATTERN).toPandas().sort_values("start")
+    assert rows.doc_tokens.unique().tolist() == [len(want)]
+    assert rows.ids_crc32.tolist() == [zlib.crc32(want[s : s + n].tobytes()) for s, n in zip(rows.start, rows.length)]
+
+
 def test_sequences_are_gapless_and_full(packed):
     assert len(packed[packed.doc_id == 5]) == 3 * len(packed[packed.doc_id == 6])
     assert packed.doc_id.isna().sum() > 0
