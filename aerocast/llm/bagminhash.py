@@ -81,7 +81,7 @@ def bag_min_hash(hashes: np.ndarray, owner: np.ndarray, weights: np.ndarray, n:
         power *= 2
     seeds, texts, low, width, limit = (np.concatenate(x) for x in (seeds, texts, low, width, limit))
     times, ids = np.full(n * registers, np.inf), np.zeros(n * registers, np.uint64)
-    now, count = np.zeros(len(seeds)), 0
+    now, count, latest = np.zeros(len(seeds)), 0, np.full(n, np.inf)
     while len(seeds):
         count += 1
         points = mix(seeds + _times(_STEP, count))
@@ -94,7 +94,8 @@ def bag_min_hash(hashes: np.ndarray, owner: np.ndarray, weights: np.ndarray, n:
         np.minimum.at(times, cells, now[valid])
         earliest = now[valid] == times[cells]
         ids[cells[earliest]] = points[valid[earliest]]
-        latest = times.reshape(n, registers).max(1)
+        here = np.flatnonzero(np.bincount(texts, minlength=n))
+        latest[here] = times.reshape(n, registers)[here].max(1)
         going = now <= latest[texts]
         seeds, texts, low, width, limit, now = (x[going] for x in (seeds, texts, low, width, limit, now))
     return ids.reshape(n, registers)

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Text bytes that one pass over arrays takes at once; a longer single text is taken alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 #: Most texts of such a pass.
 CHUNK_TEXTS = 4096
 
