@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerocast.llm.components import connected_components
-from aerocast.llm.words import Words, chunks, free_name, mix, shingle_hashes, split_words
+from aerocast.llm.words import Words, chunks, free_name, mix, shingle_hashes, slices, split_words
 from aerocast.session import materialise
 
 SHINGLE = 5
@@ -110,7 +110,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFra
     """``doc_id``, a 128-bit key of the shingle multiset, its size and one hash per band."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for part in chunks(texts):
                 n = part.stop - part.start

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerocast.llm.words import chunks, hash_items, mix
+from aerocast.llm.words import chunks, hash_items, mix, slices
 
 #: Pre-tokens whose ids a worker remembers; beyond it the memory is emptied, results stay the same.
 MEMORY = 300_000
@@ -187,7 +187,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(ranks.value, pattern)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [(t or b"").decode("utf-8", "replace") for t in batch.column(1).cast(pa.binary()).to_pylist()]
             for part in chunks(texts):
                 ids = pa.array(coder.encode(texts[part]), pa.list_(pa.int32()))
@@ -203,14 +203,12 @@ def decode_documents(encoded: DataFrame, ranks_path: str) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = token_bytes(ranks.value).__getitem__
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 1000):
-                part = batch.slice(begin, 1000)
-                lists = part.column(1)
-                pieces = list(map(known, lists.flatten().to_numpy().tolist()))
-                ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy()).tolist()
-                decoded = [b"".join(pieces[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
-                columns = [part.column(0), lists, pa.array(decoded, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
+        for batch in slices(batches):
+            lists = batch.column(1)
+            pieces = list(map(known, lists.flatten().to_numpy().tolist()))
+            ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy()).tolist()
+            decoded = [b"".join(pieces[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
+            columns = [batch.column(0), lists, pa.array(decoded, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id long, ids array<int>, decoded binary")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerocast.llm.words import PUNCTUATION, SPACE, chunks, mix, split_words
+from aerocast.llm.words import PUNCTUATION, SPACE, chunks, mix, slices, split_words
 from aerocast.session import materialise
 
 BUCKETS = 1 << 14
@@ -98,7 +98,7 @@ def fit_ratios(docs: DataFrame, labels: DataFrame, target_texts: int = TARGET_TE
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(0).cast(pa.binary()).to_pylist()
             is_good = batch.column(1).to_numpy(zero_copy_only=False)
             for part in chunks(texts):
@@ -124,7 +124,7 @@ def _keyed(docs: DataFrame, ratios: Ratios) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(ratios)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column(0).fill_null(0).to_numpy()
             weights = model.value.log_weights(batch.column(1).cast(pa.binary()).to_pylist())
             columns = [batch.column(0), pa.array(weights), pa.array(model.value.keys(weights, ids))]
@@ -183,7 +183,7 @@ def keep_selected(docs: DataFrame, ratios: Ratios, k: int | None = None) -> Data
     model, names = docs.sparkSession.sparkContext.broadcast(ratios), docs.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             ids = batch.column(names.index("doc_id")).cast(pa.int64()).fill_null(0).to_numpy()
             weights = model.value.log_weights(batch.column(names.index("text")).cast(pa.binary()).to_pylist())
             yield batch.filter(pa.array(model.value.keys(weights, ids) >= least))

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerocast.llm.words import chunks, split_words
+from aerocast.llm.words import chunks, slices, split_words
 from aerocast.session import materialise
 
 FOLDS = 7
@@ -82,7 +82,7 @@ def count_tokens(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(0).cast(pa.binary()).to_pylist()
             for part in chunks(texts):
                 tokens, codes, _ = tokens_of(texts[part])
@@ -238,7 +238,7 @@ def _training_round(texts: DataFrame, model: Model, round_number: int) -> list[n
 
         def tokens() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
             rng = np.random.default_rng([SEED, round_number, task])
-            for batch in batches:
+            for batch in slices(batches):
                 texts = batch.column(0).cast(pa.binary()).to_pylist()
                 for part in chunks(texts):
                     hashes, codes, first = tokens_of(texts[part])
@@ -295,7 +295,7 @@ def score_documents(docs: DataFrame, model: Model, counts: DataFrame) -> DataFra
         group_total = np.log10(own.group_counts + own.group_sizes + 1.0)
         log_counts = np.log10(own.known_counts + 1.0)
         begin = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for part in chunks(texts):
                 n = part.stop - part.start

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from aerocast.llm.bpe import encoder
 from aerocast.llm.numbering import number_rows
-from aerocast.llm.words import chunks
+from aerocast.llm.words import chunks, slices
 from aerocast.session import materialise
 
 CAPACITY = 1024
@@ -75,7 +75,7 @@ def cut_documents(docs: DataFrame, ranks_path: str, pattern: str, capacity: int
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, plans = _encoding(ranks.value, pattern), cuts_of_rest(capacity)
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for part in chunks(texts):
                 rows, ids_out = [], []

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerocast.llm.words import Words, chunks, free_name, mix, power_tables, shingle_hashes, split_words
+from aerocast.llm.words import Words, chunks, free_name, mix, power_tables, shingle_hashes, slices, split_words
 from aerocast.session import materialise
 
 LENGTH = 20
@@ -99,7 +99,7 @@ def repeated_anchors(docs: DataFrame, length: int, seed: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(0).cast(pa.binary()).to_pylist()
             for part in chunks(texts):
                 found = _short(Blocks(split_words(texts[part]), length, seed).anchor)
@@ -119,7 +119,7 @@ def anchor_places(docs: DataFrame, length: int, seed: int) -> DataFrame:
     """``anchor, doc_id, place`` of every anchor."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for part in chunks(texts):
                 blocks = Blocks(split_words(texts[part]), length, seed)
@@ -135,7 +135,7 @@ def repeated_blocks(docs: DataFrame, places: DataFrame, length: int, seed: int)
     """Blocks of the anchors listed in ``doc_id, places``; a task gives the windows of equal blocks once."""
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for part in chunks(texts):
                 blocks = Blocks(split_words(texts[part]), length, seed)
@@ -230,7 +230,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for part in chunks(texts):
                 ids, spans = (batch.column(i)[part.start : part.stop] for i in (0, 2))
@@ -248,7 +248,7 @@ def replace_texts(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> Da
     at = names.index("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             out = list(texts)
             for part in chunks(texts):

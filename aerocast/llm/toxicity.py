@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aerocast.llm.words import PUNCTUATION, SPACE, Words, chunks, hash_spans, mix, split_words
+from aerocast.llm.words import PUNCTUATION, SPACE, Words, chunks, hash_spans, mix, slices, split_words
 from aerocast.session import materialise
 
 #: Most labelled rows of each class that the fit reads: those with the smallest hashes of their id.
@@ -143,13 +143,6 @@ def fit_machine(terms: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, s
     return Machine(terms, weights, factors, bias)
 
 
-def _slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """Term sets are larger than texts, so few are held at a time."""
-    for batch in batches:
-        for begin in range(0, batch.num_rows, rows):
-            yield batch.slice(begin, rows)
-
-
 def choose_terms(sets: DataFrame) -> np.ndarray:
     """Sorted hashes of the terms that tell the classes of ``terms, label`` apart; at most MOST_TERMS rows are collected."""
     total = sets.agg(F.count("*").alias("n"), F.sum("label").alias("ones")).first()
@@ -157,7 +150,7 @@ def choose_terms(sets: DataFrame) -> np.ndarray:
         return np.zeros(0, np.uint64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in slices(batches):
             found = [np.frombuffer(t, np.int64) for t in batch.column(0).to_pylist()]
             labels = np.repeat(batch.column(1).to_numpy(), [len(t) for t in found])
             terms, index = np.unique(np.concatenate(found), return_inverse=True)
@@ -185,7 +178,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_P
     sample = F.broadcast(labelled_sample(labels, "toxic", per_class))  # two times per_class ids at most
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in slices(batches):
             found = [t.tobytes() for t in term_sets(batch.column(1).cast(pa.binary()).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["label", "terms"])
 
@@ -196,7 +189,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_P
     terms = choose_terms(distinct)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
+        for batch in slices(batches):
             found = [np.frombuffer(t, np.uint64) for t in batch.column(0).to_pylist()]
             rows = [np.searchsorted(terms, t[np.isin(t, terms)]).astype(np.int32).tobytes() for t in found]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary()), batch.column(1)], names=["places", "label"])
@@ -215,7 +208,7 @@ def score_toxicity(docs: DataFrame, machine: Machine) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(machine)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             scores = model.value.score(batch.column(1).cast(pa.binary()).to_pylist())
             columns = [batch.column(0), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "score", "predicted"])
@@ -230,7 +223,7 @@ def drop_toxic(docs: DataFrame, machine: Machine) -> DataFrame:
     names = docs.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(names.index("text")).cast(pa.binary()).to_pylist()
             yield batch.filter(pa.array(model.value.score(texts) < 0.5))
 

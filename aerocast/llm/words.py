@@ -6,11 +6,14 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 #: Text bytes that one pass over arrays takes at once; a longer single text is taken alone.
 CHUNK_BYTES = 1 << 20
 #: Most texts of such a pass.
 CHUNK_TEXTS = 4096
+#: Rows that a worker takes from a batch at once.
+SLICE_ROWS = 512
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -101,6 +104,13 @@ def split_words(texts: list[bytes | None], separators: np.ndarray = SPACE, lower
     return Words(data, starts, ends, np.searchsorted(starts, borders))
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of a few rows, so that a worker turns few rows into Python objects at a time."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(begin, SLICE_ROWS)
+
+
 def chunks(texts: list[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[slice]:
     """Slices of whole texts of about ``limit`` bytes, CHUNK_TEXTS at most."""
     begin = size = 0
