@@ -1,19 +1,28 @@
 """Log-bilinear language model with noise-contrastive estimation.
 
-Tokens are the lower-case words of a text and one end. The most frequent tokens are classes of
-their own; all others are grouped by their first two bytes. The model predicts the class of a token
-from the two tokens before it: the sum of their representations, each through the matrix of its
-position, is compared with the representation of every class. Inside a group a token has its
-add-one share of the group's count, with one unit left for tokens never seen, so that the
-probabilities of all tokens sum to one.
-
-Counts come from every training text. The network starts from the class frequencies; every
-partition trains a copy on its own tokens in numpy, and the copies are averaged by token count.
-Normalising sums for every context are batched matrix products.
+Tokens are the lower-case words of a text and one end. The most frequent tokens are classes of their
+own; all others are grouped by their first two bytes. Every token of a group that is seen
+``LEAST_COUNT`` times is a word with its own representation, so the vocabulary grows with the
+corpus. The words of a group are sorted by count and cut into subclasses of four times the square
+root of their number; one more subclass is for the tokens below the count, which share the
+representation of the group.
+
+The model predicts a token from the two tokens before it: the sum of their representations, each
+through the matrix of its position, is compared with the vector of every class, inside a group with
+the vector of every subclass, and inside a subclass with the vector of every word of it. All three
+softmaxes are normalised in full, as batched products over the distinct contexts. A token below the
+count has its add-one share of the subclass's count, with one unit left for tokens never seen, so
+that the probabilities of all tokens sum to one.
+
+Counts come from every training text. The network starts from the frequencies; every partition
+trains a copy on its own tokens in numpy. Copies are averaged by token count, the vectors of a word
+by the number of times that it was met. The driver and every worker hold the vectors of all words,
+about 150 bytes a word.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,6 +45,15 @@ WIDTH = 16
 NOISE = 16
 BATCH = 2048
 ROUNDS = 1
+#: Times that a token must be seen to have its own representation.
+LEAST_COUNT = 8
+#: Noise of a target inside its group or subclass, and the step of the vectors there.
+WORD_NOISE = 4
+WORD_RATE = 0.1
+#: Entries whose vectors are averaged and sent to the driver together.
+SHARD = 1024
+#: Scores that are in memory at once while a context is normalised.
+SCORES = 1 << 16
 SEED = 7
 END = np.uint64(0x5EED0E4D)
 #: Distinct tokens that a counting task holds before it passes them on.
@@ -111,32 +129,96 @@ class Model:
     total: int
     distinct: int
     share: np.ndarray
+    #: Place among the words of each known token, or -1; words are in the order of their subclasses.
+    word_at: np.ndarray
+    #: First word of each subclass, then the number of words; group of each subclass.
+    word_starts: np.ndarray
+    word_groups: np.ndarray
+    #: Counts of entries: for each group the tokens below the count (and one) and its subclasses, then all words.
+    entry_counts: np.ndarray
+    #: First entry of each group and of each subclass, then the number of entries.
+    entry_starts: np.ndarray
+    #: Counts and numbers of tokens below the count, by group.
+    rare_counts: np.ndarray
+    rare_sizes: np.ndarray
     parameters: list[np.ndarray] | None = None
+    #: Log of each entry's share of the count of its group or subclass.
+    entry_bias: np.ndarray | None = None
+    #: By entry: what a word's representation adds to that of its group, the vector as a target, and the
+    #: bias beyond the log share; all zero before training.
+    entry_parameters: list[np.ndarray] | None = None
 
     @property
     def classes(self) -> int:
         return len(self.own) + len(self.group_codes) + 1
 
-    def classes_of(self, tokens: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Own class, else the group of the code, else the last class for all other codes."""
+    @property
+    def words(self) -> int:
+        return int(self.word_starts[-1])
+
+    @property
+    def nodes(self) -> int:
+        """Entries before the words."""
+        return len(self.group_codes) + 1 + len(self.word_groups)
+
+    def places_of(self, tokens: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Own class, else the group of the code, else the last class for all other codes; and the word, -1 where there is none."""
         group = np.searchsorted(self.group_codes, codes)
         known = group < len(self.group_codes)
         known[known] = self.group_codes[group[known]] == codes[known]
         out = len(self.own) + np.where(known, group, len(self.group_codes))
+        words = np.full(len(tokens), -1)
+        if len(self.known):
+            at = np.minimum(np.searchsorted(self.known, tokens), len(self.known) - 1)
+            words = np.where(self.known[at] == tokens, self.word_at[at], -1)
         if len(self.own):
             at = np.minimum(np.searchsorted(self.own, tokens), len(self.own) - 1)
             out = np.where(self.own[at] == tokens, at, out)
-        return out
+        return out, words
 
-    def contexts(self, classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Classes of the token before and of the one before that; the number of classes before a text."""
+    def classes_of(self, tokens: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        return self.places_of(tokens, codes)[0]
+
+    def units_of(self, classes: np.ndarray, words: np.ndarray) -> np.ndarray:
+        """What a token is as a context: its class, or a number beyond ``classes`` for each word."""
+        return np.where(words >= 0, self.classes + 1 + words, classes)
+
+    def contexts(self, units: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Units of the token before and of the one before that; the number of classes before a text."""
         outside = self.classes
-        one = np.concatenate(([outside], classes[:-1]))
+        one = np.concatenate(([outside], units[:-1]))
         one[first[:-1]] = outside
         two = np.concatenate(([outside], one[:-1]))
         two[first[:-1]] = outside
         return one, two
 
+    def split(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(class, word) of units; the word is -1 for a unit that is no word."""
+        words = np.where(units > self.classes, units - self.classes - 1, -1)
+        group = np.append(self.word_groups, 0)[np.searchsorted(self.word_starts, words, "right") - 1]
+        return np.where(words >= 0, len(self.own) + group, units), words
+
+    def inside(self, classes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, entry, parent) of the choices below the classes: of a subclass in its group, and of a word in its subclass.
+
+        Choices of the only entry of a parent are certain and left out.
+        """
+        in_group = np.flatnonzero(classes >= len(self.own))
+        group, word = classes[in_group] - len(self.own), words[in_group]
+        is_word = word >= 0
+        subclass = np.searchsorted(self.word_starts, word, "right") - 1
+        entry = np.where(is_word, subclass + group + 1, self.entry_starts[group])
+        place = np.concatenate((in_group, in_group[is_word]))
+        entry = np.concatenate((entry, self.nodes + word[is_word]))
+        parent = np.concatenate((group, len(self.group_codes) + 1 + subclass[is_word]))
+        open_ = np.flatnonzero(np.diff(self.entry_starts)[parent] > 1)
+        return place[open_], entry[open_], parent[open_]
+
+    def log_shares(self) -> np.ndarray:
+        """Log of each entry's share of the count of its parent."""
+        sums = np.add.reduceat(self.entry_counts, self.entry_starts[:-1])
+        return np.log(self.entry_counts / np.repeat(sums, np.diff(self.entry_starts))).astype(np.float32)
+
     def start(self) -> list[np.ndarray]:
         """Representations, class vectors, a matrix per position and the biases, before training."""
         rng = np.random.default_rng(SEED)
@@ -144,43 +226,139 @@ class Model:
         out = rng.normal(0, 0.1, (self.classes, WIDTH))
         return [words, out, np.eye(WIDTH), np.eye(WIDTH) * 0.5, np.log(self.share)]
 
-    def train(self, parameters: list[np.ndarray], batches: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], seed: int):
-        """One pass of noise-contrastive estimation by AdaGrad over (class, context, context) batches."""
-        words, out, near, far, bias = (p.copy() for p in parameters)
-        sums = [np.full(p.shape, 1e-3) for p in parameters]
-        rng, log_noise = np.random.default_rng(seed), np.log(NOISE * self.share)
-        n_words, seen = len(words), 0
+    def start_entries(self) -> list[np.ndarray]:
+        n = len(self.entry_counts)
+        return [np.zeros((n, WIDTH), np.float32), np.zeros((n, WIDTH), np.float32), np.zeros(n, np.float32)]
+
+    def train(
+        self, parameters: list[np.ndarray], entry_parameters: list[np.ndarray], batches: Iterator[tuple[np.ndarray, ...]], seed: int
+    ) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, int]:
+        """One pass of noise-contrastive estimation by AdaGrad over batches of (class, word, unit, unit).
+
+        Returns the parameters, those of the entries, how often each entry was met as context and as
+        target or noise, and the number of tokens.
+        """
+        words, out, near, far, bias = (p.astype(np.float32) for p in parameters)
+        more, inner, shift = (p.copy() for p in entry_parameters)
+        sums = [np.full(p.shape, 1e-3, np.float32) for p in parameters]
+        entry_sums, met = [np.ones(len(shift), np.float32) for _ in range(3)], np.zeros((2, len(shift)), np.float32)
+        rng, log_noise = np.random.default_rng(seed), np.log(NOISE * self.share).astype(np.float32)
+        n_classes, seen = len(words), 0
+        totals = np.concatenate(([0], np.cumsum(self.entry_counts)))
 
         def step(i: int, value: np.ndarray, slope: np.ndarray) -> None:
             sums[i] += slope * slope
             value -= 0.1 * slope / np.sqrt(sums[i])
 
         def gathered(index: np.ndarray, slopes: np.ndarray, n: int) -> np.ndarray:
-            return np.stack([np.bincount(index, slopes[:, f], n) for f in range(WIDTH)], 1)
-
-        for target, one, two in batches:
+            cells = (index * WIDTH)[:, None] + np.arange(WIDTH)
+            return np.bincount(cells.ravel(), slopes.ravel(), n * WIDTH).reshape(n, WIDTH).astype(np.float32)
+
+        def step_rows(i: int, value: np.ndarray, index: np.ndarray, slopes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """A step of the rows of the entries met; returns them and where each of the index is among them."""
+            rows, at = np.unique(index, return_inverse=True)
+            slope = gathered(at, slopes, len(rows))
+            entry_sums[i][rows] += (slope * slope).mean(1)
+            value[rows] -= WORD_RATE * slope / np.sqrt(entry_sums[i][rows])[:, None]
+            return rows, at
+
+        for target, word, one, two in batches:
+            (one, one_word), (two, two_word) = self.split(one), self.split(two)
             a, b = words[one], words[two]
+            one_is, two_is = (np.flatnonzero(x >= 0) for x in (one_word, two_word))
+            a[one_is] += more[self.nodes + one_word[one_is]]
+            b[two_is] += more[self.nodes + two_word[two_is]]
             predicted = a @ near + b @ far
+            of_target = out[target]
             noise = rng.choice(self.classes, NOISE, p=self.share)
-            good = (predicted * out[target]).sum(1) + bias[target] - log_noise[target]
+            good = np.einsum("ij,ij->i", predicted, of_target) + bias[target] - log_noise[target]
             bad = predicted @ out[noise].T + bias[noise] - log_noise[noise]
             g = -1 / (1 + np.exp(np.clip(good, -30, 30)))
             h = 1 / (1 + np.exp(-np.clip(bad, -30, 30)))
-            by_predicted = g[:, None] * out[target] + h @ out[noise]
+            by_predicted = g[:, None] * of_target + h @ out[noise]
             by_out = gathered(target, g[:, None] * predicted, self.classes)
             np.add.at(by_out, noise, h.T @ predicted)
-            by_bias = np.bincount(target, g, self.classes)
+            by_bias = np.bincount(target, g, self.classes).astype(np.float32)
             np.add.at(by_bias, noise, h.sum(0))
-            by_words = gathered(one, by_predicted @ near.T, n_words) + gathered(two, by_predicted @ far.T, n_words)
-            scale = 1 / len(target)
+            place, entry, parent = self.inside(target, word)
+            if len(place):
+                # Below the classes: noise by the counts inside the parent; the bias starts from the same shares.
+                mine, low, high = predicted[place], *(totals[self.entry_starts[parent + i]][:, None] for i in (0, 1))
+                drawn = low + np.floor(rng.random((len(place), WORD_NOISE)) * (high - low)).astype(np.int64)
+                drawn = np.searchsorted(totals, drawn, "right") - 1
+                index = np.concatenate((entry[:, None], drawn), 1)
+                vectors = inner[index]
+                scores = np.matmul(vectors, mine[:, :, None])[:, :, 0] + shift[index] - np.float32(np.log(WORD_NOISE))
+                error = 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
+                error[:, 0] -= 1
+                by_predicted += gathered(place, np.matmul(error[:, None, :], vectors)[:, 0], len(target))
+                rows, at = step_rows(1, inner, index.ravel(), (error[:, :, None] * mine[:, None, :]).reshape(-1, WIDTH))
+                met[1][rows] += np.bincount(at, minlength=len(rows))
+                slope = np.bincount(at, error.ravel(), len(rows)).astype(np.float32)
+                entry_sums[2][rows] += slope * slope
+                shift[rows] -= WORD_RATE * slope / np.sqrt(entry_sums[2][rows])
+            by_one, by_two = by_predicted @ near.T, by_predicted @ far.T
+            by_words = gathered(one, by_one, n_classes) + gathered(two, by_two, n_classes)
+            if len(one_is) + len(two_is):
+                index = self.nodes + np.concatenate((one_word[one_is], two_word[two_is]))
+                rows, at = step_rows(0, more, index, np.concatenate((by_one[one_is], by_two[two_is])))
+                met[0][rows] += np.bincount(at, minlength=len(rows))
+            scale = np.float32(1 / len(target))
             slopes = (by_words, by_out, a.T @ by_predicted, b.T @ by_predicted, by_bias)
             for i, (value, slope) in enumerate(zip((words, out, near, far, bias), slopes)):
                 step(i, value, slope * scale)
             seen += len(target)
-        return [words, out, near, far, bias], seen
+        return [words, out, near, far, bias], [more, inner, shift], met, seen
+
+    def predicted(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """What contexts of two units predict, and a one that the bias is multiplied by."""
+        words, _, near, far, _ = self.parameters
+        words = words.astype(np.float32)
+
+        def represented(units: np.ndarray) -> np.ndarray:
+            classes, own = self.split(units)
+            out, is_word = words[classes], np.flatnonzero(own >= 0)
+            out[is_word] += self.entry_parameters[0][self.nodes + own[is_word]]
+            return out
+
+        near, far = near.astype(np.float32), far.astype(np.float32)
+        return np.concatenate((represented(one) @ near + represented(two) @ far, np.ones((len(one), 1), np.float32)), 1)
+
+    def log_probabilities(self, classes: np.ndarray, own: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Log of the probability of each class after two units, and of the subclass and the word in it where there are any."""
+        out = np.concatenate((self.parameters[1], self.parameters[4][:, None]), 1).astype(np.float32)
+        pairs, context = np.unique(one * (self.classes + 1 + self.words) + two, return_inverse=True)
+        units = np.divmod(pairs, self.classes + 1 + self.words)
+        predicted, logs = self.predicted(*units), np.empty(len(pairs), np.float32)
+        rows = max(1, SCORES // len(out))
+        for begin in range(0, len(pairs), rows):
+            at = slice(begin, begin + rows)
+            logs[at] = _log_sums(predicted[at] @ out.T)
+        value = (np.einsum("ij,ij->i", predicted[context], out[classes]) - logs[context]).astype(np.float64)
+        # Every group and subclass that is met is normalised over all its entries, once per distinct context.
+        place, entry, parent = self.inside(classes, own)
+        if not len(place):
+            return value
+        _, vectors, shift = self.entry_parameters
+        met, at_met = np.unique(parent * len(pairs) + context[place], return_inverse=True)
+        parent, contexts = np.divmod(met, len(pairs))
+        logs = np.empty(len(met), np.float32)
+        borders = np.flatnonzero(np.concatenate(([True], parent[1:] != parent[:-1], [True])))
+        for begin, end in zip(borders[:-1], borders[1:]):
+            inside = slice(*self.entry_starts[parent[begin] : parent[begin] + 2])
+            columns = np.concatenate((vectors[inside], (self.entry_bias[inside] + shift[inside])[:, None]), 1).T
+            rows = max(1, SCORES // columns.shape[1])
+            for low in range(begin, end, rows):
+                at = slice(low, min(end, low + rows))
+                logs[at] = _log_sums(predicted[contexts[at]] @ columns)
+        scores = np.einsum("ij,ij->i", predicted[context[place], :-1], vectors[entry]) + self.entry_bias[entry] + shift[entry]
+        return value + np.bincount(place, scores - logs[at_met], len(classes))
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Scores of each class after each context word by position, biases, and log sums of all contexts."""
+        """Scores of each class after each class by position, biases, and log sums of all pairs of classes.
+
+        For looking into a small model: contexts of single words are beyond a table.
+        """
         words, out, near, far, bias = self.parameters
         one, two = words @ near @ out.T, words @ far @ out.T
         logs = np.empty((len(words), len(words)))
@@ -191,8 +369,23 @@ class Model:
         return one, two, bias, logs
 
 
-def _vocabulary(counts: DataFrame, own_classes: int, groups: int, known_tokens: int) -> Model:
-    """Classes and the counts that every worker gets; all of bounded size."""
+def _log_sums(scores: np.ndarray) -> np.ndarray:
+    """Log of the summed exponentials of each row; the scores are overwritten."""
+    # Common scores need no shift: no sum of them overflows, and the first one alone keeps it from zero.
+    if scores.max() < 70 and scores[:, 0].min() > -70:
+        np.exp(scores, out=scores)
+        return np.log(scores @ np.ones(scores.shape[1], np.float32))
+    top = scores.max(1)
+    scores -= top[:, None]
+    np.exp(scores, out=scores)
+    return top + np.log(scores.sum(1))
+
+
+def _vocabulary(counts: DataFrame, own_classes: int, groups: int, known_tokens: int, least_count: int) -> Model:
+    """Classes, words and the counts that every worker gets.
+
+    Only the words, seen ``least_count`` times at least, grow with the corpus.
+    """
     total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     # The counts from which on a token is known: a histogram over 64 steps per doubling, then one filter.
     steps = counts.groupBy(F.floor(F.log2("n") * 64).alias("step")).agg(F.count("*").alias("tokens"), F.min("n").alias("least"))
@@ -202,8 +395,8 @@ def _vocabulary(counts: DataFrame, own_classes: int, groups: int, known_tokens:
         if held > known_tokens:
             break
         least = row["least"]
-    frequent = counts.filter(F.col("n") >= least) if least else counts.limit(0)
-    top = frequent.toArrow()
+    # Words are known to every worker, whatever their number.
+    top = counts.filter(F.col("n") >= min(least or least_count, least_count)).toArrow()
     tokens, n, codes = (top.column(c).to_numpy() for c in ("token", "n", "code"))
     order = np.lexsort((tokens, -n))
     hashes, n, codes = tokens[order].view(np.uint64), n[order], codes[order]
@@ -223,60 +416,134 @@ def _vocabulary(counts: DataFrame, own_classes: int, groups: int, known_tokens:
     own_counts = dict(zip(hashes[:own_classes].tolist(), n[:own_classes].tolist()))
     class_counts = np.concatenate((np.array([own_counts[int(h)] for h in own], float), sizes[:, 0].astype(float)))
     share = (class_counts + 1) / (class_counts + 1).sum()
+    # Words by group and then by count, cut into subclasses that do not reach over groups.
+    word = own_classes + np.flatnonzero(n[own_classes:] >= least_count)
+    group = np.searchsorted(group_codes, codes[word])
+    group[np.append(group_codes, -2)[group] != codes[word]] = len(group_codes)
+    by_group = np.argsort(group, kind="stable")
+    word, group = word[by_group], group[by_group]
+    in_group = np.bincount(group, minlength=len(sizes))
+    place = np.arange(len(word)) - (np.cumsum(in_group) - in_group)[group]
+    width = np.maximum(1, 4 * np.sqrt(in_group).astype(np.int64))
+    heads = np.flatnonzero(place % width[group] == 0)
+    word_at = np.full(len(n), -1)
+    word_at[word] = np.arange(len(word))
+    rare = sizes - np.stack((np.bincount(group, n[word], len(sizes)).astype(np.int64), in_group), 1)
+    # The entries of a group are its tokens below the count, then its subclasses.
+    subclass_counts = np.add.reduceat(n[word], heads) if len(word) else np.zeros(0, np.int64)
+    subclasses = np.bincount(group[heads], minlength=len(sizes))
+    first = np.cumsum(subclasses) - subclasses
+    nodes = np.insert(subclass_counts, first, rare[:, 0] + 1)
     return Model(
-        hashes[by_hash], n[by_hash], own, group_codes, sizes[:, 0], sizes[:, 1], int(total["n"] or 0), int(total["v"]), share
+        hashes[by_hash], n[by_hash], own, group_codes, sizes[:, 0], sizes[:, 1], int(total["n"] or 0), int(total["v"]), share,
+        word_at[by_hash], np.append(heads, len(word)), group[heads], np.concatenate((nodes, n[word])),
+        np.concatenate((first + np.arange(len(sizes)), len(nodes) + heads, [len(nodes) + len(word)])), rare[:, 0], rare[:, 1],
     )
 
 
-def _training_round(texts: DataFrame, model: Model, round_number: int) -> list[np.ndarray]:
-    """Every partition trains a copy of the parameters; returns their mean by tokens."""
+#: A row of an entry as it is sent: place in the shard, times met, parameters in half precision.
+ENTRY = np.dtype([("place", "<u2"), ("met", "<f4", 2), ("values", "<f2", 2 * WIDTH + 1)])
+
+
+def _packed(index: np.ndarray, weights: np.ndarray, values: list[np.ndarray]) -> bytes:
+    """Rows of entries as bytes, with weights of shape (2, n)."""
+    rows = np.empty(len(index), ENTRY)
+    rows["place"], rows["met"] = index % SHARD, weights.T
+    rows["values"] = np.concatenate([v.reshape(len(index), -1) for v in values], 1)
+    return rows.tobytes()
+
+
+def _mean_rows(table: pa.Table) -> pa.Table:
+    """The rows of a shard's entries: every part of the parameters averaged by how often the entry was met."""
+    rows = np.concatenate([np.frombuffer(x.as_buffer(), ENTRY) for x in table.column("rows")])
+    place, index = np.unique(rows["place"], return_inverse=True)
+    weights, values = rows["met"].astype(np.float64), rows["values"].astype(np.float64)
+    total = np.stack([np.bincount(index, w, len(place)) for w in weights.T])
+    out = np.zeros((len(place), 2 * WIDTH + 1))
+    for f in range(2 * WIDTH + 1):
+        part = int(f >= WIDTH)
+        out[:, f] = np.bincount(index, weights[:, part] * values[:, f], len(place)) / np.maximum(total[part], 1)
+    packed = _packed(place, total, [out])
+    return pa.table([table.column("shard").slice(0, 1), pa.array([0], pa.int64()), pa.array([packed])], names=["shard", "seen", "rows"])
+
+
+def _training_round(texts: DataFrame, model: Model, round_number: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Every partition trains a copy of the parameters; returns their mean by tokens, for entries by times met."""
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         task = TaskContext.get().partitionId()
 
-        def tokens() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        def tokens() -> Iterator[tuple[np.ndarray, ...]]:
             rng = np.random.default_rng([SEED, round_number, task])
             for batch in slices(batches):
                 texts = batch.column(0).cast(pa.binary()).to_pylist()
                 for part in chunks(texts):
                     hashes, codes, first = tokens_of(texts[part])
-                    classes = own.classes_of(hashes, codes)
-                    one, two = own.contexts(classes, first)
+                    distinct, index, place = np.unique(hashes, return_index=True, return_inverse=True)
+                    classes, words = (x[place] for x in own.places_of(distinct, codes[index]))
+                    one, two = own.contexts(own.units_of(classes, words), first)
                     order = rng.permutation(len(classes))
                     for begin in range(0, len(order), BATCH):
                         at = order[begin : begin + BATCH]
-                        yield classes[at], one[at], two[at]
+                        yield classes[at], words[at], one[at], two[at]
 
-        trained, seen = own.train(own.parameters, tokens(), task)
+        trained, of_entries, met, seen = own.train(own.parameters, own.entry_parameters or own.start_entries(), tokens(), task)
         if seen:
-            flat = np.concatenate([p.ravel() for p in trained])
-            columns = [pa.array(np.arange(len(flat) + 1)), pa.array(np.append(flat * seen, float(seen)))]
-            yield pa.RecordBatch.from_arrays(columns, names=["place", "value"])
-
-    sums = texts.select("text").mapInArrow(train, "place long, value double").groupBy("place").agg(F.sum("value").alias("value"))
-    rows = sums.toArrow().sort_by("place").column("value").to_numpy()
-    if not len(rows):
-        return model.parameters
-    flat, shapes, out = rows[:-1] / rows[-1], [p.shape for p in model.parameters], []
-    for shape in shapes:
-        size = int(np.prod(shape))
-        out.append(flat[:size].reshape(shape))
-        flat = flat[size:]
-    return out
+            flat = np.concatenate([p.ravel() for p in trained]).astype(np.float64) * seen
+            yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([seen]), pa.array([flat.tobytes()])], names=names)
+        rows = np.flatnonzero(met.any(0))
+        borders = np.flatnonzero(np.concatenate(([True], rows[1:] // SHARD != rows[:-1] // SHARD, [True]))) if len(rows) else [0]
+        for begin, end in zip(borders[:-1], borders[1:]):
+            at = rows[begin:end]
+            packed = _packed(at, met[:, at], [p[at] for p in of_entries])
+            yield pa.RecordBatch.from_arrays([pa.array([at[0] // SHARD]), pa.array([0]), pa.array([packed])], names=names)
+
+    names = ["shard", "seen", "rows"]
+    kinds = "shard long, seen long, rows binary"
+
+    def mean(table: pa.Table) -> pa.Table:
+        if table.column("shard")[0].as_py() >= 0:
+            return _mean_rows(table)
+        total = sum(np.frombuffer(x.as_buffer()) for x in table.column("rows"))
+        seen = sum(table.column("seen").to_pylist())
+        return pa.table([pa.array([-1]), pa.array([seen]), pa.array([(total / seen).tobytes()])], names=names)
+
+    found = texts.select("text").mapInArrow(train, kinds).groupBy("shard").applyInArrow(mean, kinds).toArrow()
+    parameters, of_entries = model.parameters, model.entry_parameters or model.start_entries()
+    for shard, rows in zip(found.column("shard").to_pylist(), found.column("rows")):
+        if shard < 0:
+            flat, out = np.frombuffer(rows.as_buffer()), []
+            for shape in [p.shape for p in model.parameters]:
+                size = int(np.prod(shape))
+                out.append(flat[:size].reshape(shape))
+                flat = flat[size:]
+            parameters = out
+            continue
+        entries = np.frombuffer(rows.as_buffer(), ENTRY)
+        at, flat = shard * SHARD + entries["place"].astype(np.int64), entries["values"]
+        for value, new in zip(of_entries, (flat[:, :WIDTH], flat[:, WIDTH:-1], flat[:, -1])):
+            value[at] = new
+    return parameters, of_entries
 
 
 def train_language_model(
-    docs: DataFrame, own_classes: int = OWN_CLASSES, groups: int = GROUPS, known_tokens: int = KNOWN_TOKENS, rounds: int = ROUNDS
+    docs: DataFrame,
+    own_classes: int = OWN_CLASSES,
+    groups: int = GROUPS,
+    known_tokens: int = KNOWN_TOKENS,
+    rounds: int = ROUNDS,
+    least_count: int = LEAST_COUNT,
 ) -> tuple[Model, DataFrame]:
     """The model and the stored counts, learned from all rows that are not held out."""
     texts = _texts(docs).filter(~is_held_out(F.col("doc_id")))
     counts = materialise(count_tokens(texts), "token-counts")
-    model = _vocabulary(counts, own_classes, groups, known_tokens)
-    model.parameters = model.start()
+    model = _vocabulary(counts, own_classes, groups, known_tokens, least_count)
+    model.parameters, model.entry_bias = model.start(), model.log_shares()
     for number in range(rounds):
-        model.parameters = _training_round(texts, model, number)
+        model.parameters, model.entry_parameters = _training_round(texts, model, number)
+    model.entry_parameters = model.entry_parameters or model.start_entries()
     return model, counts
 
 
@@ -288,11 +555,11 @@ def score_documents(docs: DataFrame, model: Model, counts: DataFrame) -> DataFra
     every token is unseen.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model, model.tables()))
+    shared = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, (one_scores, two_scores, bias, logs) = shared.value
-        group_total = np.log10(own.group_counts + own.group_sizes + 1.0)
+        own = shared.value
+        rare_total = np.log10(own.rare_counts + own.rare_sizes + 1.0)
         log_counts = np.log10(own.known_counts + 1.0)
         begin = TaskContext.get().partitionId() << 33
         for batch in slices(batches):
@@ -301,12 +568,12 @@ def score_documents(docs: DataFrame, model: Model, counts: DataFrame) -> DataFra
                 n = part.stop - part.start
                 tokens, codes, first = tokens_of(texts[part])
                 owner = np.repeat(np.arange(n), np.diff(first))
-                classes = own.classes_of(tokens, codes)
-                one, two = own.contexts(classes, first)
-                value = (one_scores[one, classes] + two_scores[two, classes] + bias[classes] - logs[one, two]) / np.log(10)
-                group = classes - len(own.own)
-                value -= np.where(group >= 0, group_total[np.maximum(group, 0)], 0)
-                distinct, index = np.unique(tokens, return_inverse=True)
+                distinct, first_at, index = np.unique(tokens, return_index=True, return_inverse=True)
+                classes, words = (x[index] for x in own.places_of(distinct, codes[first_at]))
+                one, two = own.contexts(own.units_of(classes, words), first)
+                value = own.log_probabilities(classes, words, one, two) / np.log(10)
+                group = np.where(words < 0, classes - len(own.own), -1)
+                value -= np.where(group >= 0, rare_total[np.maximum(group, 0)], 0)
                 at = np.minimum(np.searchsorted(own.known, distinct), max(0, len(own.known) - 1))
                 known = own.known[at] == distinct if len(own.known) else np.zeros(len(distinct), bool)
                 token_log = np.where(known, log_counts[at], 0)[index] if len(own.known) else np.zeros(len(tokens))

@@ -90,3 +90,41 @@ def test_odd_rows(spark):
 def test_empty_table(spark):
     docs = empty_documents(spark)
     assert lb.score_documents(docs, *lb.train_language_model(docs)).count() == 0
+
+
+@pytest.fixture(scope="module")
+def common_beginnings(spark):
+    """Two languages of 600 words each that all begin alike, and one text with 400 copies."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(3000):
+        lang = "pq"[i % 2]
+        rows.append((i, " ".join(f"wa{lang}{n}" for n in rng.integers(0, 600, 80)), lang))
+    hot = " ".join(f"wap{n}" for n in rng.integers(0, 600, 80))
+    rows += [(i, hot, "hot") for i in range(3000, 3400)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+
+
+def test_every_word_above_the_count_is_predicted(common_beginnings):
+    """With the production parameters: 1,200 words in one group of first bytes tell the language of the next word."""
+    docs = common_beginnings
+    out = lb.score_documents(docs, *lb.train_language_model(docs)).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    gains = out[out.held_out].groupby("lang").apply(lambda x: (x.score - x.base_score).sum() / x.n_tokens.sum(), include_groups=False)
+    assert set(gains.index) == {"p", "q", "hot"} and (gains > 0.1).all(), gains.to_dict()
+
+
+def test_vocabulary_grows_and_all_tokens_sum_to_one(common_beginnings):
+    few, _ = lb.train_language_model(common_beginnings.filter("doc_id < 150"), rounds=0)
+    model, counts = lb.train_language_model(common_beginnings)
+    rows = counts.toPandas()
+    assert model.words == (rows.n >= lb.LEAST_COUNT).sum() - len(model.own) > few.words > 0
+    assert few.words < 946 and all(np.abs(p[model.nodes :]).sum() > 0 for p in model.entry_parameters)
+    classes, words = model.places_of(rows.token.to_numpy().view(np.uint64), rows.code.to_numpy())
+    for one, two in ((model.classes, model.classes), (model.classes + 1, 3), (model.classes + model.words, model.classes + 7)):
+        # Each class, word and subclass of rare tokens once.
+        rare = np.arange(len(model.own), model.classes)
+        at_class = np.concatenate((np.arange(len(model.own)), rare, classes[words >= 0]))
+        at_word = np.concatenate((np.full(model.classes, -1), words[words >= 0]))
+        n = len(at_class)
+        logs = model.log_probabilities(at_class, at_word, np.full(n, one), np.full(n, two))
+        assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4)
