@@ -9,13 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerocast.llm import bagminhash
+from aerocast.llm.alignment import align_corpus
 from aerocast.llm.blocksearch import search
 from aerocast.llm.bpe import decode_documents, encode_documents
 from aerocast.llm.covertree import near_duplicates
+from aerocast.llm.fmindex import find_leaks
 from aerocast.llm.importance import fit_ratios, resample
 from aerocast.llm.kdshard import shard_documents
 from aerocast.llm.logbilinear import score_documents, train_language_model
 from aerocast.llm.packing import pack_documents
+from aerocast.llm.prefixtrie import prefix_trie, rebuilt_sequences
 from aerocast.llm.substrings import remove_repeats
 from aerocast.llm.toxicity import is_held_out, score_toxicity, train_toxicity
 
@@ -79,6 +82,30 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(docs, fit_ratios(docs, labels)).withColumnRenamed("selected", "kept")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left, right = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align_corpus(_table(spark, sf_dir, "documents"), left, right, public_tokenizers.PATTERN)
+
+
+def op12_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.array_sort("items")).cast("binary"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first_of_five = F.expr("conv_id - conv_id % 5")
+    taken = F.crc32(F.col("conv_id").cast("string")) % 9
+    return prefix_trie(rebuilt_sequences(_table(spark, sf_dir, "conversations"), first_of_five, taken, most=8))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_harmonic_packing": op1_harmonic_packing,
     "op2_two_tier_bpe": op2_two_tier_bpe,
@@ -90,6 +117,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_block_search": op8_block_search,
     "op9_cover_tree": op9_cover_tree,
     "op10_importance_resampling": op10_importance_resampling,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_fm_index": op12_fm_index,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _USABLE = """SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
@@ -149,3 +179,52 @@ SELECT e.vec_id, coalesce(counts.n, 0) AS n_links, least(e.vec_id, coalesce(leas
   e.vec_id = least(e.vec_id, coalesce(least.b, e.vec_id)) AS kept
 FROM embeddings e LEFT JOIN counts ON counts.a = e.vec_id LEFT JOIN least ON least.a = e.vec_id""",
 }
+
+_PLAIN_WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
+ORACLE["op12_fm_index"] = f"""WITH words AS (SELECT doc_id, {_PLAIN_WORDS} AS w FROM documents),
+items AS (SELECT item_id, {_PLAIN_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, len(w) AS n, array_to_string(w, ' ') AS key FROM items WHERE len(w) BETWEEN 1 AND 9
+  UNION SELECT item_id, 10, array_to_string(w[i:i + 9], ' ') FROM (SELECT *, unnest(range(1, len(w) - 8)) AS i FROM items)),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, sizes),
+found AS (SELECT doc_id, i, n, item_id FROM places JOIN windows USING (n) WHERE array_to_string(w[i:i + n - 1], ' ') = key),
+hit AS (
+  SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS i FROM found) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT words.doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+  sha256(coalesce(list, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+# The checksum of a decimal id, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(
+  list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::UBIGINT)),
+  lambda c, x: list_reduce(list_prepend(xor(c, x), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+    lambda v, b: xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END))))"""
+
+ORACLE["op13_prefix_trie"] = f"""WITH turns AS (
+  SELECT conv_id, list(t ORDER BY turn NULLS FIRST, md5(concat(strlen(t.role), ':', t.role, t.text))) AS own
+  FROM (SELECT conv_id, turn, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t FROM conversations WHERE conv_id IS NOT NULL)
+  GROUP BY conv_id),
+taken AS (SELECT *, CAST({_CRC32} % 9 AS BIGINT) AS h FROM turns),
+built AS (
+  SELECT c.conv_id, list_concat(coalesce(b.own, [])[1:c.h], c.own[c.h + 1:]) AS t
+  FROM taken c LEFT JOIN turns b ON b.conv_id = c.conv_id - c.conv_id % 5),
+prefixes AS (SELECT conv_id, d, t[1:d] AS p, len(t) = d AS last FROM (SELECT *, unnest(range(0, len(t) + 1)) AS d FROM built)),
+nodes AS (
+  SELECT p, any_value(d) AS depth, min(conv_id) AS least, count(*) AS n,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends FROM prefixes GROUP BY p),
+above AS (SELECT c.least, c.depth, u.least AS parent FROM nodes c JOIN nodes u ON c.depth > 0 AND u.depth = c.depth - 1 AND u.p = c.p[1:c.depth - 1]),
+kids AS (SELECT parent AS least, depth - 1 AS depth, count(*) AS n FROM above GROUP BY ALL),
+sized AS (
+  SELECT nodes.*, coalesce(kids.n, 0) AS n_children, CASE WHEN nodes.depth = 0 THEN 0 ELSE (nodes.n - 1) * strlen(nodes.p[nodes.depth].text) END AS own
+  FROM nodes LEFT JOIN kids USING (least, depth)),
+below AS (
+  SELECT t.p[1:a] AS p, CAST(count(*) FILTER (WHERE n_children = 0) AS BIGINT) AS n_leaves, CAST(sum(own) AS BIGINT) AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS a FROM sized) t GROUP BY 1)
+SELECT least AS conv_id, depth, parent AS parent_conv_id, n AS n_convs, n_children, n_leaves, saved AS saved_tokens, ends AS ends_sha256
+FROM sized JOIN below USING (p) LEFT JOIN above USING (least, depth)"""

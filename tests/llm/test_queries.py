@@ -11,6 +11,7 @@ import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
+from tokenizers import Tokenizer
 
 from __spark_entry__ import oracle_sql, queries
 from aerocast.llm.queries import ORACLE, QUERIES
@@ -32,7 +33,7 @@ def run(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) < set(queries()) and set(ORACLE) <= set(oracle_sql()) and "pipeline" in queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -88,3 +89,14 @@ def test_quality(spark, texts):
     out = run(spark, "op10_importance_resampling")
     labels = pd.read_parquet(f"{SF}/labels.parquet").merge(out, on="doc_id")
     assert set(out.doc_id) == set(texts) and labels[labels.quality == 1].kept.mean() > 0.95
+
+
+def test_alignment(spark, texts):
+    out = run(spark, "op11_token_alignment").set_index("doc_id")
+    assert set(out.index) == set(texts) and (out.n_links >= out.n_best).all() and (out.count_sum >= out.n_links).all()
+    left = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    left.encode_special_tokens = True
+    given_back = out[out.n_a > 0]
+    assert len(given_back) > 0.9 * len(out)
+    for i, r in given_back.iterrows():
+        assert r.n_a == len(left.encode(" " + texts[i], add_special_tokens=False).ids) and r.n_links == r.n_a + r.n_b - r.n_groups
