@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from aerocast.catalog.views import BASELINE_UNTIL, CUTOFF, DROPOUT_BELOW, MEASURED, STATIONS
+from aerocast.catalog.views import BASELINE_UNTIL, COARSE, COARSE_DEPTH, CUTOFF, DROPOUT_BELOW, MEASURED, STATIONS
 from aerocast import contract
 from aerocast.contract import CITIES, LAGGED, ROLLED
 from aerocast.functions import advice, labels
@@ -644,6 +644,88 @@ WHERE epoch_us(datetime) > (SELECT quantile_cont(epoch_us(datetime), 0.8) FROM r
 )
 
 
+# Plain trees are grown here level by level: of all cuts between values that the earlier side has, a node takes the one
+# that leaves the least spread (squared error, or Gini's, which is the same sum over class indicators).
+COARSE_ROWS = ", ".join(f"floor({c} * 4) / 4e0 AS {c}" if c.startswith("main_aqi") else c for c in COARSE)
+COARSE_INPUTS = [f"CAST({c} AS DOUBLE)" for c in COARSE if c != "city"]
+COARSE_INPUTS += [f"CAST(city = {text(kind)} AS DOUBLE)" for kind in sorted(STATIONS)]
+CELLS = f"""{FEATURES}, coarse AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY city, datetime) AS id, datetime, {COARSE_ROWS}, main_aqi_t_plus_h, hazard_t_plus_h,
+    datetime <= TIMESTAMP '{CUTOFF}' AS learn FROM features),
+cells AS MATERIALIZED ({" UNION ALL ".join(f"SELECT id, learn, {i} AS f, {c} AS v FROM coarse" for i, c in enumerate(COARSE_INPUTS))}),
+cuts AS MATERIALIZED (
+  SELECT f, v, (v + lead(v) OVER (PARTITION BY f ORDER BY v)) / 2 AS cut FROM (SELECT DISTINCT f, v FROM cells WHERE learn)
+  QUALIFY cut IS NOT NULL)"""
+
+
+def grown(tree: str, sums: list[str], weight: str = "1e0", prune: bool = False) -> str:
+    """Views of a tree over ``cells``: ``tree_rows`` (id, node) and ``tree_leaves`` (node, share of each sum by weight).
+
+    With ``prune``, sibling leaves that agree on the largest sum are joined again.
+    """
+    z = range(len(sums))
+    views = [f"{tree}_y AS MATERIALIZED (SELECT id, {weight} AS w, {', '.join(f'({weight}) * ({s}) AS z{i}' for i, s in enumerate(sums))} FROM coarse WHERE learn)"]
+    views.append(f"{tree}_0 AS MATERIALIZED (SELECT id, 1 AS node FROM coarse)")
+    totals_ = ", ".join(["sum(w) AS w", *[f"sum(z{i}) AS z{i}" for i in z]])
+    lefts = ", ".join(["sum(h.w) AS wl", *[f"sum(h.z{i}) AS l{i}" for i in z]])
+    whole = ", ".join(["t.w", *[f"t.z{i}" for i in z]])
+    gain = " + ".join(f"l{i} * l{i} / wl + (z{i} - l{i}) * (z{i} - l{i}) / (w - wl) - z{i} * z{i} / w" for i in z)
+    for level in range(COARSE_DEPTH):
+        views += [
+            f"{tree}_h{level} AS MATERIALIZED (SELECT node, f, v, {totals_} FROM {tree}_{level} JOIN {tree}_y USING (id) JOIN cells USING (id) GROUP BY ALL)",
+            f"{tree}_t{level} AS MATERIALIZED (SELECT node, {totals_} FROM {tree}_{level} JOIN {tree}_y USING (id) GROUP BY ALL)",
+            f"""{tree}_b{level} AS MATERIALIZED (
+  SELECT node, f, cut FROM (
+    SELECT t.node, c.f, c.cut, {whole}, {lefts} FROM {tree}_t{level} t CROSS JOIN cuts c
+    JOIN {tree}_h{level} h ON h.node = t.node AND h.f = c.f AND h.v <= c.v GROUP BY ALL)
+  WHERE w - wl > 1e-9 AND ({gain}) / w > 1e-12
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(({gain}) / w, 11) DESC, f, cut) = 1)""",
+            f"""{tree}_{level + 1} AS MATERIALIZED (
+  SELECT m.id, CASE WHEN b.node IS NULL THEN m.node ELSE 2 * m.node + CAST(c.v > b.cut AS INTEGER) END AS node
+  FROM {tree}_{level} m LEFT JOIN {tree}_b{level} b ON b.node = m.node LEFT JOIN cells c ON c.id = m.id AND c.f = b.f)""",
+        ]
+    last = f"{tree}_{COARSE_DEPTH}"
+    if prune:
+        best = "CASE " + " ".join(f"WHEN sum(z{i}) = greatest({', '.join(f'sum(z{k})' for k in z)}) THEN {i}" for i in z) + " END"
+        for level in range(COARSE_DEPTH, 0, -1):
+            inside = f"node BETWEEN {2**level} AND {2 ** (level + 1) - 1}"
+            views.append(f"""{tree}_p{level} AS MATERIALIZED (
+  SELECT m.id, coalesce(x.parent, m.node) AS node FROM {last} m LEFT JOIN (
+    SELECT node // 2 AS parent FROM (SELECT node, {best} AS best FROM {last} JOIN {tree}_y USING (id) WHERE {inside} GROUP BY node)
+    GROUP BY ALL HAVING count(*) = 2 AND min(best) = max(best)) x ON x.parent = m.node // 2 AND {inside.replace('node', 'm.node')})""")
+            last = f"{tree}_p{level}"
+    views.append(f"{tree}_rows AS MATERIALIZED (SELECT * FROM {last})")
+    shares = ", ".join(f"sum(z{i}) / sum(w) AS s{i}" for i in z)
+    views.append(f"{tree}_leaves AS MATERIALIZED (SELECT node, {shares} FROM {last} JOIN {tree}_y USING (id) GROUP BY ALL)")
+    return ",\n".join(views)
+
+
+BUCKET_SUMS = [f"CAST({bucket('main_aqi_t_plus_h')} = {k} AS DOUBLE)" for k in range(4)]
+CLASS_N = "(SELECT hazard_t_plus_h AS class, count(*) AS n FROM coarse WHERE learn GROUP BY ALL)"
+WEIGHTS = f"(SELECT (SELECT count(*) FROM coarse WHERE learn) / (2e0 * n) FROM {CLASS_N} WHERE class = hazard_t_plus_h)"
+PREDICTED = f"""{CELLS},
+{grown("level", ["main_aqi_t_plus_h"])},
+{grown("hazard", ["CAST(hazard_t_plus_h = 0 AS DOUBLE)", "CAST(hazard_t_plus_h = 1 AS DOUBLE)"], WEIGHTS, prune=True)},
+{grown("kind", BUCKET_SUMS)},
+predicted AS (
+  SELECT c.city, c.datetime, l.s0 AS aqi_3h, CAST(h.s1 > h.s0 AS INTEGER) AS hazard_class, h.s1 AS hazard_prob,
+    CAST(CASE {" ".join(f"WHEN k.s{i} = greatest(k.s0, k.s1, k.s2, k.s3) THEN {i}" for i in range(4))} END AS INTEGER) AS severity_model
+  FROM coarse c JOIN level_rows USING (id) JOIN level_leaves l USING (node)
+    JOIN hazard_rows hr ON hr.id = c.id JOIN hazard_leaves h ON h.node = hr.node
+    JOIN kind_rows kr ON kr.id = c.id JOIN kind_leaves k ON k.node = kr.node
+  WHERE NOT c.learn)"""
+TREE_ROWS = "SELECT city, datetime, round(aqi_3h, 9) AS aqi_3h, hazard_class, round(hazard_prob, 9) AS hazard_prob, severity_model FROM predicted"
+put("tree_predictions", PREDICTED, TREE_ROWS)
+put("tree_predictions_by_pipeline", PREDICTED, TREE_ROWS)
+put(
+    "predicted_records",
+    PREDICTED,
+    f"""SELECT city, datetime, round(aqi_3h, 9) AS aqi_3h, round(hazard_prob, 9) AS hazard_prob,
+  {hazard('aqi_3h', labels.HAZARD_TEXT)} AS hazard_label, {case('severity_model', {k: text(v) for k, v in enumerate(labels.SEVERITY_BY_BUCKET)})} AS severity_bucket,
+  datetime + INTERVAL 3 HOUR AS predicted_for_local FROM predicted""",
+)
+
+
 def totals(safe: str, hazardous: str, more: dict[str, float]) -> str:
     """Rows (metric, value) of a confusion matrix whose sides have these many rows."""
     rows = {"safe": safe, "hazardous": hazardous, "rows": f"{safe} + {hazardous}"}

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from aerocast.catalog.views import (
     BASELINE_UNTIL,
+    COARSE,
+    COARSE_DEPTH,
     CUTOFF,
     DROPOUT_BELOW,
     MEASURED,
     STATIONS,
+    coarse,
     dropout_readings,
     events,
     features,
@@ -789,6 +792,56 @@ def tree_severity(spark, sf_dir):
     return scored.select("city", "datetime", TARGET, F.col("severity_model").isin(seen).alias("is_trained_bucket"))
 
 
+def _plain_trees(train: DataFrame) -> dict:
+    """One tree per model, grown on the whole table and all inputs, so that SQL can grow the same."""
+    prepared = fit_preprocessor(train, COARSE)
+    plain = {"trees": 1, "depth": COARSE_DEPTH, "bootstrap": False}
+    return {
+        "regressor": train_regressor(train, COARSE, prepared, **plain),
+        "classifier": train_classifier(train, COARSE, prepared, subset="all", **plain),
+        "recommender": train_recommender(train, COARSE, prepared, depth=COARSE_DEPTH),
+    }
+
+
+def _predictions(scored: DataFrame, *more: str) -> DataFrame:
+    return scored.select(
+        "city", "datetime", *more, F.round("aqi_3h", 9).alias("aqi_3h"), "hazard_class", F.round("hazard_prob", 9).alias("hazard_prob"), "severity_model"
+    )
+
+
+@query
+def tree_predictions(spark, sf_dir):
+    """What the three models, trained on the earlier side, predict for each row of the later one."""
+    train, val = _train_val(spark, sf_dir)
+    return _predictions(score(coarse(val), _plain_trees(coarse(train))))
+
+
+@query
+def tree_predictions_by_pipeline(spark, sf_dir):
+    """The same predictions from the fitted pipelines instead of the expressions compiled from them."""
+    train, val = _train_val(spark, sf_dir)
+    return _predictions(score(coarse(val), _plain_trees(coarse(train)), native=False))
+
+
+@query
+def predicted_records(spark, sf_dir):
+    """Records of stored, promoted and reloaded models for the later side, with their predictions and advice."""
+    train, val = _train_val(spark, sf_dir)
+    root = scratch_path(spark, "plain-trees")
+    promote(spark, save_models(spark, _plain_trees(coarse(train)), root, {}), root, {})
+    scored = score(coarse(val), load_models(spark, root))
+    records = prediction_records(scored, "stored/tree", carried=["datetime"])
+    return records.select(
+        "city",
+        "datetime",
+        F.round("prediction.aqi_3h", 9).alias("aqi_3h"),
+        F.round("prediction.hazard_prob", 9).alias("hazard_prob"),
+        F.col("prediction.hazard_label").alias("hazard_label"),
+        F.col("recommendations.severity_bucket").alias("severity_bucket"),
+        F.col("realtime.predicted_for_local").alias("predicted_for_local"),
+    )
+
+
 @query
 def current_level_baseline(spark, sf_dir):
     """Counts of the later side, and how the metrics of the scored rows hang together."""

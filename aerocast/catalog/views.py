@@ -71,3 +71,13 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features with the persistence forecast as the prediction."""
     return persistence_forecast(features(spark, sf_dir))
+
+
+# Inputs of the trees that SQL grows as well: few values each, so that every split is looked at.
+COARSE = ["main_aqi", "main_aqi_lag_1", "main_aqi_lag_2", "main_aqi_lag_3", "hour", "dayofweek", "is_weekend", "city"]
+COARSE_DEPTH = 3
+
+
+def coarse(df: DataFrame) -> DataFrame:
+    """Levels rounded down to quarters."""
+    return df.withColumns({c: F.floor(F.col(c) * 4) / F.lit(4.0) for c in COARSE if c.startswith("main_aqi")})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
@@ -17,11 +18,12 @@ from pyspark.ml.feature import (
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aerocast.contract import HAZARD, MEASURES, SEED, TARGET, feature_columns, require_columns
 from aerocast.functions.labels import severity_bucket
+from aerocast.models.compiled import Compiled, apply_compiled, compile_model, fits
 from aerocast.operators.ordered import percentiles
 
 TREES = 300
@@ -103,11 +105,16 @@ def _fit(df: DataFrame, prepared: PipelineModel, estimator) -> PipelineModel:
     return PipelineModel(stages=[*prepared.stages, fitted])
 
 
-def train_regressor(df: DataFrame, columns: list[str], prepared=None, trees: int = TREES, depth: int = DEPTH, label: str = TARGET):
-    """Random forest for the level; every split looks at all inputs."""
+def train_regressor(
+    df: DataFrame, columns: list[str], prepared=None, trees: int = TREES, depth: int = DEPTH, label: str = TARGET, bootstrap: bool = True
+):
+    """Random forest for the level; every split looks at all inputs.
+
+    Without ``bootstrap`` every tree sees the table as it is, so one tree is the plain regression tree.
+    """
     forest = RandomForestRegressor(
         labelCol=label, featuresCol="features", predictionCol="aqi_3h", numTrees=trees, maxDepth=depth,
-        maxBins=BINS, featureSubsetStrategy="all", seed=SEED,
+        maxBins=BINS, featureSubsetStrategy="all", bootstrap=bootstrap, seed=SEED,
     )
     return _fit(df, prepared or fit_preprocessor(df, columns), forest)
 
@@ -123,12 +130,18 @@ def with_class_weight(df: DataFrame, label: str = HAZARD) -> DataFrame:
 
 
 def train_classifier(
-    df: DataFrame, columns: list[str], prepared=None, trees: int = TREES, depth: int = DEPTH, balanced: bool = True
+    df: DataFrame, columns: list[str], prepared=None, trees: int = TREES, depth: int = DEPTH, balanced: bool = True,
+    bootstrap: bool = True, subset: str = "sqrt",
 ):
-    """Random forest for the hazard class, by default with balanced class weights."""
+    """Random forest for the hazard class, by default with balanced class weights.
+
+    ``subset`` says how many inputs a split looks at; with all of them and without ``bootstrap``, one tree is
+    the plain classification tree.
+    """
     forest = RandomForestClassifier(
         labelCol=HAZARD, featuresCol="features", predictionCol="hazard_class", probabilityCol="hazard_probability",
-        rawPredictionCol="hazard_raw", numTrees=trees, maxDepth=depth, maxBins=BINS, featureSubsetStrategy="sqrt", seed=SEED,
+        rawPredictionCol="hazard_raw", numTrees=trees, maxDepth=depth, maxBins=BINS,
+        featureSubsetStrategy=subset, bootstrap=bootstrap, seed=SEED,
     )
     if balanced:
         df, forest = with_class_weight(df), forest.setWeightCol("_weight")
@@ -175,20 +188,30 @@ def _published(role: str) -> dict:
     }[role]
 
 
-def score(df: DataFrame, models: dict[str, PipelineModel]) -> DataFrame:
+@lru_cache(maxsize=16)
+def _compiled(spark: SparkSession, model: PipelineModel, role: str) -> Compiled | None:
+    return compile_model(spark, model, role) if fits(model.stages[-1]) else None
+
+
+def score(df: DataFrame, models: dict[str, PipelineModel], native: bool = True) -> DataFrame:
     """Add what the given models predict: aqi_3h, hazard_class and hazard_prob, severity_model.
 
-    Models trained together share their input stages (stage ids survive storage), so the
-    inputs are prepared once for all of them.
+    Small models run as column expressions (see ``models.compiled``), larger ones, or all of them without ``native``,
+    as the fitted pipelines; the predictions are the same. Models trained together share their input stages
+    (stage ids survive storage), so a pipeline's inputs are prepared once for all of them.
     """
     keep, added, out, ready = list(df.columns), {}, df, None
+    small = {role: _compiled(df.sparkSession, model, role) for role, model in models.items()} if native else {}
     for role, model in models.items():
-        inputs, head = model.stages[:-1], model.stages[-1]
-        if ready != [s.uid for s in inputs]:
-            out = PipelineModel(stages=inputs).transform(out.select(*keep, *added))
-            ready = [s.uid for s in inputs]
         published = _published(role)
-        done = head.transform(out)
-        out = done.select(*out.columns, *[c.alias(n) for n, c in published.items()])
+        if small.get(role):
+            out, ready = apply_compiled(out.select(*keep, *added), small[role]), None
+        else:
+            inputs, head = model.stages[:-1], model.stages[-1]
+            if ready != [s.uid for s in inputs]:
+                out = PipelineModel(stages=inputs).transform(out.select(*keep, *added))
+                ready = [s.uid for s in inputs]
+            done = head.transform(out)
+            out = done.select(*out.columns, *[c.alias(n) for n, c in published.items()])
         added |= published
     return out.select(*keep, *added)
