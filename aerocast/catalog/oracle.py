@@ -649,10 +649,14 @@ WHERE epoch_us(datetime) > (SELECT quantile_cont(epoch_us(datetime), 0.8) FROM r
 COARSE_ROWS = ", ".join(f"floor({c} * 4) / 4e0 AS {c}" if c.startswith("main_aqi") else c for c in COARSE)
 COARSE_INPUTS = [f"CAST({c} AS DOUBLE)" for c in COARSE if c != "city"]
 COARSE_INPUTS += [f"CAST(city = {text(kind)} AS DOUBLE)" for kind in sorted(STATIONS)]
-CELLS = f"""{FEATURES}, coarse AS MATERIALIZED (
-  SELECT row_number() OVER (ORDER BY city, datetime) AS id, datetime, {COARSE_ROWS}, main_aqi_t_plus_h, hazard_t_plus_h,
-    datetime <= TIMESTAMP '{CUTOFF}' AS learn FROM features),
-cells AS MATERIALIZED ({" UNION ALL ".join(f"SELECT id, learn, {i} AS f, {c} AS v FROM coarse" for i, c in enumerate(COARSE_INPUTS))}),
+
+
+def cells_of(views: str, rows: str) -> str:
+    """Views of the inputs of ``rows`` cell by cell, and the cuts between the values of those to learn from."""
+    cells = " UNION ALL ".join(f"SELECT id, learn, {i} AS f, {c} AS v FROM coarse" for i, c in enumerate(COARSE_INPUTS))
+    return f"""{views}, coarse AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY learn, city, datetime) AS id, datetime, {COARSE_ROWS}, main_aqi_t_plus_h, hazard_t_plus_h, learn FROM ({rows})),
+cells AS MATERIALIZED ({cells}),
 cuts AS MATERIALIZED (
   SELECT f, v, (v + lead(v) OVER (PARTITION BY f ORDER BY v)) / 2 AS cut FROM (SELECT DISTINCT f, v FROM cells WHERE learn)
   QUALIFY cut IS NOT NULL)"""
@@ -703,8 +707,8 @@ def grown(tree: str, sums: list[str], weight: str = "1e0", prune: bool = False)
 BUCKET_SUMS = [f"CAST({bucket('main_aqi_t_plus_h')} = {k} AS DOUBLE)" for k in range(4)]
 CLASS_N = "(SELECT hazard_t_plus_h AS class, count(*) AS n FROM coarse WHERE learn GROUP BY ALL)"
 WEIGHTS = f"(SELECT (SELECT count(*) FROM coarse WHERE learn) / (2e0 * n) FROM {CLASS_N} WHERE class = hazard_t_plus_h)"
-PREDICTED = f"""{CELLS},
-{grown("level", ["main_aqi_t_plus_h"])},
+
+JUDGED = f"""{grown("level", ["main_aqi_t_plus_h"])},
 {grown("hazard", ["CAST(hazard_t_plus_h = 0 AS DOUBLE)", "CAST(hazard_t_plus_h = 1 AS DOUBLE)"], WEIGHTS, prune=True)},
 {grown("kind", BUCKET_SUMS)},
 predicted AS (
@@ -714,6 +718,7 @@ predicted AS (
     JOIN hazard_rows hr ON hr.id = c.id JOIN hazard_leaves h ON h.node = hr.node
     JOIN kind_rows kr ON kr.id = c.id JOIN kind_leaves k ON k.node = kr.node
   WHERE NOT c.learn)"""
+PREDICTED = f"{cells_of(FEATURES, f'SELECT *, datetime <= TIMESTAMP {text(CUTOFF)} AS learn FROM features')},\n{JUDGED}"
 TREE_ROWS = "SELECT city, datetime, round(aqi_3h, 9) AS aqi_3h, hazard_class, round(hazard_prob, 9) AS hazard_prob, severity_model FROM predicted"
 put("tree_predictions", PREDICTED, TREE_ROWS)
 put("tree_predictions_by_pipeline", PREDICTED, TREE_ROWS)
@@ -800,3 +805,18 @@ put(
   'stored/tree' AS recommender_model FROM readings""",
 )
 ORACLE["stream_counters"] = f"SELECT event_type AS city, {COUNTERS} FROM events GROUP BY event_type"
+put(
+    "stream_history",
+    READINGS,
+    f"""SELECT city, datetime, {', '.join(MEASURED)}, {LAGS},
+  {', '.join(f"round(avg({c}) OVER (PARTITION BY city ORDER BY datetime ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS {c}_roll3_mean" for c in ROLLED)}
+FROM readings {BY_TIME}""",
+)
+# The trees are grown on the earlier side as before; here they judge every reading with three rows before it.
+LIVE = f"""{FEATURES}, live AS MATERIALIZED (
+  SELECT * FROM (SELECT city, datetime, main_aqi, {CALENDAR}, {", ".join(f"lag(main_aqi, {k}) OVER w AS main_aqi_lag_{k}" for k in (1, 2, 3))}
+    FROM readings {BY_TIME}) WHERE main_aqi_lag_3 IS NOT NULL)"""
+INPUTS = ", ".join(["datetime", *COARSE])
+LIVE_ROWS = f"""SELECT {INPUTS}, main_aqi_t_plus_h, hazard_t_plus_h, true AS learn FROM features WHERE datetime <= TIMESTAMP '{CUTOFF}'
+UNION ALL SELECT {INPUTS}, NULL, NULL, false FROM live"""
+put("stream_predictions", f"{cells_of(LIVE, LIVE_ROWS)},\n{JUDGED}", TREE_ROWS)

@@ -1066,3 +1066,31 @@ def stream_scoring(spark, sf_dir):
         (F.col("record.prediction.hazard_label") == lab.hazard_text(based["predicted_aqi"])).alias("label_follows_level"),
         based["recommender_model"].alias("recommender_model"),
     )
+
+
+@query
+def stream_history(spark, sf_dir):
+    """Lags and rolling means of every reading, kept up to date by a stream that takes a day's events at a time."""
+    work = scratch_path(spark, "stream-history")
+    raw = raw_readings(spark, sf_dir).withColumn("day", F.dayofmonth("datetime"))
+    # Odd days land first, so every other file is late.
+    raw.withColumn("turn", F.col("day") % 2).repartitionByRange(4, F.desc("turn"), "day").drop("day", "turn").write.parquet(f"{work}/landed")
+    stream = jobs.file_stream(spark, f"{work}/landed", spark.read.parquet(f"{work}/landed").schema, 1)
+    out = jobs.run_unique(stream, work, "event_id", lambda rows: rows, width="5d", history=True)
+    found = jobs.read_shaped(spark, out, "event_id")
+    return found.select("city", "datetime", *MEASURED, *[c for c in found.columns if "_lag_" in c], *[r6(c).alias(c) for c in found.columns if "_roll3_" in c])
+
+
+@query
+def stream_predictions(spark, sf_dir):
+    """What three plain trees predict for every reading of the stream, from its own history."""
+    train, _ = _train_val(spark, sf_dir)
+    models = _plain_trees(coarse(train))
+    work = scratch_path(spark, "stream-predictions")
+
+    def shape(rows):
+        calm = add_calendar(coarse(rows)).dropna(subset=COARSE)
+        return score(calm, models).select("city", "datetime", "aqi_3h", "hazard_class", "hazard_prob", "severity_model")
+
+    out = jobs.run_unique(_event_stream(spark, sf_dir), work, "event_id", shape, width="5d", history=True)
+    return _predictions(jobs.read_shaped(spark, out, "event_id"))

@@ -157,7 +157,7 @@ def add_lags(df: DataFrame, columns=tuple(LAGGED), block: str = BLOCK) -> DataFr
     return row_shifts(df, spec, block) if spec else df
 
 
-def _mean_of(parts: list[str]) -> str:
+def mean_of(parts: list[str]) -> str:
     """Mean of the non-null parts, oldest first; null if there are none."""
     total = " + ".join(f"coalesce({p}, 0D)" for p in parts)
     count = " + ".join(f"CAST({p} IS NOT NULL AS INT)" for p in parts)
@@ -171,7 +171,7 @@ def add_rolling(df: DataFrame, columns=tuple(ROLLED), window: int = ROLL_ROWS, b
         return df
     shifted = row_shifts(df, {f"_r_{c}_{k}": (c, k) for c in columns for k in range(1, window)}, block)
     means = {
-        f"{c}_roll{window}_mean": _mean_of([f"`_r_{c}_{k}`" for k in range(window - 1, 0, -1)] + [f"`{c}`"])
+        f"{c}_roll{window}_mean": mean_of([f"`_r_{c}_{k}`" for k in range(window - 1, 0, -1)] + [f"`{c}`"])
         for c in columns
     }
     return shifted.selectExpr(*[f"`{c}`" for c in df.columns], *_named(means))
@@ -224,7 +224,7 @@ def forecast_features(df: DataFrame, horizon: int = HORIZON, block: str = BLOCK)
     )
     lags = {f"{c}_lag_{k}": _back(c, k) for c in lagged for k in range(1, LAG_STEPS + 1)}
     means = {
-        f"{c}_roll{ROLL_ROWS}_mean": _mean_of([f"{c}_lag_{k}" for k in range(ROLL_ROWS - 1, 0, -1)] + [c])
+        f"{c}_roll{ROLL_ROWS}_mean": mean_of([f"{c}_lag_{k}" for k in range(ROLL_ROWS - 1, 0, -1)] + [c])
         for c in rolled
     }
     lagging = kept.selectExpr(*columns, TARGET, *_named(lags))
@@ -243,7 +243,7 @@ def build_features(df: DataFrame, block: str = BLOCK) -> DataFrame:
     shifted = row_shifts(add_calendar(df), spec, block) if spec else add_calendar(df)
     rolled = [c for c in ROLLED if c in df.columns]
     means = {
-        f"{c}_roll{ROLL_ROWS}_mean": _mean_of([f"{c}_lag_{k}" for k in range(ROLL_ROWS - 1, 0, -1)] + [c])
+        f"{c}_roll{ROLL_ROWS}_mean": mean_of([f"{c}_lag_{k}" for k in range(ROLL_ROWS - 1, 0, -1)] + [c])
         for c in rolled
     }
     return shifted.selectExpr("*", *_named(means)).dropna(subset=[*spec, *means])

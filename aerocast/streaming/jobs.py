@@ -14,10 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from aerocast.contract import ENGINEERED
 from aerocast.models.training import score
-from aerocast.operators.readings import ROW_ORDER, first_per_key
+from aerocast.operators.readings import ROW_ORDER
 from aerocast.operators.scoring import cold_start_features, prediction_records
 from aerocast.sources.files import path_exists
+from aerocast.streaming import blocks
+from aerocast.streaming.blocks import WIDTH
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -28,54 +31,49 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int |
     return reader.parquet(path)
 
 
-def _better(batch: DataFrame, out: str, batch_id: int, order: str) -> DataFrame:
-    """First rows of the keys of a batch that no earlier batch holds with a smaller order.
-
-    Only the months that the batch touches are read from what was written before.
-    """
-    spark, month = batch.sparkSession, F.date_format("datetime", "yyyy-MM")
-    ranked = batch.withColumn("_order", F.col(order))
-    rows = first_per_key(ranked, order=order).withColumnRenamed("_order", order).withColumn("month_part", month)
-    if not path_exists(spark, out):
-        return rows
-    months = [r[0] for r in rows.select("month_part").distinct().collect()]  # bounded by the calendar
-    held = spark.read.schema(rows.withColumn("batch", F.lit(0).cast("bigint")).schema).option("basePath", out).parquet(out)
-    held = held.filter((F.col("batch") < batch_id) & F.col("month_part").isin(months))
-    held = held.select("city", "datetime", F.col(order).alias("_held"))
-    known = (rows["city"] == held["city"]) & (rows["datetime"] == held["datetime"]) & (held["_held"] <= rows[order])
-    return rows.join(held, known, "left_anti")
-
-
 def unique_to_files(
-    stream: DataFrame, out: str, checkpoint: str, order: str = ROW_ORDER, shape: Callable[[DataFrame], DataFrame] | None = None
+    stream: DataFrame,
+    out: str,
+    checkpoint: str,
+    order: str = ROW_ORDER,
+    shape: Callable[[DataFrame], DataFrame] | None = None,
+    width: str = WIDTH,
+    history: bool = False,
 ) -> StreamingQuery:
-    """Write the first row per (city, datetime) of a stream, over all files available now.
+    """Keep the first row per (city, datetime) of a stream, over all files available now.
+
+    Rows live in time blocks of ``width`` (see ``streaming.blocks``). A batch reads the blocks that it touches,
+    whatever was written before, and rewrites those where a key is new or comes with a smaller ``order``. The
+    result does not depend on how files fall into batches or on their order, nothing is dropped as late, and
+    no state is kept in memory.
 
-    A batch adds the rows whose key is new, or whose ``order`` is smaller than what is there, in
-    a folder of its own: a repeated batch replaces it. ``read_unique`` picks the smallest order of a
-    key, so the result does not depend on how files fall into batches or on their order, nothing
-    is dropped as late, and no state is kept in memory. ``shape`` adds columns to the new rows.
+    ``shape`` adds columns to the rows that changed. With ``history`` it gets every row whose lags or
+    rolling means changed, with these columns from the rows before it (see ``blocks.with_history``).
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = _better(batch, f"{out}/keys", batch_id, order)
-        rows.write.mode("overwrite").partitionBy("month_part").parquet(f"{out}/keys/batch={batch_id}")
-        if shape is not None:
-            kept = batch.sparkSession.read.schema(rows.schema).parquet(f"{out}/keys/batch={batch_id}").drop("month_part")
-            shape(kept).write.mode("overwrite").parquet(f"{out}/shaped/batch={batch_id}")
+        spark = batch.sparkSession
+        changed = blocks.upsert(batch, out, batch_id, order, width)
+        if shape is not None and changed is not None:
+            rows = blocks.with_history(changed, out, batch_id, width) if history else changed
+            shape(rows).write.mode("overwrite").parquet(f"{out}/shaped/batch={batch_id}")
+        blocks.commit(spark, out, batch_id)
 
     writer = stream.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     return writer.foreachBatch(write).trigger(availableNow=True).start()
 
 
 def read_unique(spark: SparkSession, out: str, order: str = ROW_ORDER) -> DataFrame:
-    """The rows that ``unique_to_files`` keeps, each key once."""
-    return first_per_key(spark.read.parquet(f"{out}/keys").drop("batch", "month_part"), order=order)
+    """The rows that ``unique_to_files`` keeps, each key once: blocks hold nothing else."""
+    return blocks.read_all(spark, out).drop(order, blocks.BLOCK)
 
 
 def read_shaped(spark: SparkSession, out: str, order: str = ROW_ORDER) -> DataFrame:
-    """The shaped rows, each key once; ``shape`` must keep the city, the time and the order."""
-    return first_per_key(spark.read.parquet(f"{out}/shaped").drop("batch"), order=order)
+    """The shaped rows, each key once, as the last batch that touched it left it; ``shape`` must keep city and time."""
+    done = blocks.last_commit(spark, out)
+    rows = spark.read.parquet(f"{out}/shaped").filter(F.col("batch") <= done)
+    rest = [c for c in rows.columns if c not in ("city", "datetime", "batch", order)]
+    return rows.groupBy("city", "datetime").agg(*[F.max_by(c, "batch").alias(c) for c in rest])
 
 
 def score_rows(
@@ -83,12 +81,15 @@ def score_rows(
 ) -> Callable[[DataFrame], DataFrame]:
     """A shape for ``unique_to_files``: prediction records beside the key of their reading.
 
-    A stream has no history, so lags repeat the current value.
+    Rows that come without lags and rolling means, or at the start of a series, repeat the current value in them.
     """
 
     def shape(rows: DataFrame) -> DataFrame:
         keyed = rows.withColumns({"_key": F.col("city"), "_order": F.col(order)})
-        scored = score(cold_start_features(keyed), models)
+        known = {c: f"_known_{c}" for c in ENGINEERED if c in rows.columns}
+        cold = cold_start_features(keyed.withColumnsRenamed(known))
+        filled = cold.withColumns({c: F.coalesce(k, c) for c, k in known.items()}).drop(*known.values())
+        scored = score(filled, models)
         record = prediction_records(scored, recommender, carried=["_key", "datetime", "_order"])
         return record.select(
             F.col("_key").alias("city"),
@@ -137,9 +138,7 @@ def run_to_end(query: StreamingQuery) -> None:
         raise query.exception()
 
 
-def run_unique(
-    stream: DataFrame, work: str, order: str = ROW_ORDER, shape: Callable[[DataFrame], DataFrame] | None = None
-) -> str:
+def run_unique(stream: DataFrame, work: str, order: str = ROW_ORDER, shape=None, width: str = WIDTH, history: bool = False) -> str:
     """Run ``unique_to_files`` over all available files into ``work``/out."""
-    run_to_end(unique_to_files(stream, f"{work}/out", f"{work}/checkpoint", order, shape))
+    run_to_end(unique_to_files(stream, f"{work}/out", f"{work}/checkpoint", order, shape, width, history))
     return f"{work}/out"
