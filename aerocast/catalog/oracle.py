@@ -245,6 +245,20 @@ GRID = f"""{READINGS}, grid AS (
   FROM readings GROUP BY city),
 gaps AS (SELECT * FROM grid ANTI JOIN readings USING (city, datetime))"""
 put("missing_stamps", GRID, "SELECT * FROM gaps")
+
+
+def ranges_of(source: str) -> str:
+    return f"""SELECT city, start AS gap_start, stop AS gap_end, datediff('hour', start, stop) + 1 AS hours FROM (
+  SELECT city, lag(datetime) OVER w + INTERVAL 1 HOUR AS start, datetime - INTERVAL 1 HOUR AS stop FROM (SELECT DISTINCT city, datetime FROM {source}) {BY_TIME})
+WHERE start <= stop"""
+
+
+put("missing_ranges", READINGS, ranges_of("readings"))
+put(
+    "missing_ranges_by_series",
+    "series AS (SELECT event_type || ':' || user_id AS city, date_trunc('hour', ts) AS datetime FROM events)",
+    ranges_of("series"),
+)
 put(
     "missing_hours",
     GRID,
@@ -603,6 +617,11 @@ put(
         for i, c in enumerate(contract.FEATURES)
     ),
 )
+put(
+    "contract_rows",
+    FEATURES,
+    "SELECT datetime, " + ", ".join(f"round({c}, 6) AS {c}" if c.endswith("_mean") else c for c in contract.FEATURES if c in MODEL_INPUTS) + " FROM features",
+)
 put(
     "latest_run",
     f"{FORECAST}, curve AS ({RANKED.format(key='', part='', over='', group='')})",
@@ -778,6 +797,7 @@ put(
     "quality_gates",
     VAL,
     """SELECT 'as it is' AS sample, count(*) > 0 AS passed FROM val
+UNION ALL SELECT 'wrong model', count(*) = 0 FROM val
 UNION ALL SELECT 'level out of range', count(*) = 0 FROM val
 UNION ALL SELECT 'moved column', count(*) = 0 FROM val
 UNION ALL SELECT 'predictions', count(*) > 0 FROM val""",

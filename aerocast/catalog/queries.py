@@ -57,7 +57,7 @@ from aerocast.operators.readings import (
     unsupported_cities,
     with_coordinates,
 )
-from aerocast.operators.scoring import cold_start_features, prediction_records
+from aerocast.operators.scoring import cold_start_features, prediction_records, serving_columns
 from aerocast.operators.series import (
     add_calendar,
     add_future_target,
@@ -353,6 +353,18 @@ def missing_hours(spark, sf_dir):
     return profile.missing_hours(readings(spark, sf_dir))
 
 
+@query
+def missing_ranges(spark, sf_dir):
+    return profile.missing_ranges(readings(spark, sf_dir))
+
+
+@query
+def missing_ranges_by_series(spark, sf_dir):
+    """Gaps of the many short series of an event type and a user, whose readings are far apart."""
+    series = F.concat_ws(":", F.col("event_type"), F.col("user_id").cast("string")).alias("city")
+    return profile.missing_ranges(events(spark, sf_dir).select(series, *[c for c in reading_columns()[1:2]]))
+
+
 @query
 def missing_stamps(spark, sf_dir):
     return profile.missing_stamps(readings(spark, sf_dir))
@@ -615,7 +627,8 @@ def hash_sample(spark, sf_dir):
 
 @query
 def balanced_sample(spark, sf_dir):
-    return sampling.balanced_sample(features(spark, sf_dir), HAZARD).select("city", "datetime", HAZARD)
+    table = materialise(features(spark, sf_dir), "features")
+    return sampling.balanced_sample(table, HAZARD).select("city", "datetime", HAZARD)
 
 
 @query
@@ -991,20 +1004,24 @@ def training_run_log(spark, sf_dir):
 
 @query
 def quality_gates(spark, sf_dir):
-    """Which gates let the later side pass: as it is, with a level out of range, and with one column moved."""
+    """What passes all gates, behaviour of the models included: the later side as it is, with a level out of range, with
+    one column moved, and beside a model whose levels are ten times too high."""
     table = materialise(features(spark, sf_dir), "features")
     train, val = splits.train_val(table, CUTOFF)
     baseline = materialise(drift.baseline_stats(table, MEASURED), "baseline")
     models = train_all(train, 2, 2)
+    scaled = train_regressor(train.withColumn(TARGET, F.col(TARGET) * 10), _inputs(train), trees=2, depth=2)
     cases = {
         "as it is": val,
+        "wrong model": val,
         "level out of range": val.withColumn("main_aqi", F.col("main_aqi") + 5),
         "moved column": val.withColumn("components_pm10", F.col("components_pm10") * 0 + 1e6),
     }
     rows = []
     for name, sample in cases.items():
         try:
-            run_checks(sample.select("city", "datetime", *MEASURED, HAZARD), baseline)
+            judged = {**models, "regressor": scaled} if name == "wrong model" else models
+            run_checks(sample.select("city", "datetime", *MEASURED, HAZARD), baseline, judged)
             rows.append((name, True))
         except ContractError:
             rows.append((name, False))
@@ -1022,6 +1039,14 @@ def contract_inputs(spark, sf_dir):
     return spark.createDataFrame(rows, "place int, feature string, n_rows long")
 
 
+@query
+def contract_rows(spark, sf_dir):
+    """The model inputs that the feature table carries, in contract order, beside the time of each row."""
+    built = features(spark, sf_dir)
+    held = serving_columns(built)
+    return built.select("datetime", *[r6(c).alias(c) if c in ROLLED_OUT else F.col(c) for c in held])
+
+
 @query
 def imputed_city(spark, sf_dir):
     """Most frequent city, as the imputer uses it."""

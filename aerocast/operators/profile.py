@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from aerocast.operators.ordered import percentiles, percentiles_of, value_totals
 from aerocast.session import materialise
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 WHISKER = 1.5
+# Hours of a stretch of the grid that is worked on as one row.
+BLOCK_HOURS = 720
+HOUR_MICROS = 3_600_000_000
 
 
 def wide_to_rows(one_row: DataFrame, columns: list[str], parts: list[str], name: str = "column") -> DataFrame:
@@ -48,9 +52,14 @@ def null_profile(df: DataFrame) -> DataFrame:
 def duplicate_counts(df: DataFrame, keys=("city", "datetime")) -> DataFrame:
     """Surplus rows: copies of a whole row, and further rows of a key.
 
-    One pass: rows are counted as wholes, then these counts by key.
+    One pass: rows are counted as wholes, then these counts by key. Wholes are told apart by 128 bits of hashes, so
+    the shuffle carries the key and two numbers. Hashes pass over nulls, so their places are hashed as well,
+    and 0.0 is added to make zeros of either sign equal.
     """
-    whole = df.groupBy(*df.columns).agg(F.count("*").alias("n"))
+    parts = [F.col(c) + F.lit(0.0) if kind in ("double", "float") else F.col(c) for c, kind in df.dtypes]
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "n").otherwise("v") for c in df.columns])
+    hashes = (F.xxhash64(nulls, *parts).alias("_h1"), F.xxhash64(F.lit("second"), nulls, *parts).alias("_h2"))
+    whole = df.groupBy(*keys, *hashes).agg(F.count("*").alias("n"))
     by_key = whole.groupBy(*keys).agg(F.sum(F.col("n") - 1).alias("copies"), F.sum("n").alias("n"))
     one = by_key.agg(F.coalesce(F.sum("copies"), F.lit(0)).alias("a"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("b"))
     scopes = [F.struct(F.lit(s).alias("scope"), F.col(c).alias("duplicates")) for s, c in (("row", "a"), ("key", "b"))]
@@ -125,21 +134,51 @@ def daily_mean(df: DataFrame, columns: list[str], key: str = "city") -> DataFram
     return days.join(means, [key, "day"], "left")
 
 
-def missing_stamps(df: DataFrame) -> DataFrame:
-    """Hourly stamps between a city's first and last reading that have no reading.
+def missing_ranges(df: DataFrame) -> DataFrame:
+    """Gaps between a city's readings: ``city, gap_start, gap_end, hours``, the first and last missing stamp of each.
 
-    Stamps keep the minutes and seconds of the first reading.
+    Stamps are hourly from the first reading on and keep its minutes and seconds; readings off this grid fill nothing.
+    The hours held are gathered per 30 days, which combines before the shuffle, and gaps are read off between
+    neighbours, the last hour of the block before included; the grid itself is never built.
     """
-    seen = df.select("city", "datetime").distinct()
-    span = df.groupBy("city").agg(F.min("datetime").alias("_first"), F.max("datetime").alias("_last"))
-    hours = F.timestamp_diff("HOUR", F.col("_first"), F.col("_last"))
-    # Months of 720 hours are opened first, so no array is longer than the months of the calendar.
-    months = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(hours / 720)))
-    spread = span.select("city", "_first", hours.alias("_hours"), months.alias("_month"))
-    offsets = F.sequence(F.col("_month") * 720, F.least(F.col("_hours"), F.col("_month") * 720 + 719))
-    grid = spread.select("city", "_first", F.explode(offsets).alias("_offset"))
-    stamps = grid.select("city", F.timestamp_add("HOUR", F.col("_offset").cast("int"), F.col("_first")).alias("datetime"))
-    return stamps.join(seen, ["city", "datetime"], "left_anti")
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("datetime"))
+    offset = F.pmod(micros, F.lit(HOUR_MICROS))
+    hour = ((micros - offset) / HOUR_MICROS).cast("bigint")
+    held = df.filter("city IS NOT NULL AND datetime IS NOT NULL").select(
+        "city", "datetime", micros.alias("_micros"), offset.alias("_offset"), hour.alias("_hour"), F.floor(hour / BLOCK_HOURS).alias("_block")
+    )
+    blocks = held.groupBy("city", "_offset", "_block").agg(
+        F.sort_array(F.collect_set("_hour")).alias("_hours"), F.min("datetime").alias("_first"), F.max("_micros").alias("_latest")
+    )
+    # One row per block from here on. The city's first reading sets the offset of the grid, its last one the end.
+    city, along = Window.partitionBy("city"), Window.partitionBy("city", "_offset").orderBy("_block")
+    placed = blocks.withColumns(
+        {
+            "_start": F.min(F.struct("_first", "_offset")).over(city)["_offset"],
+            "_end": F.max("_latest").over(city),
+            "_before": F.array(F.lag(F.element_at("_hours", -1)).over(along)),
+            "_last": F.lead("_block").over(along).isNull(),
+        }
+    ).filter("_offset = _start")
+    after = F.when(F.col("_last"), F.floor((F.col("_end") - F.col("_start")) / HOUR_MICROS) + 1)
+    chain = placed.withColumn("_chain", F.array_compact(F.concat("_before", "_hours", F.array(after))))
+    gaps = "filter(transform(_chain, (h, i) -> struct(get(_chain, i - 1) + 1 AS a, h - 1 AS b)), g -> g.a <= g.b)"
+    found = chain.select("city", "_first", F.element_at("_hours", 1).alias("_hour"), F.inline(F.expr(gaps)))
+
+    def stamp(h: str) -> Column:
+        return F.timestamp_add("HOUR", (F.col(h) - F.col("_hour")).cast("int"), F.col("_first"))
+
+    return found.select("city", stamp("a").alias("gap_start"), stamp("b").alias("gap_end"), (F.col("b") - F.col("a") + 1).alias("hours"))
+
+
+def missing_stamps(df: DataFrame) -> DataFrame:
+    """Hourly stamps between a city's first and last reading that have no reading (see ``missing_ranges``)."""
+    # Long gaps are opened by 30 days first, so no array is longer than the gaps or a block.
+    part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("hours") - 1) / BLOCK_HOURS)))
+    parts = missing_ranges(df).select("city", "gap_start", "hours", part.alias("_part"))
+    inside = F.sequence(F.col("_part") * BLOCK_HOURS, F.least(F.col("hours") - 1, F.col("_part") * BLOCK_HOURS + BLOCK_HOURS - 1))
+    hours = parts.select("city", "gap_start", F.explode(inside).alias("_offset"))
+    return hours.select("city", F.timestamp_add("HOUR", F.col("_offset").cast("int"), F.col("gap_start")).alias("datetime"))
 
 
 def missing_hours(df: DataFrame) -> DataFrame:

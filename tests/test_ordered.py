@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aerocast.operators.ordered import area_under_curve, order_bucket, percentiles, time_percentile
-from aerocast.operators.sampling import balanced_sample, sample_rows
+from aerocast.operators.sampling import balanced_sample, sample_key, sample_rows
 
 
 def test_bucket_never_decreases(spark):
@@ -68,6 +68,25 @@ def labelled(spark, n, rare):
     return spark.range(n).selectExpr("'a' AS city", at, f"CAST(id < {rare} AS INT) AS y")
 
 
+def test_balanced_sample_takes_the_smallest_hashes(spark):
+    rows = spark.range(3000).selectExpr(
+        "CAST(id AS STRING) AS city", "timestamp_ntz '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, CAST(id % 7 AS INT)) AS datetime",
+        "CASE WHEN id % 10 = 0 THEN 'rare' WHEN id % 10 = 1 THEN NULL ELSE 'usual' END AS y", "id",
+    )
+    hashed = rows.filter("y IS NOT NULL").withColumn("k", sample_key())
+    want = {r["id"] for r in hashed.selectExpr("*", "row_number() OVER (PARTITION BY y ORDER BY k) AS n").filter("n <= 300").collect()}
+    for most in (100_000, 3, 0):
+        got = balanced_sample(rows, "y", most=most)
+        assert got.columns == rows.columns and {r["id"] for r in got.collect()} == want
+    assert balanced_sample(rows.filter("y IS NULL"), "y").count() == 0
+
+
+def test_balanced_sample_cuts_repeated_rows(spark):
+    same = spark.range(40).selectExpr("'a' AS city", "timestamp_ntz '2024-01-01 00:00:00' AS datetime", "IF(id < 11, 0, 1) AS y", "id")
+    got = balanced_sample(same, "y", most=2)
+    assert got.groupBy("y").count().orderBy("y").collect() == [(0, 11), (1, 11)]
+
+
 def test_balanced_sample_is_even_and_repeatable(spark):
     df = labelled(spark, 3000, 170)
     one = balanced_sample(df, "y")

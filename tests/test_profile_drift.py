@@ -1,6 +1,6 @@
 """Profiles, histograms and drift against NumPy and hand-computed values."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import numpy as np
 import pandas as pd
@@ -99,6 +99,23 @@ def test_gaps_and_daily_means(spark):
     assert days == {date(2024, 1, 1): 2.0, date(2024, 1, 2): None, date(2024, 1, 3): None, date(2024, 1, 4): 5.0}
 
 
+def test_missing_ranges(spark):
+    """Gaps within a block, over block borders and over years; readings off the grid, one of them the last."""
+    first = datetime(2020, 1, 30, 22, 15)
+    at = [0, 1, 5, 700, 719, 720, 721, 1500, 1502, 40_000, 40_001, 1]
+    rows = [("a", first + timedelta(hours=h), 1.0) for h in at] + [("b", first, 1.0), (None, first, 1.0), ("a", None, 1.0)]
+    rows += [("a", first + timedelta(hours=3, minutes=1), 1.0), ("a", first + timedelta(hours=40_005, minutes=30), 1.0)]
+    df = spark.createDataFrame(rows, HOURLY_SCHEMA)
+    held = sorted({first + timedelta(hours=h) for h in at}) + [first + timedelta(hours=40_006)]
+    want = {(a + timedelta(hours=1), b - timedelta(hours=1)) for a, b in zip(held, held[1:]) if b - a > timedelta(hours=1)}
+    got = profile.missing_ranges(df).collect()
+    assert {(r.gap_start, r.gap_end) for r in got} == want and len(got) == len(want)
+    assert all(r.hours == (r.gap_end - r.gap_start) / timedelta(hours=1) + 1 for r in got)
+    stamps = [r.datetime for r in profile.missing_stamps(df).collect()]
+    assert len(stamps) == len(set(stamps)) == sum(r.hours for r in got) == profile.missing_hours(df).filter("city = 'a'").first()["missing_hours"]
+    assert not set(stamps) & set(held[:-1])
+
+
 def test_missing_hours_ignores_stamps_off_the_grid(spark):
     df = spark.createDataFrame(HOURLY[:3] + [("a", datetime(2024, 1, 1, 1, 30), 1.0)], HOURLY_SCHEMA)
     assert profile.missing_hours(df).first()["missing_hours"] == 70 == profile.missing_stamps(df).count()
