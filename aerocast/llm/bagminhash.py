@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerocast.llm.components import connected_components
+from aerocast.llm.identity import ids_of, renumber, restore, text_numbers
 from aerocast.llm.words import Words, chunks, free_name, mix, shingle_hashes, slices, split_words
 from aerocast.session import materialise
 
@@ -230,8 +231,18 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
 
     Texts without words are no duplicates of anything; texts of less than five words are compared
     as wholes. Rows without an id have no class and are kept. Rows that repeat an id with one text
-    are one document and share its fate. An empty table gives no rows; other columns are dropped.
+    are one document and share its fate; texts that share an id are judged one by one, and ``kept`` then tells
+    whether a text comes first in its group. An empty table gives no rows; other columns are dropped.
     """
+    numbers = text_numbers(docs)
+    if numbers is None:
+        return _classes(docs, similarity, bands, rows, block)
+    numbered = materialise(renumber(docs, numbers)[0].select("doc_id", "text"), "numbered")
+    return ids_of(_classes(numbered, similarity, bands, rows, block), numbers, ["doc_id", "class_id"])
+
+
+def _classes(docs: DataFrame, similarity: float, bands: int, rows: int, block: int) -> DataFrame:
+    """``near_duplicates`` where an id stands for one text."""
     signed = materialise(signatures(docs, bands, rows), "signatures")
     usable = signed.filter((F.col("size") > 0) & F.col("doc_id").isNotNull())
     classes = materialise(usable.groupBy("k1", "k2", "size").agg(F.min("doc_id").alias("node")), "classes")
@@ -256,8 +267,21 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """One document of each group, the one with the smallest id, with all its columns."""
-    found = materialise(near_duplicates(docs, **options), "duplicates")
+    """One document of each group, the one with the smallest id, with all its columns.
+
+    Rows without an id or without words stay, as do rows that repeat the document kept; of texts that share an
+    id, those go that are no first of their group. An empty table gives no rows.
+    """
+    numbers = text_numbers(docs)
+    if numbers is not None:
+        numbered, own = renumber(docs, numbers)
+        return restore(_drop(materialise(numbered, "numbered"), **options), docs, own)
+    return _drop(docs, **options)
+
+
+def _drop(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+    """``drop_near_duplicates`` where an id stands for one text."""
+    found = materialise(_classes(docs, similarity, bands, rows, block), "duplicates")
     own = free_name("_gone", docs.columns)
     gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias(own)).distinct()
     # The ids grow with the data: texts meet them by a shuffle at every size.

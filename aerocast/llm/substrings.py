@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aerocast.llm.identity import ids_of, renumber, restore, text_numbers
 from aerocast.llm.words import Words, chunks, free_name, mix, power_tables, shingle_hashes, slices, split_words
 from aerocast.session import materialise
 
@@ -170,8 +171,8 @@ def repeated_blocks(docs: DataFrame, places: DataFrame, length: int, seed: int)
 def repeated_spans(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
     """``doc_id, spans`` for documents with repeats: first window of a block and a bit per repeated window.
 
-    Documents are ordered by id. Rows that repeat an id are one document; rows without an id take
-    no part. ``length - seed`` must be below 31.
+    Documents are ordered by id. An id must stand for one text (see ``text_numbers``), whose rows are one document;
+    rows without an id take no part. ``length - seed`` must be below 31.
     """
     repeated = materialise(repeated_anchors(docs, length, seed), "anchors")
     # The side of repeated anchors is stored, so that the rows of a frequent anchor can be split.
@@ -226,8 +227,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
     """``doc_id, n_words, n_removed, text`` with the words that no earlier window repeats, joined by one space.
 
     Windows are judged on the input. A null text has no words; a text shorter than a window loses
-    none. An empty table gives no rows; other columns are dropped.
+    none. Rows that repeat an id and a text are one document; texts that share an id are documents of their own, in
+    the order of their hashes. An empty table gives no rows; other columns are dropped.
     """
+    numbers = text_numbers(docs)
+    if numbers is not None:
+        numbered = materialise(renumber(docs, numbers)[0].select("doc_id", "text"), "numbered")
+        return ids_of(_remove(numbered, length, seed), numbers, ["doc_id"])
+    return _remove(docs, length, seed)
+
+
+def _remove(docs: DataFrame, length: int, seed: int) -> DataFrame:
+    """``remove_repeats`` where an id stands for one text."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -243,7 +254,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> D
 
 
 def replace_texts(docs: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """The documents with all their columns: texts that lose words hold the others, all else is unchanged."""
+    """The documents with all their columns: texts that lose words hold the others, all else is unchanged.
+
+    Null, empty and short texts stay as they are, as do rows without an id; rows that share an id are as in
+    ``remove_repeats``. Every row is returned, none of an empty table.
+    """
+    numbers = text_numbers(docs)
+    if numbers is not None:
+        numbered, own = renumber(docs, numbers)
+        return restore(_replace(materialise(numbered, "numbered"), length, seed), docs, own)
+    return _replace(docs, length, seed)
+
+
+def _replace(docs: DataFrame, length: int, seed: int) -> DataFrame:
+    """``replace_texts`` where an id stands for one text."""
     names = docs.columns
     at = names.index("text")
 

@@ -8,7 +8,7 @@ import pytest
 
 from aerocast.llm import bagminhash as bm
 from aerocast.llm.components import connected_components
-from tests.llm.awkward import TEXTS, documents, empty_documents
+from tests.llm.awkward import BASE, LONG, TEXTS, documents, empty_documents
 
 
 def bag(text):
@@ -101,6 +101,21 @@ def test_odd_rows(spark):
     assert bm.near_duplicates(empty_documents(spark)).count() == 0
 
 
+def test_texts_that_share_an_id(spark):
+    """Each text is judged by itself: none that is unlike the others is lost, whatever else has its id."""
+    other = "completely different words stand in this second text of the same number"
+    rows = [(1, BASE), (2, BASE), (2, other), (2, other), (3, other + " x"), (3, None), (3, ""), (None, BASE), (4, LONG), (4, LONG + " end"), (0, "one two")]
+    docs = spark.createDataFrame([(*r, "kept") for r in rows], "doc_id int, text string, number string").repartition(3)
+    left = sorted(((r.doc_id, r.text) for r in bm.drop_near_duplicates(docs).collect()), key=repr)
+    texts = [t for i, t in left if i is not None]
+    assert texts.count(BASE) == 1 and texts.count(other) + texts.count(other + " x") >= 1 and "one two" in texts
+    assert (None, BASE) in left and (3, None) in left and (3, "") in left and len([t for t in texts if t and t.startswith("w0x0")]) == 1
+    assert bm.drop_near_duplicates(docs).schema == docs.schema
+    out = bm.near_duplicates(docs)
+    assert out.count() == len(rows)
+    assert sorted(r.kept for r in out.filter("doc_id = 2").collect()) in ([False, True, True], [False, False, False])
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components(spark, seed):
     rng = np.random.default_rng(seed)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from aerocast.llm import substrings as ss
-from tests.llm.awkward import TEXTS, documents, empty_documents
+from tests.llm.awkward import BASE, TEXTS, documents, empty_documents
 
 
 def walked(texts, length=20):
@@ -69,6 +69,22 @@ def test_odd_rows(spark):
     assert ss.remove_repeats(empty_documents(spark)).count() == 0
 
 
+def test_texts_that_share_an_id(spark):
+    """They are documents of their own, in one order; a passage of all stays in the first alone."""
+    whole = " ".join(f"u{i}" for i in range(5000))
+    rows = [(7, "short"), (7, whole), (7, BASE + " tail"), (7, BASE + " tail"), (2, BASE), (None, BASE), (9, None), (9, BASE + " nine")]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, number int").repartition(3)
+    out = [(r.doc_id, r.n_words, r.n_removed) for r in ss.remove_repeats(docs).collect()]
+    n = len(BASE.split())
+    want = [(7, 1, 0), (7, 5000, 0), (7, n + 1, n), (7, n + 1, n), (2, n, 0), (None, n, 0), (9, 0, 0), (9, n + 1, n)]
+    assert sorted(out, key=repr) == sorted(want, key=repr)
+    replaced = ss.replace_texts(docs)
+    assert replaced.schema == docs.schema
+    texts = sorted(((r.doc_id, r.text) for r in replaced.collect()), key=repr)
+    want = [(7, "short"), (7, whole), (7, "tail"), (7, "tail"), (2, BASE), (None, BASE), (9, None), (9, "nine")]
+    assert texts == sorted(want, key=repr)
+
+
 def test_replaced_texts_keep_all_else(spark):
     docs = documents(spark, repeat_rows=False)
     out = ss.replace_texts(docs)
