@@ -11,6 +11,8 @@ most the sum of k - 1 over the classes, 4,650 for 1,024) are placed first-fit to
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -45,42 +47,55 @@ def cuts_of_rest(capacity: int = CAPACITY) -> tuple[tuple[int, ...], ...]:
     return tuple(plans)
 
 
+def added_tokens(path: str) -> dict[str, int]:
+    """Tokens that a tokenizer file matches in the text itself, before it is split."""
+    with open(path, encoding="utf-8") as file:
+        return {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+
+
 @lru_cache(maxsize=2)
-def _encoding(ranks: bytes, pattern: str):
+def _encoding(ranks: bytes, pattern: str, added: tuple[tuple[str, int], ...]):
     import tiktoken
 
     table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens=dict(added))
 
 
-def _token_ids(encoding, ranks: bytes, pattern: str, text: bytes) -> np.ndarray:
+def _token_ids(encoding, ranks: bytes, pattern: str, added: tuple[tuple[str, int], ...], text: bytes) -> np.ndarray:
     decoded = text.decode("utf-8", "replace")
     try:
-        return encoding.encode_to_numpy(decoded, disallowed_special=())
+        return encoding.encode_to_numpy(decoded, allowed_special="all")
     except ValueError:
         # The library's splitter gives up on runs of about a million blanks.
-        return encoder(ranks, pattern).encode([decoded])[0]
+        known = dict(added)
+        parts = re.split("(" + "|".join(map(re.escape, known)) + ")", decoded) if known else [decoded]
+        ids = [np.array([known[p]]) if p in known else encoder(ranks, pattern).encode([p])[0] for p in parts if p]
+        return np.concatenate([np.zeros(0, np.int64), *ids])
 
 
-def cut_documents(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
+def cut_documents(
+    docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY, keep_ids: bool = False, added: dict[str, int] | None = None
+) -> DataFrame:
     """Tokenise ``doc_id, text`` and cut every document, with the end id, into class lengths.
 
-    ``ranks_path`` names the vocabulary as ranks; its ids are those of the tokenizer file of the
-    same vocabulary. A null text counts as empty and gives one piece with the end id. With
+    ``ranks_path`` names the vocabulary as ranks; with the ``added`` tokens of the tokenizer file of the
+    same vocabulary its ids are that file's. A null text counts as empty and gives one piece with the end id. With
     ``keep_ids`` the token ids of each piece are returned as ``ids``. Other columns are dropped;
     rows that repeat a document are packed like any other rows.
     """
     with open(ranks_path, "rb") as file:
         ranks = docs.sparkSession.sparkContext.broadcast(file.read())
+    # Longer tokens first: of two that match at one place the file's own library takes the longer.
+    special = tuple(sorted((added or {}).items(), key=lambda token: -len(token[0])))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoding, plans = _encoding(ranks.value, pattern), cuts_of_rest(capacity)
+        encoding, plans = _encoding(ranks.value, pattern, special), cuts_of_rest(capacity)
         for batch in slices(batches):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
             for part in chunks(texts):
                 rows, ids_out = [], []
                 for doc_id, text in zip(batch.column(0)[part.start : part.stop].to_pylist(), texts[part]):
-                    ids = np.append(_token_ids(encoding, ranks.value, pattern, text or b""), END_ID).astype("<u4")
+                    ids = np.append(_token_ids(encoding, ranks.value, pattern, special, text or b""), END_ID).astype("<u4")
                     start, view = 0, memoryview(ids.tobytes())
                     for n in [capacity] * (len(ids) // capacity) + list(plans[len(ids) % capacity]):
                         rows.append((doc_id, start, n, zlib.crc32(view[4 * start : 4 * (start + n)]), len(ids)))
@@ -155,11 +170,11 @@ def sequences(packed: DataFrame, capacity: int = CAPACITY, pad_id: int = END_ID)
     return joined.select("sequence_id", F.when(F.bit_count(n) == 1, F.col("ids")).otherwise(padded).alias("ids"))
 
 
-def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY) -> DataFrame:
+def pack_documents(docs: DataFrame, ranks_path: str, pattern: str, capacity: int = CAPACITY, added: dict[str, int] | None = None) -> DataFrame:
     """One row per piece: where it lies in its document and in its sequence.
 
     An empty table gives no rows. The pieces are stored once in the session's shared folder, so
     texts are tokenised once and a lost executor does not change the places.
     """
-    pieces = materialise(cut_documents(docs, ranks_path, pattern, capacity), "pieces")
+    pieces = materialise(cut_documents(docs, ranks_path, pattern, capacity, added=added), "pieces")
     return harmonic_pack(pieces, capacity)

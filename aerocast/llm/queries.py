@@ -17,7 +17,7 @@ from aerocast.llm.fmindex import find_leaks
 from aerocast.llm.importance import fit_ratios, resample
 from aerocast.llm.kdshard import shard_documents
 from aerocast.llm.logbilinear import score_documents, train_language_model
-from aerocast.llm.packing import pack_documents
+from aerocast.llm.packing import added_tokens, pack_documents
 from aerocast.llm.prefixtrie import prefix_trie, rebuilt_sequences
 from aerocast.llm.substrings import remove_repeats
 from aerocast.llm.toxicity import is_held_out, score_toxicity, train_toxicity
@@ -29,7 +29,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return pack_documents(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, added=added)
 
 
 def op2_two_tier_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

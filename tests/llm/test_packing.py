@@ -47,6 +47,23 @@ def test_very_long_blanks(spark):
     assert rows.ids_crc32.tolist() == [zlib.crc32(want[s : s + n].tobytes()) for s, n in zip(rows.start, rows.length)]
 
 
+def test_added_tokens_in_texts(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer, added = Tokenizer.from_file(path), packing.added_tokens(path)
+    assert added == {"<|endoftext|>": 50256}
+    texts = []
+    for token in added:
+        texts += [token, f"{token} start", f"in the {token} middle", f"end {token}", f"{token}{token} twice{token}", token[:-1], f"a{token}\n\n b"]
+    texts.append("x" + " " * 1_200_000 + "<|endoftext|> y<|endoftext|>")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = packing.cut_documents(df, RANKS, public_tokenizers.PATTERN, added=added).toPandas()
+    for doc_id, text in enumerate(texts):
+        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [0], "<u4")
+        mine = rows[rows.doc_id == doc_id].sort_values("start")
+        assert mine.doc_tokens.unique().tolist() == [len(ids)]
+        assert mine.ids_crc32.tolist() == [zlib.crc32(ids[s : s + n].tobytes()) for s, n in zip(mine.start, mine.length)]
+
+
 def test_sequences_are_gapless_and_full(packed):
     assert len(packed[packed.doc_id == 5]) == 3 * len(packed[packed.doc_id == 6])
     assert packed.doc_id.isna().sum() > 0
