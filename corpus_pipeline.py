@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from aerocast.llm.bagminhash import drop_near_duplicates
 from aerocast.llm.importance import fit_ratios, keep_selected
-from aerocast.llm.packing import pack_documents
+from aerocast.llm.packing import added_tokens, pack_documents
 from aerocast.llm.substrings import replace_texts
 from aerocast.llm.toxicity import drop_toxic, train_toxicity
 from aerocast.session import materialise
@@ -47,7 +47,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining texts and their places in sequences."""
-    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added=added)
 
 
 STAGES = [
