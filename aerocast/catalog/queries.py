@@ -159,7 +159,9 @@ def time_split(spark, sf_dir):
 
 @query
 def quantile_split(spark, sf_dir):
-    return splits.mark_quantile_split(readings(spark, sf_dir)).select("city", "datetime", "split")
+    # Read for the percentile and for the marks.
+    table = materialise(readings(spark, sf_dir).select("city", "datetime"), "readings")
+    return splits.mark_quantile_split(table).select("city", "datetime", "split")
 
 
 @query

@@ -67,8 +67,11 @@ def duplicate_counts(df: DataFrame, keys=("city", "datetime")) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, sample deviation, min, exact quartiles and max per column."""
-    aggs = []
+    """count, mean, sample deviation, min, exact quartiles and max per column.
+
+    The columns are stored once, as counting buckets, reading the wanted ones and the moments take three passes.
+    """
+    df, aggs = materialise(df.select(*columns), "described"), []
     for c in columns:
         aggs += [
             F.count(c).alias(f"count|{c}"),

@@ -51,10 +51,9 @@ def _case(arms: list[tuple[str, str]], default: str = "NULL") -> str:
     return "CASE " + " ".join(f"WHEN {when} THEN {then}" for when, then in arms) + f" ELSE {default} END"
 
 
-def _rows_after(limit: int) -> str:
-    """How many rows of the block follow, counted up to ``limit``."""
-    follows = [f"CAST(lead(datetime, {k}) OVER {IN_BLOCK} IS NOT NULL AS INT)" for k in range(1, limit + 1)]
-    return " + ".join(follows) or "0"
+WHOLE_BLOCK = IN_BLOCK.replace(")", " ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)")
+# Rows of the block that follow: one count a block and a number a row, in the pass that looks back and ahead too.
+ROWS_AFTER = f"CAST(count(1) OVER {WHOLE_BLOCK} - row_number() OVER {IN_BLOCK} AS INT)"
 
 
 def _back(column: str, k: int) -> str:
@@ -114,7 +113,7 @@ def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], block: str = B
     marked = rows.selectExpr(
         *_in_order(rows, ["city", "_block", "datetime", *back, *ahead]),
         f"row_number() OVER {IN_BLOCK} AS _pos",
-        f"{_rows_after(max(far_back, 1))} AS _after",
+        f"{ROWS_AFTER} AS _after",
     )
     border = marked.filter(f"_pos <= {max(far_ahead, 1)} OR _after < {max(far_back, 1)}")
     # Neighbouring border rows are neighbours in the series on both sides of every border.
@@ -130,7 +129,7 @@ def row_shifts(df: DataFrame, shifts: dict[str, tuple[str, int]], block: str = B
     }
     context = _gather(border.selectExpr("city", "_block", *_named(carried)), carried)
 
-    placed = rows.selectExpr("*", f"row_number() OVER {IN_BLOCK} AS _pos", f"{_rows_after(far_ahead)} AS _after")
+    placed = rows.selectExpr("*", f"row_number() OVER {IN_BLOCK} AS _pos", f"{ROWS_AFTER} AS _after")
     added = {name: _back(c, k) if k > 0 else _ahead(c, -k) for name, (c, k) in shifts.items()}
     return _join_context(placed, context, "left").selectExpr(*kept, *_named(added))
 
@@ -188,16 +187,15 @@ def forecast_features(df: DataFrame, horizon: int = HORIZON, block: str = BLOCK)
     lagged = [c for c in LAGGED if c in df.columns]
     rolled = [c for c in ROLLED if c in df.columns]
     rows = _with_block(df, block)
-    ahead = [f"{_rows_after(horizon)} AS _after", f"lead(main_aqi, {horizon}) OVER {IN_BLOCK} AS {TARGET}"]
+    ahead = [f"{ROWS_AFTER} AS _after", f"lead(main_aqi, {horizon}) OVER {IN_BLOCK} AS {TARGET}"]
 
     # Border table: the first and last rows of a block, and the last rows whose target is
     # known inside the block. After the per-city pass every row here has its target.
-    whole = IN_BLOCK.replace(")", " ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)")
     upto = IN_BLOCK.replace(")", " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
     sure = f"CAST(_after >= {horizon} AND {TARGET} IS NOT NULL AS INT)"
     border = (
         rows.selectExpr(*_in_order(rows, ["city", "_block", "datetime", *lagged]), f"row_number() OVER {IN_BLOCK} AS _pos", *ahead)
-        .selectExpr("*", f"{sure} AS _sure", f"sum({sure}) OVER {whole} - sum({sure}) OVER {upto} AS _sure_after")
+        .selectExpr("*", f"{sure} AS _sure", f"sum({sure}) OVER {WHOLE_BLOCK} - sum({sure}) OVER {upto} AS _sure_after")
         .filter(f"_pos <= {horizon} OR _after < {horizon} OR (_sure = 1 AND _sure_after < {LAG_STEPS})")
     )
     resolved = f"CASE WHEN _after < {horizon} THEN lead(main_aqi, {horizon}) OVER {IN_CITY} ELSE {TARGET} END"
