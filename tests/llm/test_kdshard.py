@@ -40,6 +40,34 @@ def test_cells_are_boxes(uneven):
     assert one.exceptAll(two).isEmpty()
 
 
+def slow_tree(points, shards, first=0):
+    """Shard of every point by a plain recursion: sort along the widest dimension, cut next to the weighted share."""
+    if shards == 1 or not len(points):
+        return {p: first for p in points.index}
+    axis = max(kdshard.AXES, key=lambda a: points[a].max() - points[a].min())
+    key = points[axis].to_numpy().astype(np.int64) * 2**24 + points.tie.to_numpy()
+    left = shards // 2
+    target = points["size"].sum() * left / shards
+    cut, before = None, 0
+    for k in np.unique(key):
+        here = points["size"].to_numpy()[key == k].sum()
+        if before + here >= target:
+            cut = k if before + here - target <= target - before else k - 1
+            break
+        before += here
+    low = key <= cut
+    return {**slow_tree(points[low], left, first), **slow_tree(points[~low], shards - left, first + left)}
+
+
+@pytest.mark.parametrize("shards", [2, 5, 12])
+def test_same_tree_as_a_plain_recursion(uneven, shards, monkeypatch):
+    monkeypatch.setattr(kdshard, "TOLERANCE", 0)
+    rows = uneven.filter("doc_id < 700")
+    out = kdshard.shard_documents(rows, shards).toPandas().set_index("doc_id")["shard"].to_dict()
+    points = kdshard.coordinates(kdshard.metadata(rows)).toPandas().set_index("doc_id")
+    assert out == slow_tree(points, shards)
+
+
 def test_odd_rows(spark):
     docs = documents(spark)
     out = kdshard.shard_documents(docs, 4).toPandas()
