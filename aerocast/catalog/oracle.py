@@ -344,6 +344,18 @@ GROUP BY feature"""
 
 put("drift_report", *drift(False))
 put("drift_report_shifted", *drift(True))
+put("drift_from_days", *drift(False))
+ORACLE["histogram_from_days"] = ORACLE["histogram_equal_width"]
+PROBS = {"p01": 0.01, "q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99}
+put(
+    "percentiles_from_days",
+    DROPOUTS,
+    "\nUNION ALL ".join(
+        f"SELECT {text(c)} AS feature, {text(n)} AS name, round(quantile_cont({c}, {p}), 6) AS value, true AS within_bounds FROM dropouts"
+        for c in MEASURED
+        for n, p in PROBS.items()
+    ),
+)
 
 # --- Metrics --------------------------------------------------------------------------------
 

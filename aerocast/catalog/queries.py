@@ -41,7 +41,7 @@ from aerocast.models.training import (
     train_recommender,
     train_regressor,
 )
-from aerocast.operators import checks, drift, metrics, profile, sampling, splits
+from aerocast.operators import checks, daily, drift, metrics, profile, sampling, splits
 from aerocast.operators.ordered import area_under_curve, percentiles
 from aerocast.operators.readings import (
     align_columns,
@@ -421,6 +421,44 @@ def drift_report_shifted(spark, sf_dir):
     return rounded(drift.drift_report(moved, baseline, columns=MEASURED), ["psi", "ks"])
 
 
+def _days(spark, sf_dir, rows: DataFrame) -> str:
+    """Distributions by day of ``rows``, stored day by day as a daily job would."""
+    root, table = scratch_path(spark, "by-day"), materialise(rows, "readings")
+    until = F.lit(BASELINE_UNTIL).cast("timestamp_ntz")
+    daily.write_days(table.filter(F.col("datetime") <= until), MEASURED, root)
+    daily.write_days(table.filter(F.col("datetime") > until), MEASURED, root)
+    return root
+
+
+BASELINE_DAY = BASELINE_UNTIL[:10]
+
+
+@query
+def drift_from_days(spark, sf_dir):
+    """The drift report from stored distributions of days, without the readings."""
+    root = _days(spark, sf_dir, readings(spark, sf_dir))
+    baseline = materialise(daily.day_baseline(spark, root, 5, F.col("day") <= F.lit(BASELINE_DAY).cast("date")), "baseline")
+    return rounded(daily.day_drift(spark, root, baseline, F.col("day") > F.lit(BASELINE_DAY).cast("date")), ["psi", "ks"])
+
+
+@query
+def histogram_from_days(spark, sf_dir):
+    root = _days(spark, sf_dir, readings(spark, sf_dir))
+    edges = daily.day_edges(spark, root, 30)
+    counted = daily.day_counts(spark, root, edges)
+    return rounded(drift.bins_of(counted), ["lo", "hi", "frac"])
+
+
+@query
+def percentiles_from_days(spark, sf_dir):
+    """Exact percentiles of all days, and whether the bounds known without any values hold them."""
+    root = _days(spark, sf_dir, dropout_readings(spark, sf_dir))
+    probs = {"p01": 0.01, "q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99}
+    near = daily.day_percentiles(spark, root, probs, exact=False).select("feature", "name", "low", "high")
+    both = daily.day_percentiles(spark, root, probs).select("feature", "name", "value").join(near, ["feature", "name"])
+    return both.select("feature", "name", r6("value").alias("value"), F.col("value").between(F.col("low"), F.col("high")).alias("within_bounds"))
+
+
 # --- Metrics ---------------------------------------------------------------
 
 

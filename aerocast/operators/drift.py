@@ -31,7 +31,12 @@ def equal_width_edges(df: DataFrame, columns: list[str], bins: int) -> DataFrame
         number = F.col(c).cast("double")
         known = F.when(~F.isnan(number), number)
         aggs += [F.min(known).alias(f"_lo|{c}"), F.max(known).alias(f"_hi|{c}")]
-    ends = wide_to_rows(df.agg(*aggs), columns, ["_lo", "_hi"], "feature").filter(F.col("_lo").isNotNull())
+    return edges_between(wide_to_rows(df.agg(*aggs), columns, ["_lo", "_hi"], "feature"), bins)
+
+
+def edges_between(ends: DataFrame, bins: int) -> DataFrame:
+    """(feature, bins) from (feature, _lo, _hi); see ``equal_width_edges``."""
+    ends = ends.filter(F.col("_lo").isNotNull())
     flat = F.col("_lo") == F.col("_hi")
     lo = F.when(flat, F.col("_lo") - 0.5).otherwise(F.col("_lo"))
     hi = F.when(flat, F.col("_hi") + 0.5).otherwise(F.col("_hi"))
@@ -67,6 +72,11 @@ def bin_counts(df: DataFrame, edges: DataFrame, columns: list[str] | None = None
     tall = long_form(df, [], columns).join(F.broadcast(edges.select("feature", "bins")), "feature")
     inside = tall.filter(F.col("value").between(F.element_at("bins", 1), F.element_at("bins", -1)))
     counted = inside.groupBy("feature", bin_of(F.col("value"), F.col("bins")).alias("bin")).agg(F.count("*").alias("n"))
+    return with_counts(edges, counted)
+
+
+def with_counts(edges: DataFrame, counted: DataFrame) -> DataFrame:
+    """``edges`` plus ``counts`` from (feature, bin, n); a bin that is not counted has 0."""
     # At most one entry per bin from here on.
     found = counted.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_n"))
     filled = "transform(sequence(1, size(bins) - 1), i -> coalesce(try_element_at(_n, i), 0L)) AS counts"
@@ -80,7 +90,12 @@ _FRACTIONS = f"transform(counts, n -> n / {_TOTAL})"
 
 def binned_counts(df: DataFrame, edges: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """(feature, bin, lo, hi, n, frac) on given edges, empty bins included."""
-    per_feature = bin_counts(df, edges, columns).selectExpr("feature", "bins", "counts", f"{_FRACTIONS} AS fracs")
+    return bins_of(bin_counts(df, edges, columns))
+
+
+def bins_of(counted: DataFrame) -> DataFrame:
+    """One row per bin from ``counts`` on edges."""
+    per_feature = counted.selectExpr("feature", "bins", "counts", f"{_FRACTIONS} AS fracs")
     bins = per_feature.selectExpr("feature", "bins", "fracs", "posexplode(counts) AS (i, n)")
     return bins.selectExpr(
         "feature", "i + 1 AS bin", "get(bins, i) AS lo", "get(bins, i + 1) AS hi", "n", "get(fracs, i) AS frac"
@@ -97,7 +112,12 @@ def baseline_stats(df: DataFrame, columns: list[str], bins: int = 5) -> DataFram
     """(feature, bins, ref): edges and bin fractions of every numeric, non-empty column."""
     columns = numeric_columns(df, columns)
     counted = bin_counts(df, equal_width_edges(df, columns, bins), columns)
-    return counted.selectExpr("feature", "bins", f"{_FRACTIONS} AS ref")
+    return fractions_of(counted, "ref")
+
+
+def fractions_of(counted: DataFrame, name: str) -> DataFrame:
+    """(feature, bins) and the fractions of the counts inside the edges."""
+    return counted.selectExpr("feature", "bins", f"{_FRACTIONS} AS {name}")
 
 
 def drift_scores(df: DataFrame, baseline: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -106,13 +126,17 @@ def drift_scores(df: DataFrame, baseline: DataFrame, columns: list[str] | None =
     PSI is the population stability index with a small constant inside the logarithm. KS is
     the largest distance of the cumulative bin fractions; it is 0 if no value is in range.
     """
+    return scores_of(bin_counts(df, baseline, columns))
+
+
+def scores_of(counted: DataFrame) -> DataFrame:
+    """(feature, psi, ks) of counts on the edges of a baseline."""
     e = f"{PSI_EPSILON}D"
     terms = f"zip_with(ref, cur, (r, c) -> (r - c) * ln((r + {e}) / (c + {e})))"
     gaps = "zip_with(ref, cur, (r, c) -> r - c)"
     walk = "named_struct('at', s.at + d, 'far', greatest(s.far, abs(s.at + d)))"
     return (
-        bin_counts(df, baseline, columns)
-        .selectExpr("feature", "ref", "counts", f"{_FRACTIONS} AS cur")
+        counted.selectExpr("feature", "ref", "counts", f"{_FRACTIONS} AS cur")
         .selectExpr(
             "feature",
             f"aggregate({terms}, 0D, (a, t) -> a + t) AS psi",
@@ -131,8 +155,11 @@ def drift_report(
     columns: list[str] | None = None,
 ) -> DataFrame:
     """Scores with a verdict per feature."""
-    moved = (F.col("psi") > psi_limit) | (F.col("ks") > ks_limit)
-    return drift_scores(df, baseline, columns).withColumn("drifted", moved)
+    return verdicts(drift_scores(df, baseline, columns), psi_limit, ks_limit)
+
+
+def verdicts(scores: DataFrame, psi_limit: float = PSI_LIMIT, ks_limit: float = KS_LIMIT) -> DataFrame:
+    return scores.withColumn("drifted", (F.col("psi") > psi_limit) | (F.col("ks") > ks_limit))
 
 
 def check_drift(df: DataFrame, baseline: DataFrame, psi_limit: float = PSI_LIMIT, ks_limit: float = KS_LIMIT) -> None:
