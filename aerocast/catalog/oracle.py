@@ -618,6 +618,7 @@ put(
     DROPOUTS,
     "SELECT upper(left(city, 1)) || substr(city, 2) AS city, datetime, main_aqi, components_pm2_5, components_pm10 FROM dropouts",
 )
+ORACLE["landed_in_parts"] = ORACLE["load_readings_first_row"]
 PERIODS = f"""SELECT split, strftime(min(datetime), '%Y-%m-%d %H:%M:%S') AS "start", strftime(max(datetime), '%Y-%m-%d %H:%M:%S') AS "end",
   count(*) AS n FROM (SELECT *, {SPLIT} FROM features) GROUP BY split"""
 put("stored_metadata", FEATURES, PERIODS)

@@ -1018,6 +1018,21 @@ def load_readings_first_row(spark, sf_dir):
     return files.load_readings(spark, [landed]).select("city", "datetime", *[c for c in MEASURED if c in columns])
 
 
+@query
+def landed_in_parts(spark, sf_dir):
+    """The same readings from files that arrive one after the other: each call lands only what is new."""
+    raw = raw_readings(spark, sf_dir).withColumn("city", F.concat(F.upper("city"), F.lit(" ")))
+    level = F.when(F.col("components_pm2_5") >= DROPOUT_BELOW, F.col("main_aqi"))
+    laid = materialise(raw.withColumn("main_aqi", level), "source")
+    work, (low, high) = scratch_path(spark, "arriving"), laid.approxQuantile("event_id", [0.33, 0.66], 0.01)
+    sides = (F.col("event_id") <= low, F.col("event_id").between(low + 1, high), F.col("event_id") > high)
+    for part, inside in enumerate(sides, 1):
+        rows = laid.filter(inside)
+        rows.repartitionByRange(2, "event_id").sortWithinPartitions("event_id").write.parquet(f"{work}/source/{part}")
+        files.land_more(spark, [f"{work}/source/{i}" for i in range(1, part + 1)], f"{work}/landed")
+    return files.load_landed(spark, f"{work}/landed").select("city", "datetime", *MEASURED)
+
+
 @query
 def training_run_log(spark, sf_dir):
     """The whole training run over the stored readings: what it stored and logged, then the hold-out evaluation."""

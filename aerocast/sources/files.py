@@ -57,17 +57,24 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
     Parquet file, and by byte offset plus position in a CSV split. A source that was landed
     before has the column already.
     """
-    if path.endswith(".csv"):
-        scan = read_text_table(spark, path)
-        # A split has fewer rows than bytes, so the sum stays below the offset of the next one.
-        inside = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
-    else:
-        scan, inside = spark.read.parquet(path), F.col("_metadata.row_index")
+    scan = read_text_table(spark, path) if path.endswith(".csv") else spark.read.parquet(path)
     if ROW_ORDER in scan.columns:
         return scan
+    return _with_places(scan, path.endswith(".csv"))
+
+
+def _file_names(scan: DataFrame) -> list[str]:
+    """Files of a scan in the order of their names, as its metadata writes them."""
+    return sorted(re.sub(r"^(\w+):///", r"\1:/", f) for f in scan.inputFiles())
+
+
+def _with_places(scan: DataFrame, text: bool, first: int = 0) -> DataFrame:
+    """``row_order`` for a scan whose files are numbered from ``first`` on."""
+    # A split has fewer rows than bytes, so the sum stays below the offset of the next one.
+    split = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit(2**33 - 1))
+    inside = split if text else F.col("_metadata.row_index")
     placed = scan.select("*", F.col("_metadata.file_path").alias("_file"), inside.alias("_inside"))
-    names = sorted(re.sub(r"^(\w+):///", r"\1:/", f) for f in scan.inputFiles())
-    numbers = spark.createDataFrame(list(enumerate(names)), "_number long, _file string")
+    numbers = scan.sparkSession.createDataFrame(list(enumerate(_file_names(scan), first)), "_number long, _file string")
     order = F.shiftleft("_number", PLACE_BITS) + F.col("_inside")
     return placed.join(numbers, "_file").select(*[f"`{c}`" for c in scan.columns], order.alias(ROW_ORDER))
 
@@ -159,6 +166,46 @@ def land_first(spark: SparkSession, candidates: list[str], path: str) -> str:
     return land(read_any(spark, first_existing(spark, candidates)), path)
 
 
+def land_more(spark: SparkSession, sources: list[str], path: str) -> list[str]:
+    """Land the files of ``sources`` that are not landed yet, beside those that are; gives the new files.
+
+    Sources are files, or folders looked at anew each time, CSV or Parquet but not both. Every landing is a folder of
+    its own and numbers its files on from the one before, so ``row_order`` grows and a row landed earlier stays the
+    first of its key. A landing counts once its files are in the log; one that broke off is written again.
+    """
+    log = read_landing_log(spark, path)
+    known = {r["file"] for r in log}
+    found = [f for source in sources for f in data_files(spark, source)]
+    new = sorted({f for f in found if f not in known})
+    if not new:
+        return []
+    number = max((r["landing"] for r in log), default=-1) + 1
+    text = new[0].endswith(".csv")
+    scan = read_text_table(spark, new) if text else spark.read.parquet(*new)
+    _with_places(scan, text, len(known)).write.mode("overwrite").parquet(f"{path}/landing={number}")
+    entries = spark.createDataFrame([(f, number) for f in new], "file string, landing long")
+    entries.coalesce(1).write.mode("append").parquet(f"{path}/_log")
+    return new
+
+
+def read_landing_log(spark: SparkSession, path: str) -> list:
+    """(file, landing) of everything landed: one row per source file."""
+    return spark.read.parquet(f"{path}/_log").collect() if path_exists(spark, f"{path}/_log") else []
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """All complete landings with their ``row_order``; columns that a landing lacks are null."""
+    numbers = sorted({r["landing"] for r in read_landing_log(spark, path)})
+    if not numbers:
+        raise FileNotFoundError(f"nothing landed at {path}")
+    return spark.read.option("mergeSchema", True).parquet(*[f"{path}/landing={n}" for n in numbers])
+
+
+def load_landed(spark: SparkSession, path: str) -> DataFrame:
+    """Unique, typed readings of all landings: of several rows of a key the one landed first."""
+    return clean_readings(read_landed(spark, path))
+
+
 def write_by_month(df: DataFrame, path: str, root: str | None = None) -> str:
     """Parquet in one folder per month, ordered by city and time inside.
 

@@ -75,6 +75,30 @@ def test_first_row_of_the_source_wins(spark, tmp_path):
         assert (got[0]["main_aqi"], got[0]["components_pm10"]) == (want["main_aqi"], want["components_pm10"])
 
 
+def test_landing_goes_on_where_it_ended(spark, tmp_path):
+    """New files are added with growing places, known ones are left alone, a broken landing is done again."""
+    root, source = f"{tmp_path}/landed", f"{tmp_path}/source"
+
+    def arrive(name, rows):
+        spark.createDataFrame(rows, "city string, datetime string, main_aqi string").coalesce(1).write.option("header", True).csv(f"{source}/{name}")
+        return f"{source}/{name}"
+
+    one = arrive("b", [("lahore", "2024-01-01 00:00:00", "1"), ("lahore", "2024-01-01 01:00:00", "2")])
+    assert len(files.land_more(spark, [one], root)) == 1 and files.land_more(spark, [one], root) == []
+    before = {r["main_aqi"]: r["row_order"] for r in files.read_landed(spark, root).collect()}
+    # A row of a key that is there, under a name that sorts first, and a landing that never reached the log.
+    two = arrive("a", [("Lahore ", "2024-01-01 00:00:00", "9"), ("lahore", "2024-01-01 02:00:00", "3")])
+    spark.range(3).write.parquet(f"{root}/landing=1")
+    assert files.read_landed(spark, root).count() == 2
+    assert len(files.land_more(spark, [one, two], root)) == 1
+    after = {r["main_aqi"]: r["row_order"] for r in files.read_landed(spark, root).collect()}
+    assert {k: after[k] for k in before} == before and min(after["9"], after["3"]) > max(before.values())
+    got = files.load_landed(spark, root).orderBy("datetime").collect()
+    assert [(r["city"], r["main_aqi"]) for r in got] == [("Lahore", 1.0), ("Lahore", 2.0), ("Lahore", 3.0)]
+    with pytest.raises(FileNotFoundError):
+        files.read_landed(spark, f"{tmp_path}/nothing")
+
+
 def test_layout_prunes_by_month_and_city(spark, tmp_path):
     path = files.write_by_month(synthetic_readings(spark, 300), f"{tmp_path}/laid")
     part = spark.read.parquet(path).filter("city = 'Lahore' AND month_part = '2024-01'")
