@@ -20,24 +20,39 @@ from aerocast.session import materialise
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn by importance resampling; the others are rejected."""
+    """Documents drawn by importance resampling; the others are rejected.
+
+    Null and empty texts have a weight of one and stay unless the draw is smaller than the table; rows that repeat a
+    document share its key and its fate. An empty table gives no rows, and without labels every document stays.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return keep_selected(docs, fit_ratios(docs, labels))
 
 
 def keep_civil(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the factorization machine does not call toxic."""
+    """Documents that the factorization machine does not call toxic.
+
+    Each row is judged by its own text: null and empty texts by the bias alone, long ones as wholes, repeated rows alike.
+    An empty table gives no rows; without labels of both kinds nothing is rejected.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return drop_toxic(docs, train_toxicity(docs, labels))
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates."""
+    """The document with the smallest id of each group of near-duplicates.
+
+    Rows without an id or without words stay. Rows that repeat the document kept stay as well, and texts that share
+    an id are judged one by one (see ``drop_near_duplicates``).
+    """
     return drop_near_duplicates(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages that start earlier elsewhere; ``n_chars`` follows the text."""
+    """All documents, without the passages that start earlier elsewhere; ``n_chars`` follows the text.
+
+    Null, empty and short texts and rows without an id are left as they are (see ``replace_texts``).
+    """
     cut = replace_texts(docs)
     if "n_chars" not in cut.columns:
         return cut
@@ -46,7 +61,11 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the remaining texts and their places in sequences."""
+    """Pieces of the remaining texts and their places in sequences.
+
+    A null or empty text is one piece with the end id; repeated rows are packed like any others. An empty table gives
+    no rows.
+    """
     added = added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added=added)
 
