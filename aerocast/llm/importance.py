@@ -176,7 +176,10 @@ def resample(docs: DataFrame, ratios: Ratios, k: int | None = None) -> DataFrame
 
 
 def keep_selected(docs: DataFrame, ratios: Ratios, k: int | None = None) -> DataFrame:
-    """The drawn rows with all their columns; texts are scored again where they are, not joined."""
+    """The drawn rows with all their columns; texts are scored again where they are, not joined.
+
+    Nulls, empty texts, ties and repeated rows are as in ``resample``; an empty table gives no rows.
+    """
     drawn = resample(docs, ratios, k)
     least = drawn.filter("selected").agg(F.min("sample_key")).first()[0]
     least = float("inf") if least is None else least

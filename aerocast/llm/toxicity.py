@@ -218,7 +218,10 @@ def score_toxicity(docs: DataFrame, machine: Machine) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, machine: Machine) -> DataFrame:
-    """The rows whose text is not predicted toxic, with all their columns."""
+    """The rows whose text is not predicted toxic, with all their columns.
+
+    Null and empty texts are judged by the bias alone, repeated rows alike; an empty table gives no rows.
+    """
     model = docs.sparkSession.sparkContext.broadcast(machine)
     names = docs.columns
 
