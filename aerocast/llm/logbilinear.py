@@ -14,10 +14,13 @@ softmaxes are normalised in full, as batched products over the distinct contexts
 count has its add-one share of the subclass's count, with one unit left for tokens never seen, so
 that the probabilities of all tokens sum to one.
 
-Counts come from every training text. The network starts from the frequencies; every partition
-trains a copy on its own tokens in numpy. Copies are averaged by token count, the vectors of a word
-by the number of times that it was met. The driver and every worker hold the vectors of all words,
-about 150 bytes a word.
+Counts come from every training text. The network starts from the frequencies and learns from every
+token in numpy. How the table is split plays no part: texts are dealt anew to as many copies of the
+network as there are ``COPY_TOKENS`` in them, so that a copy learns from about that many tokens at any
+size. The first copy learns alone, and all others start from what it has learned, which keeps them
+close enough to be averaged: by token count, and the vectors of a word by the number of times that it
+was met. Means are taken over ``FAN`` copies at a time, in as many steps as needed. The driver and
+every worker hold the vectors of all words, about 150 bytes a word.
 """
 
 from __future__ import annotations
@@ -45,6 +48,9 @@ WIDTH = 16
 NOISE = 16
 BATCH = 2048
 ROUNDS = 1
+#: Tokens that a copy of the network learns from before copies are averaged, and copies averaged at once.
+COPY_TOKENS = 8_000_000
+FAN = 64
 #: Times that a token must be seen to have its own representation.
 LEAST_COUNT = 8
 #: Noise of a target inside its group or subclass, and the step of the vectors there.
@@ -453,9 +459,9 @@ def _packed(index: np.ndarray, weights: np.ndarray, values: list[np.ndarray]) ->
     return rows.tobytes()
 
 
-def _mean_rows(table: pa.Table) -> pa.Table:
-    """The rows of a shard's entries: every part of the parameters averaged by how often the entry was met."""
-    rows = np.concatenate([np.frombuffer(x.as_buffer(), ENTRY) for x in table.column("rows")])
+def _mean_entries(parts: pa.ChunkedArray) -> bytes:
+    """Rows of one shard's entries from several copies: every part of the parameters averaged by how often the entry was met."""
+    rows = np.concatenate([np.frombuffer(x.as_buffer(), ENTRY) for x in parts])
     place, index = np.unique(rows["place"], return_inverse=True)
     weights, values = rows["met"].astype(np.float64), rows["values"].astype(np.float64)
     total = np.stack([np.bincount(index, w, len(place)) for w in weights.T])
@@ -463,20 +469,33 @@ def _mean_rows(table: pa.Table) -> pa.Table:
     for f in range(2 * WIDTH + 1):
         part = int(f >= WIDTH)
         out[:, f] = np.bincount(index, weights[:, part] * values[:, f], len(place)) / np.maximum(total[part], 1)
-    packed = _packed(place, total, [out])
-    return pa.table([table.column("shard").slice(0, 1), pa.array([0], pa.int64()), pa.array([packed])], names=["shard", "seen", "rows"])
+    return _packed(place, total, [out])
 
 
-def _training_round(texts: DataFrame, model: Model, round_number: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Every partition trains a copy of the parameters; returns their mean by tokens, for entries by times met."""
+#: What a copy sends: shard of entries, or -1 for the network; its number; its tokens; the parameters.
+PART = "shard long, copy long, seen long, rows binary"
+
+
+def _mean_of_copies(table: pa.Table) -> pa.Table:
+    """One row for the rows of a shard; means weigh by tokens or times met, so means of means are right."""
+    shard, copy, seen = table.column("shard")[0].as_py(), table.column("copy")[0].as_py(), table.column("seen").to_pylist()
+    if shard >= 0:
+        rows = _mean_entries(table.column("rows"))
+    else:
+        rows = (sum(n * np.frombuffer(x.as_buffer()) for n, x in zip(seen, table.column("rows"))) / sum(seen)).tobytes()
+    return pa.table([pa.array([shard]), pa.array([copy]), pa.array([sum(seen)]), pa.array([rows], pa.binary())], names=table.column_names)
+
+
+def _trained(texts: DataFrame, model: Model, copies: int, seed: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Every copy learns from its share of the texts; returns the mean of their parameters and of those of the entries."""
     shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        task = TaskContext.get().partitionId()
+        copy = TaskContext.get().partitionId()
 
         def tokens() -> Iterator[tuple[np.ndarray, ...]]:
-            rng = np.random.default_rng([SEED, round_number, task])
+            rng = np.random.default_rng([SEED, seed, copy])
             for batch in slices(batches):
                 texts = batch.column(0).cast(pa.binary()).to_pylist()
                 for part in chunks(texts):
@@ -489,28 +508,28 @@ def _training_round(texts: DataFrame, model: Model, round_number: int) -> tuple[
                         at = order[begin : begin + BATCH]
                         yield classes[at], words[at], one[at], two[at]
 
-        trained, of_entries, met, seen = own.train(own.parameters, own.entry_parameters or own.start_entries(), tokens(), task)
+        def row(shard: int, seen: int, rows: bytes) -> pa.RecordBatch:
+            columns = [pa.array([shard]), pa.array([copy]), pa.array([seen]), pa.array([rows], pa.binary())]
+            return pa.RecordBatch.from_arrays(columns, names=["shard", "copy", "seen", "rows"])
+
+        trained, of_entries, met, seen = own.train(own.parameters, own.entry_parameters or own.start_entries(), tokens(), copy)
         if seen:
-            flat = np.concatenate([p.ravel() for p in trained]).astype(np.float64) * seen
-            yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([seen]), pa.array([flat.tobytes()])], names=names)
+            yield row(-1, seen, np.concatenate([p.ravel() for p in trained]).astype(np.float64).tobytes())
         rows = np.flatnonzero(met.any(0))
         borders = np.flatnonzero(np.concatenate(([True], rows[1:] // SHARD != rows[:-1] // SHARD, [True]))) if len(rows) else [0]
         for begin, end in zip(borders[:-1], borders[1:]):
             at = rows[begin:end]
-            packed = _packed(at, met[:, at], [p[at] for p in of_entries])
-            yield pa.RecordBatch.from_arrays([pa.array([at[0] // SHARD]), pa.array([0]), pa.array([packed])], names=names)
-
-    names = ["shard", "seen", "rows"]
-    kinds = "shard long, seen long, rows binary"
-
-    def mean(table: pa.Table) -> pa.Table:
-        if table.column("shard")[0].as_py() >= 0:
-            return _mean_rows(table)
-        total = sum(np.frombuffer(x.as_buffer()) for x in table.column("rows"))
-        seen = sum(table.column("seen").to_pylist())
-        return pa.table([pa.array([-1]), pa.array([seen]), pa.array([(total / seen).tobytes()])], names=names)
-
-    found = texts.select("text").mapInArrow(train, kinds).groupBy("shard").applyInArrow(mean, kinds).toArrow()
+            yield row(int(at[0] // SHARD), 0, _packed(at, met[:, at], [p[at] for p in of_entries]))
+
+    # Dealt in turn, so that no key can fill a copy; the order inside a copy is that of hashes.
+    order = [F.xxhash64("doc_id", "text"), F.col("doc_id"), F.col("text")]
+    parts = texts.repartition(copies).sortWithinPartitions(*order).select("text").mapInArrow(train, PART)
+    while copies > 1:
+        copies = -(-copies // FAN)
+        by_fan = parts.withColumn("copy", F.floor(F.col("copy") / FAN))
+        parts = by_fan.groupBy("shard", "copy").applyInArrow(_mean_of_copies, PART)
+    found = parts.select("shard", "rows").toArrow()
+    shared.destroy()
     parameters, of_entries = model.parameters, model.entry_parameters or model.start_entries()
     for shard, rows in zip(found.column("shard").to_pylist(), found.column("rows")):
         if shard < 0:
@@ -528,6 +547,16 @@ def _training_round(texts: DataFrame, model: Model, round_number: int) -> tuple[
     return parameters, of_entries
 
 
+def _training_round(texts: DataFrame, model: Model, number: int, copy_tokens: int) -> None:
+    """One pass over all tokens; in the first one, the first copy learns before the others."""
+    copies = max(1, round(model.total / copy_tokens))
+    if number == 0 and copies > 1:
+        drawn = F.rand(SEED) < 1 / copies
+        model.parameters, model.entry_parameters = _trained(texts.filter(drawn), model, 1, 2 * number)
+        texts, copies = texts.filter(~drawn), copies - 1
+    model.parameters, model.entry_parameters = _trained(texts, model, copies, 2 * number + 1)
+
+
 def train_language_model(
     docs: DataFrame,
     own_classes: int = OWN_CLASSES,
@@ -535,14 +564,19 @@ def train_language_model(
     known_tokens: int = KNOWN_TOKENS,
     rounds: int = ROUNDS,
     least_count: int = LEAST_COUNT,
+    copy_tokens: int = COPY_TOKENS,
 ) -> tuple[Model, DataFrame]:
-    """The model and the stored counts, learned from all rows that are not held out."""
+    """The model and the stored counts, learned from all rows that are not held out.
+
+    With up to one and a half times ``copy_tokens`` in all texts there is one copy, and the model is
+    the same however the rows are split into partitions and ordered.
+    """
     texts = _texts(docs).filter(~is_held_out(F.col("doc_id")))
     counts = materialise(count_tokens(texts), "token-counts")
     model = _vocabulary(counts, own_classes, groups, known_tokens, least_count)
     model.parameters, model.entry_bias = model.start(), model.log_shares()
     for number in range(rounds):
-        model.parameters, model.entry_parameters = _training_round(texts, model, number)
+        _training_round(texts, model, number, copy_tokens)
     model.entry_parameters = model.entry_parameters or model.start_entries()
     return model, counts
 

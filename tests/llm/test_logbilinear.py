@@ -128,3 +128,36 @@ def test_vocabulary_grows_and_all_tokens_sum_to_one(common_beginnings):
         n = len(at_class)
         logs = model.log_probabilities(at_class, at_word, np.full(n, one), np.full(n, two))
         assert np.exp(logs).sum() == pytest.approx(1, abs=1e-4)
+
+
+@pytest.mark.parametrize("parts", [8, 64])
+def test_scores_do_not_depend_on_partitions(common_beginnings, parts):
+    """With the production parameters: the same scores from one partition and from many."""
+    one, many = (
+        lb.score_documents(common_beginnings, *lb.train_language_model(common_beginnings.repartition(n))).toPandas().sort_values("doc_id")
+        for n in (1, parts)
+    )
+    assert np.allclose(one.score, many.score)
+
+
+def test_copies_learn_what_one_learns(common_beginnings):
+    """Averaged copies keep three quarters of the gain of a single one, even with 60,000 tokens each."""
+    def gain(**options):
+        out = lb.score_documents(common_beginnings, *lb.train_language_model(common_beginnings, **options)).toPandas()
+        held = out[out.held_out]
+        return (held.score - held.base_score).sum() / held.n_tokens.sum()
+
+    alone, four = gain(), gain(copy_tokens=60_000)
+    assert alone > 0.1 and four > 0.75 * alone
+
+
+def test_means_of_means(common_beginnings, monkeypatch):
+    """Steps of two copies give the mean of all copies at once."""
+    def parameters():
+        model, _ = lb.train_language_model(common_beginnings, copy_tokens=40_000)
+        return [*model.parameters, *model.entry_parameters]
+
+    at_once = parameters()
+    monkeypatch.setattr(lb, "FAN", 2)
+    for a, b in zip(at_once, parameters()):
+        assert np.allclose(a, b, atol=5e-3)
