@@ -4,6 +4,9 @@ A text is the set of its lower-case words, split at white space and ASCII punctu
 beginnings of four and five bytes, which stand for inflected forms; all are hashed to 64 bits. The
 machine adds a bias, a weight per term and, for every pair of terms in a text, the
 inner product of their factors, so that terms can be toxic together that are not so alone.
+
+The machine learns every term that tells the classes apart alone, and every common term of a pair
+that tells apart what a first machine over the former leaves open. No number of terms is set.
 """
 
 from __future__ import annotations
@@ -24,7 +27,11 @@ SAMPLE_PER_CLASS = 4000
 #: Terms need this chi-square against the label (one in a thousand by chance) and this many texts.
 LEAST_CHI_SQUARE = 10.83
 LEAST_TEXTS = 3
-MOST_TERMS = 4096
+#: Share of the texts of the fit that hold a pair of terms for the pair to be tested.
+PAIR_SHARE = 0.02
+#: Chance that any pair is taken without a cause, and terms whose pairs are tested at once.
+PAIR_CHANCE = 0.001
+PAIR_BLOCK = 512
 FACTORS = 8
 EPOCHS = 60
 FOLDS = 5
@@ -143,11 +150,11 @@ def fit_machine(terms: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, s
     return Machine(terms, weights, factors, bias)
 
 
-def choose_terms(sets: DataFrame) -> np.ndarray:
-    """Sorted hashes of the terms that tell the classes of ``terms, label`` apart; at most MOST_TERMS rows are collected."""
+def choose_terms(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the terms that tell the classes of ``terms, label`` apart, and of the common ones, and which do the former."""
     total = sets.agg(F.count("*").alias("n"), F.sum("label").alias("ones")).first()
     if not total["n"] or total["ones"] in (0, total["n"]):
-        return np.zeros(0, np.uint64)
+        return np.zeros(0, np.uint64), np.zeros(0, bool)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -162,16 +169,75 @@ def choose_terms(sets: DataFrame) -> np.ndarray:
     share = total["ones"] / total["n"]
     spread = F.col("n") * F.lit(share * (1 - share)) * (1 - F.col("n") / F.lit(total["n"]))
     chi = F.when(spread > 0, (F.col("ones") - F.col("n") * F.lit(share)) ** 2 / spread)
-    told = counted.filter(F.col("n") >= LEAST_TEXTS).withColumn("chi", chi).filter(F.col("chi") >= LEAST_CHI_SQUARE)
-    best = told.orderBy(F.col("chi").desc(), "term").limit(MOST_TERMS).select("term").collect()
-    return np.sort(np.array([r["term"] for r in best], np.int64).view(np.uint64))
+    counted = counted.filter(F.col("n") >= LEAST_TEXTS).withColumn("told", F.coalesce(chi >= LEAST_CHI_SQUARE, F.lit(False)))
+    found = counted.filter(F.col("told") | (F.col("n") >= F.lit(PAIR_SHARE * total["n"]))).select("term", "told").toArrow()
+    terms, told = (found.column(c).to_numpy() for c in ("term", "told"))
+    order = np.argsort(terms.view(np.uint64))
+    return terms.view(np.uint64)[order], told[order]
+
+
+def pair_terms(rows: list[np.ndarray], labels: np.ndarray, chances: np.ndarray) -> np.ndarray:
+    """Sorted places of the terms that are in a pair that tells apart what the chances of label 1 leave open.
+
+    A pair's labels are compared with the sum of their chances; the normal bound is such that among
+    all pairs one is taken without a cause with PAIR_CHANCE at most.
+    """
+    n = len(rows)
+    flat, text = np.concatenate(rows).astype(np.int64), np.repeat(np.arange(n), [len(r) for r in rows])
+    common, place = np.unique(flat, return_inverse=True)
+    kept = np.bincount(place, minlength=len(common)) >= PAIR_SHARE * n
+    at = (np.cumsum(kept) - 1)[place]
+    text, at, common = text[kept[place]], at[kept[place]], common[kept]
+    order = np.argsort(at, kind="stable")
+    text, at = text[order], at[order]
+    borders = np.searchsorted(at, np.arange(0, len(common) + PAIR_BLOCK, PAIR_BLOCK))
+    bound = 2 * np.log(max(1, len(common) * (len(common) - 1) // 2) / PAIR_CHANCE)
+    rest, spread = (labels - chances).astype(np.float32), np.maximum(chances * (1 - chances), 0.01).astype(np.float32)
+
+    def block(i: int) -> np.ndarray:
+        out = np.zeros((n, min(PAIR_BLOCK, len(common) - i * PAIR_BLOCK)), np.float32)
+        out[text[borders[i] : borders[i + 1]], at[borders[i] : borders[i + 1]] - i * PAIR_BLOCK] = 1
+        return out
+
+    telling = np.zeros(len(common), bool)
+    for i in range(len(borders) - 1):
+        one = block(i)
+        sums = [one.T.copy(), one.T * rest, one.T * spread]
+        for j in range(i, len(borders) - 1):
+            two = one if i == j else block(j)
+            times, left, variance = (x @ two for x in sums)
+            hit = (times >= PAIR_SHARE * n) & (left * left >= bound * variance)
+            if i == j:
+                np.fill_diagonal(hit, False)
+            telling[i * PAIR_BLOCK : i * PAIR_BLOCK + len(hit)] |= hit.any(1)
+            telling[j * PAIR_BLOCK : j * PAIR_BLOCK + hit.shape[1]] |= hit.any(0)
+    return common[telling]
+
+
+def fit_with_pairs(terms: np.ndarray, told: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, share_of_ones: float) -> Machine:
+    """A machine over the terms told apart alone, then one over these and the terms of telling pairs."""
+
+    def fit(used: np.ndarray, share: float) -> tuple[Machine, list[np.ndarray]]:
+        place = np.where(used, np.cumsum(used) - 1, -1)
+        of_used = [place[r][used[r]] for r in rows]
+        return fit_machine(terms[used], of_used, labels, share), of_used
+
+    labels = np.asarray(labels, float)
+    if not len(labels) or labels.min() == labels.max():
+        return fit_machine(terms, rows, labels, share_of_ones)
+    alone, of_used = fit(told, labels.mean())
+    text = np.repeat(np.arange(len(rows)), [len(r) for r in of_used])
+    margins = alone._margins(text, np.concatenate(of_used).astype(np.int64), len(rows))
+    used = told.copy()
+    used[pair_terms(rows, labels, 1 / (1 + np.exp(-np.clip(margins, -50, 50))))] = True
+    return fit(used, share_of_ones)[0]
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Machine:
     """Fit on at most ``per_class`` labelled texts of each class, whole texts, held-out rows excluded.
 
-    Term sets stay on the executors; the driver gets the chosen terms and, for every text of the
-    sample, the places of those it has. Texts with equal term sets count once, as 1 if any is.
+    Term sets stay on the executors; the driver gets the terms that tell classes apart and the common
+    ones and, for every text of the sample, the places of those it has. Texts with equal term sets count once, as 1 if any is.
     """
     eligible = labels.filter(F.col("toxic").isin(0, 1) & ~is_held_out(F.col("doc_id")))
     share = eligible.agg(F.avg("toxic")).first()[0] or 0.0
@@ -186,7 +252,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_P
     chosen = texts.join(sample, "doc_id").dropDuplicates(["doc_id"]).select("label", "text")
     distinct = chosen.mapInArrow(sets, "label int, terms binary").groupBy("terms").agg(F.max("label").alias("label"))
     distinct = materialise(distinct, "term-sets")
-    terms = choose_terms(distinct)
+    terms, told = choose_terms(distinct)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -196,7 +262,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_P
 
     rows = distinct.select("terms", "label").mapInArrow(places, "places binary, label int").collect()
     rows.sort(key=lambda r: (r["label"], bytes(r["places"])))
-    return fit_machine(terms, [np.frombuffer(r["places"], np.int32) for r in rows], [r["label"] for r in rows], share)
+    places_of_rows = [np.frombuffer(r["places"], np.int32) for r in rows]
+    return fit_with_pairs(terms, told, places_of_rows, np.array([r["label"] for r in rows]), share)
 
 
 def score_toxicity(docs: DataFrame, machine: Machine) -> DataFrame:

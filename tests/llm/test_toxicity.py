@@ -75,3 +75,46 @@ def test_one_class_or_no_labels(spark, labels):
     table = spark.createDataFrame(labels, "doc_id long, toxic int")
     machine = tx.train_toxicity(documents(spark), table)
     assert len(set(machine.score([b"a", b"b c", None]).round(9))) == 1
+
+
+def test_learns_pairs_of_terms_that_tell_nothing_alone(spark):
+    """Toxic if an insult and a group word are both there or both missing: no single term tells the classes apart."""
+    rng = np.random.default_rng(1)
+    filler, rows = [f"word{i}" for i in range(400)], []
+    for i in range(4000):
+        words, (one, two) = rng.choice(filler, 30).tolist(), rng.integers(0, 2, 2).tolist()
+        words += ["dirt"] * one + ["people"] * two
+        rows.append((i, " ".join(rng.permutation(words)), int(one == two)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    machine = tx.train_toxicity(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"))
+    scored = tx.score_toxicity(docs, machine).join(docs.select("doc_id", "toxic"), "doc_id")
+    held = scored.filter(tx.is_held_out(F.col("doc_id"))).toPandas()
+    assert len(held) > 700 and (held.predicted == held.toxic).mean() > 0.95
+
+
+def test_score_is_a_double_loop_over_pairs(corpus):
+    machine = tx.train_toxicity(corpus.select("doc_id", "text"), corpus.select("doc_id", "toxic"))
+    texts = [r["text"].encode() for r in corpus.limit(20).collect()]
+    for found, got in zip(tx.term_sets(texts), machine.score(texts)):
+        at = [i for i, t in enumerate(machine.terms) if t in found]
+        margin = machine.bias + sum(machine.weights[i] for i in at)
+        margin += sum(machine.factors[i] @ machine.factors[j] for n, i in enumerate(at) for j in at[n + 1 :])
+        assert got == pytest.approx(1 / (1 + np.exp(-margin)))
+
+
+def test_pairs_against_plain_counts():
+    """The pairs found are those of a plain loop over all pairs of common terms."""
+    rng = np.random.default_rng(3)
+    rows = [np.flatnonzero(rng.random(700) < 0.08).astype(np.int32) for _ in range(600)]
+    rows = [np.unique(np.append(r, [3, 650] if i % 4 == 0 else [])).astype(np.int32) for i, r in enumerate(rows)]
+    labels, chances = np.array([float(i % 4 == 0) for i in range(600)]), np.full(600, 0.25)
+    sets, bound, want = [set(r.tolist()) for r in rows], 0, set()
+    common = [t for t in range(700) if sum(t in s for s in sets) >= 12]
+    bound = 2 * np.log(len(common) * (len(common) - 1) // 2 / tx.PAIR_CHANCE)
+    for n, a in enumerate(common):
+        with_a = [i for i, s in enumerate(sets) if a in s]
+        for b in common[n + 1 :]:
+            both = [i for i in with_a if b in sets[i]]
+            if len(both) >= 12 and sum(labels[both] - 0.25) ** 2 >= bound * len(both) * 0.1875:
+                want |= {a, b}
+    assert {3, 650} <= want and tx.pair_terms(rows, labels, chances).tolist() == sorted(want)
