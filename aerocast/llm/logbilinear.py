@@ -26,8 +26,9 @@ every worker hold the vectors of all words, about 150 bytes a word.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -56,10 +57,21 @@ LEAST_COUNT = 8
 #: Noise of a target inside its group or subclass, and the step of the vectors there.
 WORD_NOISE = 4
 WORD_RATE = 0.1
+#: Columns of an entry's row while it learns, after its vector: bias, squared slopes of vector and bias, times met.
+SHIFT, SQUARES, SHIFT_SQUARES, MET = range(WIDTH, WIDTH + 4)
+COLUMNS = WIDTH + 4
+WHOLE_ROW = np.dtype(("V", 4 * COLUMNS))
+#: Ranges of equal probability an entry, by which noise is drawn.
+CELLS = 4
 #: Entries whose vectors are averaged and sent to the driver together.
 SHARD = 1024
-#: Scores that are in memory at once while a context is normalised.
+#: Rows and text bytes that are scored together: contexts that they share are normalised once.
+SCORED_ROWS, SCORED_BYTES = 2048, 1 << 22
+#: Scores that are in memory at once while a context is normalised, and the size up to which none needs a shift.
 SCORES = 1 << 16
+SAFE = 60
+#: Rows of vectors that are multiplied at once.
+ROWS = 1 << 12
 SEED = 7
 END = np.uint64(0x5EED0E4D)
 #: Distinct tokens that a counting task holds before it passes them on.
@@ -97,8 +109,10 @@ def count_tokens(docs: DataFrame) -> DataFrame:
 
     def merged(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         tokens, codes, counts = (np.concatenate(x) for x in zip(*parts))
-        distinct, first, index = np.unique(tokens, return_index=True, return_inverse=True)
-        return distinct, codes[first], np.bincount(index, counts, len(distinct)).astype(np.int64)
+        order = np.argsort(tokens)
+        tokens = tokens[order]
+        first = np.flatnonzero(np.append(len(tokens) > 0, tokens[1:] != tokens[:-1]))
+        return tokens[first], codes[order[first]], np.add.reduceat(counts[order], first)
 
     def rows(part: tuple[np.ndarray, np.ndarray, np.ndarray]) -> pa.RecordBatch:
         columns = [pa.array(part[0].view(np.int64)), pa.array(part[1]), pa.array(part[2])]
@@ -122,6 +136,29 @@ def count_tokens(docs: DataFrame) -> DataFrame:
     return counted.groupBy("token", "code").agg(F.sum("n").alias("n"))
 
 
+class _Groups:
+    """Equal values of an index: the distinct ones, the place of each among them, the order that sorts them."""
+
+    def __init__(self, index: np.ndarray) -> None:
+        bits = len(index).bit_length()
+        keys = np.sort((index.astype(np.int64) << bits) | np.arange(len(index)))
+        self.order, values = keys & ((1 << bits) - 1), keys >> bits
+        new = np.ones(len(index), bool)
+        np.not_equal(values[1:], values[:-1], out=new[1:])
+        self.first, self.again, groups = np.flatnonzero(new), np.flatnonzero(~new), np.cumsum(new) - 1
+        self.values, self.times = values[self.first], np.diff(np.append(self.first, len(index)))
+        self.at, self.of_again = np.empty(len(index), np.int64), groups[self.again]
+        self.at[self.order] = groups
+
+    def sums(self, rows_of: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """Sums by distinct value of the rows that are given for places in the index."""
+        out = rows_of(self.order.take(self.first))
+        if len(self.again):
+            heads = np.flatnonzero(np.append(True, self.of_again[1:] != self.of_again[:-1]))
+            out[self.of_again[heads]] += np.add.reduceat(rows_of(self.order.take(self.again)), heads, axis=0)
+        return out
+
+
 @dataclass
 class Model:
     """Vocabulary by hash, classes, and the network; see the module text."""
@@ -167,20 +204,51 @@ class Model:
         """Entries before the words."""
         return len(self.group_codes) + 1 + len(self.word_groups)
 
+    @cached_property
+    def unit_classes(self) -> np.ndarray:
+        """Class of each unit."""
+        of_words = len(self.own) + np.repeat(self.word_groups, np.diff(self.word_starts))
+        return np.concatenate((np.arange(self.classes + 1), of_words))
+
+    @cached_property
+    def subclass_of(self) -> np.ndarray:
+        """Subclass of each word, and one more for the number -1 of no word."""
+        return np.append(np.repeat(np.arange(len(self.word_groups)), np.diff(self.word_starts)), 0).astype(np.int32)
+
+    @cached_property
+    def _lookup(self) -> tuple[np.ndarray, ...]:
+        """Known tokens and a last one; the first known token of each prefix; own class of each known token, or -1; class of each code."""
+        bits = len(self.known).bit_length()
+        prefixes = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
+        own = np.full(len(self.known) + 1, -1, np.int32)
+        own[np.searchsorted(self.known, self.own)] = np.arange(len(self.own))
+        by_code = np.full((1 << 16) + 1, self.classes - 1)
+        by_code[self.group_codes] = len(self.own) + np.arange(len(self.group_codes))
+        ended = np.append(self.known, np.uint64(2**64 - 1))
+        return ended, np.searchsorted(self.known, prefixes).astype(np.int32), own, by_code, np.uint64(64 - bits)
+
+    def known_at(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each token among the known ones, and whether it is there."""
+        known, first, _, _, shift = self._lookup
+        # Hashes spread evenly, so the place is a few steps from the first one of a prefix, or else found by bisection.
+        at = first.take((tokens >> shift).astype(np.int64)).astype(np.int64) if len(self.known) else np.zeros(len(tokens), np.int64)
+        left = np.flatnonzero(known.take(at) < tokens)
+        for _ in range(4):
+            at[left] += 1
+            left = left[known.take(at[left]) < tokens[left]]
+        at[left] = np.searchsorted(known, tokens[left])
+        return at, (known.take(at) == tokens) & (at < len(self.known))
+
     def places_of(self, tokens: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Own class, else the group of the code, else the last class for all other codes; and the word, -1 where there is none."""
-        group = np.searchsorted(self.group_codes, codes)
-        known = group < len(self.group_codes)
-        known[known] = self.group_codes[group[known]] == codes[known]
-        out = len(self.own) + np.where(known, group, len(self.group_codes))
-        words = np.full(len(tokens), -1)
-        if len(self.known):
-            at = np.minimum(np.searchsorted(self.known, tokens), len(self.known) - 1)
-            words = np.where(self.known[at] == tokens, self.word_at[at], -1)
-        if len(self.own):
-            at = np.minimum(np.searchsorted(self.own, tokens), len(self.own) - 1)
-            out = np.where(self.own[at] == tokens, at, out)
-        return out, words
+        return self.places_at(*self.known_at(tokens), codes)
+
+    def places_at(self, at: np.ndarray, is_known: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same from the places among the known tokens."""
+        _, _, own, by_code, _ = self._lookup
+        own_class = np.where(is_known, own.take(at), -1)
+        classes = np.where(own_class >= 0, own_class, by_code.take(codes, mode="wrap"))
+        return classes, np.where(is_known, np.append(self.word_at, -1).take(at), -1)
 
     def classes_of(self, tokens: np.ndarray, codes: np.ndarray) -> np.ndarray:
         return self.places_of(tokens, codes)[0]
@@ -201,8 +269,7 @@ class Model:
     def split(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(class, word) of units; the word is -1 for a unit that is no word."""
         words = np.where(units > self.classes, units - self.classes - 1, -1)
-        group = np.append(self.word_groups, 0)[np.searchsorted(self.word_starts, words, "right") - 1]
-        return np.where(words >= 0, len(self.own) + group, units), words
+        return self.unit_classes.take(units), words
 
     def inside(self, classes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place, entry, parent) of the choices below the classes: of a subclass in its group, and of a word in its subclass.
@@ -212,7 +279,7 @@ class Model:
         in_group = np.flatnonzero(classes >= len(self.own))
         group, word = classes[in_group] - len(self.own), words[in_group]
         is_word = word >= 0
-        subclass = np.searchsorted(self.word_starts, word, "right") - 1
+        subclass = self.subclass_of.take(word).astype(np.int64)
         entry = np.where(is_word, subclass + group + 1, self.entry_starts[group])
         place = np.concatenate((in_group, in_group[is_word]))
         entry = np.concatenate((entry, self.nodes + word[is_word]))
@@ -245,12 +312,15 @@ class Model:
         target or noise, and the number of tokens.
         """
         words, out, near, far, bias = (p.astype(np.float32) for p in parameters)
-        more, inner, shift = (p.copy() for p in entry_parameters)
+        # One row an entry, so that a step reads and writes it once: as a choice, and without a bias as a context.
+        choices, contexts = (np.zeros((len(self.entry_counts), COLUMNS), np.float32) for _ in range(2))
+        contexts[:, :WIDTH], choices[:, :WIDTH], choices[:, SHIFT] = entry_parameters
+        for rows in (choices, contexts):
+            rows[:, SQUARES : SHIFT_SQUARES + 1] = 1
         sums = [np.full(p.shape, 1e-3, np.float32) for p in parameters]
-        entry_sums, met = [np.ones(len(shift), np.float32) for _ in range(3)], np.zeros((2, len(shift)), np.float32)
         rng, log_noise = np.random.default_rng(seed), np.log(NOISE * self.share).astype(np.float32)
-        n_classes, seen = len(words), 0
-        totals = np.concatenate(([0], np.cumsum(self.entry_counts)))
+        upto = np.cumsum(self.share)[:-1]
+        n_classes, seen, noise_inside = len(words), 0, self.noise_inside()
 
         def step(i: int, value: np.ndarray, slope: np.ndarray) -> None:
             sums[i] += slope * slope
@@ -260,24 +330,30 @@ class Model:
             cells = (index * WIDTH)[:, None] + np.arange(WIDTH)
             return np.bincount(cells.ravel(), slopes.ravel(), n * WIDTH).reshape(n, WIDTH).astype(np.float32)
 
-        def step_rows(i: int, value: np.ndarray, index: np.ndarray, slopes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            """A step of the rows of the entries met; returns them and where each of the index is among them."""
-            rows, at = np.unique(index, return_inverse=True)
-            slope = gathered(at, slopes, len(rows))
-            entry_sums[i][rows] += (slope * slope).mean(1)
-            value[rows] -= WORD_RATE * slope / np.sqrt(entry_sums[i][rows])[:, None]
-            return rows, at
+        # The slopes of a row as the means of their squares, and the columns that each mean stands for.
+        squares, spread = np.zeros((COLUMNS, 2), np.float32), np.zeros((2, COLUMNS), np.float32)
+        squares[:WIDTH, 0], squares[SHIFT, 1], spread[0, :WIDTH], spread[1, SHIFT] = 1 / WIDTH, 1, WORD_RATE, WORD_RATE
+
+        def step_rows(table: np.ndarray, met: _Groups, rows: np.ndarray, slope: np.ndarray) -> None:
+            """A step of the rows of entries met; the slopes are zero but for vector and bias."""
+            rows[:, SQUARES : SHIFT_SQUARES + 1] += (slope * slope) @ squares
+            rows -= slope * ((1 / np.sqrt(rows[:, SQUARES : SHIFT_SQUARES + 1])) @ spread)
+            rows[:, MET] += met.times
+            np.put(table.view(WHOLE_ROW)[:, 0], met.values, rows.view(WHOLE_ROW)[:, 0])
 
         for target, word, one, two in batches:
             (one, one_word), (two, two_word) = self.split(one), self.split(two)
-            a, b = words[one], words[two]
+            a, b = words.take(one, 0), words.take(two, 0)
             one_is, two_is = (np.flatnonzero(x >= 0) for x in (one_word, two_word))
-            a[one_is] += more[self.nodes + one_word[one_is]]
-            b[two_is] += more[self.nodes + two_word[two_is]]
+            of_words = _Groups(self.nodes + np.concatenate((one_word[one_is], two_word[two_is])))
+            held = contexts.take(of_words.values, 0)
+            own = held.take(of_words.at, 0)[:, :WIDTH]
+            a[one_is] += own[: len(one_is)]
+            b[two_is] += own[len(one_is) :]
             predicted = a @ near + b @ far
-            of_target = out[target]
-            noise = rng.choice(self.classes, NOISE, p=self.share)
-            good = np.einsum("ij,ij->i", predicted, of_target) + bias[target] - log_noise[target]
+            of_target = out.take(target, 0)
+            noise = np.searchsorted(upto, rng.random(NOISE), "right")
+            good = (predicted * of_target) @ np.ones(WIDTH, np.float32) + bias[target] - log_noise[target]
             bad = predicted @ out[noise].T + bias[noise] - log_noise[noise]
             g = -1 / (1 + np.exp(np.clip(good, -30, 30)))
             h = 1 / (1 + np.exp(-np.clip(bad, -30, 30)))
@@ -289,75 +365,104 @@ class Model:
             place, entry, parent = self.inside(target, word)
             if len(place):
                 # Below the classes: noise by the counts inside the parent; the bias starts from the same shares.
-                mine, low, high = predicted[place], *(totals[self.entry_starts[parent + i]][:, None] for i in (0, 1))
-                drawn = low + np.floor(rng.random((len(place), WORD_NOISE)) * (high - low)).astype(np.int64)
-                drawn = np.searchsorted(totals, drawn, "right") - 1
-                index = np.concatenate((entry[:, None], drawn), 1)
-                vectors = inner[index]
-                scores = np.matmul(vectors, mine[:, :, None])[:, :, 0] + shift[index] - np.float32(np.log(WORD_NOISE))
+                index = np.concatenate((entry[None], noise_inside(rng, parent)))
+                met = _Groups(index.ravel())
+                rows = choices.take(met.values, 0)
+                vectors = rows.take(met.at, 0).reshape(*index.shape, COLUMNS)
+                # The one beside the prediction meets the bias, the zeros what else is in a row.
+                mine = np.zeros((len(target), COLUMNS), np.float32)
+                mine[:, :WIDTH], mine[:, SHIFT] = predicted, 1
+                mine = mine.take(place, 0)
+                scores = (vectors * mine).reshape(-1, COLUMNS) @ np.ones(COLUMNS, np.float32) - np.float32(np.log(WORD_NOISE))
                 error = 1 / (1 + np.exp(-np.clip(scores, -30, 30)))
-                error[:, 0] -= 1
-                by_predicted += gathered(place, np.matmul(error[:, None, :], vectors)[:, 0], len(target))
-                rows, at = step_rows(1, inner, index.ravel(), (error[:, :, None] * mine[:, None, :]).reshape(-1, WIDTH))
-                met[1][rows] += np.bincount(at, minlength=len(rows))
-                slope = np.bincount(at, error.ravel(), len(rows)).astype(np.float32)
-                entry_sums[2][rows] += slope * slope
-                shift[rows] -= WORD_RATE * slope / np.sqrt(entry_sums[2][rows])
+                error[: len(place)] -= 1
+                back = np.einsum("ji,jik->ik", error.reshape(index.shape), vectors)[:, :WIDTH]
+                # A token's places are a subclass and a word, each part in the order of the tokens.
+                cut = int(np.argmax(np.append(place[1:] <= place[:-1], True))) + 1
+                by_predicted[place[:cut]] += back[:cut]
+                by_predicted[place[cut:]] += back[cut:]
+                owner = np.tile(np.arange(len(place)), len(index))
+                slope = met.sums(lambda at: mine.take(owner.take(at), 0) * error.take(at)[:, None])
+                step_rows(choices, met, rows, slope)
             by_one, by_two = by_predicted @ near.T, by_predicted @ far.T
-            by_words = gathered(one, by_one, n_classes) + gathered(two, by_two, n_classes)
-            if len(one_is) + len(two_is):
-                index = self.nodes + np.concatenate((one_word[one_is], two_word[two_is]))
-                rows, at = step_rows(0, more, index, np.concatenate((by_one[one_is], by_two[two_is])))
-                met[0][rows] += np.bincount(at, minlength=len(rows))
+            by_words = gathered(np.concatenate((one, two)), np.concatenate((by_one, by_two)), n_classes)
+            if len(of_words.values):
+                slopes = np.zeros((len(of_words.at), COLUMNS), np.float32)
+                slopes[: len(one_is), :WIDTH], slopes[len(one_is) :, :WIDTH] = by_one.take(one_is, 0), by_two.take(two_is, 0)
+                step_rows(contexts, of_words, held, of_words.sums(lambda at: slopes.take(at, 0)))
             scale = np.float32(1 / len(target))
             slopes = (by_words, by_out, a.T @ by_predicted, b.T @ by_predicted, by_bias)
             for i, (value, slope) in enumerate(zip((words, out, near, far, bias), slopes)):
                 step(i, value, slope * scale)
             seen += len(target)
-        return [words, out, near, far, bias], [more, inner, shift], met, seen
-
-    def predicted(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        """What contexts of two units predict, and a one that the bias is multiplied by."""
-        words, _, near, far, _ = self.parameters
-        words = words.astype(np.float32)
+        of_entries = [contexts[:, :WIDTH], choices[:, :WIDTH], choices[:, SHIFT]]
+        return [words, out, near, far, bias], of_entries, np.stack((contexts[:, MET], choices[:, MET])), seen
 
-        def represented(units: np.ndarray) -> np.ndarray:
-            classes, own = self.split(units)
-            out, is_word = words[classes], np.flatnonzero(own >= 0)
-            out[is_word] += self.entry_parameters[0][self.nodes + own[is_word]]
-            return out
-
-        near, far = near.astype(np.float32), far.astype(np.float32)
-        return np.concatenate((represented(one) @ near + represented(two) @ far, np.ones((len(one), 1), np.float32)), 1)
+    def noise_inside(self) -> Callable[[np.random.Generator, np.ndarray], np.ndarray]:
+        """A function that draws WORD_NOISE entries of each given parent, by their counts."""
+        first, sizes = self.entry_starts[:-1], np.diff(self.entry_starts)
+        totals = np.concatenate(([0], np.cumsum(self.entry_counts)))
+        low, width = totals[first], totals[self.entry_starts[1:]] - totals[first]
+        # Every parent has CELLS equal ranges an entry; the first entry of each, from one count below for the rounding.
+        of_cell = np.repeat(np.arange(len(sizes)), CELLS * sizes)
+        cell = np.arange(len(of_cell)) - CELLS * first[of_cell]
+        begin = low[of_cell] + np.maximum(np.floor(cell / (CELLS * sizes[of_cell]) * width[of_cell]).astype(np.int64) - 1, 0)
+        guide = (np.searchsorted(totals, begin, "right") - 1).astype(np.int32)
+
+        def draw(rng: np.random.Generator, parent: np.ndarray) -> np.ndarray:
+            part = rng.random((WORD_NOISE, len(parent)))
+            wanted = (low.take(parent) + (part * width.take(parent)).astype(np.int64)).ravel()
+            drawn = guide.take(CELLS * first.take(parent) + (part * (CELLS * sizes.take(parent))).astype(np.int64)).ravel()
+            # A few entries further on, or else by bisection.
+            left = np.flatnonzero(totals.take(drawn + 1) <= wanted)
+            for _ in range(2):
+                drawn[left] += 1
+                left = left[totals.take(drawn[left] + 1) <= wanted[left]]
+            drawn[left] = np.searchsorted(totals, wanted[left], "right") - 1
+            return drawn.reshape(part.shape)
+
+        return draw
+
+    def predicted(self, units: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """What contexts predict, given as two places among the units."""
+        words, _, near, far, _ = (p.astype(np.float32) for p in self.parameters)
+        classes, own = self.split(units)
+        out, is_word = words.take(classes, 0), np.flatnonzero(own >= 0)
+        out[is_word] += self.entry_parameters[0].take(self.nodes + own[is_word], 0)
+        return (out @ near).take(one, 0) + (out @ far).take(two, 0)
 
     def log_probabilities(self, classes: np.ndarray, own: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Log of the probability of each class after two units, and of the subclass and the word in it where there are any."""
-        out = np.concatenate((self.parameters[1], self.parameters[4][:, None]), 1).astype(np.float32)
-        pairs, context = np.unique(one * (self.classes + 1 + self.words) + two, return_inverse=True)
-        units = np.divmod(pairs, self.classes + 1 + self.words)
-        predicted, logs = self.predicted(*units), np.empty(len(pairs), np.float32)
-        rows = max(1, SCORES // len(out))
+        out, bias = self.parameters[1].astype(np.float32), self.parameters[4].astype(np.float32)
+        units, at = _distinct(np.concatenate((one, two)), self.classes + 1 + self.words)
+        pairs, context = _distinct(at[: len(one)] * len(units) + at[len(one) :], len(units) ** 2)
+        predicted, logs = self.predicted(units, *np.divmod(pairs, max(1, len(units)))), np.empty(len(pairs), np.float32)
+        _, vectors, shift = self.entry_parameters
+        # No score is beyond the product of the longest vectors; only long ones need a shift.
+        longest = [float(np.sqrt(((x * x) @ np.ones(WIDTH, np.float32)).max(initial=0))) for x in (predicted, out, vectors)]
+        safe = longest[0] * max(longest[1:]) < SAFE
+        weights, rows = np.exp(bias), max(1, SCORES // len(out))
+        held = np.empty(max(SCORES, len(out), int(np.diff(self.entry_starts).max())), np.float32)
         for begin in range(0, len(pairs), rows):
             at = slice(begin, begin + rows)
-            logs[at] = _log_sums(predicted[at] @ out.T)
-        value = (np.einsum("ij,ij->i", predicted[context], out[classes]) - logs[context]).astype(np.float64)
+            logs[at] = _log_sums(predicted[at], out, weights, held, safe)
+        value = (_dots(predicted, context, out, classes) + bias[classes] - logs[context]).astype(np.float64)
         # Every group and subclass that is met is normalised over all its entries, once per distinct context.
         place, entry, parent = self.inside(classes, own)
         if not len(place):
             return value
-        _, vectors, shift = self.entry_parameters
-        met, at_met = np.unique(parent * len(pairs) + context[place], return_inverse=True)
+        bias = self.entry_bias + shift
+        met, at_met = _distinct(parent * len(pairs) + context[place], len(self.entry_starts) * len(pairs))
         parent, contexts = np.divmod(met, len(pairs))
-        logs = np.empty(len(met), np.float32)
+        weights, logs = np.exp(bias), np.empty(len(met), np.float32)
         borders = np.flatnonzero(np.concatenate(([True], parent[1:] != parent[:-1], [True])))
-        for begin, end in zip(borders[:-1], borders[1:]):
-            inside = slice(*self.entry_starts[parent[begin] : parent[begin] + 2])
-            columns = np.concatenate((vectors[inside], (self.entry_bias[inside] + shift[inside])[:, None]), 1).T
-            rows = max(1, SCORES // columns.shape[1])
+        starts, ends = (self.entry_starts[parent[borders[:-1]] + i].tolist() for i in (0, 1))
+        for begin, end, first, last in zip(borders[:-1].tolist(), borders[1:].tolist(), starts, ends):
+            rows = max(1, SCORES // (last - first))
             for low in range(begin, end, rows):
                 at = slice(low, min(end, low + rows))
-                logs[at] = _log_sums(predicted[contexts[at]] @ columns)
-        scores = np.einsum("ij,ij->i", predicted[context[place], :-1], vectors[entry]) + self.entry_bias[entry] + shift[entry]
+                logs[at] = _log_sums(predicted.take(contexts[at], 0), vectors[first:last], weights[first:last], held, safe)
+        scores = _dots(predicted, context[place], vectors, entry) + bias[entry]
         return value + np.bincount(place, scores - logs[at_met], len(classes))
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -375,16 +480,32 @@ class Model:
         return one, two, bias, logs
 
 
-def _log_sums(scores: np.ndarray) -> np.ndarray:
-    """Log of the summed exponentials of each row; the scores are overwritten."""
-    # Common scores need no shift: no sum of them overflows, and the first one alone keeps it from zero.
-    if scores.max() < 70 and scores[:, 0].min() > -70:
-        np.exp(scores, out=scores)
-        return np.log(scores @ np.ones(scores.shape[1], np.float32))
-    top = scores.max(1)
-    scores -= top[:, None]
+def _log_sums(predicted: np.ndarray, vectors: np.ndarray, weights: np.ndarray, held: np.ndarray, safe: bool) -> np.ndarray:
+    """Log of the weighted sum of exponentials of each prediction's scores, which take the memory given."""
+    scores = np.matmul(predicted, vectors.T, out=held[: len(predicted) * len(vectors)].reshape(len(predicted), len(vectors)))
+    if not safe:
+        top = scores.max(1)
+        scores -= top[:, None]
     np.exp(scores, out=scores)
-    return top + np.log(scores.sum(1))
+    sums = np.log(scores @ weights)
+    return sums if safe else top + sums
+
+
+def _dots(a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray) -> np.ndarray:
+    """Products of rows of two arrays, a few rows at a time."""
+    out, ones = np.empty(len(at_a), np.float32), np.ones(WIDTH, np.float32)
+    for begin in range(0, len(out), ROWS):
+        at = slice(begin, begin + ROWS)
+        out[at] = (a.take(at_a[at], 0) * b.take(at_b[at], 0)) @ ones
+    return out
+
+
+def _distinct(values: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, which are below ``most``, and the place of each value among them."""
+    if most.bit_length() + len(values).bit_length() > 63:
+        return np.unique(values, return_inverse=True)
+    groups = _Groups(values)
+    return groups.values, groups.at
 
 
 def _vocabulary(counts: DataFrame, own_classes: int, groups: int, known_tokens: int, least_count: int) -> Model:
@@ -447,29 +568,48 @@ def _vocabulary(counts: DataFrame, own_classes: int, groups: int, known_tokens:
     )
 
 
-#: A row of an entry as it is sent: place in the shard, times met, parameters in half precision.
-ENTRY = np.dtype([("place", "<u2"), ("met", "<f4", 2), ("values", "<f2", 2 * WIDTH + 1)])
+#: Values of an entry that are sent when it was met as a context, and when as a choice.
+SENT = (WIDTH, WIDTH + 1)
 
 
 def _packed(index: np.ndarray, weights: np.ndarray, values: list[np.ndarray]) -> bytes:
-    """Rows of entries as bytes, with weights of shape (2, n)."""
-    rows = np.empty(len(index), ENTRY)
-    rows["place"], rows["met"] = index % SHARD, weights.T
-    rows["values"] = np.concatenate([v.reshape(len(index), -1) for v in values], 1)
-    return rows.tobytes()
+    """Rows of one shard's entries as bytes, with weights of shape (2, n): place in the shard, times met, parameters in half precision.
+
+    An entry has a row for each of its two parts that was met. Bytes of one kind lie together and are compressed.
+    """
+    vectors, parts, counts = (values[0], np.concatenate((values[1], values[2][:, None]), 1)), [], []
+    for met, rows in zip(weights, vectors):
+        at = np.flatnonzero(met)
+        counts.append(len(at))
+        for column in ((index[at] % SHARD).astype("<u2"), met[at].astype("<f4"), rows[at].astype("<f2")):
+            parts.append(column.reshape(-1, 1).view(np.uint8).T.tobytes())
+    return np.array(counts, "<u4").tobytes() + pa.compress(b"".join(parts), "zstd", asbytes=True)
+
+
+def _unpacked(rows: pa.Buffer) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(place, times met, parameters) for the entries met as a context and for those met as a choice."""
+    counts, out, begin = np.frombuffer(rows, "<u4", 2), [], 0
+    sizes = [(n, kind, width) for n, sent in zip(counts.tolist(), SENT) for kind, width in (("<u2", 1), ("<f4", 1), ("<f2", sent))]
+    size = sum(n * np.dtype(kind).itemsize * width for n, kind, width in sizes)
+    data = np.frombuffer(pa.decompress(rows.slice(counts.nbytes), size, "zstd"), np.uint8)
+    for n, kind, width in sizes:
+        each = np.dtype(kind).itemsize
+        column = data[begin : begin + n * width * each].reshape(each, n * width).T
+        out.append(np.ascontiguousarray(column).view(kind).reshape(n, width))
+        begin += n * width * each
+    return [(out[i][:, 0].astype(np.int64), out[i + 1][:, 0], out[i + 2]) for i in (0, 3)]
 
 
 def _mean_entries(parts: pa.ChunkedArray) -> bytes:
     """Rows of one shard's entries from several copies: every part of the parameters averaged by how often the entry was met."""
-    rows = np.concatenate([np.frombuffer(x.as_buffer(), ENTRY) for x in parts])
-    place, index = np.unique(rows["place"], return_inverse=True)
-    weights, values = rows["met"].astype(np.float64), rows["values"].astype(np.float64)
-    total = np.stack([np.bincount(index, w, len(place)) for w in weights.T])
-    out = np.zeros((len(place), 2 * WIDTH + 1))
-    for f in range(2 * WIDTH + 1):
-        part = int(f >= WIDTH)
-        out[:, f] = np.bincount(index, weights[:, part] * values[:, f], len(place)) / np.maximum(total[part], 1)
-    return _packed(place, total, [out])
+    unpacked = [_unpacked(x.as_buffer()) for x in parts]
+    totals, means = np.zeros((2, SHARD)), [np.zeros((SHARD, n)) for n in SENT]
+    for role in (0, 1):
+        for place, met, values in (x[role] for x in unpacked):
+            totals[role][place] += met
+            means[role][place] += met[:, None].astype(np.float64) * values
+        means[role] /= np.maximum(totals[role], 1)[:, None]
+    return _packed(np.arange(SHARD), totals, [means[0], means[1][:, :WIDTH], means[1][:, WIDTH]])
 
 
 #: What a copy sends: shard of entries, or -1 for the network; its number; its tokens; the parameters.
@@ -500,8 +640,7 @@ def _trained(texts: DataFrame, model: Model, copies: int, seed: int) -> tuple[li
                 texts = batch.column(0).cast(pa.binary()).to_pylist()
                 for part in chunks(texts):
                     hashes, codes, first = tokens_of(texts[part])
-                    distinct, index, place = np.unique(hashes, return_index=True, return_inverse=True)
-                    classes, words = (x[place] for x in own.places_of(distinct, codes[index]))
+                    classes, words = own.places_of(hashes, codes)
                     one, two = own.contexts(own.units_of(classes, words), first)
                     order = rng.permutation(len(classes))
                     for begin in range(0, len(order), BATCH):
@@ -540,10 +679,9 @@ def _trained(texts: DataFrame, model: Model, copies: int, seed: int) -> tuple[li
                 flat = flat[size:]
             parameters = out
             continue
-        entries = np.frombuffer(rows.as_buffer(), ENTRY)
-        at, flat = shard * SHARD + entries["place"].astype(np.int64), entries["values"]
-        for value, new in zip(of_entries, (flat[:, :WIDTH], flat[:, WIDTH:-1], flat[:, -1])):
-            value[at] = new
+        (of_context, _, context), (of_choice, _, choice) = _unpacked(rows.as_buffer())
+        of_entries[0][shard * SHARD + of_context] = context
+        of_entries[1][shard * SHARD + of_choice], of_entries[2][shard * SHARD + of_choice] = choice[:, :WIDTH], choice[:, WIDTH]
     return parameters, of_entries
 
 
@@ -594,24 +732,22 @@ def score_documents(docs: DataFrame, model: Model, counts: DataFrame) -> DataFra
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         rare_total = np.log10(own.rare_counts + own.rare_sizes + 1.0)
-        log_counts = np.log10(own.known_counts + 1.0)
+        log_counts = np.log10(np.append(own.known_counts, 0) + 1.0)
         begin = TaskContext.get().partitionId() << 33
-        for batch in slices(batches):
+        for batch in slices(batches, SCORED_ROWS):
             texts = batch.column(1).cast(pa.binary()).to_pylist()
-            for part in chunks(texts):
+            for part in chunks(texts, SCORED_BYTES):
                 n = part.stop - part.start
                 tokens, codes, first = tokens_of(texts[part])
                 owner = np.repeat(np.arange(n), np.diff(first))
-                distinct, first_at, index = np.unique(tokens, return_index=True, return_inverse=True)
-                classes, words = (x[index] for x in own.places_of(distinct, codes[first_at]))
+                at, known = own.known_at(tokens)
+                classes, words = own.places_at(at, known, codes)
                 one, two = own.contexts(own.units_of(classes, words), first)
                 value = own.log_probabilities(classes, words, one, two) / np.log(10)
                 group = np.where(words < 0, classes - len(own.own), -1)
                 value -= np.where(group >= 0, rare_total[np.maximum(group, 0)], 0)
-                at = np.minimum(np.searchsorted(own.known, distinct), max(0, len(own.known) - 1))
-                known = own.known[at] == distinct if len(own.known) else np.zeros(len(distinct), bool)
-                token_log = np.where(known, log_counts[at], 0)[index] if len(own.known) else np.zeros(len(tokens))
-                unknown = np.flatnonzero(~known[index])
+                token_log = np.where(known, log_counts.take(at), 0)
+                unknown = np.flatnonzero(~known)
                 # A text's unknown tokens with their numbers of times, to be joined with the other counts.
                 rest = np.stack((owner[unknown], tokens[unknown].view(np.int64)), 1)
                 order = np.lexsort((rest[:, 1], rest[:, 0]))
@@ -625,7 +761,7 @@ def score_documents(docs: DataFrame, model: Model, counts: DataFrame) -> DataFra
                     pa.array(begin + np.arange(n)),
                     batch.column(0)[part.start : part.stop],
                     pa.array(np.diff(first)),
-                    pa.array(np.bincount(owner, known[index], n).astype(np.int64)),
+                    pa.array(np.bincount(owner, known, n).astype(np.int64)),
                     pa.array(np.bincount(owner, token_log, n)),
                     pa.array(np.bincount(owner, value + np.where(group >= 0, token_log, 0), n)),
                     pa.ListArray.from_arrays(offsets, pa.array(rest[starts, 1])),

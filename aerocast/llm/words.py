@@ -104,11 +104,11 @@ def split_words(texts: list[bytes | None], separators: np.ndarray = SPACE, lower
     return Words(data, starts, ends, np.searchsorted(starts, borders))
 
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """Batches of a few rows, so that a worker turns few rows into Python objects at a time."""
     for batch in batches:
-        for begin in range(0, batch.num_rows, SLICE_ROWS):
-            yield batch.slice(begin, SLICE_ROWS)
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
 
 
 def chunks(texts: list[bytes | None], limit: int = CHUNK_BYTES) -> Iterator[slice]:
