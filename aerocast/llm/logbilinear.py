@@ -91,12 +91,13 @@ def tokens_of(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.nda
     words = split_words(texts, lower=True)
     n, total = len(texts), len(words.starts) + len(texts)
     first = words.first + np.arange(n + 1)
-    is_end = np.zeros(total, bool)
-    is_end[first[1:] - 1] = True
+    is_word = np.ones(total, bool)
+    is_word[first[1:] - 1] = False
+    at = np.flatnonzero(is_word)
     hashes, codes = np.full(total, END, np.uint64), np.full(total, -1, np.int64)
-    hashes[~is_end] = words.hashes()
-    second = np.where(words.ends - words.starts > 1, words.data[np.minimum(words.starts + 1, len(words.data) - 1)], 0)
-    codes[~is_end] = words.data[words.starts].astype(np.int64) * 256 + second
+    hashes[at] = words.hashes()
+    second = words.data.take(words.starts + 1, mode="clip") * (words.ends - words.starts > 1)
+    codes[at] = words.data.take(words.starts).astype(np.int64) * 256 + second
     return hashes, codes, first
 
 
@@ -326,9 +327,10 @@ class Model:
             sums[i] += slope * slope
             value -= 0.1 * slope / np.sqrt(sums[i])
 
+        cells = np.arange(n_classes * WIDTH).reshape(n_classes, WIDTH)
+
         def gathered(index: np.ndarray, slopes: np.ndarray, n: int) -> np.ndarray:
-            cells = (index * WIDTH)[:, None] + np.arange(WIDTH)
-            return np.bincount(cells.ravel(), slopes.ravel(), n * WIDTH).reshape(n, WIDTH).astype(np.float32)
+            return np.bincount(cells.take(index, 0).ravel(), slopes.ravel(), n * WIDTH).reshape(n, WIDTH).astype(np.float32)
 
         # The slopes of a row as the means of their squares, and the columns that each mean stands for.
         squares, spread = np.zeros((COLUMNS, 2), np.float32), np.zeros((2, COLUMNS), np.float32)
@@ -361,7 +363,7 @@ class Model:
             by_out = gathered(target, g[:, None] * predicted, self.classes)
             np.add.at(by_out, noise, h.T @ predicted)
             by_bias = np.bincount(target, g, self.classes).astype(np.float32)
-            np.add.at(by_bias, noise, h.sum(0))
+            np.add.at(by_bias, noise, np.ones(len(h), np.float32) @ h)
             place, entry, parent = self.inside(target, word)
             if len(place):
                 # Below the classes: noise by the counts inside the parent; the bias starts from the same shares.
@@ -414,10 +416,8 @@ class Model:
             wanted = (low.take(parent) + (part * width.take(parent)).astype(np.int64)).ravel()
             drawn = guide.take(CELLS * first.take(parent) + (part * (CELLS * sizes.take(parent))).astype(np.int64)).ravel()
             # A few entries further on, or else by bisection.
+            drawn += totals.take(drawn + 1) <= wanted
             left = np.flatnonzero(totals.take(drawn + 1) <= wanted)
-            for _ in range(2):
-                drawn[left] += 1
-                left = left[totals.take(drawn[left] + 1) <= wanted[left]]
             drawn[left] = np.searchsorted(totals, wanted[left], "right") - 1
             return drawn.reshape(part.shape)
 

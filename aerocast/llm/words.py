@@ -92,10 +92,10 @@ class Words:
 def split_words(texts: list[bytes | None], separators: np.ndarray = SPACE, lower: bool = False) -> Words:
     """Words are maximal runs of bytes outside ``separators``; a null text has none."""
     texts = [t or b"" for t in texts]
-    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    joined = b" ".join(texts) + b" "
     if lower:
-        data = LOWER[data]
-    gap = separators[data]
+        joined = joined.translate(LOWER.tobytes())
+    data, gap = np.frombuffer(joined, np.uint8), np.frombuffer(joined.translate(separators.tobytes()), bool)
     edges = np.flatnonzero(gap[1:] != gap[:-1]) + 1
     if not gap[0]:
         edges = np.concatenate(([0], edges))
