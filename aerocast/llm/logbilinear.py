@@ -320,7 +320,8 @@ class Model:
             rows[:, SQUARES : SHIFT_SQUARES + 1] = 1
         sums = [np.full(p.shape, 1e-3, np.float32) for p in parameters]
         rng, log_noise = np.random.default_rng(seed), np.log(NOISE * self.share).astype(np.float32)
-        upto = np.cumsum(self.share)[:-1]
+        upto = np.cumsum(self.share)
+        upto /= upto[-1]
         n_classes, seen, noise_inside = len(words), 0, self.noise_inside()
 
         def step(i: int, value: np.ndarray, slope: np.ndarray) -> None:
@@ -412,7 +413,7 @@ class Model:
         guide = (np.searchsorted(totals, begin, "right") - 1).astype(np.int32)
 
         def draw(rng: np.random.Generator, parent: np.ndarray) -> np.ndarray:
-            part = rng.random((WORD_NOISE, len(parent)))
+            part = np.ascontiguousarray(rng.random((len(parent), WORD_NOISE)).T)
             wanted = (low.take(parent) + (part * width.take(parent)).astype(np.int64)).ravel()
             drawn = guide.take(CELLS * first.take(parent) + (part * (CELLS * sizes.take(parent))).astype(np.int64)).ravel()
             # A few entries further on, or else by bisection.

@@ -237,12 +237,12 @@ def test_a_step_sums_the_slopes_of_every_meeting():
     words, out, near, far, bias = (p.astype(np.float32).astype(float) for p in model.parameters)
     more, inner, shift = (p.astype(float) for p in model.entry_parameters)
     squares, times = [np.ones(len(shift)) for _ in range(3)], np.zeros((2, len(shift)))
-    big, noise_rng, draw = [np.full(p.shape, 1e-3) for p in model.parameters], np.random.default_rng(5), model.noise_inside()
+    big, noise_rng, totals = [np.full(p.shape, 1e-3) for p in model.parameters], np.random.default_rng(5), np.append(0, np.cumsum(model.entry_counts))
     for target, word, one, two in batches:
         (one, w1), (two, w2) = model.split(one), model.split(two)
         a, b = (words[c] + np.where(w[:, None] >= 0, more[model.nodes + w], 0) for c, w in ((one, w1), (two, w2)))
         p = a @ near + b @ far
-        noise = np.searchsorted(np.cumsum(model.share)[:-1], noise_rng.random(lb.NOISE), "right")
+        noise = noise_rng.choice(model.classes, lb.NOISE, p=model.share)
         log_noise = np.log(lb.NOISE * model.share)
         g = -1 / (1 + np.exp((p * out[target]).sum(1) + bias[target] - log_noise[target]))
         h = 1 / (1 + np.exp(-(p @ out[noise].T + bias[noise] - log_noise[noise])))
@@ -251,7 +251,10 @@ def test_a_step_sums_the_slopes_of_every_meeting():
             np.add.at(by_out, at, slopes)
             np.add.at(by_bias, at, slope)
         place, entry, parent = model.inside(target, word)
-        index = np.concatenate((entry[None], draw(noise_rng, parent)))
+        drawn = noise_rng.random((len(place), lb.WORD_NOISE))
+        low, high = (totals[model.entry_starts[parent + i]][:, None] for i in (0, 1))
+        drawn = np.searchsorted(totals, low + np.floor(drawn * (high - low)).astype(int), "right") - 1
+        index = np.concatenate((entry[None], drawn.T))
         error = 1 / (1 + np.exp(-((inner[index] * p[place]).sum(2) + shift[index] - np.log(lb.WORD_NOISE))))
         error[0] -= 1
         np.add.at(by_p, place, (error[:, :, None] * inner[index]).sum(0))
