@@ -19,7 +19,7 @@ token in numpy. How the table is split plays no part: texts are dealt anew to as
 network as there are ``COPY_TOKENS`` in them, so that a copy learns from about that many tokens at any
 size. The first copy learns alone, and all others start from what it has learned, which keeps them
 close enough to be averaged: by token count, and the vectors of a word by the number of times that it
-was met. Means are taken over ``FAN`` copies at a time, in as many steps as needed. The driver and
+was met; what no copy met stays. Means are taken over ``FAN`` copies at a time, in as many steps as needed. The driver and
 every worker hold the vectors of all words, about 150 bytes a word.
 """
 
